@@ -49,13 +49,13 @@ def line_pairs(documents: DataFrame) -> DataFrame:
     Built with array slicing inside each row, so no shuffle and no window:
     a document never leaves the task that read it.
     """
-    lines = F.split(F.col("text"), "\n")
+    lines = F.col("_lines")  # a column, so the lambda does not re-split per element
     pairs = F.transform(
         F.sequence(F.lit(1), F.size(lines) - 1),
         lambda i: F.struct(i.cast("bigint").alias("line_no"),
                            F.element_at(lines, i).alias("source"),
                            F.element_at(lines, i + 1).alias("target")))
-    return (documents
+    return (documents.withColumn("_lines", F.split(F.col("text"), "\n"))
             .where(F.size(lines) > 1)
             .select("doc_id", "lang", classifier_of(F.col("source")).alias("classifier"),
                     F.inline(pairs))
@@ -98,3 +98,44 @@ def triples(documents: DataFrame) -> DataFrame:
             .select((F.col("doc_id") * F.lit(1 << 20) + F.col("line_no")).alias("line_no"),
                     F.col("source").alias("src"), F.col("target").alias("ref"),
                     F.array_join(kept, " ").alias("hyp")))
+
+
+# --- F3: training-log lines from events ---------------------------------------
+# FIXED VALUES: jobs that receive the validation (``error``) lines
+VALID_JOBS = ("click", "purchase", "signup", "view")
+
+
+def run_log(events: DataFrame) -> DataFrame:
+    """``job, line_no, value`` log lines built from ``events``.
+
+    Non-error events are train lines of job ``event_type``; error events are
+    ``[valid]`` lines of one of the other jobs (``user_id % 4``); each job
+    ends with a ``finished`` line. ``line_no`` = ``event_id`` (line order).
+    """
+    is_valid = F.col("event_type") == "error"
+    job = F.when(is_valid, F.element_at(F.array(*[F.lit(j) for j in VALID_JOBS]),
+                                        (F.col("user_id") % 4 + 1).cast("int"))).otherwise(F.col("event_type"))
+    tsf = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    epoch = (F.floor(F.col("event_id") / 1000) + 1).cast("bigint")
+    up = F.col("event_id") + 1
+    sen = F.format_number((F.col("event_id") + 1) * 1000 + F.col("user_id"), 0)
+    lr = F.lit(3e-4) * (F.col("user_id") % 5 + 1)
+    train = F.format_string("[%s] Ep. %d : Up. %d : Sen. %s : Cost %.2f : Time %.2fs : %.2f words/s : L.r. %.4e",
+                            tsf, epoch, up, sen, F.col("value"), F.col("value"), F.col("value") * 100, lr)
+    stall = F.when(F.col("user_id") % 3 == 0, F.lit("new best")).otherwise(
+        F.concat(F.lit("stalled "), (F.col("user_id") % 3).cast("string")))
+    valid = F.format_string("[%s] [valid] Ep. %d : Up. %d : bleu-detok : %.2f : %s", tsf, epoch, up, F.col("value"), stall)
+    lines = events.select(job.alias("job"), F.col("event_id").alias("line_no"),
+                          F.when(is_valid, valid).otherwise(train).alias("value"))
+    ends = (events.select(job.alias("job"), "event_id", "ts").groupBy("job")
+            .agg((F.max("event_id") + 1).alias("line_no"), F.max("ts").alias("ts"))
+            .select("job", "line_no", F.format_string("[%s] Training finished", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+                    .alias("value")))
+    return lines.unionByName(ends)
+
+
+def avg_log(events: DataFrame) -> DataFrame:
+    """Averaged-model log lines ``x-y-<step> <score>`` (SRC12 input)."""
+    return events.select(F.concat(F.lit("avg-"), (F.col("user_id") % 3).cast("string")).alias("name"),
+                         F.col("event_id").alias("line_no"),
+                         F.format_string("model-avg-%d %.2f", F.col("event_id") + 1, F.col("value")).alias("value"))

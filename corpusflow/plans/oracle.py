@@ -78,14 +78,14 @@ ORACLE = {
 from corpusflow.operators import langid as LID  # noqa: E402
 
 
-def _grams_sql(src: str, text: str, extra: str) -> str:
+def _grams_sql(src: str, text: str, extra: str, where: str = "TRUE") -> str:
     return (f"SELECT {extra}, length(p) - 2 AS g, substring(p, i, 3) AS gram FROM "
-            f"(SELECT *, ' ' || lower({text}) || ' ' AS p FROM {src} WHERE {text} IS NOT NULL) x, "
+            f"(SELECT *, ' ' || lower({text}) || ' ' AS p FROM {src} WHERE {text} IS NOT NULL AND {where}) x, "
             f"LATERAL (SELECT unnest(range(1, length(p) - 1)) AS i) r")
 
 
 PROFILE = f"""
-WITH g AS ({_grams_sql('documents', 'text', 'lang')} AND lang IS NOT NULL),
+WITH g AS ({_grams_sql('documents', 'text', 'lang', 'lang IS NOT NULL')}),
 c AS (SELECT lang, gram, count(*) AS cnt FROM g GROUP BY lang, gram),
 t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang ORDER BY cnt DESC, gram) <= {LID.DEFAULT_TOP_N})
 SELECT lang, gram, cnt,
@@ -151,3 +151,132 @@ ORACLE.update({
     "misspelt_sentences": MISSPELT_SENTENCES,
     "spelling_gate": SPELLING_GATE,
 })
+
+
+# --- splitting ------------------------------------------------------------------
+
+def _flag_sql(base: str) -> str:
+    return f"""(SELECT *, rk <= ceil(CAST(0.1 AS DOUBLE) * n) AS held FROM (
+  SELECT *, row_number() OVER (PARTITION BY split_n ORDER BY h, id, langs) AS rk,
+         count(*) OVER (PARTITION BY split_n) AS n
+  FROM (SELECT *, md5(concat_ws('|', '42', CAST(split_n AS VARCHAR), source, target)) AS h
+        FROM {base} WHERE classifier = 'Health') a) b)"""
+
+
+def _split_sql(base: str, valid_label: str) -> str:
+    """Rows (split_n, label, id, classifier, source, target, langs) of one classified split."""
+    cols = "split_n, id, classifier, source, target, langs"
+    return f"""(WITH flag AS {_flag_sql(base)},
+train AS (SELECT {cols} FROM flag WHERE NOT held
+          UNION ALL SELECT {cols} FROM {base} WHERE classifier = 'Unknown'),
+test AS (SELECT {cols} FROM flag h WHERE held AND NOT EXISTS (
+          SELECT 1 FROM train t WHERE t.split_n = h.split_n AND t.source = h.source AND t.target = h.target))
+SELECT 'train' AS label, {cols} FROM train UNION ALL SELECT '{valid_label}' AS label, {cols} FROM test)"""
+
+
+SPLIT_BASE = f"(SELECT *, 0 AS split_n FROM ({DEDUP_PAIRS}) d)"
+
+HOLDOUT = f"SELECT id, langs, held FROM {_flag_sql(SPLIT_BASE)} f"
+
+CLASSIFIED_SPLIT = f"SELECT CAST(split_n AS INTEGER) AS split_n, label, id FROM {_split_sql(SPLIT_BASE, 'test')} s"
+
+REPEATED_SPLITS = f"""
+WITH first AS {_split_sql(SPLIT_BASE, 'test')},
+draws AS (SELECT f.id, f.classifier, f.source, f.target, f.langs, g.split_n
+          FROM first f, (SELECT unnest(generate_series(1, 10)) AS split_n) g WHERE f.label = 'train')
+SELECT CAST(split_n AS INTEGER) AS split_n, label, id FROM first WHERE label = 'test'
+UNION ALL
+SELECT CAST(split_n AS INTEGER) AS split_n, label, id FROM {_split_sql('draws', 'valid')} s"""
+
+ORACLE.update({
+    "holdout": HOLDOUT,
+    "classified_split": CLASSIFIED_SPLIT,
+    "repeated_splits": REPEATED_SPLITS,
+})
+
+
+# --- translation metrics ------------------------------------------------------------
+
+def _ws_split(x: str) -> str:
+    return f"list_filter(regexp_split_to_array({x}, {q(R.WS + '+')}), lambda t: t <> '')"
+
+
+def _tok13a(x: str) -> str:
+    y = f"replace(replace(replace({x}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
+    for old, new in R.TOK13A_ENTITIES:
+        y = f"replace({y}, {q(old)}, {q(new)})"
+    y = f"(' ' || {y} || ' ')"
+    for pat, rep in R.TOK13A_RULES:
+        y = R.sql_regexp_replace(y, pat, rep)
+    return _ws_split(y)
+
+
+def _gram_rows(tcol: str, side_h: int, n_max: int, char: bool) -> str:
+    if char:
+        g, ln = f"substring({tcol}, i, n)", f"length({tcol})"
+    else:
+        g, ln = f"array_to_string({tcol}[i:i + n - 1], ' ')", f"len({tcol})"
+    return (f"SELECT seg, n, {g} AS g, {side_h} AS h, {1 - side_h} AS r FROM t, "
+            f"(SELECT unnest(range(1, {n_max + 1})) AS n) o, "
+            f"LATERAL (SELECT unnest(range(1, {ln} - n + 2)) AS i) x")
+
+
+def _match_sql(n_max: int, char: bool) -> str:
+    cols = ", ".join(f"coalesce(max(CASE WHEN n = {n} THEN {c} END), 0)::DOUBLE AS {c}{n}"
+                     for n in range(1, n_max + 1) for c in ("match", "hyp_n", "ref_n"))
+    return f"""(SELECT {cols} FROM (
+  SELECT n, sum(least(h, r)) AS match, sum(h) AS hyp_n, sum(r) AS ref_n FROM (
+    SELECT seg, n, g, sum(h) AS h, sum(r) AS r FROM (
+      {_gram_rows('a', 1, n_max, char)} UNION ALL {_gram_rows('b', 0, n_max, char)}) u
+    GROUP BY seg, n, g) pg GROUP BY n) m)"""
+
+
+def _bleu_sql() -> str:
+    logs, zeros = [], []
+    for n in range(1, 5):
+        zeros.append(f"(match{n} = 0)::INT")
+        z = " + ".join(zeros)
+        logs.append(f"ln(CASE WHEN match{n} = 0 THEN 100.0 / (pow(2, {z}) * hyp_n{n}) ELSE 100.0 * match{n} / hyp_n{n} END)")
+    bp = "CASE WHEN sys_len >= ref_len THEN 1.0 WHEN sys_len > 0 THEN exp(1 - ref_len / sys_len) ELSE 0.0 END"
+    return f"""
+WITH t AS (SELECT line_no AS seg, {_tok13a('hyp')} AS a, {_tok13a('ref')} AS b FROM ({S.F5}) f5),
+l AS (SELECT sum(len(a))::DOUBLE AS sys_len, sum(len(b))::DOUBLE AS ref_len FROM t),
+m AS {_match_sql(4, False)}
+SELECT round(CASE WHEN hyp_n4 = 0 THEN 0.0 ELSE ({bp}) * exp(({' + '.join(logs)}) / 4) END, 6) AS bleu,
+       round(sys_len, 6) AS sys_len, round(ref_len, 6) AS ref_len
+FROM l, m"""
+
+
+def _chrf_sql() -> str:
+    ps, rs, es = [], [], []
+    for n in range(1, 7):
+        both = f"(hyp_n{n} > 0 AND ref_n{n} > 0)"
+        ps.append(f"CASE WHEN {both} THEN match{n} / hyp_n{n} ELSE 0 END")
+        rs.append(f"CASE WHEN {both} THEN match{n} / ref_n{n} ELSE 0 END")
+        es.append(f"{both}::INT")
+    nospace = lambda c: f"regexp_replace({c}, {q(R.WS + '+')}, '', 'g')"
+    return f"""
+WITH t AS (SELECT line_no AS seg, {nospace('hyp')} AS a, {nospace('ref')} AS b FROM ({S.F5}) f5),
+m AS {_match_sql(6, True)},
+s AS (SELECT ({' + '.join(ps)}) AS ps, ({' + '.join(rs)}) AS rs, ({' + '.join(es)}) AS eff FROM m),
+a AS (SELECT CASE WHEN eff > 0 THEN ps / eff ELSE 0 END AS ap, CASE WHEN eff > 0 THEN rs / eff ELSE 0 END AS ar FROM s)
+SELECT round(CASE WHEN ap + ar > 0 THEN 100.0 * 5 * ap * ar / (4 * ap + ar) ELSE 0.0 END, 6) AS chrf FROM a"""
+
+
+def _edits_sql(lower: bool) -> str:
+    f = (lambda c: f"lower({c})") if lower else (lambda c: c)
+    return f"""(SELECT *, levenshtein(array_to_string(list_transform(wr, lambda w: chr(list_position(v, w)::INT)), ''),
+                                  array_to_string(list_transform(wh, lambda w: chr(list_position(v, w)::INT)), '')) AS dist
+FROM (SELECT *, list_distinct(wr || wh) AS v FROM (
+  SELECT {_ws_split(f('ref'))} AS wr, {_ws_split(f('hyp'))} AS wh FROM ({S.F5}) f5) a) b)"""
+
+
+WER = f"SELECT round(sum(dist) / sum(len(wr)), 6) AS wer FROM {_edits_sql(False)} e"
+EDIT_RATE = f"SELECT round(100.0 * sum(dist) / sum(len(wr)), 6) AS edit_rate FROM {_edits_sql(True)} e"
+
+ORACLE.update({
+    "bleu": _bleu_sql(),
+    "chrf": _chrf_sql(),
+    "wer": WER,
+    "edit_rate": EDIT_RATE,
+})

@@ -131,3 +131,79 @@ QUERIES.update({
     "misspelt_sentences": q_misspelt_sentences,
     "spelling_gate": q_spelling_gate,
 })
+
+
+# --- splitting ------------------------------------------------------------------
+from corpusflow.operators import splits  # noqa: E402
+
+
+def _split_input(spark, sf_dir):
+    return pairs.dedup_pairs(FX.corpus(_docs(spark, sf_dir)))
+
+
+def q_holdout(spark, sf_dir):
+    classified, _ = splits.by_class(_split_input(spark, sf_dir))
+    return splits.holdout(classified.withColumn("split_n", F.lit(0))).select("id", "langs", "held")
+
+
+def q_classified_split(spark, sf_dir):
+    out = splits.classified_split(_split_input(spark, sf_dir))
+    return out.select(F.col("split_n").cast("int").alias("split_n"), "label", "id")
+
+
+def q_repeated_splits(spark, sf_dir):
+    out = splits.split_corpus(_split_input(spark, sf_dir))
+    return out.select(F.col("split_n").cast("int").alias("split_n"), "label", "id")
+
+
+QUERIES.update({
+    "holdout": q_holdout,
+    "classified_split": q_classified_split,
+    "repeated_splits": q_repeated_splits,
+})
+
+
+# --- translation metrics ------------------------------------------------------------
+from corpusflow.operators import metrics  # noqa: E402
+
+
+def _triples(spark, sf_dir):
+    return FX.triples(_docs(spark, sf_dir)).withColumn("seg", F.col("line_no"))
+
+
+def _r6(df):
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def q_bleu(spark, sf_dir):
+    return _r6(metrics.bleu(_triples(spark, sf_dir)))
+
+
+def q_chrf(spark, sf_dir):
+    return _r6(metrics.chrf(_triples(spark, sf_dir)))
+
+
+def q_wer(spark, sf_dir):
+    return _r6(metrics.wer(_triples(spark, sf_dir)))
+
+
+def q_edit_rate(spark, sf_dir):
+    return _r6(metrics.edit_rate(_triples(spark, sf_dir)))
+
+
+def q_mer_wil(spark, sf_dir):
+    return _r6(metrics.mer_wil(_triples(spark, sf_dir)))
+
+
+def q_score_table(spark, sf_dir):
+    return _r6(metrics.score(_triples(spark, sf_dir)))
+
+
+QUERIES.update({
+    "bleu": q_bleu,
+    "chrf": q_chrf,
+    "wer": q_wer,
+    "edit_rate": q_edit_rate,
+    "mer_wil": q_mer_wil,
+    "score_table": q_score_table,
+})
