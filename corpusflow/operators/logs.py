@@ -94,14 +94,14 @@ def running_sums(df: DataFrame, part: str, order: list, sums: dict, chunk: Colum
     chunk = chunk if chunk is not None else F.floor(F.col("line_no") / CHUNK_LINES)
     d = df.withColumn("_chunk", chunk)
     for name, expr in sums.items():
-        d = d.withColumn(f"_v_{name}", expr.cast("double"))
+        d = d.withColumn(f"_v_{name}", expr)
     frame = (Window.unboundedPreceding, -1) if exclusive else (Window.unboundedPreceding, 0)
     w = Window.partitionBy(part, "_chunk").orderBy(*order).rowsBetween(*frame)
     for name in sums:
-        d = d.withColumn(f"_l_{name}", F.coalesce(F.sum(f"_v_{name}").over(w), F.lit(0.0)))
+        d = d.withColumn(f"_l_{name}", F.coalesce(F.sum(f"_v_{name}").over(w), F.lit(0)))
     totals = d.groupBy(part, "_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
     wc = Window.partitionBy(part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(part, "_chunk", *[F.coalesce(F.sum(f"_t_{n}").over(wc), F.lit(0.0)).alias(f"_o_{n}")
+    offsets = totals.select(part, "_chunk", *[F.coalesce(F.sum(f"_t_{n}").over(wc), F.lit(0)).alias(f"_o_{n}")
                                               for n in sums])
     out = d.join(offsets, [part, "_chunk"], "left")
     for name in sums:
@@ -139,18 +139,21 @@ def pause_adjusted(lines: DataFrame, threshold: int = PAUSE_SECONDS) -> DataFram
     gap = time since the previous line of the job; a gap over ``threshold``
     is a pause and ``gap - mean(short gaps so far)`` is taken out of every
     later time. The reference's running mean is miscomputed (Q12); this is
-    the true mean. Input: ``job, line_no, ts``; adds ``gap``, ``adj_ts``.
+    the true mean. Input: ``job, line_no, ts``; adds ``gap``, ``adj_ts``
+    (seconds). Arithmetic is in integer microseconds, so the result is exact
+    and independent of how the prefix sums are split into chunks.
     """
-    t = F.col("ts").cast("double")
-    d = previous_value(lines.withColumn("_t", t), "job", ORDER, "_t", "_pt")
-    d = d.withColumn("gap", F.col("_t") - F.col("_pt"))
-    long_gap = F.col("gap") > threshold
-    short = F.col("gap").isNotNull() & ~long_gap
-    d = running_sums(d, "job", ORDER, {"_s": F.when(short, F.col("gap")).otherwise(0.0),
-                                        "_n": F.when(short, 1.0).otherwise(0.0)})
-    mean = F.when(F.col("_n") > 0, F.col("_s") / F.col("_n")).otherwise(F.lit(0.0))
-    d = running_sums(d, "job", ORDER, {"_g": F.when(long_gap, F.col("gap") - mean).otherwise(0.0)})
-    return (d.withColumn("adj_ts", (F.col("_t") - F.col("_g")))
+    us = 1_000_000
+    d = previous_value(lines.withColumn("_t", F.unix_micros("ts")), "job", ORDER, "_t", "_pt")
+    gap = F.col("_t") - F.col("_pt")
+    long_gap = gap > threshold * us
+    short = gap.isNotNull() & ~long_gap
+    d = running_sums(d, "job", ORDER, {"_s": F.when(short, gap).otherwise(F.lit(0)),
+                                        "_n": F.when(short, F.lit(1)).otherwise(F.lit(0))})
+    mean = F.when(F.col("_n") > 0, F.round(F.col("_s") / F.col("_n"))).otherwise(F.lit(0)).cast("bigint")
+    d = running_sums(d, "job", ORDER, {"_g": F.when(long_gap, gap - mean).otherwise(F.lit(0))})
+    return (d.withColumn("gap", gap / F.lit(float(us)))
+            .withColumn("adj_ts", (F.col("_t") - F.col("_g")) / F.lit(float(us)))
             .drop("_t", "_pt", "_s", "_n", "_g"))
 
 
@@ -159,9 +162,9 @@ def bursts(lines: DataFrame, threshold: int = PAUSE_SECONDS) -> DataFrame:
 
     Gaps-and-islands with a chunk-parallel prefix count as the burst id.
     """
-    t = F.col("ts").cast("double")
-    d = previous_value(lines.withColumn("_t", t), "job", ORDER, "_t", "_pt")
-    d = running_sums(d, "job", ORDER, {"burst": F.when((F.col("_t") - F.col("_pt")) > threshold, 1.0).otherwise(0.0)})
+    d = previous_value(lines.withColumn("_t", F.unix_micros("ts")), "job", ORDER, "_t", "_pt")
+    new = F.when((F.col("_t") - F.col("_pt")) > threshold * 1_000_000, F.lit(1)).otherwise(F.lit(0))
+    d = running_sums(d, "job", ORDER, {"burst": new})
     return (d.groupBy("job", F.col("burst").cast("bigint").alias("burst"))
             .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count(F.lit(1)).alias("n_lines")))
 

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,12 +45,19 @@ def tokenize_13a(c: Column) -> Column:
     return _ws_split(x)
 
 
+def _word_gram(toks: Column, n: int):
+    # one-argument lambda: PySpark reads a two-argument lambda as (element, index)
+    return lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(toks, i, n), " ").alias("g"))
+
+
+def _char_gram(chars: Column, n: int):
+    return lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(chars, i, n), "").alias("g"))
+
+
 def _word_ngrams(toks: Column, max_n: int) -> Column:
     """Array of (n, gram) for n = 1..max_n; grams are tokens joined by a space."""
     size = F.size(toks)
-    per_n = [F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))),
-                         lambda i, n=n: F.struct(F.lit(n).alias("n"),
-                                                 F.array_join(F.slice(toks, i, n), " ").alias("g")))
+    per_n = [F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), _word_gram(toks, n))
              for n in range(1, max_n + 1)]
     grams = F.flatten(F.array(*[F.when(size >= n, a).otherwise(F.array().cast("array<struct<n:int,g:string>>"))
                                 for n, a in zip(range(1, max_n + 1), per_n)]))
@@ -59,8 +68,7 @@ def _char_ngrams(chars: Column, max_n: int) -> Column:
     """(n, gram) for n = 1..max_n from a character-array *column*."""
     size = F.size(chars)
     per_n = [F.when(size >= n, F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))),
-                                           lambda i, n=n: F.struct(F.lit(n).alias("n"),
-                                                                   F.array_join(F.slice(chars, i, n), "").alias("g"))))
+                                           _char_gram(chars, n)))
              .otherwise(F.array().cast("array<struct<n:int,g:string>>"))
              for n in range(1, max_n + 1)]
     return F.flatten(F.array(*per_n))
@@ -188,9 +196,6 @@ def edit_rate(df: DataFrame, keys=()) -> DataFrame:
 
 
 def _hits_udf():
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf("long")
     def hits(wr: pd.Series, wh: pd.Series) -> pd.Series:
         """Most hits among minimum-cost word alignments (small per-row helper)."""

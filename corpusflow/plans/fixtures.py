@@ -139,3 +139,20 @@ def avg_log(events: DataFrame) -> DataFrame:
     return events.select(F.concat(F.lit("avg-"), (F.col("user_id") % 3).cast("string")).alias("name"),
                          F.col("event_id").alias("line_no"),
                          F.format_string("model-avg-%d %.2f", F.col("event_id") + 1, F.col("value")).alias("value"))
+
+
+def experiments(events: DataFrame) -> DataFrame:
+    """``session, split_n, metric, score, updated_at`` score records.
+
+    One record per (session = event type, split = user_id % 10 + 1, week,
+    metric); weekly re-scoring gives several updates per key. Scores are
+    exact (integer-cent sums) so every engine computes the same values.
+    """
+    g = (events.groupBy(F.concat(F.lit("en-cy_"), F.col("event_type")).alias("session"),
+                        (F.col("user_id") % 10 + 1).cast("int").alias("split_n"),
+                        F.date_trunc("week", "ts").alias("week"))
+         .agg((F.sum(F.round(F.col("value") * 100)) / F.count(F.lit(1)) / 100).alias("BLEU"),
+              F.max("value").alias("CHRF"), F.min("value").alias("TER"),
+              F.max("ts").alias("updated_at")))
+    return g.select("session", "split_n", F.expr(
+        "stack(3, 'BLEU', BLEU, 'CHRF', CHRF, 'TER', TER) AS (metric, score)"), "updated_at")

@@ -280,3 +280,150 @@ ORACLE.update({
     "wer": WER,
     "edit_rate": EDIT_RATE,
 })
+
+
+# --- training logs -------------------------------------------------------------------
+F3 = """(SELECT CASE WHEN event_type = 'error' THEN ['click', 'purchase', 'signup', 'view'][(user_id % 4) + 1]
+            ELSE event_type END AS job,
+       event_id AS line_no, date_trunc('second', ts) AS ts, event_type = 'error' AS is_valid,
+       CAST(event_id // 1000 + 1 AS INTEGER) AS epoch, event_id + 1 AS up,
+       (event_id + 1) * 1000 + user_id AS sen, round(value, 2) AS cost, round(value, 2) AS time_s,
+       round(value * 100, 2) AS wps, 3e-4 * (user_id % 5 + 1) AS lr,
+       CASE WHEN user_id % 3 = 0 THEN 0 ELSE CAST(user_id % 3 AS INTEGER) END AS stalled
+FROM events)"""
+
+LOG_PARSE = f"""SELECT job, line_no, ts, epoch, up, sen, round(cost, 6) AS cost, round(time_s, 6) AS time_s,
+       round(wps, 6) AS wps, round(lr, 6) AS lr FROM {F3} f WHERE NOT is_valid"""
+
+VALID_PARSE = f"""SELECT job, line_no, ts, epoch, up, 'bleu-detok' AS metric, round(cost, 6) AS value, stalled
+FROM {F3} f WHERE is_valid"""
+
+SEN_DIFF = f"""SELECT job, line_no, sen - coalesce(lag(sen) OVER (PARTITION BY job ORDER BY line_no), 0) AS sen_diff
+FROM {F3} f WHERE NOT is_valid"""
+
+ADJUSTED = f"""(WITH g AS (SELECT job, line_no, ts, epoch_us(ts) AS t,
+                          epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY job ORDER BY line_no) AS gap FROM {F3} f),
+s AS (SELECT *, sum(CASE WHEN gap <= 1200000000 THEN gap ELSE 0 END) OVER w AS ss,
+                sum(CASE WHEN gap <= 1200000000 THEN 1 ELSE 0 END) OVER w AS nn
+      FROM g WINDOW w AS (PARTITION BY job ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+c AS (SELECT *, sum(CASE WHEN gap > 1200000000
+                         THEN gap - CASE WHEN nn > 0 THEN CAST(round(CAST(ss AS DOUBLE) / nn) AS BIGINT) ELSE 0 END
+                         ELSE 0 END) OVER w AS gg
+      FROM s WINDOW w AS (PARTITION BY job ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT job, line_no, ts, CAST(gap AS DOUBLE) / CAST(1000000 AS DOUBLE) AS gap,
+       CAST(t - gg AS DOUBLE) / CAST(1000000 AS DOUBLE) AS adj_ts FROM c)"""
+
+PAUSE_ADJUSTED = f"SELECT job, line_no, round(gap, 6) AS gap, round(adj_ts, 6) AS adj_ts FROM {ADJUSTED} a"
+
+RUN_DURATION = f"SELECT job, round((epoch(max(ts)) - epoch(min(ts))) / 3600.0, 6) AS hours FROM {F3} f GROUP BY job"
+
+BEST_UPDATE = f"""SELECT job, first(up ORDER BY cost DESC, line_no ASC) AS best_up, round(max(cost), 6) AS best_value
+FROM {F3} f WHERE is_valid GROUP BY job"""
+
+SCALARS = f"""
+WITH a AS {ADJUSTED},
+t AS (SELECT f.*, a.adj_ts, f.sen - coalesce(lag(f.sen) OVER (PARTITION BY f.job ORDER BY f.line_no), 0) AS sen_diff
+      FROM {F3} f JOIN a USING (job, line_no) WHERE NOT f.is_valid),
+v AS (SELECT f.*, a.adj_ts FROM {F3} f JOIN a USING (job, line_no) WHERE f.is_valid),
+u AS (
+  SELECT job, up AS step, adj_ts AS wall_time, 'train/epoch' AS tag, CAST(epoch AS DOUBLE) AS value FROM t
+  UNION ALL SELECT job, up, adj_ts, 'train/sentences', CAST(sen AS DOUBLE) FROM t
+  UNION ALL SELECT job, up, adj_ts, 'train/sentences-diff', CAST(sen_diff AS DOUBLE) FROM t
+  UNION ALL SELECT job, up, adj_ts, 'train/cost', cost FROM t
+  UNION ALL SELECT job, up, adj_ts, 'train/time[sec]', time_s FROM t
+  UNION ALL SELECT job, up, adj_ts, 'train/speed[words per sec]', wps FROM t
+  UNION ALL SELECT job, up, adj_ts, 'train/learning_rate', lr FROM t
+  UNION ALL SELECT job, up, epoch(ts), 'train/wall-clock', epoch(ts) FROM t
+  UNION ALL SELECT job, up, adj_ts, 'valid/bleu-detok', cost FROM v
+  UNION ALL SELECT job, up, adj_ts, 'valid/bleu-detok_stalled', CAST(stalled AS DOUBLE) FROM v)
+SELECT job, tag, step, round(wall_time, 6) AS wall_time, round(value, 6) AS value FROM u"""
+
+AVG_LOGS = "SELECT 'avg-' || CAST(user_id % 3 AS VARCHAR) AS name, event_id + 1 AS step, round(value, 2) AS score FROM events"
+
+BURSTS = f"""
+WITH g AS (SELECT job, line_no, ts, epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY job ORDER BY line_no) AS gap FROM {F3} f),
+b AS (SELECT *, sum(CASE WHEN gap > 1200 THEN 1 ELSE 0 END) OVER (PARTITION BY job ORDER BY line_no
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS burst FROM g)
+SELECT job, CAST(burst AS BIGINT) AS burst, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n_lines
+FROM b GROUP BY job, burst"""
+
+ORACLE.update({
+    "log_parse": LOG_PARSE,
+    "valid_parse": VALID_PARSE,
+    "sentences_diff": SEN_DIFF,
+    "pause_adjusted": PAUSE_ADJUSTED,
+    "run_duration": RUN_DURATION,
+    "best_update": BEST_UPDATE,
+    "scalars": SCALARS,
+    "avg_logs": AVG_LOGS,
+    "bursts_batch": BURSTS,
+})
+
+
+# --- experiments -----------------------------------------------------------------------
+F6 = """(WITH g AS (
+  SELECT 'en-cy_' || event_type AS session, CAST(user_id % 10 + 1 AS INTEGER) AS split_n,
+         date_trunc('week', ts) AS week,
+         CAST(sum(round(value * 100)) AS DOUBLE) / count(*) / 100 AS bleu, max(value) AS chrf, min(value) AS ter,
+         max(ts) AS updated_at
+  FROM events GROUP BY ALL)
+SELECT session, split_n, 'BLEU' AS metric, bleu AS score, updated_at FROM g
+UNION ALL SELECT session, split_n, 'CHRF', chrf, updated_at FROM g
+UNION ALL SELECT session, split_n, 'TER', ter, updated_at FROM g)"""
+
+LATEST = f"""(SELECT session, split_n, metric, arg_max(score, updated_at) AS score, max(updated_at) AS updated_at
+FROM {F6} f GROUP BY session, split_n, metric)"""
+
+LATEST_SESSIONS = f"""SELECT session, max(updated_at) AS updated_at,
+  arg_max(split_n, (updated_at, split_n, metric)) AS split_n, arg_max(metric, (updated_at, split_n, metric)) AS metric,
+  round(arg_max(score, (updated_at, split_n, metric)), 6) AS score
+FROM {F6} f GROUP BY session"""
+
+LIST_SESSIONS = f"""WITH s AS (SELECT session, min(updated_at) AS created, max(updated_at) AS last FROM {F6} f GROUP BY session),
+c AS (SELECT session AS cur FROM s ORDER BY last DESC, session DESC LIMIT 1)
+SELECT session, created, session = (SELECT cur FROM c) AS is_current FROM s ORDER BY created DESC, session LIMIT 3"""
+
+SCORES_MATRIX = f"""SELECT session, split_n,
+  round(max(CASE WHEN metric = 'BLEU' THEN score END), 6) AS BLEU,
+  round(max(CASE WHEN metric = 'CHRF' THEN score END), 6) AS CHRF,
+  round(max(CASE WHEN metric = 'TER' THEN score END), 6) AS TER
+FROM {LATEST} l GROUP BY session, split_n"""
+
+BEST_SPLIT = f"""SELECT session, first(split_n ORDER BY score DESC, split_n) AS best_split, round(max(score), 6) AS best_score
+FROM {LATEST} l WHERE metric = 'BLEU' GROUP BY session"""
+
+CV_SUMMARY = f"""SELECT session, metric, count(*) AS n_splits, round(avg(score), 6) AS mean, round(min(score), 6) AS min,
+  round(max(score), 6) AS max, round(stddev_samp(score), 6) AS stddev FROM {LATEST} l GROUP BY session, metric"""
+
+SESSION_IDS = f"""SELECT DISTINCT session, regexp_extract(session, {q(EXP_SESSION_RE)}, 1) AS source_lang,
+  regexp_extract(session, {q(EXP_SESSION_RE)}, 2) AS target_lang, regexp_extract(session, {q(EXP_SESSION_RE)}, 3) AS ident
+FROM {F6} f""" if (EXP_SESSION_RE := __import__('corpusflow.operators.experiments', fromlist=['x']).SESSION_RE) else ""
+
+LIVE_SESSIONS = f"""SELECT session, split_n, metric FROM {LATEST} l
+WHERE session IN (SELECT 'en-cy_' || event_type FROM events WHERE event_type <> 'error')"""
+
+PENDING_SPLITS = f"""WITH inv AS (SELECT s.session, CAST(g.split_n AS INTEGER) AS split_n
+  FROM (SELECT DISTINCT session FROM {LATEST} l) s, (SELECT unnest(generate_series(1, 10)) AS split_n) g),
+done AS (SELECT session, split_n FROM {LATEST} l WHERE metric = 'BLEU' AND score > 25.2)
+SELECT session, split_n FROM inv WHERE NOT EXISTS (
+  SELECT 1 FROM done d WHERE d.session = inv.session AND d.split_n = inv.split_n)"""
+
+RESULTS_TABLE = f"""WITH segs AS (SELECT 'en-cy_' || event_type AS session, CAST(user_id % 10 + 1 AS INTEGER) AS split_n,
+  count(*) AS n_segments FROM events GROUP BY ALL)
+SELECT l.session, l.split_n, s.n_segments,
+  round(max(CASE WHEN metric = 'BLEU' THEN score END), 6) AS bleu,
+  round(max(CASE WHEN metric = 'CHRF' THEN score END), 6) AS chrf,
+  round(max(CASE WHEN metric = 'TER' THEN score END), 6) AS ter
+FROM {LATEST} l LEFT JOIN segs s USING (session, split_n) GROUP BY l.session, l.split_n, s.n_segments"""
+
+ORACLE.update({
+    "latest_sessions": LATEST_SESSIONS,
+    "list_sessions": LIST_SESSIONS,
+    "scores_matrix": SCORES_MATRIX,
+    "best_split": BEST_SPLIT,
+    "cv_summary": CV_SUMMARY,
+    "session_ids": SESSION_IDS,
+    "live_sessions": LIVE_SESSIONS,
+    "pending_splits": PENDING_SPLITS,
+    "results_table": RESULTS_TABLE,
+})

@@ -207,3 +207,154 @@ QUERIES.update({
     "mer_wil": q_mer_wil,
     "score_table": q_score_table,
 })
+
+
+# --- training logs -------------------------------------------------------------------
+from corpusflow.operators import logs  # noqa: E402
+
+
+def _runlog(spark, sf_dir):
+    return FX.run_log(FX.table(spark, sf_dir, "events"))
+
+
+def _train(spark, sf_dir):
+    return logs.parse_train(_runlog(spark, sf_dir))
+
+
+def _valid(spark, sf_dir):
+    return logs.parse_valid(_runlog(spark, sf_dir))
+
+
+def _adjusted(spark, sf_dir):
+    lines = _train(spark, sf_dir).select("job", "line_no", "ts").unionByName(
+        _valid(spark, sf_dir).select("job", "line_no", "ts"))
+    return logs.pause_adjusted(lines)
+
+
+def q_log_parse(spark, sf_dir):
+    return _r6(_train(spark, sf_dir))
+
+
+def q_valid_parse(spark, sf_dir):
+    return _r6(_valid(spark, sf_dir))
+
+
+def q_sentences_diff(spark, sf_dir):
+    return logs.sentences_diff(_train(spark, sf_dir)).select("job", "line_no", F.col("sen_diff").cast("bigint"))
+
+
+def q_pause_adjusted(spark, sf_dir):
+    return _r6(_adjusted(spark, sf_dir).select("job", "line_no", "gap", "adj_ts"))
+
+
+def q_run_duration(spark, sf_dir):
+    return _r6(logs.duration_hours(_runlog(spark, sf_dir)))
+
+
+def q_best_update(spark, sf_dir):
+    return _r6(logs.best_update(_valid(spark, sf_dir)))
+
+
+def q_scalars(spark, sf_dir):
+    adj = _adjusted(spark, sf_dir).select("job", "line_no", "adj_ts")
+    train = logs.sentences_diff(_train(spark, sf_dir)).join(adj, ["job", "line_no"])
+    valid = _valid(spark, sf_dir).join(adj, ["job", "line_no"])
+    return _r6(logs.to_scalars(train, valid))
+
+
+def q_avg_logs(spark, sf_dir):
+    return _r6(logs.parse_avg_logs(FX.avg_log(FX.table(spark, sf_dir, "events"))).select("name", "step", "score"))
+
+
+def q_bursts_batch(spark, sf_dir):
+    lines = _train(spark, sf_dir).select("job", "line_no", "ts").unionByName(
+        _valid(spark, sf_dir).select("job", "line_no", "ts"))
+    return logs.bursts(lines)
+
+
+QUERIES.update({
+    "log_parse": q_log_parse,
+    "valid_parse": q_valid_parse,
+    "sentences_diff": q_sentences_diff,
+    "pause_adjusted": q_pause_adjusted,
+    "run_duration": q_run_duration,
+    "best_update": q_best_update,
+    "scalars": q_scalars,
+    "avg_logs": q_avg_logs,
+    "bursts_batch": q_bursts_batch,
+})
+
+
+# --- experiments -----------------------------------------------------------------------
+from corpusflow.operators import experiments as EXP  # noqa: E402
+
+
+def _f6(spark, sf_dir):
+    return FX.experiments(FX.table(spark, sf_dir, "events"))
+
+
+def _latest(spark, sf_dir):
+    return EXP.latest_scores(_f6(spark, sf_dir))
+
+
+def q_latest_sessions(spark, sf_dir):
+    return _r6(EXP.latest_sessions(_f6(spark, sf_dir)))
+
+
+def q_list_sessions(spark, sf_dir):
+    return EXP.list_sessions(_f6(spark, sf_dir), n=3)
+
+
+def q_scores_matrix(spark, sf_dir):
+    return _r6(EXP.scores_matrix(_latest(spark, sf_dir)))
+
+
+def q_best_split(spark, sf_dir):
+    return _r6(EXP.best_split(_latest(spark, sf_dir)))
+
+
+def q_cv_summary(spark, sf_dir):
+    return _r6(EXP.cv_summary(_latest(spark, sf_dir)))
+
+
+def q_session_ids(spark, sf_dir):
+    return _f6(spark, sf_dir).select("session").distinct().select("session", *EXP.parse_session_id(F.col("session")))
+
+
+def _live_dirs(spark, sf_dir):
+    ev = FX.table(spark, sf_dir, "events")
+    return ev.where(F.col("event_type") != "error").select(F.concat(F.lit("en-cy_"), F.col("event_type")).alias("session"))
+
+
+def q_live_sessions(spark, sf_dir):
+    return pairs.live_sessions(_latest(spark, sf_dir), _live_dirs(spark, sf_dir)).select("session", "split_n", "metric")
+
+
+def q_pending_splits(spark, sf_dir):
+    latest = _latest(spark, sf_dir)
+    inventory = latest.select("session").distinct().select(
+        "session", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("split_n"))
+    done = latest.where((F.col("metric") == "BLEU") & (F.col("score") > 25.2))
+    return pairs.pending_splits(inventory, done).select("session", F.col("split_n").cast("int"))
+
+
+def q_results_table(spark, sf_dir):
+    ev = FX.table(spark, sf_dir, "events")
+    segs = ev.groupBy(F.concat(F.lit("en-cy_"), F.col("event_type")).alias("session"),
+                      (F.col("user_id") % 10 + 1).cast("int").alias("split_n")).agg(F.count(F.lit(1)).alias("n_segments"))
+    t = stats.results_table(_latest(spark, sf_dir), segs)
+    return t.select("session", "split_n", "n_segments",
+                    *[F.round(F.col("scores")[m], 6).alias(m.lower()) for m in EXP.SCORE_METRICS])
+
+
+QUERIES.update({
+    "latest_sessions": q_latest_sessions,
+    "list_sessions": q_list_sessions,
+    "scores_matrix": q_scores_matrix,
+    "best_split": q_best_split,
+    "cv_summary": q_cv_summary,
+    "session_ids": q_session_ids,
+    "live_sessions": q_live_sessions,
+    "pending_splits": q_pending_splits,
+    "results_table": q_results_table,
+})
