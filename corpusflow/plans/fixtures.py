@@ -156,3 +156,55 @@ def experiments(events: DataFrame) -> DataFrame:
               F.max("ts").alias("updated_at")))
     return g.select("session", "split_n", F.expr(
         "stack(3, 'BLEU', BLEU, 'CHRF', CHRF, 'TER', TER) AS (metric, score)"), "updated_at")
+
+
+# --- written fixtures (F1 as files, F7) ------------------------------------------
+def scratch_dir(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the shared ``spark.checkpoint.dir``."""
+    import uuid
+    from corpusflow.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/fixtures/{tag}-{uuid.uuid4().hex}"
+
+
+LABELS = ("Health", "Other", "Unknown")
+
+
+def _xml_escape(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def write_tmx_tree(f1: DataFrame, root: str) -> None:
+    """F1 as TMX units under ``root/<classifier>/``; source language written
+    as ``XX-GB`` to exercise the region cut and case folding."""
+    tu = F.format_string('<tu><tuv xml:lang="%s-GB"><seg>%s</seg></tuv><tuv xml:lang="%s"><seg>%s</seg></tuv></tu>',
+                         F.upper("source_lang"), _xml_escape(F.col("source")), F.col("target_lang"),
+                         _xml_escape(F.col("target")))
+    for label in LABELS:
+        f1.where(F.col("classifier") == label).select(tu.alias("value")).write.text(f"{root}/{label}")
+
+
+def write_delimited_tree(f1: DataFrame, root: str, sep: str) -> None:
+    for label in LABELS:
+        (f1.where(F.col("classifier") == label).select("source", "target")
+         .write.option("header", "true").option("sep", sep).option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+         .csv(f"{root}/{label}"))
+
+
+def write_wordfast_tree(f1: DataFrame, root: str) -> None:
+    """Wordfast columns with a ``&tA;`` tag appended to each text."""
+    for label in LABELS:
+        (f1.where(F.col("classifier") == label)
+         .select(F.upper("source_lang").alias("src-lang"), F.concat("source", F.lit("&tA;")).alias("source"),
+                 F.concat(F.col("target_lang"), F.lit("-GB")).alias("target-lang"), F.col("target"))
+         .write.option("header", "true").option("sep", "\t").option("quote", "")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+         .csv(f"{root}/{label}"))
+
+
+def write_submissions(documents: DataFrame, root: str) -> None:
+    """JSON records ``{submissions: [{id, domain}]}``, one per document."""
+    (documents.select(F.array(F.struct(F.col("doc_id").alias("id"), F.col("source").alias("domain")))
+                      .alias("submissions"))
+     .write.json(root))

@@ -427,3 +427,31 @@ ORACLE.update({
     "pending_splits": PENDING_SPLITS,
     "results_table": RESULTS_TABLE,
 })
+
+
+# --- sources and sinks ---------------------------------------------------------------
+UNITS = f"SELECT classifier, source_lang, source, target_lang, target FROM ({S.F1}) f1"
+
+_URLS = """(SELECT regexp_replace(url, '[?#].*$', '') || ['.tmx.gz', '.xz', ''][page_id % 3 + 1] AS url FROM pages)"""
+MANIFEST = f"""
+WITH u AS (SELECT url, regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1) AS path FROM {_URLS} x),
+n AS (SELECT url, path, array_to_string(list_filter(string_split(path, '/'), lambda p: p <> ''), '_') AS name,
+             regexp_extract(path, '\\.(xz|gz|zip)$', 1) AS comp FROM u)
+SELECT url, '/data/downloads/' || CASE WHEN comp <> '' THEN regexp_replace(name, '\\.[^.]+$', '') ELSE name END AS storage_path,
+       CASE WHEN comp <> '' THEN comp END AS compression_type FROM n"""
+
+SUBMISSIONS = """SELECT doc_id AS id, source AS domain,
+  'https://example.org/en/submissions/' || CAST(doc_id AS VARCHAR) || '.tmx' AS url
+FROM documents WHERE lower(source) IN ('src1', 'src2')"""
+
+POSITIONAL_UNITS = f"SELECT classifier, 'en' AS source_lang, source, 'en' AS target_lang, target FROM ({S.F1}) f1"
+
+ORACLE.update({
+    "tmx_pairs": UNITS,
+    "csv_pairs": POSITIONAL_UNITS,
+    "tsv_pairs": POSITIONAL_UNITS,
+    "wordfast_pairs": UNITS,
+    "manifest": MANIFEST,
+    "submissions": SUBMISSIONS,
+    "split_roundtrip": REPEATED_SPLITS,
+})

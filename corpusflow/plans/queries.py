@@ -358,3 +358,78 @@ QUERIES.update({
     "pending_splits": q_pending_splits,
     "results_table": q_results_table,
 })
+
+
+# --- sources and sinks ---------------------------------------------------------------
+from corpusflow.sources import bitext as BT, catalog, sinks  # noqa: E402
+
+
+def _units_out(units):
+    return BT.with_label(units).select("classifier", "source_lang", "source", "target_lang", "target")
+
+
+def q_tmx_pairs(spark, sf_dir):
+    root = FX.scratch_dir(spark, "tmx")
+    FX.write_tmx_tree(FX.line_pairs(_docs(spark, sf_dir)), root)
+    return _units_out(BT.read_tmx(spark, root, glob=None))
+
+
+def q_csv_pairs(spark, sf_dir):
+    root = FX.scratch_dir(spark, "csv")
+    FX.write_delimited_tree(FX.line_pairs(_docs(spark, sf_dir)), root, ",")
+    return _units_out(BT.read_csv_bitext(spark, root, ("en", "en")))
+
+
+def q_tsv_pairs(spark, sf_dir):
+    root = FX.scratch_dir(spark, "tsv")
+    FX.write_delimited_tree(FX.line_pairs(_docs(spark, sf_dir)), root, "\t")
+    return _units_out(BT.read_csv_bitext(spark, root, ("en", "en"), sep="\t"))
+
+
+def q_wordfast_pairs(spark, sf_dir):
+    root = FX.scratch_dir(spark, "wf")
+    FX.write_wordfast_tree(FX.line_pairs(_docs(spark, sf_dir)), root)
+    return _units_out(BT.read_wordfast(spark, root, glob="*.csv"))
+
+
+def _manifest_urls(spark, sf_dir):
+    pages = FX.table(spark, sf_dir, "pages")
+    suffix = F.element_at(F.array(F.lit(".tmx.gz"), F.lit(".xz"), F.lit("")), (F.col("page_id") % 3 + 1).cast("int"))
+    return pages.select(F.concat(F.regexp_replace("url", "[?#].*$", ""), suffix).alias("url"))
+
+
+def q_manifest(spark, sf_dir):
+    return catalog.download_manifest(_manifest_urls(spark, sf_dir), "/data/downloads")
+
+
+def q_submissions(spark, sf_dir):
+    root = FX.scratch_dir(spark, "subs")
+    FX.write_submissions(_docs(spark, sf_dir), root)
+    subs = catalog.list_submissions(spark, root, domains=("SRC1", "src2"), service="https://example.org",
+                                    multi_line=False)
+    return subs.select(F.col("id").cast("bigint").alias("id"), "domain", "url")
+
+
+def q_file_sizes(spark, sf_dir):
+    return stats.file_sizes(spark, sf_dir, glob="*.parquet")
+
+
+def q_split_roundtrip(spark, sf_dir):
+    root = FX.scratch_dir(spark, "splits")
+    out = splits.split_corpus(_split_input(spark, sf_dir))
+    sinks.write_splits(out.select("id", "classifier", "source", "target", "langs", "split_n", "label"), root)
+    inventory = sinks.split_inventory(spark, root)
+    back = spark.read.parquet(root).join(inventory, ["split_n", "label"], "left_semi")
+    return back.select(F.col("split_n").cast("int").alias("split_n"), "label", "id")
+
+
+QUERIES.update({
+    "tmx_pairs": q_tmx_pairs,
+    "csv_pairs": q_csv_pairs,
+    "tsv_pairs": q_tsv_pairs,
+    "wordfast_pairs": q_wordfast_pairs,
+    "manifest": q_manifest,
+    "submissions": q_submissions,
+    "file_sizes": q_file_sizes,
+    "split_roundtrip": q_split_roundtrip,
+})
