@@ -145,12 +145,20 @@ def bpe_unjoin(c) -> Column:
     return F.regexp_replace(F.regexp_replace(_col(c), "@@ ", ""), "@@$", "")
 
 
-def detruecase(c) -> Column:
-    """TXT13a: upper-case the first letter of the text and after ``. ! ?``."""
-    c = _col(c)
-    # initcap would lower the rest of each word; instead rebuild from pieces.
-    parts = F.split(c, "(?<=[.!?] )")
-    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 30))), "")
+def detruecase(words) -> Column:
+    """TXT13a: upper-case the first letter of the first word and of every word
+    after a sentence-end token (ending in ``. : ? !``).
+
+    ``words`` must be an array *column* (e.g. ``split(text, ' ')`` selected
+    first): the lambda reads the previous word by index.
+    """
+    words = _col(words)
+
+    def cap(w, i):
+        prev_end = F.element_at(words, F.greatest(i, F.lit(1))).rlike("[.:?!]$")
+        first = F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30))
+        return F.when((i == 0) | prev_end, first).otherwise(w)
+    return F.array_join(F.transform(words, cap), " ")
 
 
 def detokenize(c) -> Column:

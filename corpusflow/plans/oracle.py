@@ -455,3 +455,70 @@ ORACLE.update({
     "submissions": SUBMISSIONS,
     "split_roundtrip": REPEATED_SPLITS,
 })
+
+
+# --- requests, subword text, review, leaks, vocabulary --------------------------------
+from corpusflow.functions import text as TX  # noqa: E402
+
+
+def _sentences_sql() -> str:
+    marked = f"regexp_replace({S.normalize('text')}, {q('([.!?]+)' + R.WS + '+')}, {q(chr(92) + '1' + TX.SENT_MARK)}, 'g')"
+    return f"""(SELECT conv_id, turn, CAST(i - 1 AS BIGINT) AS pos, regexp_replace({S.py_strip('parts[i]')}, '\\.+$', '') AS sentence
+FROM (SELECT conv_id, turn, list_filter(string_split({marked}, {q(TX.SENT_MARK)}), lambda s: s <> '') AS parts
+      FROM conversations) c, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i) r)"""
+
+
+SENTENCE_SEGMENTS = f"SELECT * FROM {_sentences_sql()} s"
+
+REASSEMBLE = f"""SELECT s.conv_id, s.turn,
+  CASE WHEN contains(c.text, chr(10)) THEN string_agg(sentence, chr(10) ORDER BY pos)
+       ELSE string_agg(sentence, '  ' ORDER BY pos) END AS text
+FROM {_sentences_sql()} s JOIN conversations c USING (conv_id, turn) GROUP BY s.conv_id, s.turn, c.text"""
+
+DISTINCT_REQUESTS = "SELECT DISTINCT text, 'en' AS source_lang, 'cy' AS target_lang FROM conversations"
+
+BPE_UNJOIN = f"SELECT line_no, ref AS text FROM ({S.F5}) f"
+
+DETOK = f"""SELECT line_no, array_to_string(list_transform(w, lambda x, i:
+    CASE WHEN i = 1 OR regexp_matches(w[i - 1], '[.:?!]$') THEN upper(substring(x, 1, 1)) || substring(x, 2) ELSE x END), ' ') AS text
+FROM (SELECT line_no, string_split(
+   regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(ref), '([.,!?:;])', ' \\1', 'g'),
+       ' ([.,!?:;%)\\]}}])', '\\1', 'g'), '([(\\[{{$£]) ', '\\1', 'g'), ' '' ', '''', 'g'), ' ') AS w FROM ({S.F5}) f) d"""
+
+TRIPLES = f"""(WITH f AS ({S.F5}), last AS (SELECT src, max(line_no) AS line_no FROM f GROUP BY src)
+SELECT l.line_no, l.src, f.ref, f.hyp FROM last l JOIN f ON f.line_no = l.line_no)"""
+
+ALIGNED_TRIPLES = f"SELECT * FROM {TRIPLES} t"
+
+REVIEW_SAMPLE = f"""SELECT line_no, repeat('-', 80) || chr(10) || chr(10) || 'SEGMENT: ' || CAST(line_no AS VARCHAR) || chr(10)
+  || 'src: ' || src || chr(10) || 'ref: ' || ref || chr(10) || 'hyp: ' || hyp || chr(10) || chr(10)
+  || 'REF PROBLEMUS:' || chr(10) || 'HYP PROBLEMUS:' || chr(10) || 'SYLW:' || chr(10) || chr(10) || chr(10) AS block
+FROM {TRIPLES} t ORDER BY md5('42|' || src), line_no LIMIT 381"""
+
+_BENCH_PAIRS = S.F1.replace("FROM documents", "FROM (SELECT item_id AS doc_id, text, 'en' AS lang, 'bench' AS source FROM benchmark)")
+LEAK_REMOVAL = f"""SELECT doc_id, line_no FROM ({S.F1}) f
+WHERE NOT EXISTS (SELECT 1 FROM ({_BENCH_PAIRS}) b WHERE b.source = f.source AND b.target = f.target)"""
+
+WORD_VOCAB = f"""SELECT word, count(*) AS count FROM (SELECT unnest({S.alpha_tokens('text')}) AS word FROM documents) t
+GROUP BY word ORDER BY count DESC, word LIMIT 1000"""
+
+VOCAB_INPUT = f"""WITH s AS ({_split_sql(SPLIT_BASE, 'test')}),
+first_train AS (SELECT * FROM s WHERE label = 'train'),
+draws AS (SELECT f.id, f.classifier, f.source, f.target, f.langs, g.split_n
+          FROM first_train f, (SELECT unnest(generate_series(1, 10)) AS split_n) g),
+tr AS (SELECT * FROM {_split_sql('draws', 'valid')} x WHERE label = 'train'),
+lines AS (SELECT source AS text FROM tr UNION ALL SELECT target FROM tr)
+SELECT text FROM lines WHERE octet_length(encode(text)) <= 2048 ORDER BY md5('42|' || text), text LIMIT 50000"""
+
+ORACLE.update({
+    "sentence_segments": SENTENCE_SEGMENTS,
+    "reassemble_text": REASSEMBLE,
+    "distinct_requests": DISTINCT_REQUESTS,
+    "bpe_unjoin": BPE_UNJOIN,
+    "detok": DETOK,
+    "aligned_triples": ALIGNED_TRIPLES,
+    "review_sample": REVIEW_SAMPLE,
+    "leak_removal": LEAK_REMOVAL,
+    "word_vocab": WORD_VOCAB,
+    "vocab_input": VOCAB_INPUT,
+})

@@ -433,3 +433,91 @@ QUERIES.update({
     "file_sizes": q_file_sizes,
     "split_roundtrip": q_split_roundtrip,
 })
+
+
+# --- requests, subword text, review, leaks, vocabulary --------------------------------
+from corpusflow.operators import requests, vocab  # noqa: E402
+
+
+def _conv(spark, sf_dir):
+    return FX.table(spark, sf_dir, "conversations")
+
+
+def q_sentence_segments(spark, sf_dir):
+    return requests.sentence_rows(_conv(spark, sf_dir), ["conv_id", "turn"])
+
+
+def q_reassemble_text(spark, sf_dir):
+    conv = _conv(spark, sf_dir)
+    sents = requests.sentence_rows(conv, ["conv_id", "turn"])
+    return requests.reassemble(sents, conv, ["conv_id", "turn"])
+
+
+def q_distinct_requests(spark, sf_dir):
+    conv = _conv(spark, sf_dir).select("text", F.lit("en").alias("source_lang"), F.lit("cy").alias("target_lang"))
+    return pairs.distinct_requests(conv)
+
+
+BPE_SPLIT = "(\\\\p{L}{3})(\\\\p{L}{2,})"
+
+
+def q_bpe_unjoin(spark, sf_dir):
+    t = _triples(spark, sf_dir)
+    bpe = F.regexp_replace("ref", "(\\p{L}{3})(\\p{L}{2,})", "$1@@ $2")
+    return t.select("line_no", T.bpe_unjoin(bpe).alias("text"))
+
+
+def q_detok(spark, sf_dir):
+    t = _triples(spark, sf_dir)
+    tokenized = F.regexp_replace(F.lower("ref"), "([.,!?:;])", " $1")
+    d = t.select("line_no", F.split(T.detokenize(tokenized), " ").alias("_w"))
+    return d.select("line_no", T.detruecase(F.col("_w")).alias("text"))
+
+
+def q_aligned_triples(spark, sf_dir):
+    t = _triples(spark, sf_dir)
+    src = t.select("line_no", F.col("src").alias("text"))
+    ref = t.select("line_no", F.col("ref").alias("text"))
+    hyp = t.select("line_no", F.col("hyp").alias("text"))
+    return pairs.join_triples(src, ref, hyp)
+
+
+def q_review_sample(spark, sf_dir):
+    t = _triples(spark, sf_dir)
+    trip = pairs.join_triples(t.select("line_no", F.col("src").alias("text")),
+                              t.select("line_no", F.col("ref").alias("text")),
+                              t.select("line_no", F.col("hyp").alias("text")))
+    return sinks.format_review(splits.review_sample(trip, n=381))
+
+
+def q_leak_removal(spark, sf_dir):
+    f1 = FX.line_pairs(_docs(spark, sf_dir))
+    bench = FX.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text",
+                                                         F.lit("en").alias("lang"), F.lit("bench").alias("source"))
+    train = FX.line_pairs(bench)
+    return pairs.ensure_unique(f1, train).select("doc_id", "line_no")
+
+
+def q_word_vocab(spark, sf_dir):
+    return vocab.word_vocab(_docs(spark, sf_dir), 1000)
+
+
+def q_vocab_input(spark, sf_dir):
+    out = splits.split_corpus(_split_input(spark, sf_dir))
+    train = out.where(F.col("label") == "train")
+    lines = train.select(F.explode(F.array("source", "target")).alias("text"))
+    return vocab.vocab_input(lines, max_lines=50_000)
+
+
+QUERIES.update({
+    "sentence_segments": q_sentence_segments,
+    "reassemble_text": q_reassemble_text,
+    "distinct_requests": q_distinct_requests,
+    "bpe_unjoin": q_bpe_unjoin,
+    "detok": q_detok,
+    "aligned_triples": q_aligned_triples,
+    "review_sample": q_review_sample,
+    "leak_removal": q_leak_removal,
+    "word_vocab": q_word_vocab,
+    "vocab_input": q_vocab_input,
+})
