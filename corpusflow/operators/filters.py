@@ -60,9 +60,16 @@ def text_checks(units: DataFrame, langs) -> DataFrame:
     """
     langs = tuple(langs)
     df = orient(units, langs)
-    s_norm = normalize(F.col("source"), F.col("source_lang"))
-    t_norm = normalize(F.col("target"), F.col("target_lang"))
-    df = df.withColumns({"source": s_norm, "target": t_norm})
+    # After orient, every unit that can be kept has exactly the pair's
+    # languages, so the language rules are fixed while the plan is built:
+    # far less generated code than choosing rules per row.
+    s_norm = normalize(F.col("source"), langs[0])
+    t_norm = normalize(F.col("target"), langs[1])
+    # The normalised texts come out of a one-row ``inline``: later filters on
+    # them (e.g. ``reject_reason IS NULL``) cannot be pushed below it, which
+    # would copy the whole rule chain into the filter condition.
+    others = [c for c in df.columns if c not in ("source", "target")]
+    df = df.select(*others, F.inline(F.array(F.struct(s_norm.alias("source"), t_norm.alias("target")))))
     reason = (
         F.when(~in_pair(F.col("source_lang"), F.col("target_lang"), langs), F.lit(NOT_IN_PAIR))
         .when((F.col("source_lang") == F.col("target_lang")) & F.lit(langs[0] != langs[1]), F.lit(SAME_LANGUAGE))
@@ -82,7 +89,8 @@ def with_translation(df: DataFrame, classifier: str = "classifier") -> DataFrame
 
 
 def clean(units: DataFrame, langs, lexicon: DataFrame | None = None,
-          profile: DataFrame | None = None, short_circuit: bool = False) -> DataFrame:
+          profile: DataFrame | None = None, short_circuit: bool = False,
+          checkpoint: bool = False) -> DataFrame:
     """Full cleaning (FLT1-FLT9): every unit with its ``reject_reason``.
 
     ``profile`` (LID1 output) enables the language gate FLT5; ``lexicon``
@@ -92,19 +100,27 @@ def clean(units: DataFrame, langs, lexicon: DataFrame | None = None,
     from corpusflow.operators import langid, spelling
 
     checked = with_translation(text_checks(units, langs))
+    if profile is None and lexicon is None:
+        return checked
+    if checkpoint:
+        # the checked units feed the gates and the final join: write them once
+        checked = checked.checkpoint()
     passed = checked.where(F.col("reject_reason").isNull())
-    failed = checked.where(F.col("reject_reason").isNotNull())
+    flags = []
     if profile is not None:
-        passed = langid.lang_gate(passed, profile)  # sets LANG_MISMATCH
-        failed = failed.unionByName(passed.where(F.col("reject_reason").isNotNull()))
-        passed = passed.where(F.col("reject_reason").isNull())
+        gated = langid.lang_gate(passed.select("id", "source", "target", "source_lang", "target_lang")
+                                 .withColumn("reject_reason", F.lit(None).cast("string")), profile)
+        flags.append(gated.where(F.col("reject_reason").isNotNull())
+                     .select("id", F.lit(1).alias("_rank"), F.col("reject_reason").alias("_flag")))
     if lexicon is not None:
         bad = spelling.misspelt_ids(passed, lexicon, short_circuit=short_circuit)
-        flagged = passed.join(bad.withColumn("_bad", F.lit(True)), "id", "left")
-        flagged = flagged.withColumn(
-            "reject_reason", F.when(F.col("_bad"), F.lit(MISSPELT)).otherwise(F.col("reject_reason"))).drop("_bad")
-        return failed.unionByName(flagged)
-    return failed.unionByName(passed)
+        flags.append(bad.select("id", F.lit(2).alias("_rank"), F.lit(MISSPELT).alias("_flag")))
+    flag = flags[0] if len(flags) == 1 else flags[0].unionByName(flags[1])
+    # one flag per id: the language gate comes before the spelling gate
+    flag = flag.groupBy("id").agg(F.min_by("_flag", "_rank").alias("_flag"))
+    out = checked.join(flag, "id", "left")
+    return (out.withColumn("reject_reason", F.coalesce(F.col("reject_reason"), F.col("_flag")))
+            .drop("_flag"))
 
 
 def accepted(cleaned: DataFrame) -> DataFrame:
