@@ -213,8 +213,8 @@ def parse_avg_logs(df: DataFrame, text: str = "value") -> DataFrame:
     Lines without a numeric third ``-`` field or without a score are skipped.
     """
     parts = F.split(F.trim(F.col(text)), r"\s+")
-    label = F.element_at(parts, 1)
-    step = F.element_at(F.split(label, "-"), 3).try_cast("bigint")
-    sc = F.element_at(parts, 2).try_cast("double")
+    label = F.try_element_at(parts, F.lit(1))
+    step = F.try_element_at(F.split(label, "-"), F.lit(3)).try_cast("bigint")
+    sc = F.try_element_at(parts, F.lit(2)).try_cast("double")
     return (df.select("name", "line_no", step.alias("step"), sc.alias("score"))
             .where(F.col("step").isNotNull() & F.col("score").isNotNull()))
