@@ -208,3 +208,22 @@ def write_submissions(documents: DataFrame, root: str) -> None:
     (documents.select(F.array(F.struct(F.col("doc_id").alias("id"), F.col("source").alias("domain")))
                       .alias("submissions"))
      .write.json(root))
+
+
+def write_log_chunks(run_log_df: DataFrame, root: str, chunk_days: int = 7) -> None:
+    """F3 as rolled log files: one write per time chunk, one file per job.
+
+    Chunks are written in time order, so the file stream source (which
+    orders new files by modification time) sees each job's lines in order.
+    """
+    from corpusflow.operators.logs import wall_time
+    lines = run_log_df.withColumn("_ts", wall_time(F.col("value"))).where(F.col("_ts").isNotNull())
+    day0 = lines.agg(F.min("_ts")).first()[0]
+    bounds = lines.agg(F.max("_ts")).first()[0]
+    n_chunks = int((bounds - day0).days // chunk_days) + 1
+    for c in range(n_chunks):
+        lo = F.lit(day0) + F.expr(f"INTERVAL {c * chunk_days} DAYS")
+        hi = F.lit(day0) + F.expr(f"INTERVAL {(c + 1) * chunk_days} DAYS")
+        part = lines.where((F.col("_ts") >= lo) & (F.col("_ts") < hi)).select("job", "line_no", "value")
+        (part.repartition("job").sortWithinPartitions("line_no").select("job", "value")
+         .write.mode("append").partitionBy("job").text(root))

@@ -522,3 +522,5 @@ ORACLE.update({
     "word_vocab": WORD_VOCAB,
     "vocab_input": VOCAB_INPUT,
 })
+
+ORACLE["monitor_stream"] = f"SELECT job, line_no + 1 AS up, round(gap, 6) AS gap, round(adj_ts, 6) AS adj_ts FROM {ADJUSTED} a"

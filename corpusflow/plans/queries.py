@@ -521,3 +521,18 @@ QUERIES.update({
     "word_vocab": q_word_vocab,
     "vocab_input": q_vocab_input,
 })
+
+
+# --- streaming monitor -------------------------------------------------------------------
+def q_monitor_stream(spark, sf_dir):
+    """LOG10-LOG12: F3 as rolled files -> stream -> per-job state -> Parquet."""
+    from corpusflow.streaming import monitor
+    root = FX.scratch_dir(spark, "logs")
+    FX.write_log_chunks(_runlog(spark, sf_dir), f"{root}/in")
+    q = monitor.monitor(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination()
+    out = spark.read.schema(monitor.OUTPUT_SCHEMA).parquet(f"{root}/out")
+    return _r6(out.select("job", "up", "gap", "adj_ts"))
+
+
+QUERIES["monitor_stream"] = q_monitor_stream
