@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import alpha_tokens
@@ -35,3 +35,100 @@ def word_vocab(df: DataFrame, n: int, text: str = "text") -> DataFrame:
               .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
     top = counts.orderBy(F.col("count").desc(), F.col("word")).limit(n)
     return top
+
+
+# --- subword vocabulary (VOC2, VOC3) ------------------------------------------------
+WORD_START = "▁"
+EOS_ID, UNK_ID = 0, 1
+
+
+def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
+    """Whitespace words with counts: the only table the merge rounds touch."""
+    words = F.filter(F.split(F.trim(F.col(text)), r"\s+"), lambda w: w != "")
+    return df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def _symbols(word) -> F.Column:
+    return F.regexp_extract_all(F.concat(F.lit(WORD_START), word), F.lit("(?s)."), 0)
+
+
+def _apply_round(syms: F.Column, merges: dict) -> F.Column:
+    """Merge every adjacent pair listed in ``merges`` (pairs of a round share
+    no symbol, so one left-to-right pass is exact)."""
+    m = F.create_map(*[F.lit(x) for kv in merges.items() for x in kv])
+
+    def step(acc, x):
+        last = F.element_at(acc, -1)
+        key = F.concat(last, F.lit("\u0001"), x)
+        merged = F.element_at(m, key)
+        return F.when((F.size(acc) > 0) & merged.isNotNull(),
+                      F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(merged))
+                      ).otherwise(F.concat(acc, F.array(x)))
+    return F.aggregate(syms, F.array().cast("array<string>"), step)
+
+
+def train_subwords(df: DataFrame, size: int = 8000, per_round: int = 200, max_rounds: int = 200,
+                   text: str = "text", checkpoint_every: int = 5):
+    """VOC2: merge-based subword vocabulary of at most ``size`` pieces.
+
+    Rounds: count adjacent symbol pairs weighted by word frequency (one
+    aggregate over the word table), take up to ``per_round`` top pairs that
+    share no symbol (a bounded list on the driver), merge them in the word
+    table. The word table is checkpointed every few rounds to cut lineage.
+    Returns (vocab DataFrame ``piece, id``, list of rounds of merges).
+    Full character coverage; ids: eos = 0, unk = 1, no bos.
+    """
+    words = word_counts(df, text).select("cnt", _symbols(F.col("word")).alias("syms"))
+    chars = words.select(F.explode("syms").alias("piece")).distinct()
+    n_chars = chars.count()
+    rounds, n_pieces = [], n_chars
+    for r in range(max_rounds):
+        budget = size - 2 - n_pieces
+        if budget <= 0:
+            break
+        pairs = (words.where(F.size("syms") > 1)
+                 .select("cnt", F.explode(F.transform(F.sequence(F.lit(1), F.size("syms") - 1),
+                                                      lambda i: F.struct(F.element_at("syms", i).alias("a"),
+                                                                         F.element_at("syms", i + 1).alias("b"))))
+                         .alias("p"))
+                 .groupBy("p.a", "p.b").agg(F.sum("cnt").alias("f"))
+                 .where(F.col("f") > 1)
+                 .orderBy(F.col("f").desc(), "a", "b").limit(min(per_round * 4, budget * 4)))
+        chosen, used = {}, set()
+        for row in pairs.collect():  # bounded: at most 4 * per_round rows
+            if len(chosen) >= min(per_round, budget):
+                break
+            if row["a"] in used or row["b"] in used:
+                continue
+            chosen[row["a"] + "\u0001" + row["b"]] = row["a"] + row["b"]
+            used.update((row["a"], row["b"]))
+        if not chosen:
+            break
+        rounds.append(chosen)
+        n_pieces += len(chosen)
+        words = words.select("cnt", _apply_round(F.col("syms"), chosen).alias("syms"))
+        if (r + 1) % checkpoint_every == 0:
+            words = words.checkpoint()
+    spark = df.sparkSession
+    merged = [(p,) for rnd in rounds for p in rnd.values()]
+    pieces = chars.unionByName(spark.createDataFrame(merged, "piece string")) if merged else chars
+    specials = spark.createDataFrame([("</s>", EOS_ID), ("<unk>", UNK_ID)], "piece string, id long")
+    # the vocabulary has at most ``size`` rows, so one ordered partition is bounded
+    ranked = pieces.distinct().withColumn(
+        "id", F.lit(1) + F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("piece")))
+    return specials.unionByName(ranked.select("piece", F.col("id").cast("long"))), rounds
+
+
+def encode(df: DataFrame, rounds, key: str, text: str = "text") -> DataFrame:
+    """VOC3: text -> pieces. Distinct words are encoded once (replaying the
+    merge rounds) and joined back; pieces are re-assembled in word order."""
+    words = F.filter(F.split(F.trim(F.col(text)), r"\s+"), lambda w: w != "")
+    toks = df.select(key, F.posexplode(words).alias("pos", "word"))
+    distinct = toks.select("word").distinct()
+    syms = _symbols(F.col("word"))
+    for rnd in rounds:
+        syms = _apply_round(syms, rnd)
+    table = distinct.select("word", syms.alias("pieces"))
+    joined = toks.join(table, "word")
+    return (joined.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "pieces"))).alias("_w"))
+            .select(key, F.flatten(F.transform("_w", lambda w: w["pieces"])).alias("pieces")))

@@ -524,3 +524,8 @@ ORACLE.update({
 })
 
 ORACLE["monitor_stream"] = f"SELECT job, line_no + 1 AS up, round(gap, 6) AS gap, round(adj_ts, 6) AS adj_ts FROM {ADJUSTED} a"
+
+# Encoding then decoding gives back the text with single spaces between words.
+ORACLE["pieces_to_text"] = f"""SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS k,
+  array_to_string(list_filter(regexp_split_to_array(trim({S.normalize('text')}), '\\s+'), lambda w: w <> ''), ' ') AS text
+FROM conversations WHERE len(list_filter(regexp_split_to_array(trim({S.normalize('text')}), '\\s+'), lambda w: w <> '')) > 0"""

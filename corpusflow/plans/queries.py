@@ -536,3 +536,36 @@ def q_monitor_stream(spark, sf_dir):
 
 
 QUERIES["monitor_stream"] = q_monitor_stream
+
+
+# --- subword vocabulary ---------------------------------------------------------------------
+def _subword_input(spark, sf_dir):
+    conv = _conv(spark, sf_dir)
+    return conv.select("conv_id", "turn", T.normalize(F.col("text")).alias("text"))
+
+
+def q_subword_vocab(spark, sf_dir):
+    v, _ = vocab.train_subwords(_subword_input(spark, sf_dir), size=1500, per_round=100, max_rounds=12)
+    return v
+
+
+def q_encode_words(spark, sf_dir):
+    src = _subword_input(spark, sf_dir)
+    _, rounds = vocab.train_subwords(src, size=1500, per_round=100, max_rounds=12)
+    enc = vocab.encode(src.select(F.concat_ws("-", "conv_id", "turn").alias("k"), "text"), rounds, "k")
+    return enc.select("k", F.size("pieces").alias("n_pieces"), T.pieces_to_text(F.col("pieces")).alias("text"))
+
+
+def q_pieces_to_text(spark, sf_dir):
+    src = _subword_input(spark, sf_dir)
+    _, rounds = vocab.train_subwords(src, size=1500, per_round=100, max_rounds=12)
+    enc = vocab.encode(src.select(F.col("conv_id").alias("conv_id"), F.col("turn"), "text")
+                       .select(F.concat_ws("-", "conv_id", "turn").alias("k"), "text"), rounds, "k")
+    return enc.select("k", T.pieces_to_text(F.col("pieces")).alias("text"))
+
+
+QUERIES.update({
+    "subword_vocab": q_subword_vocab,
+    "encode_words": q_encode_words,
+    "pieces_to_text": q_pieces_to_text,
+})
