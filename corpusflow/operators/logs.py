@@ -124,6 +124,32 @@ def previous_value(df: DataFrame, part: str, order: list, value: str, name: str,
     return out.withColumn(name, F.coalesce("_lag", "_prev_chunk_last")).drop("_chunk", "_lag", "_prev_chunk_last")
 
 
+def carry_forward(df: DataFrame, part: str, order: list, value: str, name: str,
+                  chunk: Column | None = None) -> DataFrame:
+    """Last non-null ``value`` at or before each row, per ``part``, chunk-parallel."""
+    chunk = chunk if chunk is not None else F.floor(F.col("line_no") / CHUNK_LINES)
+    d = df.withColumn("_chunk", chunk)
+    w = Window.partitionBy(part, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_loc", F.last(value, ignorenulls=True).over(w))
+    last = d.groupBy(part, "_chunk").agg(F.max_by(F.col(value), F.when(F.col(value).isNotNull(),
+                                                                        F.struct(*order))).alias("_last"))
+    wc = Window.partitionBy(part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    prev = last.select(part, "_chunk", F.last("_last", ignorenulls=True).over(wc).alias("_carry"))
+    out = d.join(prev, [part, "_chunk"], "left")
+    return out.withColumn(name, F.coalesce("_loc", "_carry")).drop("_chunk", "_loc", "_carry")
+
+
+def with_gpus(lines: DataFrame, train: DataFrame) -> DataFrame:
+    """LOG4: each train line with the GPU count of the latest ``--devices``
+    line before it in the same job (0 if none)."""
+    dev = gpu_count(lines).select("job", "line_no", F.col("gpus").cast("int"))
+    tr = train.withColumn("gpus", F.lit(None).cast("int"))
+    both = tr.unionByName(dev, allowMissingColumns=True).withColumn("_is_train", F.col("up").isNotNull())
+    out = carry_forward(both, "job", ["line_no"], "gpus", "_g")
+    return (out.where("_is_train").withColumn("gpus", F.coalesce("_g", F.lit(0)))
+            .drop("_g", "_is_train"))
+
+
 ORDER = ["line_no"]
 
 

@@ -73,8 +73,9 @@ def read_csv_bitext(spark: SparkSession, path: str, langs, fieldnames=("source",
               .option("recursiveFileLookup", "true"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = reader.csv(path)
     s, t = fieldnames
+    # explicit schema (positional): no inference pass, and no error when no file matches
+    df = reader.schema(f"`{s}` string, `{t}` string").csv(path)
     return df.select(F.lit(langs[0]).alias("source_lang"), F.col(s).alias("source"),
                      F.lit(langs[1]).alias("target_lang"), F.col(t).alias("target"),
                      _file_path().alias("source_path"))
@@ -98,7 +99,7 @@ def read_wordfast(spark: SparkSession, path: str, glob: str | None = "*.txt") ->
               .option("recursiveFileLookup", "true"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = reader.csv(path)
+    df = reader.schema(", ".join(f"`{c}` string" for c in WORDFAST_COLUMNS)).csv(path)
     return (df.select(lang_code(F.col("`src-lang`")).alias("source_lang"), strip_wf_tags(F.col("source")).alias("source"),
                       lang_code(F.col("`target-lang`")).alias("target_lang"), strip_wf_tags(F.col("target")).alias("target"),
                       _file_path().alias("source_path"))
