@@ -51,7 +51,7 @@ def orient(df: DataFrame, langs) -> DataFrame:
     )
 
 
-def text_checks(units: DataFrame, langs) -> DataFrame:
+def text_checks(units: DataFrame, langs, keep_rejects: bool = True) -> DataFrame:
     """FLT1-FLT4, FLT6 and TXT5 in one projection.
 
     Input: ``source, target, source_lang, target_lang`` plus any other
@@ -59,6 +59,13 @@ def text_checks(units: DataFrame, langs) -> DataFrame:
     normalised with their own language.
     """
     langs = tuple(langs)
+    if not keep_rejects:
+        # only candidates: the language test is a plain IN filter on the
+        # input columns, so Catalyst pushes it into the scan (row-group skipping)
+        cand = in_pair(F.col("source_lang"), F.col("target_lang"), langs)
+        if langs[0] != langs[1]:
+            cand = cand & (F.col("source_lang") != F.col("target_lang"))
+        units = units.where(cand)
     df = orient(units, langs)
     # After orient, every unit that can be kept has exactly the pair's
     # languages, so the language rules are fixed while the plan is built:
@@ -90,7 +97,7 @@ def with_translation(df: DataFrame, classifier: str = "classifier") -> DataFrame
 
 def clean(units: DataFrame, langs, lexicon: DataFrame | None = None,
           profile: DataFrame | None = None, short_circuit: bool = False,
-          checkpoint: bool = False) -> DataFrame:
+          checkpoint: bool = False, keep_rejects: bool = True) -> DataFrame:
     """Full cleaning (FLT1-FLT9): every unit with its ``reject_reason``.
 
     ``profile`` (LID1 output) enables the language gate FLT5; ``lexicon``
@@ -99,7 +106,7 @@ def clean(units: DataFrame, langs, lexicon: DataFrame | None = None,
     """
     from corpusflow.operators import langid, spelling
 
-    checked = with_translation(text_checks(units, langs))
+    checked = with_translation(text_checks(units, langs, keep_rejects))
     if profile is None and lexicon is None:
         return checked
     if checkpoint:
@@ -127,6 +134,13 @@ def accepted(cleaned: DataFrame) -> DataFrame:
     return cleaned.where(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
+def clean_pairs(units: DataFrame, langs, lexicon: DataFrame | None = None,
+                profile: DataFrame | None = None) -> DataFrame:
+    """Accepted pairs only: rejected units are never normalised, and the
+    language-pair test reaches the scan as a pushed filter."""
+    return accepted(clean(units, langs, lexicon=lexicon, profile=profile, keep_rejects=False))
+
+
 def reject_counts(cleaned: DataFrame) -> DataFrame:
     """FLT9: number of units per reject reason (``kept`` for accepted)."""
     return (cleaned.groupBy(F.coalesce(F.col("reject_reason"), F.lit("kept")).alias("reason"))

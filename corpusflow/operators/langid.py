@@ -21,22 +21,14 @@ def padded(c) -> F.Column:
     return F.concat(F.lit(" "), F.lower(c), F.lit(" "))
 
 
-def char_array(c) -> F.Column:
-    """Code points of a string as an array (one regex pass)."""
-    return F.regexp_extract_all(c, F.lit("(?s)."), 0)
+def char_grams(c, n: int = GRAM) -> F.Column:
+    """All overlapping character n-grams of ``c`` in one native regex pass.
 
-
-def grams(chars, n: int = GRAM) -> F.Column:
-    """Array of the character n-grams from a character-array column.
-
-    ``chars`` must be a column reference: an expression used inside a lambda
-    is evaluated once per element, and ``substring`` on a string walks from
-    its start, so both would make the cost quadratic in the text length.
+    A zero-width lookahead captures the n code points at every position, so
+    there is no per-element lambda and no ``substring`` walk (either would
+    cost per gram, or quadratic time in the text length).
     """
-    return F.when(F.size(chars) >= n,
-                  F.transform(F.sequence(F.lit(1), F.size(chars) - (n - 1)),
-                              lambda i: F.array_join(F.slice(chars, i, n), ""))
-                  ).otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
 
 
 def train_lang_profile(df: DataFrame, top_n: int = DEFAULT_TOP_N,
@@ -48,8 +40,7 @@ def train_lang_profile(df: DataFrame, top_n: int = DEFAULT_TOP_N,
     top-n window is partitioned by language over already-aggregated counts.
     """
     counts = (df.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-              .select(F.col(lang).alias("lang"), char_array(padded(F.col(text))).alias("_p"))
-              .select("lang", F.explode(grams(F.col("_p"))).alias("gram"))
+              .select(F.col(lang).alias("lang"), F.explode(char_grams(padded(F.col(text)))).alias("gram"))
               .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("cnt")))
     w = Window.partitionBy("lang").orderBy(F.col("cnt").desc(), F.col("gram"))
     top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
@@ -77,9 +68,9 @@ def detect_lang(df: DataFrame, profile: DataFrame, text: str = "text",
     key = text_key(F.col(text))
     texts = (df.select(key.alias("_k"), F.col(text).alias("_t")).where(F.col("_t").isNotNull())
              .dropDuplicates(["_k"]))
-    texts = texts.select("_k", char_array(padded(F.col("_t"))).alias("_p"))
-    n_grams = F.greatest(F.size("_p") - (GRAM - 1), F.lit(0))  # O(1), not size(grams(...))
-    texts = texts.select("_k", n_grams.alias("_g"), F.explode(grams(F.col("_p"))).alias("gram"))
+    texts = texts.select("_k", padded(F.col("_t")).alias("_p"))
+    n_grams = F.greatest(F.length("_p") - (GRAM - 1), F.lit(0))  # O(1), not size(grams(...))
+    texts = texts.select("_k", n_grams.alias("_g"), F.explode(char_grams(F.col("_p"))).alias("gram"))
     scored = (texts.join(prof, "gram")
               .groupBy("_k", "_g", "lang")
               .agg(F.sum("gain").alias("gain"), F.first("unseen_logp").alias("u"))

@@ -45,45 +45,45 @@ def tokenize_13a(c: Column) -> Column:
     return _ws_split(x)
 
 
-def _word_gram(toks: Column, n: int):
-    # one-argument lambda: PySpark reads a two-argument lambda as (element, index)
-    return lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(toks, i, n), " ").alias("g"))
+def _word_ngrams(toks: Column, max_n: int) -> Column:
+    """All word n-grams (n = 1..max_n) of a token array, as space-joined strings.
 
+    Tokens contain no spaces, so on the space-joined token string a
+    lookahead anchored at token starts yields every n-gram in one native
+    regex pass per order (no per-element lambda). The order of a gram is its
+    number of spaces + 1.
+    """
+    joined = F.array_join(toks, " ")
+    per_n = [F.regexp_extract_all(joined, F.lit("(?<![^ ])(?=([^ ]+" + "(?: [^ ]+)" * (n - 1) + "))"), 1)
+             for n in range(1, max_n + 1)]
+    return F.when(F.size(toks) > 0, F.flatten(F.array(*per_n))).otherwise(F.array().cast("array<string>"))
 
-def _char_gram(chars: Column, n: int):
-    return lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(chars, i, n), "").alias("g"))
 
-
-def _word_ngrams(toks: Column, max_n: int) -> Column:
-    """Array of (n, gram) for n = 1..max_n; grams are tokens joined by a space."""
-    size = F.size(toks)
-    per_n = [F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), _word_gram(toks, n))
-             for n in range(1, max_n + 1)]
-    grams = F.flatten(F.array(*[F.when(size >= n, a).otherwise(F.array().cast("array<struct<n:int,g:string>>"))
-                                for n, a in zip(range(1, max_n + 1), per_n)]))
-    return grams
+def _word_order(g: Column) -> Column:
+    return F.size(F.split(g, " "))
 
 
-def _char_ngrams(chars: Column, max_n: int) -> Column:
-    """(n, gram) for n = 1..max_n from a character-array *column*."""
-    size = F.size(chars)
-    per_n = [F.when(size >= n, F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))),
-                                           _char_gram(chars, n)))
-             .otherwise(F.array().cast("array<struct<n:int,g:string>>"))
-             for n in range(1, max_n + 1)]
-    return F.flatten(F.array(*per_n))
+def _char_ngrams(s: Column, max_n: int) -> Column:
+    """All character n-grams (n = 1..max_n) of ``s``; the order is the length."""
+    return F.flatten(F.array(*[F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
+                               for n in range(1, max_n + 1)]))
 
 
-def _matches(df: DataFrame, keys, hyp_grams: Column, ref_grams: Column) -> DataFrame:
+def _matches(df: DataFrame, keys, hyp_grams: Column, ref_grams: Column, order) -> DataFrame:
     """Per (keys, n): sum over segments of clipped matches min(count_h, count_r).
 
-    Both sides are exploded into one stream tagged by side and aggregated on
-    (keys, seg, n, gram); partial aggregation runs map-side before the shuffle.
+    Segments are hash-partitioned by seg first (a shuffle of the
+    segment rows only); both sides are exploded in one generator, and the
+    aggregate on (keys, seg, n, gram) is then satisfied by that partitioning,
+    so the n-gram rows themselves are never shuffled.
     """
-    h = df.select(*keys, "seg", F.explode(hyp_grams).alias("x"), F.lit(1).alias("h"), F.lit(0).alias("r"))
-    r = df.select(*keys, "seg", F.explode(ref_grams).alias("x"), F.lit(0).alias("h"), F.lit(1).alias("r"))
-    both = h.unionByName(r).select(*keys, "seg", F.col("x.n").alias("n"), F.col("x.g").alias("g"), "h", "r")
-    per_gram = both.groupBy(*keys, "seg", "n", "g").agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
+    seg = df.repartition("seg")  # a subset of the grouping keys satisfies the aggregate
+    tagged = F.concat(F.transform(hyp_grams, lambda g: F.struct(g.alias("g"), F.lit(1).alias("h"))),
+                      F.transform(ref_grams, lambda g: F.struct(g.alias("g"), F.lit(0).alias("h"))))
+    both = seg.select(*keys, "seg", F.explode(tagged).alias("x"))
+    both = both.select(*keys, "seg", F.col("x.g").alias("g"), F.col("x.h").alias("h"))
+    per_gram = both.groupBy(*keys, "seg", "g").agg(F.sum("h").alias("h"), F.count(F.lit(1)).alias("_cnt"))
+    per_gram = per_gram.withColumn("r", F.col("_cnt") - F.col("h")).withColumn("n", order(F.col("g")))
     return (per_gram.groupBy(*keys, "n")
             .agg(F.sum(F.least("h", "r")).alias("match"), F.sum("h").alias("hyp_n"), F.sum("r").alias("ref_n")))
 
@@ -107,8 +107,8 @@ def _keyed(df: DataFrame, keys):
 def bleu_stats(df: DataFrame, keys=()) -> DataFrame:
     keys = list(keys)
     t = df.select(*keys, "seg", tokenize_13a(F.col("hyp")).alias("th"), tokenize_13a(F.col("ref")).alias("tr"))
-    m = _pivot_orders(_matches(t, keys, _word_ngrams(F.col("th"), BLEU_ORDER), _word_ngrams(F.col("tr"), BLEU_ORDER)),
-                      keys, BLEU_ORDER)
+    m = _pivot_orders(_matches(t, keys, _word_ngrams(F.col("th"), BLEU_ORDER), _word_ngrams(F.col("tr"), BLEU_ORDER),
+                               _word_order), keys, BLEU_ORDER)
     lens = t.groupBy(*keys).agg(F.sum(F.size("th")).cast("double").alias("sys_len"),
                                 F.sum(F.size("tr")).cast("double").alias("ref_len"))
     return lens.join(m, keys, "left")
@@ -135,10 +135,10 @@ def bleu(df: DataFrame, keys=()) -> DataFrame:
 def chrf(df: DataFrame, keys=()) -> DataFrame:
     """MET2: corpus chrF per key (0-100): char 1-6 grams, beta 2, no spaces."""
     df, keys = _keyed(df, keys)
-    nospace = lambda c: F.regexp_extract_all(F.array_join(_ws_split(c), ""), F.lit("(?s)."), 0)
+    nospace = lambda c: F.array_join(_ws_split(c), "")
     t = df.select(*keys, "seg", nospace(F.col("hyp")).alias("sh"), nospace(F.col("ref")).alias("sr"))
-    m = _pivot_orders(_matches(t, keys, _char_ngrams(F.col("sh"), CHRF_ORDER), _char_ngrams(F.col("sr"), CHRF_ORDER)),
-                      keys, CHRF_ORDER)
+    m = _pivot_orders(_matches(t, keys, _char_ngrams(F.col("sh"), CHRF_ORDER), _char_ngrams(F.col("sr"), CHRF_ORDER),
+                               F.length), keys, CHRF_ORDER)
     eps = 1e-16
     prec_sum, rec_sum, eff = F.lit(0.0), F.lit(0.0), F.lit(0)
     for n in range(1, CHRF_ORDER + 1):

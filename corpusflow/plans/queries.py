@@ -37,7 +37,8 @@ def _cleaned(spark, sf_dir, lexicon=None, profile=None):
 
 
 def q_clean_pairs(spark, sf_dir):
-    return filters.accepted(_cleaned(spark, sf_dir)).select(
+    units = FX.line_pairs(_docs(spark, sf_dir)).drop("langs")
+    return filters.clean_pairs(units, PAIR).select(
         "doc_id", "line_no", "id", "classifier", "source", "target", "langs")
 
 
@@ -55,7 +56,8 @@ def q_dedup_pairs(spark, sf_dir):
 
 def q_segment_stats(spark, sf_dir):
     """Flagship: documents -> line pairs -> clean -> de-duplicate -> stats."""
-    kept = filters.accepted(_cleaned(spark, sf_dir)).select("id", "classifier", "source", "target", "langs")
+    units = FX.line_pairs(_docs(spark, sf_dir)).drop("langs")
+    kept = filters.clean_pairs(units, PAIR).select("id", "classifier", "source", "target", "langs")
     return stats.segment_stats(pairs.dedup_pairs(kept), keys=("classifier",))
 
 
@@ -101,7 +103,8 @@ def _lexicon(spark, sf_dir):
 
 
 def _clean_kept(spark, sf_dir):
-    return filters.accepted(_cleaned(spark, sf_dir))
+    units = FX.line_pairs(_docs(spark, sf_dir)).drop("langs")
+    return filters.clean_pairs(units, PAIR)
 
 
 def q_lexicon(spark, sf_dir):
@@ -119,8 +122,8 @@ def q_misspelt_sentences(spark, sf_dir):
 
 
 def q_spelling_gate(spark, sf_dir):
-    cleaned = _cleaned(spark, sf_dir, lexicon=_lexicon(spark, sf_dir))
-    return filters.accepted(cleaned).select("doc_id", "line_no", "id", "classifier", "source", "target", "langs")
+    units = FX.line_pairs(_docs(spark, sf_dir)).drop("langs")
+    return filters.clean_pairs(units, PAIR, lexicon=_lexicon(spark, sf_dir)).select("doc_id", "line_no", "id", "classifier", "source", "target", "langs")
 
 
 QUERIES.update({
