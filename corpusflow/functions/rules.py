@@ -188,3 +188,18 @@ def sql_str(s: str) -> str:
 
 def sql_regexp_replace(expr: str, pattern: str, repl: str) -> str:
     return f"regexp_replace({expr}, {sql_str(pattern)}, {sql_str(repl)}, 'g')"
+
+
+# --- FIXED VALUES: literal trigger of each regex rule -----------------------------
+# A regex rule can only change a text that contains its trigger, so it is
+# skipped (no regex engine, no UTF-16 copy) when a byte search finds none.
+GUARDS = {
+    " +": "  ",
+    "\\) ([.!:?;,])": ") ",
+    f"({DIGIT}) %": " %",
+    "([a-zA-Z])‘([a-zA-Z])": "‘",
+    "([a-zA-Z])’([a-zA-Z])": "’",
+    '"([,.]+)': '"',
+    f'(\\.+)"({WS}*[^<])': '."',
+    f"({DIGIT})\\x{{a0}}({DIGIT})": "\xa0",
+}

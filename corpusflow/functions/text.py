@@ -31,6 +31,41 @@ def _apply(c: Column, rule_list) -> Column:
     return reduce(step, rule_list, c)
 
 
+def normalize_columns(df, specs):
+    """TXT5 on DataFrame columns, staged for speed: ``specs`` = [(column, lang)].
+
+    Same result as :func:`normalize` with a literal language. Each regex rule
+    is applied only to texts that contain its literal trigger; those guarded
+    steps reference the column three times, so Catalyst keeps them as
+    separate projections (no expression copies) fused in one codegen stage.
+    """
+    for name, lang in specs:
+        c = F.col(name)
+        df = df.withColumn(name, strip_control(fix_whitespace(c)))
+        per_row = not (lang is None or isinstance(lang, str))
+        for pattern, repl in (R.PUNCT_COMMON if per_row else R.punct_rules(lang)):
+            df = df.withColumn(name, _guarded(F.col(name), pattern, repl))
+        if per_row:
+            # language-specific tail, pattern chosen per row, guarded by its trigger
+            x = F.col(name)
+            tail = normalize_punct_tail(x, _col(lang))
+            df = df.withColumn(name, F.when(x.contains('"') | x.contains("\xa0"), tail).otherwise(x))
+        df = df.withColumn(name, py_strip(F.col(name)))
+        df = df.withColumn(name, py_strip(keep_lang_chars(F.col(name), lang)))
+    return df
+
+
+def _guarded(c: Column, pattern: str, repl: str) -> Column:
+    lit = R.literal_of(pattern)
+    if lit is not None:
+        return F.replace(c, F.lit(lit), F.lit(repl))
+    out = F.regexp_replace(c, pattern, R.java_repl(repl))
+    trigger = R.GUARDS.get(pattern)
+    if trigger is None:
+        return out
+    return F.when(c.contains(trigger), out).otherwise(c)
+
+
 def fix_whitespace(c) -> Column:
     """TXT1: CRLF -> LF, LF -> space, tab -> four spaces (in that order)."""
     c = _col(c)
@@ -58,8 +93,11 @@ def normalize_punct(c, lang=None) -> Column:
     # copying the whole chain into every CASE branch, so the expression stays
     # one chain (small enough for codegen). Spark recompiles a pattern only
     # when it changes from the previous row.
-    lang = _col(lang)
-    x = _apply(c, R.PUNCT_COMMON)
+    return py_strip(normalize_punct_tail(_apply(c, R.PUNCT_COMMON), _col(lang)))
+
+
+def normalize_punct_tail(x: Column, lang: Column) -> Column:
+    """Language-dependent Moses rules (quote/comma, number NBSP), per row."""
     en = lang.isin(*R.QUOTE_COMMA_LANGS_EN)
     eu = lang.isin(*R.QUOTE_COMMA_LANGS_EU)
     (p_en, r_en), = R.PUNCT_EN_QUOTE_COMMA
@@ -73,7 +111,7 @@ def normalize_punct(c, lang=None) -> Column:
     x = F.regexp_replace(x, F.lit(p_num),
                          F.when(lang.isin(*R.NUMBER_COMMA_LANGS), F.lit(R.java_repl(r_comma)))
                          .otherwise(F.lit(R.java_repl(r_dot))))
-    return py_strip(x)
+    return x
 
 
 NEVER = "(?!)"  # a pattern that matches nowhere
@@ -113,6 +151,7 @@ def strip_wf_tags(c) -> Column:
 
 ALPHA_SPLIT = "[^\\p{L}\\p{N}'\\-]+"
 ALPHA_WORD = "^\\p{L}+$"
+ALPHA_RUN = "(?<![\\p{L}\\p{N}'\\-])\\p{L}+(?![\\p{L}\\p{N}'\\-])"
 
 
 def alpha_tokens(c) -> Column:
@@ -123,7 +162,9 @@ def alpha_tokens(c) -> Column:
     ``co-op`` and ``abc123`` are not words, as a Moses tokeniser followed by
     ``isalpha()`` would treat them.
     """
-    return F.filter(F.split(_col(c), ALPHA_SPLIT), lambda t: t.rlike(ALPHA_WORD))
+    # one native pass: a run of letters not touching a letter, digit,
+    # apostrophe or hyphen is exactly a split piece made of letters only
+    return F.regexp_extract_all(_col(c), F.lit(ALPHA_RUN), 0)
 
 
 SENT_MARK = "␞"

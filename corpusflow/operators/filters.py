@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions import rules as R
-from corpusflow.functions.text import langs_label, normalize, py_strip, translation_id
+from corpusflow.functions.text import langs_label, normalize_columns, py_strip, translation_id
 
 # --- FIXED VALUES: reject reasons, in the order they are tested --------------
 NOT_IN_PAIR = "not_in_pair"
@@ -70,13 +70,13 @@ def text_checks(units: DataFrame, langs, keep_rejects: bool = True) -> DataFrame
     # After orient, every unit that can be kept has exactly the pair's
     # languages, so the language rules are fixed while the plan is built:
     # far less generated code than choosing rules per row.
-    s_norm = normalize(F.col("source"), langs[0])
-    t_norm = normalize(F.col("target"), langs[1])
+    df = normalize_columns(df, [("source", langs[0]), ("target", langs[1])])
     # The normalised texts come out of a one-row ``inline``: later filters on
     # them (e.g. ``reject_reason IS NULL``) cannot be pushed below it, which
     # would copy the whole rule chain into the filter condition.
     others = [c for c in df.columns if c not in ("source", "target")]
-    df = df.select(*others, F.inline(F.array(F.struct(s_norm.alias("source"), t_norm.alias("target")))))
+    df = df.select(*others, F.inline(F.array(F.struct(F.col("source").alias("source"),
+                                                      F.col("target").alias("target")))))
     reason = (
         F.when(~in_pair(F.col("source_lang"), F.col("target_lang"), langs), F.lit(NOT_IN_PAIR))
         .when((F.col("source_lang") == F.col("target_lang")) & F.lit(langs[0] != langs[1]), F.lit(SAME_LANGUAGE))

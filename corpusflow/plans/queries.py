@@ -21,10 +21,10 @@ def _docs(spark, sf_dir):
 
 
 def q_normalize_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f1 = FX.line_pairs(_docs(spark, sf_dir))
-    return f1.select("doc_id", "line_no", "source_lang",
-                     T.normalize(F.col("source"), F.col("source_lang")).alias("source"),
-                     T.normalize(F.col("target"), F.col("target_lang")).alias("target"))
+    f1 = FX.line_pairs(_docs(spark, sf_dir)).select("doc_id", "line_no", "source_lang", "target_lang",
+                                                    "source", "target")
+    out = T.normalize_columns(f1, [("source", F.col("source_lang")), ("target", F.col("target_lang"))])
+    return out.select("doc_id", "line_no", "source_lang", "source", "target")
 
 
 def q_translation_ids(spark, sf_dir):
