@@ -78,10 +78,12 @@ def _matches(df: DataFrame, keys, hyp_grams: Column, ref_grams: Column, order) -
     so the n-gram rows themselves are never shuffled.
     """
     seg = df.repartition("seg")  # a subset of the grouping keys satisfies the aggregate
-    tagged = F.concat(F.transform(hyp_grams, lambda g: F.struct(g.alias("g"), F.lit(1).alias("h"))),
-                      F.transform(ref_grams, lambda g: F.struct(g.alias("g"), F.lit(0).alias("h"))))
-    both = seg.select(*keys, "seg", F.explode(tagged).alias("x"))
-    both = both.select(*keys, "seg", F.col("x.g").alias("g"), F.col("x.h").alias("h"))
+    seg = seg.select(*keys, "seg", hyp_grams.alias("_hg"), ref_grams.alias("_rg"))
+    # side tags by native arrays_zip (no per-gram lambda call)
+    tag = lambda a, v: F.arrays_zip(F.col(a), F.array_repeat(F.lit(v), F.size(a))).cast(
+        "array<struct<g:string,h:int>>")
+    both = seg.select(*keys, "seg", F.inline(F.concat(tag("_hg", 1), tag("_rg", 0))))
+    both = both.toDF(*keys, "seg", "g", "h")
     per_gram = both.groupBy(*keys, "seg", "g").agg(F.sum("h").alias("h"), F.count(F.lit(1)).alias("_cnt"))
     per_gram = per_gram.withColumn("r", F.col("_cnt") - F.col("h")).withColumn("n", order(F.col("g")))
     return (per_gram.groupBy(*keys, "n")

@@ -27,20 +27,25 @@ def _file_path() -> F.Column:
     return F.col("_metadata.file_path")
 
 
-def _tuv(x: F.Column, n: int):
-    """(lang, text) of the n-th ``tuv`` of a unit.
+def _units_from_xml(x: str = "_x"):
+    """(source_lang, source, target_lang, target) of a ``<tu>`` string.
 
-    Level-2 markup: when the full segment text has ``{`` or ``}``, only the
+    Three XML parses per unit (the languages of the ``tuv``s that have a
+    ``seg``, and each segment's full text); the direct text nodes are fetched
+    only for level-2 markup (a segment with ``{`` or ``}``): then only the
     segment's own text nodes are kept, joined by a space if ``{j`` occurs.
+    A unit with fewer than two segments is dropped.
     """
-    lang = F.expr(f"xpath_string(_x, '/tu/tuv[{n}]/{LANG_ATTR}')")
-    has_seg = F.expr(f"xpath_boolean(_x, '/tu/tuv[{n}]/seg')")
-    full = F.expr(f"xpath_string(_x, '/tu/tuv[{n}]/seg')")
-    direct = F.expr(f"xpath(_x, '/tu/tuv[{n}]/seg/text()')")
-    joined = F.when(full.contains("{j"), F.array_join(direct, " ")).otherwise(F.array_join(direct, ""))
-    text = F.when(full.rlike("[{}]"), joined)
-    text = text.otherwise(full)
-    return (F.when(lang != "", lang_code(lang)), F.when(has_seg, text))
+    langs = F.expr(f"xpath({x}, '/tu/tuv[seg]/{LANG_ATTR}')")
+    whole = F.size(langs) >= 2
+    out = []
+    for n in (1, 2):
+        full = F.expr(f"xpath_string({x}, '/tu/tuv[seg][{n}]/seg')")
+        direct = F.expr(f"xpath({x}, '/tu/tuv[seg][{n}]/seg/text()')")
+        joined = F.when(full.contains("{j"), F.array_join(direct, " ")).otherwise(F.array_join(direct, ""))
+        text = F.when(full.rlike("[{}]"), joined).otherwise(full)
+        out += [F.when(whole, lang_code(F.element_at(langs, n))), F.when(whole, text)]
+    return out
 
 
 def read_tmx(spark: SparkSession, path: str, glob: str | None = "*.tmx") -> DataFrame:
@@ -52,8 +57,7 @@ def read_tmx(spark: SparkSession, path: str, glob: str | None = "*.tmx") -> Data
     recs = (raw.select(F.regexp_extract("value", TU_START, 1).alias("_x"), _file_path().alias("source_path"))
             .where(F.col("_x") != "")
             .withColumn("_x", F.concat(F.col("_x"), F.lit(TU_END))))
-    s_lang, s_text = _tuv(F.col("_x"), 1)
-    t_lang, t_text = _tuv(F.col("_x"), 2)
+    s_lang, s_text, t_lang, t_text = _units_from_xml("_x")
     units = recs.select(s_lang.alias("source_lang"), s_text.alias("source"),
                         t_lang.alias("target_lang"), t_text.alias("target"), "source_path")
     # a unit lacking either side is dropped, as in the reference
