@@ -39,17 +39,28 @@ def lookup_form(w) -> F.Column:
     return F.when((w == F.upper(w)) | (w == cap), F.lower(w)).otherwise(w)
 
 
-def tokens(pairs: DataFrame, keys=("id",)) -> DataFrame:
+def tokens(pairs: DataFrame, keys=("id",), with_side: bool = False) -> DataFrame:
     """Both sides of a pair table as ``(*keys, lang, word)`` token rows."""
-    sides = long_sides(pairs, list(keys))
-    return sides.select(*keys, "lang", F.explode(alpha_tokens(F.col("text"))).alias("word"))
+    sides = long_sides(pairs, list(keys), with_side)
+    extra = ["side"] if with_side else []
+    return sides.select(*keys, *extra, "lang", F.explode(alpha_tokens(F.col("text"))).alias("word"))
 
 
-def misspelt_words(pairs: DataFrame, lexicon: DataFrame, keys=("id",)) -> DataFrame:
-    """SPL2: every token with no lexicon entry, ``(*keys, lang, word)``."""
-    toks = tokens(pairs, keys).withColumn("_form", lookup_form(F.col("word")))
+def misspelt_words(pairs: DataFrame, lexicon: DataFrame, keys=("id",), short_circuit: bool = False) -> DataFrame:
+    """SPL2: every token with no lexicon entry, ``(*keys, lang, word)``.
+
+    ``short_circuit=True`` reproduces the reference's count (Q4): when the
+    source side has a misspelling, the target side is not checked, so its
+    words are not counted (an anti-join of those ids on target tokens).
+    """
+    toks = tokens(pairs, keys, with_side=True).withColumn("_form", lookup_form(F.col("word")))
     lex = lexicon.select("lang", F.col("word").alias("_form"))
-    return toks.join(lex, ["lang", "_form"], "left_anti").drop("_form")
+    bad = toks.join(lex, ["lang", "_form"], "left_anti").drop("_form")
+    if short_circuit:
+        src_bad = bad.where(F.col("side") == 1).select(*keys).distinct()
+        bad = bad.where(F.col("side") == 1).unionByName(
+            bad.where(F.col("side") == 2).join(src_bad, list(keys), "left_anti"))
+    return bad.drop("side")
 
 
 def misspelt_sentences(bad: DataFrame, key: str = "id") -> DataFrame:

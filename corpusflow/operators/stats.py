@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from corpusflow.functions.text import fmt_mb
 
 
-def long_sides(df: DataFrame, keys) -> DataFrame:
-    """Both sides of a pair table as rows ``(*keys, lang, text)``.
+def long_sides(df: DataFrame, keys, with_side: bool = False) -> DataFrame:
+    """Both sides of a pair table as rows ``(*keys, lang, text)`` (+ ``side`` 1/2).
 
     ``stack`` in one projection: no union, the input is scanned once.
     """
-    return df.select(*keys, F.expr(
-        "stack(2, split_part(langs, '-', 1), source, split_part(langs, '-', 2), target) AS (lang, text)"))
+    out = df.select(*keys, F.expr(
+        "stack(2, 1, split_part(langs, '-', 1), source, 2, split_part(langs, '-', 2), target) AS (side, lang, text)"))
+    return out if with_side else out.drop("side")
 
 
 def segment_stats(df: DataFrame, keys=("classifier",)) -> DataFrame:

@@ -82,6 +82,11 @@ def monitor(spark: SparkSession, root: str, out_path: str, checkpoint: str, name
     return writer.start()
 
 
+def drop_seen(stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """LOG10: drop lines already seen (same job and update) within the watermark."""
+    return stream.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["job", "up"])
+
+
 def stream_bursts(stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """LOG13 in a stream: 20-minute session windows keyed by job."""
     return (stream.withWatermark("ts", watermark)

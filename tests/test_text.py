@@ -97,3 +97,13 @@ def test_spelling_gate(spark):
     sents = {r["translation_id"]: r["words"] for r in
              spelling.misspelt_sentences(spelling.misspelt_words(pairs, lex)).collect()}
     assert sents == {2: "wrold", 3: "hElLo"}
+
+
+def test_spelling_short_circuit(spark):
+    from corpusflow.operators import spelling
+    lex = spark.createDataFrame([("en", "hello"), ("cy", "helo")], "lang string, word string")
+    pairs = spark.createDataFrame([(1, "hello wrold", "helo xx", "en-cy"), (2, "hello", "helo yy", "en-cy")],
+                                  "id long, source string, target string, langs string")
+    full = sorted(r["word"] for r in spelling.misspelt_words(pairs, lex).collect())
+    short = sorted(r["word"] for r in spelling.misspelt_words(pairs, lex, short_circuit=True).collect())
+    assert full == ["wrold", "xx", "yy"] and short == ["wrold", "yy"]
