@@ -111,6 +111,8 @@ def clean(units: DataFrame, langs, lexicon: DataFrame | None = None,
         return checked
     if checkpoint:
         # the checked units feed the gates and the final join: write them once
+        from corpusflow.session import checkpoint_dir
+        checkpoint_dir(checked.sparkSession)
         checked = checked.checkpoint()
     passed = checked.where(F.col("reject_reason").isNull())
     flags = []

@@ -78,6 +78,8 @@ def train_subwords(df: DataFrame, size: int = 8000, per_round: int = 200, max_ro
     Returns (vocab DataFrame ``piece, id``, list of rounds of merges).
     Full character coverage; ids: eos = 0, unk = 1, no bos.
     """
+    from corpusflow.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)  # the session's shared folder; set only if unset
     words = word_counts(df, text).select("cnt", _symbols(F.col("word")).alias("syms"))
     chars = words.select(F.explode("syms").alias("piece")).distinct()
     n_chars = chars.count()

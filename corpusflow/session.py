@@ -41,17 +41,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_LOCAL_FALLBACK: dict = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets it to shared storage; only when it is unset (local tests)
-    do we point it at a fresh local folder.
+    A cluster sets it to shared storage and it is used as is; only when no
+    directory is configured at all (local tests) is a fresh local folder
+    created, once per application.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not current:
-        current = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        app = sc.applicationId
+        base = _LOCAL_FALLBACK.get(app)
+        if base is None:
+            base = _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
+    return base
