@@ -123,6 +123,16 @@ TOK13A_RULES = (
 TOK13A_ENTITIES = (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"))
 
 
+def keep_chars(lang: str) -> str | None:
+    """The keep-list as literal characters (for a ``translate`` pre-check)."""
+    extra = KEEP_EXTRA.get(lang)
+    if extra is None:
+        return None
+    ascii_part = "".join(chr(c) for c in range(ord("a"), ord("z") + 1))
+    ascii_part += ascii_part.upper() + "0123456789" + "'()" + ",-." + ":;!?%£$/"
+    return ascii_part + PY_SPACE_CHARS + extra
+
+
 def keep_pattern(lang: str) -> str | None:
     extra = KEEP_EXTRA.get(lang)
     if extra is None:

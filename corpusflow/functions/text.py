@@ -122,7 +122,12 @@ def keep_lang_chars(c, lang) -> Column:
     c = _col(c)
     if lang is None or isinstance(lang, str):
         pat = R.keep_pattern(lang) if lang else None
-        return F.regexp_replace(c, pat, "") if pat else c
+        if not pat:
+            return c
+        # translate() deletes the allowed characters natively (no UTF-16
+        # copy); only texts with something left over need the regex
+        clean = F.length(F.translate(c, R.keep_chars(lang), "")) == 0
+        return F.when(clean, c).otherwise(F.regexp_replace(c, pat, ""))
     lang = _col(lang)
     pat = None
     for code in R.KEEP_EXTRA:
