@@ -153,9 +153,24 @@ def with_gpus(lines: DataFrame, train: DataFrame) -> DataFrame:
 ORDER = ["line_no"]
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Write a stage once (reliable ``checkpoint`` into ``spark.checkpoint.dir``).
+
+    Every chunk-parallel step reads its input twice (window branch and
+    per-chunk totals branch) and steps are nested, so without a cut the log
+    lines would be re-read and re-parsed 2^steps times.
+    """
+    from corpusflow.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def sentences_diff(train: DataFrame) -> DataFrame:
-    """LOG5: sentences since the previous train line of the job (first from 0)."""
-    d = previous_value(train, "job", ORDER, "sen", "_prev_sen")
+    """LOG5: sentences since the previous train line of the job (first from 0).
+
+    Runs one eager checkpoint of the input (see ``_cut``).
+    """
+    d = previous_value(_cut(train), "job", ORDER, "sen", "_prev_sen")
     return d.withColumn("sen_diff", F.col("sen") - F.coalesce("_prev_sen", F.lit(0))).drop("_prev_sen")
 
 
@@ -167,15 +182,17 @@ def pause_adjusted(lines: DataFrame, threshold: int = PAUSE_SECONDS) -> DataFram
     later time. The reference's running mean is miscomputed (Q12); this is
     the true mean. Input: ``job, line_no, ts``; adds ``gap``, ``adj_ts``
     (seconds). Arithmetic is in integer microseconds, so the result is exact
-    and independent of how the prefix sums are split into chunks.
+    and independent of how the prefix sums are split into chunks. Stages are
+    cut with eager checkpoints (see ``_cut``).
     """
     us = 1_000_000
-    d = previous_value(lines.withColumn("_t", F.unix_micros("ts")), "job", ORDER, "_t", "_pt")
+    base = _cut(lines.withColumn("_t", F.unix_micros("ts")))
+    d = _cut(previous_value(base, "job", ORDER, "_t", "_pt"))
     gap = F.col("_t") - F.col("_pt")
     long_gap = gap > threshold * us
     short = gap.isNotNull() & ~long_gap
-    d = running_sums(d, "job", ORDER, {"_s": F.when(short, gap).otherwise(F.lit(0)),
-                                        "_n": F.when(short, F.lit(1)).otherwise(F.lit(0))})
+    d = _cut(running_sums(d, "job", ORDER, {"_s": F.when(short, gap).otherwise(F.lit(0)),
+                                             "_n": F.when(short, F.lit(1)).otherwise(F.lit(0))}))
     mean = F.when(F.col("_n") > 0, F.round(F.col("_s") / F.col("_n"))).otherwise(F.lit(0)).cast("bigint")
     d = running_sums(d, "job", ORDER, {"_g": F.when(long_gap, gap - mean).otherwise(F.lit(0))})
     return (d.withColumn("gap", gap / F.lit(float(us)))
@@ -188,7 +205,8 @@ def bursts(lines: DataFrame, threshold: int = PAUSE_SECONDS) -> DataFrame:
 
     Gaps-and-islands with a chunk-parallel prefix count as the burst id.
     """
-    d = previous_value(lines.withColumn("_t", F.unix_micros("ts")), "job", ORDER, "_t", "_pt")
+    base = _cut(lines.withColumn("_t", F.unix_micros("ts")))
+    d = _cut(previous_value(base, "job", ORDER, "_t", "_pt"))
     new = F.when((F.col("_t") - F.col("_pt")) > threshold * 1_000_000, F.lit(1)).otherwise(F.lit(0))
     d = running_sums(d, "job", ORDER, {"burst": new})
     return (d.groupBy("job", F.col("burst").cast("bigint").alias("burst"))
