@@ -166,9 +166,6 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/fixtures/{tag}-{uuid.uuid4().hex}"
 
 
-LABELS = ("Health", "Other", "Unknown")
-
-
 def _xml_escape(c):
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
                      F.lit(">"), F.lit("&gt;"))
@@ -180,27 +177,25 @@ def write_tmx_tree(f1: DataFrame, root: str) -> None:
     tu = F.format_string('<tu><tuv xml:lang="%s-GB"><seg>%s</seg></tuv><tuv xml:lang="%s"><seg>%s</seg></tuv></tu>',
                          F.upper("source_lang"), _xml_escape(F.col("source")), F.col("target_lang"),
                          _xml_escape(F.col("target")))
-    for label in LABELS:
-        f1.where(F.col("classifier") == label).select(tu.alias("value")).write.text(f"{root}/{label}")
+    # one pass; label folders are partition folders ``classifier=<label>``
+    f1.select("classifier", tu.alias("value")).write.partitionBy("classifier").text(root)
 
 
 def write_delimited_tree(f1: DataFrame, root: str, sep: str) -> None:
-    for label in LABELS:
-        (f1.where(F.col("classifier") == label).select("source", "target")
-         .write.option("header", "true").option("sep", sep).option("escape", '"')
-         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-         .csv(f"{root}/{label}"))
+    (f1.select("classifier", "source", "target")
+     .write.partitionBy("classifier").option("header", "true").option("sep", sep).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .csv(root))
 
 
 def write_wordfast_tree(f1: DataFrame, root: str) -> None:
     """Wordfast columns with a ``&tA;`` tag appended to each text."""
-    for label in LABELS:
-        (f1.where(F.col("classifier") == label)
-         .select(F.upper("source_lang").alias("src-lang"), F.concat("source", F.lit("&tA;")).alias("source"),
-                 F.concat(F.col("target_lang"), F.lit("-GB")).alias("target-lang"), F.col("target"))
-         .write.option("header", "true").option("sep", "\t").option("quote", "")
-         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-         .csv(f"{root}/{label}"))
+    (f1.select("classifier", F.upper("source_lang").alias("src-lang"),
+               F.concat("source", F.lit("&tA;")).alias("source"),
+               F.concat(F.col("target_lang"), F.lit("-GB")).alias("target-lang"), F.col("target"))
+     .write.partitionBy("classifier").option("header", "true").option("sep", "\t").option("quote", "")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .csv(root))
 
 
 def write_submissions(documents: DataFrame, root: str) -> None:

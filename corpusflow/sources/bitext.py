@@ -118,8 +118,9 @@ def read_bitext(spark: SparkSession, path: str, langs, tsv_encoding: str = "UTF-
 
 
 def with_label(units: DataFrame) -> DataFrame:
-    """SRC7: label = name of the file's parent directory."""
-    return units.withColumn("classifier", F.regexp_extract("source_path", r"([^/]+)/[^/]+$", 1))
+    """SRC7: label = name of the file's parent directory (for a partition
+    folder ``key=value``, its value)."""
+    return units.withColumn("classifier", F.regexp_extract("source_path", r"([^/=]+)/[^/]+$", 1))
 
 
 def read_tree(spark: SparkSession, root: str, langs) -> DataFrame:
