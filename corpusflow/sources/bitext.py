@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import lang_code, strip_wf_tags
@@ -135,15 +135,26 @@ def load_corpus(spark: SparkSession, path: str) -> DataFrame:
     return dedup_pairs(df.select("id", "classifier", "source", "target", "langs"))
 
 
-def read_aligned(spark: SparkSession, *paths: str) -> DataFrame:
+def read_aligned(spark: SparkSession, *paths: str):
     """SRC9: line files read back as ``(line_no, text)`` tables, one per path.
 
-    ``line_no`` is 1-based and comes from ``zipWithIndex`` over the file's
-    lines (one pass; no global sort, no single task), so line files of any
-    size pair up by an equi-join on ``line_no``.
+    ``line_no`` is the exact 1-based line number, computed in parallel with
+    no Python and no global sort: the position of a line inside its file
+    split (a window per split, in scan order) plus the number of lines in
+    the earlier splits of the same file (a prefix over a per-split count
+    table). Line files of any size then pair up by an equi-join on
+    ``line_no``.
     """
     out = []
     for p in paths:
-        rdd = spark.sparkContext.textFile(p).zipWithIndex().map(lambda r: (r[1] + 1, r[0]))
-        out.append(spark.createDataFrame(rdd, "line_no long, text string"))
+        raw = spark.read.text(p).select(
+            "value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+            F.monotonically_increasing_id().alias("_m"))
+        local = raw.withColumn("_pos", F.row_number().over(Window.partitionBy("_f", "_b").orderBy("_m")))
+        sizes = raw.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select("_f", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+        numbered = local.join(offsets, ["_f", "_b"])
+        out.append(numbered.select((F.col("_pos") + F.col("_off")).cast("bigint").alias("line_no"),
+                                   F.col("value").alias("text")))
     return out if len(out) > 1 else out[0]
