@@ -197,26 +197,41 @@ def edit_rate(df: DataFrame, keys=()) -> DataFrame:
     return e.groupBy(*keys).agg((F.lit(100.0) * F.sum("dist") / F.sum("ref_len")).alias("edit_rate"))
 
 
+_KEY = 1 << 20  # (cost, hits) packed as cost * _KEY - hits: one integer, min = best
+
+
+def alignment_hits(ref_words, hyp_words) -> int:
+    """Hits of a minimum-cost word alignment, most hits among ties.
+
+    Row-by-row Levenshtein in numpy: substitution, deletion and insertion
+    add ``_KEY`` (one edit), a match subtracts 1 (one hit). The insertion
+    chain within a row, new[j] = min(base[j], new[j-1] + _KEY), is
+    j*_KEY + cummin(base[k] - k*_KEY), one ``minimum.accumulate`` per row.
+    """
+    n, m = len(ref_words), len(hyp_words)
+    if n == 0 or m == 0:
+        return 0
+    ids = {}
+    a = np.array([ids.setdefault(w, len(ids)) for w in ref_words], dtype=np.int64)
+    b = np.array([ids.setdefault(w, len(ids)) for w in hyp_words], dtype=np.int64)
+    ramp = np.arange(m + 1, dtype=np.int64) * _KEY
+    prev = ramp.copy()
+    base = np.empty(m + 1, dtype=np.int64)
+    for i in range(1, n + 1):
+        base[0] = i * _KEY
+        step = np.where(b == a[i - 1], -1, _KEY)
+        base[1:] = np.minimum(prev[:-1] + step, prev[1:] + _KEY)
+        prev = np.minimum.accumulate(base - ramp) + ramp
+    key = int(prev[m])
+    cost = -(-key // _KEY)
+    return cost * _KEY - key
+
+
 def _hits_udf():
     @F.pandas_udf("long")
     def hits(wr: pd.Series, wh: pd.Series) -> pd.Series:
-        """Most hits among minimum-cost word alignments (small per-row helper)."""
-        out = np.zeros(len(wr), dtype=np.int64)
-        for k, (a, b) in enumerate(zip(wr, wh)):
-            n, m = len(a), len(b)
-            cost = np.arange(m + 1, dtype=np.int64)
-            hit = np.zeros(m + 1, dtype=np.int64)
-            for i in range(1, n + 1):
-                pc, ph = cost.copy(), hit.copy()
-                cost[0], hit[0] = i, 0
-                for j in range(1, m + 1):
-                    same = a[i - 1] == b[j - 1]
-                    cands = ((pc[j - 1] + (0 if same else 1), -(ph[j - 1] + (1 if same else 0))),
-                             (pc[j] + 1, -ph[j]), (cost[j - 1] + 1, -hit[j - 1]))
-                    c, h = min(cands)
-                    cost[j], hit[j] = c, -h
-            out[k] = hit[m]
-        return pd.Series(out)
+        """Alignment hits per segment (small numpy helper, Arrow-batched)."""
+        return pd.Series([alignment_hits(list(a), list(b)) for a, b in zip(wr, wh)], dtype="int64")
     return hits
 
 
