@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("decontaminate", "tokens")
+MODULES = ("decontaminate", "licenses", "mixing", "neardup", "quality", "secrets", "tokens", "topk", "warc")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
