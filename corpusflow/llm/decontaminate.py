@@ -108,6 +108,20 @@ def _pass(docs: DataFrame, shared, keep: list[str]) -> DataFrame:
     return docs.mapInArrow(run, f"{fields}, {_SCHEMA}" if fields else _SCHEMA)
 
 
+def _shards(benchmark: DataFrame, max_bytes: int) -> list[DataFrame]:
+    """The items, in as many parts as the broadcast limit takes."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
+                             F.coalesce(F.col("text"), F.lit("")).alias("text")).distinct()
+    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    n = max(1, math.ceil(size / max_bytes))
+    return [items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
+
+
+def _shared(part: DataFrame, window: int):
+    rows = ((r[0], r[1]) for r in part.toLocalIterator())
+    return part.sparkSession.sparkContext.broadcast(WindowSet(rows, window))
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes: int = BROADCAST_BYTES,
          with_text: bool = False) -> DataFrame:
     """``doc_id[, text], n_words, hits, items`` for every row of ``docs(doc_id, text)``.
@@ -119,17 +133,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes:
     count once by id; an empty benchmark hits nothing. Other columns of either
     table are not looked at.
     """
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
-                             F.coalesce(F.col("text"), F.lit("")).alias("text")).distinct()
-    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    shards = max(1, math.ceil(size / max_bytes))
+    shards = _shards(benchmark, max_bytes)
     keep = ["doc_id", "text"] if with_text else ["doc_id"]
-    spark, df = docs.sparkSession, docs.select("doc_id", "text")
-    for k in range(shards):
-        part = items if shards == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k)
-        shared = spark.sparkContext.broadcast(WindowSet(((r[0], r[1]) for r in part.toLocalIterator()), window))
-        last = k == shards - 1
-        df = _pass(df, shared, keep if last else ["doc_id", "text"])
+    df = docs.select("doc_id", "text")
+    for k, part in enumerate(shards):
+        last = k == len(shards) - 1
+        df = _pass(df, _shared(part, window), keep if last else ["doc_id", "text"])
         if not last:
             df = written(df, "decontaminate").select("doc_id", "text", "hits", "items")
     return df
@@ -146,6 +155,35 @@ def contaminated() -> F.Column:
     return (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated.
+
+    With one shard the rows are filtered as they are read; with more, hits add
+    up over the passes first.
+    """
+    shards = _shards(benchmark, max_bytes)
+    if len(shards) > 1:
+        # hits of all shards count together: carried as extra columns of the rows
+        columns, row = docs.columns, F.struct(*docs.columns)
+        packed = docs.select(row.alias("doc_id"), "text")
+        found = scan(packed, benchmark, window, max_bytes).select("doc_id", "n_words", n_hit().alias("n_hit"))
+        return found.where(~contaminated()).select(*(F.col("doc_id")[c].alias(c) for c in columns))
+    shared = _shared(shards[0], window)
+
+    def run(batches):
+        index = shared.value
+        for b in slices(batches):
+            keep = []
+            for text in utf8(b, "text"):
+                w = words_of(text)
+                hits, _ = index.scan(w)
+                n = sum(hits[1::2]) - sum(hits[::2])
+                keep.append(not (n > 0 and 20 * n >= len(w)))
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _without_spans(text: str | None, hits: list[int]) -> str | None:
     """``text`` without the bytes from the first to the last word of each range."""
     if not hits:

@@ -98,21 +98,21 @@ def period(quota: DataFrame) -> DataFrame:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``mix_key`` (its source) and ``mix_n``, its number in the source from 0.
+    """``docs`` with ``__mix_key`` (its source) and ``__mix_n``, its number in the source from 0.
 
     Numbering goes by (deal, doc_id): documents are dealt to ``DEALS`` groups
     of a source by a hash of doc_id, counted and ordered group by group, so a
     source that holds most rows is still spread over all tasks.
     """
-    d = docs.withColumns({"mix_key": source_key(), "mix_deal": _deal()})
-    sizes = d.groupBy("mix_key", "mix_deal").agg(F.count(F.lit(1)).alias("mix_size"))
+    d = docs.withColumns({"__mix_key": source_key(), "__mix_deal": _deal()})
+    sizes = d.groupBy("__mix_key", "__mix_deal").agg(F.count(F.lit(1)).alias("__mix_size"))
     before = sizes.select(
-        "mix_key", "mix_deal",
-        (F.sum("mix_size").over(W.partitionBy("mix_key").orderBy("mix_deal")) - F.col("mix_size")).alias("mix_before"))
-    group = W.partitionBy("mix_key", "mix_deal").orderBy(F.col("doc_id").asc_nulls_first())
-    d = d.withColumn("mix_n", F.row_number().over(group) - 1)
-    return (d.join(before, ["mix_key", "mix_deal"])
-            .withColumn("mix_n", F.col("mix_n") + F.col("mix_before")).drop("mix_deal", "mix_before"))
+        "__mix_key", "__mix_deal",
+        (F.sum("__mix_size").over(W.partitionBy("__mix_key").orderBy("__mix_deal")) - F.col("__mix_size")).alias("__mix_before"))
+    group = W.partitionBy("__mix_key", "__mix_deal").orderBy(F.col("doc_id").asc_nulls_first())
+    d = d.withColumn("__mix_n", F.row_number().over(group) - 1)
+    return (d.join(before, ["__mix_key", "__mix_deal"])
+            .withColumn("__mix_n", F.col("__mix_n") + F.col("__mix_before")).drop("__mix_deal", "__mix_before"))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK) -> DataFrame:
@@ -125,24 +125,25 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     is short or a source has run out) and ``balanced`` (no source has run out
     before this slot). Columns of ``docs`` with these names are replaced. A
     null source counts as the source ``''``; rows that repeat a doc_id, or have
-    none, keep a place each; an empty table gives no rows.
+    none, keep a place each; an empty table gives no rows. Columns whose names
+    start with ``__mix_`` are working columns and do not come out.
     """
     counts = docs.groupBy(source_key().alias("source")).agg(F.count(F.lit(1)).alias("n_docs"))
     # one row for each source and PARTS slots in all, whatever the corpus: small enough to broadcast
     table = period(quotas(counts, weights, block)).select(
-        F.col("source").alias("mix_key"), F.col("quota").alias("mix_quota"), F.col("end").alias("mix_end"),
-        F.col("slots").alias("mix_slots"))
-    d = numbered(docs).join(F.broadcast(table), "mix_key")
-    d = d.withColumn("block", F.floor(F.col("mix_n") / block))
-    turn = (F.col("block") % F.col("mix_quota")).cast("int")
+        F.col("source").alias("__mix_key"), F.col("quota").alias("__mix_quota"), F.col("end").alias("__mix_end"),
+        F.col("slots").alias("__mix_slots"))
+    d = numbered(docs).join(F.broadcast(table), "__mix_key")
+    d = d.withColumn("block", F.floor(F.col("__mix_n") / block))
+    turn = (F.col("block") % F.col("__mix_quota")).cast("int")
     d = d.withColumns({
-        "slot": F.floor(F.col("block") / F.col("mix_quota")) * PARTS + F.get("mix_slots", turn),
-        "release": F.floor(F.col("block") * PARTS / F.col("mix_quota")),
-        "deadline": F.ceil((F.col("block") + 1) * PARTS / F.col("mix_quota"))})
+        "slot": F.floor(F.col("block") / F.col("__mix_quota")) * PARTS + F.get("__mix_slots", turn),
+        "release": F.floor(F.col("block") * PARTS / F.col("__mix_quota")),
+        "deadline": F.ceil((F.col("block") + 1) * PARTS / F.col("__mix_quota"))})
     return d.withColumns({
-        "position": F.col("slot") * block + F.col("mix_n") % block,
-        "balanced": F.col("slot") < F.col("mix_end"),
-    }).drop("mix_key", "mix_n", "mix_quota", "mix_end", "mix_slots")
+        "position": F.col("slot") * block + F.col("__mix_n") % block,
+        "balanced": F.col("slot") < F.col("__mix_end"),
+    }).drop("__mix_key", "__mix_n", "__mix_quota", "__mix_end", "__mix_slots")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -213,6 +213,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
 
 
+def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that are not kept.
+
+    Rows that repeat a kept doc_id with the same set stay as they are: they are
+    that document.
+    """
+    gone = near_duplicates(docs, shingle, percent).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs.doc_id.cast("long") == F.col("__gone"), "left_anti")
+
+
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2, percent=80)
 

@@ -216,6 +216,17 @@ def scan(docs: DataFrame, with_text: bool = False) -> DataFrame:
         run, f"doc_id {id_type}, {'text string, ' * with_text}base {sql}, spans {sql}")
 
 
+def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """``docs``, all rows and columns, with the secrets of ``text`` replaced by ``mark``."""
+    def run(batches):
+        for b in slices(batches):
+            out = [redact(t, found, mark) if t and (found := spans(t)[1]) else t for t in column(b, "text").to_pylist()]
+            at = b.schema.get_field_index("text")
+            yield b.set_column(at, b.schema.field(at), pa.array(out, b.schema.field(at).type))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _joined(c: str) -> F.Column:
     return F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
