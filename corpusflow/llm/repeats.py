@@ -11,14 +11,15 @@ Documents lie in chunks by a hash of doc_id. Two rounds go from chunks to
 shards and back:
 
 1. each chunk sends its distinct trigger grams to shards by gram; a gram of
-   one document only can be no part of a repeat, the others come back;
-2. each chunk sends its dictionary, the distinct phrases with such triggers,
-   with the smallest doc_id that has them. A shard sorts the suffixes of its
-   phrases (their windows, cut at 50 bytes) into one order, in which equal
-   windows are neighbours, and takes the smallest doc_id of each. The phrases
-   come back with these ids, and the chunk applies them to its parse, the
-   sequence of phrases of each document.
-
+   one document only can be no part of a repeat; a bit for each says so;
+2. each chunk sends its dictionary, the distinct phrases with the other
+   triggers, with the smallest doc_id that has them. A shard sorts the suffixes
+   of its phrases (their windows, cut at 50 bytes) into one order, in which
+   equal windows are neighbours, and takes the smallest doc_id of each. These
+   ids come back, and the chunk applies them to its parse, the sequence of
+   phrases of each document.
+
+Whole copies of a text are told by hash before and take no part in the rounds.
 Whatever many documents share is sent once by each chunk, so hot passages do
 not gather. A gram that very many chunks have stands before too many different
 contexts for one shard; its phrases are sent window by window, to shards by
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import mix64, read, scratch, written
+from corpusflow.llm.common import column, mix64, read, scratch, slices, written
 
 WIDTH = 50
 GRAM = 16
@@ -45,6 +46,8 @@ GRAM = 16
 CHUNK_BYTES = 16 << 20
 #: chunks with a gram from which its phrases are sent window by window
 HOT_CHUNKS = 128
+#: windows that a shard sorts at a time
+SORT_WINDOWS = 200_000
 
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
@@ -102,12 +105,8 @@ def _pieces(text: bytes, grams: np.ndarray, hot: np.ndarray):
             yield int(g[k]), xxhash.xxh3_64_intdigest(text[a:b + WIDTH]), a, b
 
 
-def _table(columns: dict) -> pa.Table:
-    return pa.table(columns)
-
-
 def _by_shard(keys: np.ndarray, shards: int):
-    """(shard, indexes) of the keys of each shard."""
+    """(shard, indexes in order) of the keys of each shard."""
     part = (mix64(keys) % np.uint64(shards)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     cut = np.flatnonzero(np.diff(part[order])) + 1
@@ -119,169 +118,241 @@ def _blob(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
 
 
-def _joined(blobs, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(b for b in blobs if b), kind)
+def _bits(a: np.ndarray) -> bytes:
+    return np.packbits(a).tobytes()
 
 
-def _round_one(shards: int):
-    """Chunk -> its distinct trigger grams, by shard; ``twice``: in several of its documents."""
-    def run(chunk: pa.Table) -> pa.Table:
-        grams, docs = [], []
-        for d, text in zip(chunk["doc_id"].to_pylist(), chunk["text"].to_pylist()):
-            if d is not None:
-                g = np.unique(parse(text)[0])
-                grams.append(g)
-                docs.append(np.full(len(g), d, np.int64))
-        g, d = (np.concatenate(x) if x else np.empty(0, k) for x, k in ((grams, np.uint64), (docs, np.int64)))
-        order = np.lexsort((d, g))
-        g, d = g[order], d[order]
-        new = np.append(True, g[1:] != g[:-1]) if len(g) else np.empty(0, bool)
-        start = np.flatnonzero(new)
-        end = np.append(start[1:], len(g)) - 1
-        twice = d[start] != d[end] if len(g) else np.empty(0, bool)
-        g = g[start]
-        parts = list(_by_shard(g, shards))
-        return _table({
-            "shard": pa.array([p for p, _ in parts], pa.int32()),
-            "chunk": pa.array([chunk["chunk"][0].as_py()] * len(parts), pa.int32()),
-            "once": pa.array([_blob(g[i[~twice[i]]]) for _, i in parts], pa.binary()),
-            "twice": pa.array([_blob(g[i[twice[i]]]) for _, i in parts], pa.binary())})
-    return run
+def _flags(blob: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(blob, np.uint8), count=n).astype(bool)
 
 
-def _repeated(shard: pa.Table) -> pa.Table:
-    """Shard -> for each chunk its grams that several documents have, and the hot ones."""
-    once, twice = shard["once"].to_pylist(), shard["twice"].to_pylist()
-    both = [np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)]) for a, b in zip(once, twice)]
-    g, count = np.unique(np.concatenate(both), return_counts=True)
-    many = np.unique(_joined(twice, np.uint64))
-    found = np.union1d(g[count > 1], many)
-    hot = g[count >= HOT_CHUNKS]
-    cold = np.setdiff1d(found, hot, assume_unique=True)
-    return _table({"chunk": shard["chunk"], "grams": pa.array([_blob(x[_has(cold, x)]) for x in both], pa.binary()),
-                   "hot": pa.array([_blob(x[_has(hot, x)]) for x in both], pa.binary())})
+def _binary(values) -> pa.Array:
+    return pa.array(values, pa.binary())
 
 
-def _known(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.unique(_joined(rows[c].to_pylist(), np.uint64)) for c in ("grams", "hot"))
+class Chunk:
+    """The documents of a chunk and what came back to it.
 
+    Answers are given in the order in which the chunk asked: by shard, then by
+    value, which does not depend on the order of rows.
+    """
 
-def _round_two(shards: int):
-    """Chunk -> its dictionary: each looked-at piece once with its smallest doc_id, by shard."""
-    def run(chunk: pa.Table, rows: pa.Table) -> pa.Table:
-        grams, hot = _known(rows)
+    def __init__(self, table: pa.Table, answers: pa.Table, shards: int):
+        import xxhash
+        import zstandard
+        unpack = zstandard.ZstdDecompressor().decompress
+        self.shards, self.number = shards, table["chunk"][0].as_py() if len(table) else None
+        self.answers = answers.to_pylist()
+        copies = {(r["doc_id"], r["hash"]) for r in self.answers if r["hash"] is not None}
+        self.docs = []  # doc_id, text, whether it is a copy of a smaller document
+        for d, z in zip(table["doc_id"].to_pylist(), table["packed"].to_pylist()):
+            text = unpack(z)
+            h = xxhash.xxh64_intdigest(text, 42)
+            self.docs.append((d, text, (d, h - (h >> 63 << 64)) in copies))
+
+    def live(self):
+        """Documents that take part: with an id, long enough, no copies."""
+        return ((d, text) for d, text, copy in self.docs if d is not None and not copy and len(text) >= WIDTH)
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct trigger grams, and whether several documents have them."""
+        grams, docs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for d, text in self.live():
+            g = np.unique(parse(text)[0])
+            grams.append(g)
+            docs.append(np.full(len(g), d, np.int64))
+        g, d = np.concatenate(grams), np.concatenate(docs)
+        order = np.lexsort((d, g))
+        g, d = g[order], d[order]
+        start = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else np.empty(0, np.int64)
+        end = np.append(start[1:], len(g)) - 1 if len(g) else start
+        return g[start], d[start] != d[end]
+
+    def known(self) -> tuple[np.ndarray, np.ndarray]:
+        """Its grams that other documents have too, and those of them that are hot."""
+        told = {r["shard"]: r for r in self.answers if r["shared"] is not None}
+        g = self.grams()[0]
+        cold, hot = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+        for p, idx in _by_shard(g, self.shards):
+            cold.append(g[idx][_flags(told[p]["shared"], len(idx))])
+            hot.append(g[idx][_flags(told[p]["hot"], len(idx))])
+        return np.sort(np.concatenate(cold)), np.sort(np.concatenate(hot))
+
+    def dictionary(self, grams: np.ndarray, hot: np.ndarray):
+        """(shard, ids, entries) of the pieces: id -> key, smallest doc_id, bytes."""
         entry: dict[int, list] = {}
-        if len(chunk) and (len(grams) or len(hot)):
-            for d, text in zip(chunk["doc_id"].to_pylist(), chunk["text"].to_pylist()):
-                if d is None:
-                    continue
+        if len(grams) or len(hot):
+            for d, text in self.live():
                 for key, pid, a, b in _pieces(text, grams, hot):
                     e = entry.get(pid)
                     if e is None:
                         entry[pid] = [key, d, text[a:b + WIDTH]]
                     elif d < e[1]:
                         e[1] = d
-        n = len(entry)
-        pid = np.fromiter(entry, np.uint64, n)
-        key = np.fromiter((e[0] for e in entry.values()), np.uint64, n)
-        least = np.fromiter((e[1] for e in entry.values()), np.int64, n)
-        body = [e[2] for e in entry.values()]
-        size = np.fromiter(map(len, body), np.uint8, n)
-        parts = list(_by_shard(key, shards))
-        return _table({
-            "shard": pa.array([p for p, _ in parts], pa.int32()),
-            "chunk": pa.array([chunk["chunk"][0].as_py()] * len(parts), pa.int32()),
-            "pid": pa.array([_blob(pid[i]) for _, i in parts], pa.binary()),
-            "key": pa.array([_blob(key[i]) for _, i in parts], pa.binary()),
-            "least": pa.array([_blob(least[i]) for _, i in parts], pa.binary()),
-            "size": pa.array([_blob(size[i]) for _, i in parts], pa.binary()),
-            "body": pa.array([b"".join([body[k] for k in i.tolist()]) for _, i in parts], pa.binary())})
+        pid = np.sort(np.fromiter(entry, np.uint64, len(entry)))
+        keys = np.fromiter((entry[p][0] for p in pid.tolist()), np.uint64, len(pid))
+        for p, idx in _by_shard(keys, self.shards):
+            ids = pid[idx].tolist()
+            yield p, ids, [entry[i] for i in ids]
+
+
+def _round_one(shards: int):
+    """Chunk -> its distinct trigger grams, by shard; ``twice``: in several of its documents."""
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        c = Chunk(table, answers, shards)
+        g, twice = c.grams()
+        parts = list(_by_shard(g, shards))
+        return pa.table({"shard": pa.array([p for p, _ in parts], pa.int32()), "chunk": pa.array([c.number] * len(parts), pa.int32()),
+                         "grams": _binary([_blob(g[i]) for _, i in parts]), "twice": _binary([_bits(twice[i]) for _, i in parts])})
     return run
 
 
-def _smallest(shard: pa.Table) -> pa.Table:
-    """Shard -> for each chunk its pieces with the smallest doc_id of each window.
+def _repeated(hot_chunks: int):
+    """Shard -> for each chunk a bit for each of its grams: in several documents, and hot."""
+    def run(shard: pa.Table) -> pa.Table:
+        grams = [np.frombuffer(b, np.uint64) for b in shard["grams"].to_pylist()]
+        twice = [_flags(b, len(g)) for b, g in zip(shard["twice"].to_pylist(), grams)]
+        _, inverse, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+        many = count > 1
+        many[inverse[np.concatenate(twice)]] = True
+        hot = many & (count >= hot_chunks)
+        cut = np.cumsum([len(x) for x in grams])[:-1]
+        return pa.table({"chunk": shard["chunk"], "shard": shard["shard"],
+                         "shared": _binary([_bits(x) for x in np.split((many & ~hot)[inverse], cut)]),
+                         "hot": _binary([_bits(x) for x in np.split(hot[inverse], cut)])})
+    return run
+
+
+def _round_two(shards: int):
+    """Chunk -> its dictionary: each looked-at piece once with its smallest doc_id, by shard."""
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        c = Chunk(table, answers, shards)
+        parts = list(c.dictionary(*c.known()))
+        return pa.table({
+            "shard": pa.array([p for p, _, _ in parts], pa.int32()), "chunk": pa.array([c.number] * len(parts), pa.int32()),
+            "key": _binary([np.array([e[0] for e in es], np.uint64).tobytes() for _, _, es in parts]),
+            "least": _binary([np.array([e[1] for e in es], np.int64).tobytes() for _, _, es in parts]),
+            "size": _binary([bytes(len(e[2]) for e in es) for _, _, es in parts]),
+            "body": _binary([b"".join([e[2] for e in es]) for _, _, es in parts])})
+    return run
+
+
+def _least_of_windows(body, start, windows, least, ids, at) -> None:
+    """Puts the smallest ``least`` of each window of the phrases into ``ids``: the
+    phrases' suffixes in one order, equal windows side by side."""
+    owner = np.repeat(np.arange(len(start)), windows)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    text = np.ascontiguousarray(body[(start[owner] + offset)[:, None] + np.arange(WIDTH)]).view(f"S{WIDTH}").ravel()
+    by = np.lexsort((least[owner], text))
+    first = np.append(True, text[by][1:] != text[by][:-1])
+    low = np.empty(len(owner), np.int64)
+    low[by] = least[owner][by][np.flatnonzero(first)[np.cumsum(first) - 1]]
+    ids[at[owner] + offset] = low
+
+
+def _smallest(shard: pa.Table, sort_windows: int) -> pa.Table:
+    """Shard -> for each chunk the smallest doc_ids of its pieces, in its order.
 
     ``runs`` is how many ids a piece has: one for all of its windows, or one
     for each.
     """
-    pids = [np.frombuffer(b, np.uint64) for b in shard["pid"].to_pylist()]
-    pid, key = np.concatenate(pids), _joined(shard["key"].to_pylist(), np.uint64)
-    least, size = _joined(shard["least"].to_pylist(), np.int64), _joined(shard["size"].to_pylist(), np.uint8).astype(np.int64)
-    body = _joined(shard["body"].to_pylist(), np.uint8)
-    start = np.cumsum(size) - size
+    import xxhash
+    sizes = [np.frombuffer(b, np.uint8).astype(np.int64) for b in shard["size"].to_pylist()]
+    size, key = np.concatenate(sizes), np.frombuffer(b"".join(shard["key"].to_pylist()), np.uint64)
+    least = np.frombuffer(b"".join(shard["least"].to_pylist()), np.int64)
+    raw = b"".join(shard["body"].to_pylist())
+    body, start = np.frombuffer(raw, np.uint8), np.cumsum(size) - size
+    pid = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:a + n]) for a, n in zip(start.tolist(), size.tolist())), np.uint64, len(size))
     order = np.lexsort((least, pid, key))
-    new = np.append(True, (pid[order][1:] != pid[order][:-1]) | (key[order][1:] != key[order][:-1])) if len(order) else np.empty(0, bool)
+    new = np.append(True, (pid[order][1:] != pid[order][:-1]) | (key[order][1:] != key[order][:-1]))
     one = order[new]  # of each phrase the entry of smallest doc_id
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(new) - 1
-    k1, least1, windows = key[one], least[one], size[one] - WIDTH + 1
+    k1, least1, windows, start1 = key[one], least[one], size[one] - WIDTH + 1, start[one]
     shared = np.append(k1[1:] == k1[:-1], False) | np.append(False, k1[1:] == k1[:-1])
     runs = np.where(shared, windows, 1)
     at = np.cumsum(runs) - runs
     ids = np.repeat(least1, runs)
-    if shared.any():  # phrases with a common trigger: order their suffixes
-        multi = np.flatnonzero(shared)
-        count = windows[multi]
-        owner = np.repeat(multi, count)
-        offset = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        begin = start[one[owner]] + offset
-        text = np.ascontiguousarray(body[begin[:, None] + np.arange(WIDTH)]).view(f"S{WIDTH}").ravel()
-        by = np.lexsort((least1[owner], text))
-        first = np.append(True, text[by][1:] != text[by][:-1])
-        low = np.empty(len(owner), np.int64)
-        low[by] = least1[owner][by][np.flatnonzero(first)[np.cumsum(first) - 1]]
-        ids[at[owner] + offset] = low
-    out_runs, out_ids, done = [], [], 0
-    for p in pids:
-        w = which[done:done + len(p)]
-        done += len(p)
+    multi = np.flatnonzero(shared)  # phrases with a common trigger, by trigger
+    done = np.cumsum(windows[multi])
+    border = np.flatnonzero(np.append(k1[multi][1:] != k1[multi][:-1], True)) + 1 if len(multi) else multi
+    a = 0
+    while a < len(multi):  # some triggers at a time, never part of one
+        over = np.searchsorted(done[border - 1], (done[a - 1] if a else 0) + sort_windows, side="right") - 1
+        b = int(border[max(over, np.searchsorted(border, a, side="right"))])
+        m = multi[a:b]
+        _least_of_windows(body, start1[m], windows[m], least1[m], ids, at[m])
+        a = b
+    out_runs, out_ids, done_rows = [], [], 0
+    for n in map(len, sizes):
+        w = which[done_rows:done_rows + n]
+        done_rows += n
         r = runs[w]
         out_runs.append(_blob(r.astype(np.uint8)))
         out_ids.append(_blob(ids[np.repeat(at[w], r) + np.arange(r.sum()) - np.repeat(np.cumsum(r) - r, r)]))
-    return _table({"chunk": shard["chunk"], "pid": shard["pid"], "runs": pa.array(out_runs, pa.binary()),
-                   "ids": pa.array(out_ids, pa.binary())})
+    return pa.table({"chunk": shard["chunk"], "shard": shard["shard"], "runs": _binary(out_runs), "ids": _binary(out_ids)})
+
+
+def _sorted_shard(sort_windows: int):
+    def run(shard: pa.Table) -> pa.Table:
+        return _smallest(shard, sort_windows)
+    return run
 
 
-def _apply(with_kept: bool):
+def _apply(shards: int, with_kept: bool):
     """Chunk and what came back -> the result rows of its documents."""
-    def run(chunk: pa.Table, rows: pa.Table) -> pa.Table:
-        grams, hot = _known(rows)
-        pid = _joined(rows["pid"].to_pylist(), np.uint64)
-        runs = _joined(rows["runs"].to_pylist(), np.uint8).astype(np.int64)
-        ids = _joined(rows["ids"].to_pylist(), np.int64)
-        at = np.cumsum(runs) - runs
-        place = dict(zip(pid.tolist(), range(len(pid))))
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        c = Chunk(table, answers, shards)
+        grams, hot = c.known()
+        told = {r["shard"]: r for r in c.answers if r["runs"] is not None}
+        found: dict[int, np.ndarray] = {}  # piece -> smallest doc_id, of all its windows or of each
+        for p, ids, _ in c.dictionary(grams, hot):
+            runs = np.frombuffer(told[p]["runs"], np.uint8).astype(np.int64)
+            low, at = np.frombuffer(told[p]["ids"], np.int64), np.cumsum(runs) - runs
+            found.update((i, low[x:x + n]) for i, x, n in zip(ids, at.tolist(), runs.tolist()))
         spans, kept = [], []
-        for d, text in zip(chunk["doc_id"].to_pylist(), chunk["text"].to_pylist()):
+        for d, text, copy in c.docs:
             merged: list[list[int]] = []
-            for _, p, a, b in _pieces(text, grams, hot) if d is not None and len(place) else ():
-                k = place[p]
-                if runs[k] == 1:
-                    gone = [(a, b)] if ids[at[k]] < d else []
-                else:
-                    hit = np.flatnonzero(ids[at[k]:at[k] + runs[k]] < d)
-                    gone = [(a + int(x[0]), a + int(x[-1])) for x in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1) if len(x)]
-                for x, y in gone:  # first and last window that goes; phrases come in text order
-                    if merged and x <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], y + WIDTH)
+            if copy:
+                merged.append([0, len(text)])
+            elif found and d is not None:
+                for _, p, a, b in _pieces(text, grams, hot):
+                    low = found[p]
+                    if len(low) == 1:
+                        gone = [(a, b)] if low[0] < d else []
                     else:
-                        merged.append([x, y + WIDTH])
+                        hit = np.flatnonzero(low < d)
+                        gone = [(a + int(x[0]), a + int(x[-1])) for x in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1) if len(x)]
+                    for x, y in gone:  # first and last window that goes; phrases come in text order
+                        if merged and x <= merged[-1][1]:
+                            merged[-1][1] = max(merged[-1][1], y + WIDTH)
+                        else:
+                            merged.append([x, y + WIDTH])
             spans.append([z for s in merged for z in s])
             end, rest = 0, []
             for x, y in merged:
                 rest.append(text[end:x])
                 end = y
             kept.append(b"".join([*rest, text[end:]]))
-        out = {"doc_id": chunk["doc_id"], "n_bytes": pa.array([len(t) for t in chunk["text"].to_pylist()], pa.int64()),
+        out = {"doc_id": table["doc_id"], "n_bytes": pa.array([len(t) for _, t, _ in c.docs], pa.int64()),
                "n_removed": pa.array([sum(s[1::2]) - sum(s[::2]) for s in spans], pa.int64()),
                "spans": pa.array(spans, pa.list_(pa.int64())),
                "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())}
-        return _table(out | ({"kept": pa.array(kept, pa.binary())} if with_kept else {}))
+        return pa.table(out | ({"kept": _binary(kept)} if with_kept else {}))
     return run
 
 
-def remove_repeats(docs: DataFrame, with_kept: bool = False) -> DataFrame:
+def _packed(batches):
+    """Texts compressed one by one, before they are moved."""
+    import zstandard
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for b in slices(batches):
+        yield pa.RecordBatch.from_arrays([column(b, "chunk"), column(b, "doc_id"), _binary([pack(t) for t in column(b, "text").to_pylist()])],
+                                         names=["chunk", "doc_id", "packed"])
+
+
+def remove_repeats(docs: DataFrame, with_kept: bool = False, hot_chunks: int = HOT_CHUNKS,
+                   sort_windows: int = SORT_WINDOWS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, spans, kept_sha256[, kept]`` for every row of ``docs(doc_id, text)``.
 
     Texts are UTF-8 bytes; ``spans`` are the maximal removed runs as start,
@@ -289,7 +360,8 @@ def remove_repeats(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     texts count as empty; texts of fewer than 50 bytes lose nothing; a row
     without doc_id loses nothing and takes nothing from others; rows that
     repeat a doc_id are the same document, so neither takes from the other.
-    Other columns are not looked at.
+    Other columns are not looked at. ``hot_chunks`` and ``sort_windows`` do not
+    change the result.
     """
     spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -297,21 +369,35 @@ def remove_repeats(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(3 * n, math.ceil(size / CHUNK_BYTES))
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
+
+    # whole copies: a text's documents but the one of smallest id
+    hashes = written(rows.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WIDTH)).select(
+        "chunk", "doc_id", F.xxhash64("text").alias("hash"), F.xxhash64(F.lit(1), "text").alias("hash2")), "repeats-hashes")
+    first = hashes.groupBy("hash", "hash2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    copies = written(hashes.join(first, ["hash", "hash2"]).where("doc_id > first").select("chunk", "doc_id", "hash"), "repeats-copies")
+
     name = f"llm_repeats_{uuid.uuid4().hex}"
-    (rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int")).repartition(n, "chunk")
-     .write.format("parquet").bucketBy(n, "chunk").sortBy("chunk").option("compression", "zstd")
+    (rows.mapInArrow(_packed, "chunk int, doc_id long, packed binary").repartition(n, "chunk")
+     .write.format("parquet").bucketBy(n, "chunk").sortBy("chunk").option("compression", "none")
      .option("path", scratch(spark, "repeats")).saveAsTable(name))
-    table = spark.table(name).select("chunk", "doc_id", "text")
-
-    sent = table.groupBy("chunk").applyInArrow(_round_one(n), "shard int, chunk int, once binary, twice binary")
-    back = written(sent.groupBy("shard").applyInArrow(_repeated, "chunk int, grams binary, hot binary"), "repeats-grams")
-    entries = table.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(
-        _round_two(n), "shard int, chunk int, pid binary, key binary, least binary, size binary, body binary")
-    found = entries.groupBy("shard").applyInArrow(_smallest, "chunk int, pid binary, runs binary, ids binary")
-    both = back.unionByName(found, allowMissingColumns=True)
-    return table.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(
-        _apply(with_kept), "doc_id long, n_bytes long, n_removed long, spans array<long>, kept_sha256 string"
-                           + ", kept binary" * with_kept)
+    table = spark.table(name).select("chunk", "doc_id", "packed").groupBy("chunk")
+
+    def answers(*tables: DataFrame):
+        """What came back to the chunks, as one table."""
+        every = spark.createDataFrame([], "chunk int, doc_id long, hash long, shard int, shared binary, hot binary, runs binary, ids binary")
+        for t in tables:
+            every = every.unionByName(t, allowMissingColumns=True)
+        return every.groupBy("chunk")
+
+    sent = table.cogroup(answers(copies)).applyInArrow(_round_one(n), "shard int, chunk int, grams binary, twice binary")
+    shared = written(sent.groupBy("shard").applyInArrow(_repeated(hot_chunks), "chunk int, shard int, shared binary, hot binary"), "repeats-grams")
+    entries = table.cogroup(answers(copies, shared)).applyInArrow(
+        _round_two(n), "shard int, chunk int, key binary, least binary, size binary, body binary")
+    found = entries.groupBy("shard").applyInArrow(_sorted_shard(sort_windows), "chunk int, shard int, runs binary, ids binary")
+    return table.cogroup(answers(copies, shared, found)).applyInArrow(
+        _apply(n, with_kept), "doc_id long, n_bytes long, n_removed long, spans array<long>, kept_sha256 string"
+                              + ", kept binary" * with_kept)
 
 
 def op7_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,8 +30,8 @@ def brute(rows):
     return sorted(out)
 
 
-def run(spark, rows):
-    got = R.remove_repeats(documents(spark, rows), with_kept=True).collect()
+def run(spark, rows, **options):
+    got = R.remove_repeats(documents(spark, rows), with_kept=True, **options).collect()
     for r in got:
         assert hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 and sum(r.spans[1::2]) - sum(r.spans[::2]) == r.n_removed
     return sorted((str(r.doc_id), r.n_bytes, r.n_removed, len(r.spans) // 2, r.kept_sha256) for r in got)
@@ -50,11 +50,11 @@ def cases():
     return [*zip(ids, texts), (5000, texts[0]), (5000, texts[0]), (-7, texts[1]), *(r for r in ODD if r[0] != 1004), (1004, "long " * 300)]
 
 
-@pytest.mark.parametrize("hot", [128, 2, 1])  # 2 and 1: phrases sent window by window
-def test_against_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(R, "HOT_CHUNKS", hot)
+# hot_chunks 2 and 1: phrases sent window by window; sort_windows 1: a trigger at a time
+@pytest.mark.parametrize("options", [{}, {"hot_chunks": 2, "sort_windows": 1}, {"hot_chunks": 1}, {"sort_windows": 1}])
+def test_against_brute_force(spark, options):
     rows = cases()
-    assert run(spark, rows) == brute(rows)
+    assert run(spark, rows, **options) == brute(rows)
 
 
 def test_parse_covers_every_window_once():
