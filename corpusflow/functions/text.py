@@ -154,22 +154,33 @@ def strip_wf_tags(c) -> Column:
     return F.regexp_replace(_col(c), R.WORDFAST_TAG, "")
 
 
-ALPHA_SPLIT = "[^\\p{L}\\p{N}'\\-]+"
-ALPHA_WORD = "^\\p{L}+$"
-ALPHA_RUN = "(?<![\\p{L}\\p{N}'\\-])\\p{L}+(?![\\p{L}\\p{N}'\\-])"
+# --- FIXED VALUES: languages with an apostrophe rule of their own -------------
+APOSTROPHE_LEFT = ("en",)         # don't -> don + 't
+APOSTROPHE_RIGHT = ("fr", "it")   # l'homme -> l' + homme
 
+_RUN = "(?<![\\p{L}\\p{N}\\-])%s\\p{L}+(?![\\p{L}\\p{N}\\-])%s"
+ALPHA_RUN = _RUN % ("", "")
+ALPHA_RUN_LEFT = _RUN % ("(?<![\\p{L}\\p{N}]')", "")
+ALPHA_RUN_RIGHT = _RUN % ("", "(?!'\\p{L})")
 
-def alpha_tokens(c) -> Column:
-    """TXT8: alphabetic word tokens.
 
-    Text is cut at every character that is not a letter, digit, apostrophe or
-    hyphen; a token is kept only if it is letters alone, so ``don't``,
-    ``co-op`` and ``abc123`` are not words, as a Moses tokeniser followed by
-    ``isalpha()`` would treat them.
+def alpha_tokens(c, lang=None) -> Column:
+    """TXT8: the tokens of a Moses tokeniser that are letters alone.
+
+    Text is cut at every character that is not a letter, digit or hyphen, so
+    ``co-op`` and ``abc123`` are no words. An apostrophe between letters stays
+    with what follows in English (``don't`` gives ``don``), with what precedes
+    in French and Italian (``l'homme`` gives ``homme``), and is a token of its
+    own elsewhere (``mae'r`` gives ``mae``, ``r``). ``lang`` is a code, a
+    column of codes, or None (no language rule).
     """
-    # one native pass: a run of letters not touching a letter, digit,
-    # apostrophe or hyphen is exactly a split piece made of letters only
-    return F.regexp_extract_all(_col(c), F.lit(ALPHA_RUN), 0)
+    # one native pass; the pattern is chosen per row, not the expression copied
+    if lang is None or isinstance(lang, str):
+        run = F.lit(ALPHA_RUN_LEFT if lang in APOSTROPHE_LEFT else ALPHA_RUN_RIGHT if lang in APOSTROPHE_RIGHT else ALPHA_RUN)
+    else:
+        run = (F.when(lang.isin(*APOSTROPHE_LEFT), F.lit(ALPHA_RUN_LEFT))
+               .when(lang.isin(*APOSTROPHE_RIGHT), F.lit(ALPHA_RUN_RIGHT)).otherwise(F.lit(ALPHA_RUN)))
+    return F.regexp_extract_all(_col(c), run, F.lit(0))
 
 
 SENT_MARK = "␞"

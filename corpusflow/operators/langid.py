@@ -2,18 +2,16 @@
 
 The reference calls a per-sentence detector library. Here a character
 trigram profile is trained from labelled text with one aggregate, and texts
-are scored by joining their trigrams to the profile. The profile has at most
-``top_n`` rows per language, so its size is bounded by ``top_n * languages``
-whatever the corpus size, which is what makes broadcasting it safe.
+are scored by joining their trigrams to the profile, which keeps every trigram
+seen; AQE decides by its measured size whether it is broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 3
-DEFAULT_TOP_N = 400
 DEFAULT_MARGIN = 0.05  # minimum score gap per trigram between best and runner-up
 
 
@@ -28,27 +26,25 @@ def char_grams(c, n: int = GRAM) -> F.Column:
     there is no per-element lambda and no ``substring`` walk (either would
     cost per gram, or quadratic time in the text length).
     """
-    return F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
+    # each match takes one code point, so none starts inside a surrogate pair
+    return F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))."), 1)
 
 
-def train_lang_profile(df: DataFrame, top_n: int = DEFAULT_TOP_N,
-                       lang: str = "lang", text: str = "text") -> DataFrame:
-    """LID1: ``(lang, gram, cnt, logp, unseen_logp)``, top ``top_n`` grams per language.
+def train_lang_profile(df: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
+    """LID1: ``(lang, gram, cnt, logp, unseen_logp)`` of every trigram of each language.
 
     The explode is followed by a partial (map-side) aggregate, so the shuffle
-    carries one row per (partition, lang, gram), not one per trigram. The
-    top-n window is partitioned by language over already-aggregated counts.
+    carries one row per (partition, lang, gram), not one per trigram. Add-one
+    smoothing over the language's distinct trigrams; the totals are one row
+    per language.
     """
     counts = (df.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
               .select(F.col(lang).alias("lang"), F.explode(char_grams(padded(F.col(text)))).alias("gram"))
               .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("cnt")))
-    w = Window.partitionBy("lang").orderBy(F.col("cnt").desc(), F.col("gram"))
-    top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
-    totals = Window.partitionBy("lang")
-    denom = F.sum("cnt").over(totals) + F.lit(top_n)
-    return top.select("lang", "gram", "cnt",
-                      F.log((F.col("cnt") + 1) / denom).alias("logp"),
-                      F.log(F.lit(1.0) / denom).alias("unseen_logp"))
+    totals = counts.groupBy("lang").agg((F.sum("cnt") + F.count(F.lit(1))).alias("denom"))
+    return counts.join(totals, "lang").select(
+        "lang", "gram", "cnt", F.log((F.col("cnt") + 1) / F.col("denom")).alias("logp"),
+        F.log(F.lit(1.0) / F.col("denom")).alias("unseen_logp"))
 
 
 def detect_lang(df: DataFrame, profile: DataFrame, text: str = "text",
@@ -61,11 +57,10 @@ def detect_lang(df: DataFrame, profile: DataFrame, text: str = "text",
     text are candidates. A text is reliable when the best score beats the
     runner-up by ``margin`` per trigram.
     """
-    prof = F.broadcast(profile.select("lang", "gram", (F.col("logp") - F.col("unseen_logp")).alias("gain"),
-                                      "unseen_logp"))
+    prof = profile.select("lang", "gram", (F.col("logp") - F.col("unseen_logp")).alias("gain"), "unseen_logp")
     # Texts are keyed by a 96-bit hash pair so long strings never travel
     # through the shuffles; the partial aggregate runs before the first one.
-    key = text_key(F.col(text))
+    key = F.when(F.col(text).isNotNull(), text_key(F.col(text)))  # null texts meet nothing
     texts = (df.select(key.alias("_k"), F.col(text).alias("_t")).where(F.col("_t").isNotNull())
              .dropDuplicates(["_k"]))
     texts = texts.select("_k", padded(F.col("_t")).alias("_p"))
@@ -91,13 +86,16 @@ def text_key(c) -> F.Column:
     return F.struct(F.xxhash64(c).alias("h1"), F.hash(c).alias("h2"))
 
 
-def lang_gate(df: DataFrame, profile: DataFrame, margin: float = DEFAULT_MARGIN) -> DataFrame:
+def mismatched(df: DataFrame, profile: DataFrame, keys=("id",), margin: float = DEFAULT_MARGIN) -> DataFrame:
+    """Distinct ``keys`` of units of which a side is not detected as its declared
+    language. Both sides are one long table, scored in one pass."""
+    sides = df.select(*keys, F.expr("stack(2, source_lang, source, target_lang, target) AS (_declared, _text)"))
+    found = detect_lang(sides, profile, "_text", margin)
+    return found.where(~F.coalesce(F.col("detected") == F.col("_declared"), F.lit(False))).select(*keys).distinct()
+
+
+def lang_gate(df: DataFrame, profile: DataFrame, keys=("id",), margin: float = DEFAULT_MARGIN) -> DataFrame:
     """FLT5: mark units whose detected language differs from the declared one."""
     from corpusflow.operators.filters import LANG_MISMATCH
-    s = detect_lang(df, profile, "source", margin).withColumnRenamed("detected", "_ds")
-    t = detect_lang(s, profile, "target", margin).withColumnRenamed("detected", "_dt")
-    ok = (F.col("_ds") == F.col("source_lang")) & (F.col("_dt") == F.col("target_lang"))
-    return (t.withColumn("reject_reason",
-                         F.when(F.coalesce(ok, F.lit(False)), F.col("reject_reason"))
-                         .otherwise(F.lit(LANG_MISMATCH)))
-            .drop("_ds", "_dt"))
+    flag = mismatched(df, profile, keys, margin).withColumn("_off", F.lit(LANG_MISMATCH))
+    return df.join(flag, list(keys), "left").withColumn("reject_reason", F.coalesce("reject_reason", "_off")).drop("_off")

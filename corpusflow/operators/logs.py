@@ -7,7 +7,7 @@ Per-job running quantities (sentence deltas, pause-adjusted wall time,
 burst ids) are prefix sums. A window partitioned by job alone would put a
 whole job, possibly a third of all rows, into one task; instead every prefix
 sum is computed in parallel per (job, chunk of line numbers) and offset by a
-prefix over per-chunk totals, a table with one row per chunk.
+prefix over a per-chunk table (:func:`clock`).
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 TS = r"^\[(\d{4}-\d{2}-\d{2})\s+(\d{2}:\d{2}:\d{2})\]\s+"
 TRAIN_RE = (TS + r"Ep\.\s+(\d+)\s+:\s+Up\.\s+(\d+)\s+:\s+Sen\.\s+([\d,]+)\s+:\s+Cost\s+([\d.]+)\s+:\s+"
             r"Time\s+([\d.]+)s\s+:\s+([\d.]+)\s+words/s(?:\s+:\s+L\.r\.\s+([\d.]+(?:e[-+]?\d+)?))?")
-VALID_RE = (TS + r"\[valid\]\s+Ep\.\s+(\d+)\s+:\s+Up\.\s+(\d+)\s+:\s+([\w-]+)\s+:\s+([\d.]+)\s+:\s+"
-            r"(new best|[\w]+\s+(\d+))")
+VALID_RE = (TS + r"\[valid\]\s+Ep\.\s+(\d+)\s+:\s+Up\.\s+(\d+)\s+:\s+(\S+)\s+:\s+([\d.]+)\s+:\s+"
+            r"(new best|stalled\s+(\d+))")
 DEVICES_RE = r"--devices((?:\s+\d+)+)"
 PAUSE_SECONDS = 1200
 FINISHED = "finished"
@@ -42,34 +42,56 @@ def line_kind(line: Column) -> Column:
             .otherwise(F.lit("other")))
 
 
+FIELD_SEP = "\u0001"
+
+
+def _fields(line: Column, pattern: str, groups) -> Column:
+    """The ``groups`` of ``pattern`` in one run of the regex; one item where it does not match."""
+    repl = FIELD_SEP.join(["", *(f"${g}" for g in groups)])
+    return F.split(F.regexp_replace(line, pattern + ".*$", repl), FIELD_SEP)
+
+
+def _typed(fields: str, i: int, kind: str) -> Column:
+    return F.nullif(F.try_element_at(F.col(fields), F.lit(i + 1)), F.lit("")).try_cast(kind)
+
+
+def parse_lines(df: DataFrame, text: str = "value") -> DataFrame:
+    """LOG1-LOG4 in one pass: ``job, line_no, kind, ts`` and the typed fields of
+    train lines (``epoch, up, sen, cost, time_s, wps, lr``), validation lines
+    (``epoch, up, metric, value, stalled``, 0 on ``new best``) and device lines
+    (``gpus``). Each line meets one pattern once; unparsable train lines keep
+    nulls, unparsable validation lines are kind ``other``.
+    """
+    line = F.col(text)
+    kind = line_kind(line)
+    d = df.select("job", "line_no", kind.alias("kind"), wall_time(line).alias("ts"), line.alias("_line"))
+    d = d.withColumn("_f", F.when(F.col("kind") == "train", _fields(F.col("_line"), TRAIN_RE, range(3, 10)))
+                     .when(F.col("kind") == "valid", _fields(F.col("_line"), VALID_RE, range(3, 9))))
+    train, valid = F.col("kind") == "train", F.col("kind") == "valid"
+    ids = F.regexp_extract("_line", DEVICES_RE, 1)
+    return d.select(
+        "job", "line_no", F.when(valid & (F.size("_f") < 2), F.lit("other")).otherwise(F.col("kind")).alias("kind"), "ts",
+        _typed("_f", 1, "int").alias("epoch"), _typed("_f", 2, "bigint").alias("up"),
+        F.when(train, F.replace(F.try_element_at("_f", F.lit(4)), F.lit(","), F.lit("")).try_cast("bigint")).alias("sen"),
+        F.when(train, _typed("_f", 4, "double")).alias("cost"), F.when(train, _typed("_f", 5, "double")).alias("time_s"),
+        F.when(train, _typed("_f", 6, "double")).alias("wps"), F.when(train, _typed("_f", 7, "double")).alias("lr"),
+        F.when(valid, F.try_element_at("_f", F.lit(4))).alias("metric"), F.when(valid, _typed("_f", 4, "double")).alias("value"),
+        F.when(valid, F.when(F.try_element_at("_f", F.lit(6)) == "new best", F.lit(0)).otherwise(_typed("_f", 6, "int"))).alias("stalled"),
+        F.when(F.col("kind") == "devices", F.size(F.filter(F.split(F.trim(ids), r"\s+"), lambda x: x != ""))).alias("gpus"))
+
+
+TRAIN_FIELDS = ["job", "line_no", "ts", "epoch", "up", "sen", "cost", "time_s", "wps", "lr"]
+VALID_FIELDS = ["job", "line_no", "ts", "epoch", "up", "metric", "value", "stalled"]
+
+
 def parse_train(df: DataFrame, text: str = "value") -> DataFrame:
     """LOG1: train lines -> typed fields; unparsable train lines keep nulls."""
-    line = F.col(text)
-    g = lambda i: F.regexp_extract(line, TRAIN_RE, i)
-    lr = F.regexp_extract(line, TRAIN_RE, 9)
-    return (df.where(line_kind(line) == "train")
-            .select("job", "line_no", wall_time(line).alias("ts"),
-                    g(3).try_cast("int").alias("epoch"),
-                    g(4).try_cast("bigint").alias("up"),
-                    F.replace(g(5), F.lit(","), F.lit("")).try_cast("bigint").alias("sen"),
-                    g(6).try_cast("double").alias("cost"),
-                    g(7).try_cast("double").alias("time_s"),
-                    g(8).try_cast("double").alias("wps"),
-                    F.when(lr != "", lr.try_cast("double")).alias("lr")))
+    return parse_lines(df, text).where("kind = 'train'").select(*TRAIN_FIELDS)
 
 
 def parse_valid(df: DataFrame, text: str = "value") -> DataFrame:
     """LOG2: validation lines -> metric, value, stalled (0 on ``new best``)."""
-    line = F.col(text)
-    g = lambda i: F.regexp_extract(line, VALID_RE, i)
-    return (df.where(line_kind(line) == "valid")
-            .where(line.rlike(VALID_RE))
-            .select("job", "line_no", wall_time(line).alias("ts"),
-                    g(3).try_cast("int").alias("epoch"),
-                    g(4).try_cast("bigint").alias("up"),
-                    g(5).alias("metric"),
-                    g(6).try_cast("double").alias("value"),
-                    F.when(g(7) == "new best", F.lit(0)).otherwise(g(8).try_cast("int")).alias("stalled")))
+    return parse_lines(df, text).where("kind = 'valid'").select(*VALID_FIELDS)
 
 
 def gpu_count(df: DataFrame, text: str = "value") -> DataFrame:
@@ -82,48 +104,6 @@ def gpu_count(df: DataFrame, text: str = "value") -> DataFrame:
 
 # --- parallel prefix sums ----------------------------------------------------------
 
-def running_sums(df: DataFrame, part: str, order: list, sums: dict, chunk: Column | None = None,
-                 exclusive: bool = False) -> DataFrame:
-    """Prefix sums per ``part`` in ``order``, computed chunk-parallel.
-
-    ``sums`` maps output name -> numeric Column. ``chunk`` must be monotone in
-    ``order`` (default: ``line_no`` // CHUNK_LINES). Each chunk is a window
-    partition of bounded size; the offsets come from a window over the
-    per-chunk totals (one row per chunk), joined back on (part, chunk).
-    """
-    chunk = chunk if chunk is not None else F.floor(F.col("line_no") / CHUNK_LINES)
-    d = df.withColumn("_chunk", chunk)
-    for name, expr in sums.items():
-        d = d.withColumn(f"_v_{name}", expr)
-    frame = (Window.unboundedPreceding, -1) if exclusive else (Window.unboundedPreceding, 0)
-    w = Window.partitionBy(part, "_chunk").orderBy(*order).rowsBetween(*frame)
-    for name in sums:
-        d = d.withColumn(f"_l_{name}", F.coalesce(F.sum(f"_v_{name}").over(w), F.lit(0)))
-    totals = d.groupBy(part, "_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
-    wc = Window.partitionBy(part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(part, "_chunk", *[F.coalesce(F.sum(f"_t_{n}").over(wc), F.lit(0)).alias(f"_o_{n}")
-                                              for n in sums])
-    out = d.join(offsets, [part, "_chunk"], "left")
-    for name in sums:
-        out = out.withColumn(name, F.col(f"_l_{name}") + F.col(f"_o_{name}"))
-    drop = ["_chunk"] + [f"_{p}_{n}" for n in sums for p in ("v", "l", "o")]
-    return out.drop(*drop)
-
-
-def previous_value(df: DataFrame, part: str, order: list, value: str, name: str,
-                   chunk: Column | None = None) -> DataFrame:
-    """``lag(value)`` per ``part`` across chunk borders, chunk-parallel."""
-    chunk = chunk if chunk is not None else F.floor(F.col("line_no") / CHUNK_LINES)
-    d = df.withColumn("_chunk", chunk)
-    w = Window.partitionBy(part, "_chunk").orderBy(*order)
-    d = d.withColumn("_lag", F.lag(value).over(w))
-    last = d.groupBy(part, "_chunk").agg(F.max_by(F.col(value), F.struct(*order)).alias("_last"))
-    wc = Window.partitionBy(part).orderBy("_chunk")
-    prev = last.select(part, "_chunk", F.lag("_last").over(wc).alias("_prev_chunk_last"))
-    out = d.join(prev, [part, "_chunk"], "left")
-    return out.withColumn(name, F.coalesce("_lag", "_prev_chunk_last")).drop("_chunk", "_lag", "_prev_chunk_last")
-
-
 def carry_forward(df: DataFrame, part: str, order: list, value: str, name: str,
                   chunk: Column | None = None) -> DataFrame:
     """Last non-null ``value`` at or before each row, per ``part``, chunk-parallel."""
@@ -150,66 +130,126 @@ def with_gpus(lines: DataFrame, train: DataFrame) -> DataFrame:
             .drop("_g", "_is_train"))
 
 
-ORDER = ["line_no"]
+US = 1_000_000
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Write a stage once (reliable ``checkpoint`` into ``spark.checkpoint.dir``).
+def clock(lines: DataFrame, threshold: int = PAUSE_SECONDS, carry: DataFrame | None = None,
+          chunk: Column | None = None) -> DataFrame:
+    """LOG5, LOG6, LOG13 and the fields of LOG4 in one chunked pass.
 
-    Every chunk-parallel step reads its input twice (window branch and
-    per-chunk totals branch) and steps are nested, so without a cut the log
-    lines would be re-read and re-parsed 2^steps times.
+    ``lines`` has ``job, line_no, ts`` and any of ``kind, sen, gpus`` plus what
+    else is to be carried. Train and validation lines share one clock (all
+    lines, without ``kind``). Adds ``gap`` (seconds since the clock line
+    before), ``adj_ts`` (the time in seconds without pauses: of each gap over
+    ``threshold`` the excess over the mean of the short gaps so far is taken
+    out of every later time; the reference's running mean is miscomputed, Q12,
+    this is the true one), ``burst`` (gaps over ``threshold`` so far),
+    ``sen_diff`` (sentences since the last train line) and ``gpus_now`` (of the
+    latest devices line, 0 if none).
+
+    Per-job running values are prefix sums in two rounds: local ones in each
+    (job, chunk of line numbers), and a table of one row per chunk for what
+    comes before it, so a job that holds a third of all lines is still spread
+    over many tasks. The lines are read, parsed and shuffled once and written
+    (reliable ``checkpoint``) before the rounds. Arithmetic is in integer
+    microseconds, so the result does not depend on the chunks. ``carry`` (see
+    :func:`carry_of`) continues jobs from earlier lines.
     """
+    d = lines.withColumns({"_t": F.unix_micros("ts"), "_chunk": chunk if chunk is not None else F.floor(F.col("line_no") / CHUNK_LINES)})
+    for c, kind in (("sen", "bigint"), ("gpus", "int")):
+        if c not in d.columns:
+            d = d.withColumn(c, F.lit(None).cast(kind))
+    d = d.withColumn("_c", F.when(F.col("kind").isin("train", "valid"), F.col("_t")) if "kind" in d.columns else F.col("_t"))
+    order = Window.partitionBy("job", "_chunk").orderBy("line_no")
+    before, upto = (order.rowsBetween(Window.unboundedPreceding, k) for k in (-1, 0))
+    d = d.withColumns({"_pt": F.last("_c", ignorenulls=True).over(before), "_psen": F.last("sen", ignorenulls=True).over(before),
+                       "_gpus": F.last("gpus", ignorenulls=True).over(upto)})
+    limit = threshold * US
+    step = F.col("_c") - F.col("_pt")
+    d = d.withColumns({"_short": F.when(step <= limit, step), "_long": F.when(step > limit, 1).otherwise(0)})
+    d = d.withColumns({"_ls": F.coalesce(F.sum("_short").over(upto), F.lit(0)), "_ln": F.count("_short").over(upto),
+                       "_ll": F.sum("_long").over(upto)})
+    d = _cut(d)
+
+    at = lambda c: F.when(F.col(c).isNotNull(), F.col("line_no"))
+    parts = d.groupBy("job", "_chunk").agg(
+        F.min_by("_c", at("_c")).alias("first"), F.max_by("_c", at("_c")).alias("last"), F.max_by("sen", at("sen")).alias("sen"),
+        F.max_by("gpus", at("gpus")).alias("gpus"), F.coalesce(F.sum("_short"), F.lit(0)).alias("s"), F.count("_short").alias("n"),
+        F.sum("_long").alias("l"))
+    if carry is not None:
+        parts = parts.unionByName(carry.select("job", F.lit(-1).cast("bigint").alias("_chunk"), F.lit(None).cast("bigint").alias("first"),
+                                               F.col("t").alias("last"), "sen", "gpus", "s", "n", "l"))
+    earlier = Window.partitionBy("job").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumns({"_et": F.last("last", ignorenulls=True).over(earlier), "_esen": F.last("sen", ignorenulls=True).over(earlier),
+                               "_egpus": F.last("gpus", ignorenulls=True).over(earlier)})
+    border = F.col("first") - F.col("_et")  # the gap into the chunk
+    parts = parts.withColumns({"_bs": F.when(border <= limit, border).otherwise(0), "_bn": F.when(border <= limit, 1).otherwise(0),
+                               "_bl": F.when(border > limit, 1).otherwise(0)})
+    so_far = lambda own, edge: F.coalesce(F.sum(F.col(own) + F.col(edge)).over(earlier), F.lit(0)) + F.col(edge)
+    parts = parts.select("job", "_chunk", "_et", "_esen", "_egpus", so_far("s", "_bs").alias("_es"), so_far("n", "_bn").alias("_en"),
+                         so_far("l", "_bl").alias("_el"))
+
+    x = d.join(parts, ["job", "_chunk"])
+    gap = F.col("_c") - F.coalesce("_pt", "_et")
+    # lines before the chunk's first clock line are not past its border
+    inside = F.col("_c").isNotNull()
+    x = x.withColumns({"_gap": gap, "_n": F.col("_ln") + F.col("_en"), "_s": F.col("_ls") + F.col("_es"),
+                       "burst": F.when(inside, F.col("_ll") + F.col("_el")).cast("bigint")})
+    mean = F.when(F.col("_n") > 0, F.round(F.col("_s") / F.col("_n"))).otherwise(F.lit(0)).cast("bigint")
+    x = x.withColumn("_out", F.when(F.col("_gap") > limit, F.col("_gap") - mean).otherwise(F.lit(0)))
+    out = x.groupBy("job", "_chunk").agg(F.sum("_out").alias("o"))
+    if carry is not None:
+        out = out.unionByName(carry.select("job", F.lit(-1).cast("bigint").alias("_chunk"), F.col("g").alias("o")))
+    out = out.select("job", "_chunk", F.coalesce(F.sum("o").over(earlier), F.lit(0)).alias("_eg"))
+    x = x.withColumn("_lg", F.sum("_out").over(upto)).join(out, ["job", "_chunk"])
+    x = x.withColumns({
+        "_g": F.col("_lg") + F.col("_eg"), "gap": F.col("_gap") / F.lit(float(US)),
+        "sen_diff": F.col("sen") - F.coalesce("_psen", "_esen", F.lit(0)), "gpus_now": F.coalesce("_gpus", "_egpus", F.lit(0))})
+    x = x.withColumn("adj_ts", (F.col("_c") - F.col("_g")) / F.lit(float(US)))
+    return x.drop("_t", "_chunk", "_pt", "_psen", "_gpus", "_short", "_long", "_ls", "_ln", "_ll", "_et", "_esen", "_egpus", "_es", "_en",
+                  "_el", "_gap", "_out", "_lg", "_eg")
+
+
+STATE = "job string, t bigint, s bigint, n bigint, l bigint, g bigint, sen bigint, gpus int, at timestamp"
+
+
+def carry_of(clocked: DataFrame, carry: DataFrame | None = None) -> DataFrame:
+    """One row per job to continue :func:`clock` from: the last line's time, the
+    sum and number of short gaps, pauses, time taken out, sentences, GPUs."""
+    at = lambda c: F.when(F.col(c).isNotNull(), F.col("line_no"))
+    last = lambda c: F.max_by(F.when(F.col("_c").isNotNull(), F.col(c)), at("_c"))
+    new = clocked.groupBy("job").agg(
+        F.max_by("_c", at("_c")).alias("t"), last("_s").alias("s"), last("_n").cast("bigint").alias("n"), last("burst").alias("l"),
+        last("_g").alias("g"), F.max_by("sen", at("sen")).alias("sen"), F.max_by("gpus", at("gpus")).alias("gpus"), F.max("ts").alias("at"))
+    if carry is None:
+        return new.select(*(f.split(" ")[0] for f in STATE.split(", ")))
+    old = carry.select(F.col("job").alias("_job"), *(F.col(c).alias(f"_o{c}") for c in ("t", "s", "n", "l", "g", "sen", "gpus", "at")))
+    both = new.join(old, F.col("job") == F.col("_job"), "full")
+    return both.select(F.coalesce("job", "_job").alias("job"),
+                       *(F.coalesce(c, f"_o{c}").alias(c) for c in ("t", "s", "n", "l", "g", "sen", "gpus", "at")))
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """Write a stage once (reliable ``checkpoint`` into ``spark.checkpoint.dir``):
+    it is read for the per-chunk table and for the rows."""
     from corpusflow.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
 def sentences_diff(train: DataFrame) -> DataFrame:
-    """LOG5: sentences since the previous train line of the job (first from 0).
-
-    Runs one eager checkpoint of the input (see ``_cut``).
-    """
-    d = previous_value(_cut(train), "job", ORDER, "sen", "_prev_sen")
-    return d.withColumn("sen_diff", F.col("sen") - F.coalesce("_prev_sen", F.lit(0))).drop("_prev_sen")
+    """LOG5: sentences since the previous train line of the job (first from 0)."""
+    return clock(train).select(*train.columns, "sen_diff")
 
 
 def pause_adjusted(lines: DataFrame, threshold: int = PAUSE_SECONDS) -> DataFrame:
-    """LOG6: wall time minus pauses (train and valid lines share one clock).
-
-    gap = time since the previous line of the job; a gap over ``threshold``
-    is a pause and ``gap - mean(short gaps so far)`` is taken out of every
-    later time. The reference's running mean is miscomputed (Q12); this is
-    the true mean. Input: ``job, line_no, ts``; adds ``gap``, ``adj_ts``
-    (seconds). Arithmetic is in integer microseconds, so the result is exact
-    and independent of how the prefix sums are split into chunks. Stages are
-    cut with eager checkpoints (see ``_cut``).
-    """
-    us = 1_000_000
-    base = _cut(lines.withColumn("_t", F.unix_micros("ts")))
-    d = _cut(previous_value(base, "job", ORDER, "_t", "_pt"))
-    gap = F.col("_t") - F.col("_pt")
-    long_gap = gap > threshold * us
-    short = gap.isNotNull() & ~long_gap
-    d = _cut(running_sums(d, "job", ORDER, {"_s": F.when(short, gap).otherwise(F.lit(0)),
-                                             "_n": F.when(short, F.lit(1)).otherwise(F.lit(0))}))
-    mean = F.when(F.col("_n") > 0, F.round(F.col("_s") / F.col("_n"))).otherwise(F.lit(0)).cast("bigint")
-    d = running_sums(d, "job", ORDER, {"_g": F.when(long_gap, gap - mean).otherwise(F.lit(0))})
-    return (d.withColumn("gap", gap / F.lit(float(us)))
-            .withColumn("adj_ts", (F.col("_t") - F.col("_g")) / F.lit(float(us)))
-            .drop("_t", "_pt", "_s", "_n", "_g"))
+    """LOG6: wall time minus pauses: ``job, line_no, ts`` plus ``gap``, ``adj_ts``."""
+    return clock(lines, threshold).select(*lines.columns, "gap", "adj_ts")
 
 
 def bursts(lines: DataFrame, threshold: int = PAUSE_SECONDS) -> DataFrame:
-    """LOG13: active bursts per job: a gap over ``threshold`` starts a new one.
-
-    Gaps-and-islands with a chunk-parallel prefix count as the burst id.
-    """
-    base = _cut(lines.withColumn("_t", F.unix_micros("ts")))
-    d = _cut(previous_value(base, "job", ORDER, "_t", "_pt"))
-    new = F.when((F.col("_t") - F.col("_pt")) > threshold * 1_000_000, F.lit(1)).otherwise(F.lit(0))
-    d = running_sums(d, "job", ORDER, {"burst": new})
-    return (d.groupBy("job", F.col("burst").cast("bigint").alias("burst"))
+    """LOG13: active bursts per job: a gap over ``threshold`` starts a new one."""
+    return (clock(lines, threshold).where(F.col("burst").isNotNull()).groupBy("job", "burst")
             .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count(F.lit(1)).alias("n_lines")))
 
 
@@ -234,21 +274,26 @@ def best_update(valid: DataFrame, metric: str = "bleu-detok") -> DataFrame:
                                 F.max("value").alias("best_value"))
 
 
-def to_scalars(train: DataFrame, valid: DataFrame) -> DataFrame:
-    """LOG7: long scalar rows ``(job, tag, step, wall_time, value)``.
-
-    One ``stack`` per input (a single projection, no union of re-scans).
-    """
-    tr = train.select("job", F.col("up").alias("step"), F.col("adj_ts").alias("wall_time"), F.expr(
-        "stack(7, 'train/epoch', CAST(epoch AS DOUBLE), 'train/sentences', CAST(sen AS DOUBLE),"
-        " 'train/sentences-diff', CAST(sen_diff AS DOUBLE), 'train/cost', cost, 'train/time[sec]', time_s,"
-        " 'train/speed[words per sec]', wps, 'train/learning_rate', lr) AS (tag, value)"))
-    wall = train.select("job", F.col("up").alias("step"), F.col("ts").cast("double").alias("wall_time"),
-                        F.lit("train/wall-clock").alias("tag"), F.col("ts").cast("double").alias("value"))
-    va = valid.select("job", F.col("up").alias("step"), F.col("adj_ts").alias("wall_time"), F.expr(
-        "stack(2, concat('valid/', metric), value, concat('valid/', metric, '_stalled'), CAST(stalled AS DOUBLE))"
-        " AS (tag, value)"))
-    return tr.unionByName(wall).unionByName(va)
+def to_scalars(clocked: DataFrame) -> DataFrame:
+    """LOG7: long scalar rows ``(job, tag, step, wall_time, value)`` of
+    :func:`clock` over :func:`parse_lines`: one projection, no self-join."""
+    row = lambda tag, value, wall="adj_ts": F.struct(
+        (tag if isinstance(tag, Column) else F.lit(tag)).alias("tag"), F.col(wall).cast("double").alias("wall_time"),
+        F.col(value).cast("double").alias("value"))
+    train = [row("train/epoch", "epoch"), row("train/sentences", "sen"), row("train/sentences-diff", "sen_diff"), row("train/cost", "cost"),
+             row("train/time[sec]", "time_s"), row("train/speed[words per sec]", "wps"), row("train/learning_rate", "lr"),
+             row("train/gpus", "gpus_now"), row("train/wall-clock", "ts", "ts")]
+    name = F.concat(F.lit("valid/"), F.col("metric"))
+    valid = [row(name, "value"), row(F.concat(name, F.lit("_stalled")), "stalled")]
+    rows = F.when(F.col("kind") == "train", F.array(*train)).otherwise(F.array(*valid))
+    return (clocked.where(F.col("kind").isin("train", "valid"))
+            .select("job", F.col("up").alias("step"), F.inline(rows)).select("job", "tag", "step", "wall_time", "value"))
+
+
+def avg_scalars(parsed: DataFrame) -> DataFrame:
+    """LOG7: ``valid-avg/<name>_bleu`` rows of :func:`parse_avg_logs`; they have no time."""
+    return parsed.select(F.lit(None).cast("string").alias("job"), F.concat(F.lit("valid-avg/"), F.col("name"), F.lit("_bleu")).alias("tag"),
+                         "step", F.lit(None).cast("double").alias("wall_time"), F.col("score").alias("value"))
 
 
 def parse_avg_logs(df: DataFrame, text: str = "value") -> DataFrame:

@@ -1,20 +1,19 @@
 """Corpus-level translation metrics (MET1-MET6) as aggregates.
 
-Input: a table with ``seg`` (a segment key, unique within ``keys``), the
-``keys`` to score by (e.g. ``split_n``), ``ref`` and ``hyp``. Every metric is
-one pass that builds per-segment sufficient statistics inside the row,
-aggregates them per key, and applies the closed form at the end, so all
-splits are scored in one job and nothing passes through the driver.
+Input: a table with the ``keys`` to score by (e.g. ``split_n``), ``ref`` and
+``hyp``. One Arrow-batched projection turns each segment into sufficient
+statistics (clipped n-gram matches, word edits, alignment hits), one aggregate
+sums them per key, and a closed form ends it. Segment text is never shuffled,
+no n-gram becomes a row, and all splits and metrics come from one scan.
 
 BLEU and chrF follow sacreBLEU 2.0.0 defaults (13a tokens, exp smoothing;
 char order 6, beta 2, whitespace removed). WER/MER/WIL and the edit rate are
-word-level Levenshtein statistics summed over segments.
+word-level Levenshtein statistics summed over segments. Where a sum is divided
+by no reference (or hypothesis) words the score is null.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -45,156 +44,169 @@ def tokenize_13a(c: Column) -> Column:
     return _ws_split(x)
 
 
-def _word_ngrams(toks: Column, max_n: int) -> Column:
-    """All word n-grams (n = 1..max_n) of a token array, as space-joined strings.
-
-    Tokens contain no spaces, so on the space-joined token string a
-    lookahead anchored at token starts yields every n-gram in one native
-    regex pass per order (no per-element lambda). The order of a gram is its
-    number of spaces + 1.
-    """
-    joined = F.array_join(toks, " ")
-    per_n = [F.regexp_extract_all(joined, F.lit("(?<![^ ])(?=([^ ]+" + "(?: [^ ]+)" * (n - 1) + "))"), 1)
-             for n in range(1, max_n + 1)]
-    return F.when(F.size(toks) > 0, F.flatten(F.array(*per_n))).otherwise(F.array().cast("array<string>"))
-
-
-def _word_order(g: Column) -> Column:
-    return F.size(F.split(g, " "))
-
-
-def _char_ngrams(s: Column, max_n: int) -> Column:
-    """All character n-grams (n = 1..max_n) of ``s``; the order is the length."""
-    return F.flatten(F.array(*[F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
-                               for n in range(1, max_n + 1)]))
+def _ids(*sides) -> list[np.ndarray]:
+    """Each side's items as integers that are equal where the items are."""
+    ids: dict = {}
+    return [np.fromiter((ids.setdefault(w, len(ids)) for w in side), np.int64, len(side)) for side in sides]
 
 
-def _matches(df: DataFrame, keys, hyp_grams: Column, ref_grams: Column, order) -> DataFrame:
-    """Per (keys, n): sum over segments of clipped matches min(count_h, count_r).
+def gram_statistics(hyp: np.ndarray, ref: np.ndarray, order: int) -> list[tuple[int, int, int]]:
+    """(matches, hyp grams, ref grams) for n = 1..order.
 
-    Segments are hash-partitioned by seg first (a shuffle of the
-    segment rows only); both sides are exploded in one generator, and the
-    aggregate on (keys, seg, n, gram) is then satisfied by that partitioning,
-    so the n-gram rows themselves are never shuffled.
+    Grams of n items are numbered exactly: each is (number of its first n - 1
+    items, last item), renumbered from 0.
     """
-    seg = df.repartition("seg")  # a subset of the grouping keys satisfies the aggregate
-    seg = seg.select(*keys, "seg", hyp_grams.alias("_hg"), ref_grams.alias("_rg"))
-    # side tags by native arrays_zip (no per-gram lambda call)
-    tag = lambda a, v: F.arrays_zip(F.col(a), F.array_repeat(F.lit(v), F.size(a))).cast(
-        "array<struct<g:string,h:int>>")
-    both = seg.select(*keys, "seg", F.inline(F.concat(tag("_hg", 1), tag("_rg", 0))))
-    both = both.toDF(*keys, "seg", "g", "h")
-    per_gram = both.groupBy(*keys, "seg", "g").agg(F.sum("h").alias("h"), F.count(F.lit(1)).alias("_cnt"))
-    per_gram = per_gram.withColumn("r", F.col("_cnt") - F.col("h")).withColumn("n", order(F.col("g")))
-    return (per_gram.groupBy(*keys, "n")
-            .agg(F.sum(F.least("h", "r")).alias("match"), F.sum("h").alias("hyp_n"), F.sum("r").alias("ref_n")))
-
-
-def _pivot_orders(m: DataFrame, keys, max_n: int) -> DataFrame:
-    aggs = []
-    for n in range(1, max_n + 1):
-        for c in ("match", "hyp_n", "ref_n"):
-            aggs.append(F.coalesce(F.max(F.when(F.col("n") == n, F.col(c))), F.lit(0)).cast("double").alias(f"{c}{n}"))
-    return m.groupBy(*keys).agg(*aggs)
-
-
-def _keyed(df: DataFrame, keys):
-    """Corpus-wide scoring uses a constant key, so every path is a keyed join."""
-    keys = list(keys)
-    if keys:
-        return df, keys
-    return df.withColumn("_all", F.lit(0)), ["_all"]
-
-
-def bleu_stats(df: DataFrame, keys=()) -> DataFrame:
-    keys = list(keys)
-    t = df.select(*keys, "seg", tokenize_13a(F.col("hyp")).alias("th"), tokenize_13a(F.col("ref")).alias("tr"))
-    m = _pivot_orders(_matches(t, keys, _word_ngrams(F.col("th"), BLEU_ORDER), _word_ngrams(F.col("tr"), BLEU_ORDER),
-                               _word_order), keys, BLEU_ORDER)
-    lens = t.groupBy(*keys).agg(F.sum(F.size("th")).cast("double").alias("sys_len"),
-                                F.sum(F.size("tr")).cast("double").alias("ref_len"))
-    return lens.join(m, keys, "left")
-
-
-def bleu(df: DataFrame, keys=()) -> DataFrame:
-    """MET1: corpus BLEU per key (0-100), sacreBLEU defaults."""
-    df, keys = _keyed(df, keys)
-    s = bleu_stats(df, keys)
-    log_sum = F.lit(0.0)
-    zeros = F.lit(0)
+    out, h, r = [], hyp, ref
+    width = int(max(hyp.max(initial=0), ref.max(initial=0))) + 1
+    for n in range(1, order + 1):
+        if n > 1:
+            h = h[:-1] * width + hyp[n - 1:] if len(h) else h
+            r = r[:-1] * width + ref[n - 1:] if len(r) else r
+        _, number = np.unique(np.concatenate([h, r]), return_inverse=True)
+        size = int(number.max(initial=-1)) + 1
+        both = np.minimum(np.bincount(number[:len(h)], minlength=size), np.bincount(number[len(h):], minlength=size))
+        out.append((int(both.sum()), len(h), len(r)))
+        h, r = number[:len(h)].astype(np.int64), number[len(h):].astype(np.int64)
+    return out
+
+
+def word_distance(ref: list, hyp: list) -> int:
+    """Levenshtein distance of two word lists, a column of the table at a time:
+    the +1 and -1 steps down a column are the bits of two integers (Myers 1999)."""
+    m = len(ref)
+    if not m:
+        return len(hyp)
+    at: dict = {}
+    for i, w in enumerate(ref):
+        at[w] = at.get(w, 0) | 1 << i
+    full, top = (1 << m) - 1, 1 << m - 1
+    up, down, score = full, 0, m
+    for w in hyp:
+        eq = at.get(w, 0)
+        diag = ((eq & up) + up ^ up) | eq | down
+        plus, minus = down | full & ~(diag | up), up & diag
+        score += bool(plus & top) - bool(minus & top)
+        plus, minus = (plus << 1 | 1) & full, minus << 1 & full
+        step = eq | down
+        up, down = minus | full & ~(step | plus), plus & step
+    return score
+
+
+# statistics of a segment, by the metric that needs them
+_GRAMS = {"bleu": BLEU_ORDER, "chrf": CHRF_ORDER}
+_FIELDS = {
+    **{m: [f"{m}_{c}{n}" for n in range(1, k + 1) for c in ("match", "hyp", "ref")] for m, k in _GRAMS.items()},
+    "edits": ["dist", "ref_words", "hyp_words"],
+    "edits_lower": ["low_dist", "low_ref_words"],
+    "hits": ["hits"],
+}
+
+
+def _statistics(kinds):
+    names = [c for k in kinds for c in _FIELDS[k]]
+
+    @F.pandas_udf(", ".join(f"{c} long" for c in names))
+    def stats(th: pd.Series, tr: pd.Series, sh: pd.Series, sr: pd.Series, wh: pd.Series, wr: pd.Series) -> pd.DataFrame:
+        rows = []
+        for a, b, c, d, h, r in zip(th, tr, sh, sr, wh, wr):
+            row: list[int] = []
+            for k in kinds:
+                if k == "bleu":
+                    row += [x for t in gram_statistics(*_ids(a, b), BLEU_ORDER) for x in t]
+                elif k == "chrf":
+                    # an order that the reference does not have counts no hypothesis grams
+                    row += [x for m, n, o in gram_statistics(*_ids(c, d), CHRF_ORDER) for x in (m, n if o else 0, o)]
+                elif k == "edits":
+                    row += [word_distance(list(r), list(h)), len(r), len(h)]
+                elif k == "edits_lower":
+                    row += [word_distance([w.lower() for w in r], [w.lower() for w in h]), len(r)]
+                else:
+                    row.append(alignment_hits(list(r), list(h)))
+            rows.append(row)
+        return pd.DataFrame(rows, columns=names, dtype="int64")
+
+    return stats, names
+
+
+def segment_sums(df: DataFrame, keys, kinds) -> DataFrame:
+    """Sums of the segments' statistics per key: one projection, one aggregate.
+
+    A null side counts as empty text.
+    """
+    stats, names = _statistics(kinds)
+    ref, hyp = (F.coalesce(F.col(c), F.lit("")) for c in ("ref", "hyp"))
+    none = F.array().cast("array<string>")
+    words = any(k.startswith(("edits", "hits")) for k in kinds)
+    inputs = [tokenize_13a(hyp) if "bleu" in kinds else none, tokenize_13a(ref) if "bleu" in kinds else none]
+    inputs += [F.array_join(_ws_split(c), "") if "chrf" in kinds else F.lit("") for c in (hyp, ref)]
+    inputs += [_ws_split(c) if words else none for c in (hyp, ref)]
+    t = df.select(*keys, *(c.alias(f"_{i}") for i, c in enumerate(inputs)))
+    t = t.select(*keys, stats(*(F.col(f"_{i}") for i in range(len(inputs)))).alias("_s"))
+    return t.groupBy(*keys).agg(*(F.coalesce(F.sum(f"_s.{c}"), F.lit(0)).cast("double").alias(c) for c in names))
+
+
+def _bleu_score() -> tuple[Column, Column, Column]:
+    log_sum, zeros = F.lit(0.0), F.lit(0)
     for n in range(1, BLEU_ORDER + 1):
-        c, t = F.col(f"match{n}"), F.col(f"hyp_n{n}")
+        c, t = F.col(f"bleu_match{n}"), F.col(f"bleu_hyp{n}")
         zeros = zeros + F.when(c == 0, 1).otherwise(0)
-        p = F.when(c == 0, F.lit(100.0) / (F.pow(F.lit(2.0), zeros) * t)).otherwise(F.lit(100.0) * c / t)
+        p = F.when(c == 0, F.try_divide(F.lit(100.0), F.pow(F.lit(2.0), zeros) * t)).otherwise(F.try_divide(F.lit(100.0) * c, t))
         log_sum = log_sum + F.log(p)
-    bp = (F.when(F.col("sys_len") >= F.col("ref_len"), F.lit(1.0))
-          .when(F.col("sys_len") > 0, F.exp(F.lit(1.0) - F.col("ref_len") / F.col("sys_len")))
+    sys_len, ref_len = F.col("bleu_hyp1"), F.col("bleu_ref1")  # tokens are the grams of order 1
+    bp = (F.when(sys_len >= ref_len, F.lit(1.0)).when(sys_len > 0, F.exp(F.lit(1.0) - F.try_divide(ref_len, sys_len)))
           .otherwise(F.lit(0.0)))
-    score = F.when(F.col(f"hyp_n{BLEU_ORDER}") == 0, F.lit(0.0)).otherwise(bp * F.exp(log_sum / BLEU_ORDER))
-    return s.select(*keys, score.alias("bleu"), "sys_len", "ref_len").drop("_all")
+    score = F.when(F.col(f"bleu_hyp{BLEU_ORDER}") == 0, F.lit(0.0)).otherwise(bp * F.exp(log_sum / BLEU_ORDER))
+    return score, sys_len, ref_len
 
 
-def chrf(df: DataFrame, keys=()) -> DataFrame:
-    """MET2: corpus chrF per key (0-100): char 1-6 grams, beta 2, no spaces."""
-    df, keys = _keyed(df, keys)
-    nospace = lambda c: F.array_join(_ws_split(c), "")
-    t = df.select(*keys, "seg", nospace(F.col("hyp")).alias("sh"), nospace(F.col("ref")).alias("sr"))
-    m = _pivot_orders(_matches(t, keys, _char_ngrams(F.col("sh"), CHRF_ORDER), _char_ngrams(F.col("sr"), CHRF_ORDER),
-                               F.length), keys, CHRF_ORDER)
-    eps = 1e-16
+def _chrf_score() -> Column:
     prec_sum, rec_sum, eff = F.lit(0.0), F.lit(0.0), F.lit(0)
     for n in range(1, CHRF_ORDER + 1):
-        hn, rn, mn = F.col(f"hyp_n{n}"), F.col(f"ref_n{n}"), F.col(f"match{n}")
+        hn, rn, mn = F.col(f"chrf_hyp{n}"), F.col(f"chrf_ref{n}"), F.col(f"chrf_match{n}")
         both = (hn > 0) & (rn > 0)
-        prec = F.when(hn > 0, mn / hn).otherwise(F.lit(eps))
-        rec = F.when(rn > 0, mn / rn).otherwise(F.lit(eps))
-        prec_sum = prec_sum + F.when(both, prec).otherwise(0.0)
-        rec_sum = rec_sum + F.when(both, rec).otherwise(0.0)
+        prec_sum = prec_sum + F.when(both, F.try_divide(mn, hn)).otherwise(0.0)
+        rec_sum = rec_sum + F.when(both, F.try_divide(mn, rn)).otherwise(0.0)
         eff = eff + F.when(both, 1).otherwise(0)
-    ap = F.when(eff > 0, prec_sum / eff).otherwise(0.0)
-    ar = F.when(eff > 0, rec_sum / eff).otherwise(0.0)
+    ap, ar = F.coalesce(F.try_divide(prec_sum, eff), F.lit(0.0)), F.coalesce(F.try_divide(rec_sum, eff), F.lit(0.0))
     f = F.lit(CHRF_BETA ** 2)
-    score = F.when(ap + ar > 0, F.lit(100.0) * (1 + f) * ap * ar / (f * ap + ar)).otherwise(F.lit(0.0))
-    return m.select(*keys, score.alias("chrf")).drop("_all")
+    return F.coalesce(F.try_divide(F.lit(100.0) * (1 + f) * ap * ar, f * ap + ar), F.lit(0.0))
 
 
-# --- word edit statistics ---------------------------------------------------------
+def _wer_score() -> Column:
+    return F.try_divide(F.col("dist"), F.col("ref_words"))
 
-def encode_words(words: Column, vocab: Column) -> Column:
-    """Each word -> one code point (U+10000 + index in the pair's vocabulary).
 
-    Turns word-level edit distance into the built-in character ``levenshtein``
-    (codegen, no Python). Supplementary-plane code points need no surrogate
-    care in UTF-32 and allow about a million distinct words per pair.
-    """
-    hexes = F.transform(words, lambda w: F.lpad(F.hex(F.array_position(vocab, w) + F.lit(0x10000)), 8, "0"))
-    return F.decode(F.unhex(F.array_join(hexes, "")), "UTF-32")
+def _edit_rate_score() -> Column:
+    return F.try_divide(F.lit(100.0) * F.col("low_dist"), F.col("low_ref_words"))
+
+
+def _mer_score() -> Column:
+    return F.try_divide(F.col("dist"), F.col("hits") + F.col("dist"))
+
 
+def _wil_score() -> Column:
+    return F.lit(1.0) - F.try_divide(F.col("hits"), F.col("ref_words")) * F.try_divide(F.col("hits"), F.col("hyp_words"))
 
-def word_edits(df: DataFrame, keys=(), lower: bool = False) -> DataFrame:
-    """Per segment: ``dist`` (word Levenshtein), ``ref_len``, ``hyp_len``."""
-    keys = list(keys)
-    prep = (lambda c: F.lower(c)) if lower else (lambda c: c)
-    t = df.select(*keys, "seg", _ws_split(prep(F.col("ref"))).alias("wr"), _ws_split(prep(F.col("hyp"))).alias("wh"))
-    vocab = F.array_distinct(F.concat("wr", "wh"))
-    t = t.withColumn("_v", vocab)
-    return t.select(*keys, "seg", F.levenshtein(encode_words(F.col("wr"), F.col("_v")),
-                                                encode_words(F.col("wh"), F.col("_v"))).alias("dist"),
-                    F.size("wr").alias("ref_len"), F.size("wh").alias("hyp_len"), "wr", "wh")
+
+def bleu(df: DataFrame, keys=()) -> DataFrame:
+    """MET1: corpus BLEU per key (0-100), sacreBLEU defaults."""
+    score, sys_len, ref_len = _bleu_score()
+    return segment_sums(df, list(keys), ["bleu"]).select(*keys, score.alias("bleu"), sys_len.alias("sys_len"), ref_len.alias("ref_len"))
+
+
+def chrf(df: DataFrame, keys=()) -> DataFrame:
+    """MET2: corpus chrF per key (0-100): char 1-6 grams, beta 2, no spaces."""
+    return segment_sums(df, list(keys), ["chrf"]).select(*keys, _chrf_score().alias("chrf"))
 
 
 def wer(df: DataFrame, keys=()) -> DataFrame:
     """MET4: WER = sum of word edit distances / sum of reference words."""
-    keys = list(keys)
-    e = word_edits(df, keys)
-    return e.groupBy(*keys).agg((F.sum("dist") / F.sum("ref_len")).alias("wer"))
+    return segment_sums(df, list(keys), ["edits"]).select(*keys, _wer_score().alias("wer"))
 
 
 def edit_rate(df: DataFrame, keys=()) -> DataFrame:
     """MET3: TER without shift moves (case-insensitive, x100), per key."""
-    keys = list(keys)
-    e = word_edits(df, keys, lower=True)
-    return e.groupBy(*keys).agg((F.lit(100.0) * F.sum("dist") / F.sum("ref_len")).alias("edit_rate"))
+    return segment_sums(df, list(keys), ["edits_lower"]).select(*keys, _edit_rate_score().alias("edit_rate"))
 
 
 _KEY = 1 << 20  # (cost, hits) packed as cost * _KEY - hits: one integer, min = best
@@ -227,36 +239,18 @@ def alignment_hits(ref_words, hyp_words) -> int:
     return cost * _KEY - key
 
 
-def _hits_udf():
-    @F.pandas_udf("long")
-    def hits(wr: pd.Series, wh: pd.Series) -> pd.Series:
-        """Alignment hits per segment (small numpy helper, Arrow-batched)."""
-        return pd.Series([alignment_hits(list(a), list(b)) for a, b in zip(wr, wh)], dtype="int64")
-    return hits
-
-
 def mer_wil(df: DataFrame, keys=()) -> DataFrame:
     """MET5: MER = E/(H+E) and WIL = 1 - (H/N)(H/M), summed over segments.
 
-    E is the word edit distance (built-in), H the hits of an optimal
-    alignment (a small numpy DP per segment, Arrow-batched).
+    E is the word edit distance, H the hits of an optimal alignment.
     """
-    keys = list(keys)
-    e = word_edits(df, keys).withColumn("hits", _hits_udf()(F.col("wr"), F.col("wh")))
-    g = e.groupBy(*keys).agg(F.sum("dist").alias("E"), F.sum("hits").alias("H"),
-                             F.sum("ref_len").alias("N"), F.sum("hyp_len").alias("M"))
-    return g.select(*keys, (F.col("E") / (F.col("H") + F.col("E"))).alias("mer"),
-                    (F.lit(1.0) - (F.col("H") / F.col("N")) * (F.col("H") / F.col("M"))).alias("wil"))
+    return segment_sums(df, list(keys), ["edits", "hits"]).select(*keys, _mer_score().alias("mer"), _wil_score().alias("wil"))
 
 
 def score(df: DataFrame, keys=()) -> DataFrame:
-    """MET6: all metrics as a long table ``(*keys, metric, score)``."""
-    keys = list(keys)
-    parts = [bleu(df, keys).select(*keys, F.lit("BLEU").alias("metric"), F.col("bleu").alias("score")),
-             chrf(df, keys).select(*keys, F.lit("CHRF").alias("metric"), F.col("chrf").alias("score")),
-             edit_rate(df, keys).select(*keys, F.lit("TER").alias("metric"), F.col("edit_rate").alias("score")),
-             wer(df, keys).select(*keys, F.lit("WER").alias("metric"), F.col("wer").alias("score"))]
-    mw = mer_wil(df, keys)
-    parts.append(mw.select(*keys, F.lit("MER").alias("metric"), F.col("mer").alias("score")))
-    parts.append(mw.select(*keys, F.lit("WIL").alias("metric"), F.col("wil").alias("score")))
-    return reduce(DataFrame.unionByName, parts)
+    """MET6: all metrics as a long table ``(*keys, metric, score)``, from one scan."""
+    scores = {"BLEU": _bleu_score()[0], "CHRF": _chrf_score(), "TER": _edit_rate_score(), "WER": _wer_score(),
+              "MER": _mer_score(), "WIL": _wil_score()}
+    sums = segment_sums(df, list(keys), list(_FIELDS))
+    rows = F.array(*(F.struct(F.lit(m).alias("metric"), c.alias("score")) for m, c in scores.items()))
+    return sums.select(*keys, F.inline(rows))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 PAIR_KEY = ["source", "target", "classifier", "langs"]
 
 
-def dedup_rows(df: DataFrame, per: str | None = "source_path") -> DataFrame:
-    """DED1: drop rows equal on every column (within ``per`` if present).
+def dedup_rows(df: DataFrame) -> DataFrame:
+    """DED1: drop rows equal on every column (with a ``source_path`` column: per file).
 
     A hash aggregate with map-side partial aggregation: repeated boilerplate
     rows collapse before the shuffle.
@@ -53,17 +53,21 @@ def union_all(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def join_triples(src: DataFrame, ref: DataFrame, hyp: DataFrame) -> DataFrame:
-    """JOI2/JOI3: ``line_no, src, ref, hyp``; a repeated source keeps its last line.
+def join_triples(src: DataFrame, ref: DataFrame, hyp: DataFrame, key=("line_no",), normalize: bool = True) -> DataFrame:
+    """JOI2/JOI3: ``*key, src, ref, hyp``; a repeated source keeps its last line.
 
-    Inputs are line tables ``(line_no, text)``. The reference keys a dict by
-    source text, so the highest line number of each text wins.
+    Inputs are line tables ``(*key, text)``; ``key`` orders and identifies the
+    lines. Lines are normalised first (TXT5, no language rules), so a source
+    is repeated when its normalised text is; of its lines the last counts.
     """
-    last = (src.groupBy(F.col("text").alias("src"))
-            .agg(F.max("line_no").alias("line_no")))
-    r = ref.select("line_no", F.col("text").alias("ref"))
-    h = hyp.select("line_no", F.col("text").alias("hyp"))
-    return last.join(r, "line_no").join(h, "line_no").select("line_no", "src", "ref", "hyp")
+    from corpusflow.functions.text import normalize_columns
+    key = list(key)
+    sides = {}
+    for name, df in (("src", src), ("ref", ref), ("hyp", hyp)):
+        df = df.select(*key, F.col("text").alias(name))
+        sides[name] = normalize_columns(df, [(name, None)]) if normalize else df
+    last = sides["src"].groupBy("src").agg(F.max(F.struct(*key)).alias("_k")).select("_k.*", "src")
+    return last.join(sides["ref"], key).join(sides["hyp"], key).select(*key, "src", "ref", "hyp")
 
 
 def live_sessions(sessions: DataFrame, dirs: DataFrame) -> DataFrame:
@@ -84,6 +88,13 @@ def pending_splits(inventory: DataFrame, results: DataFrame) -> DataFrame:
     return inventory.join(done, ["session", "split_n"], "left_anti")
 
 
-def distinct_requests(df: DataFrame, key=("text", "source_lang", "target_lang")) -> DataFrame:
-    """SET3: one request per distinct ``(text, source_lang, target_lang)``."""
-    return df.dropDuplicates(list(key))
+def distinct_requests(df: DataFrame, key=("text", "source_lang", "target_lang"), order=("id",)) -> DataFrame:
+    """SET3: one request per distinct ``key``: the first by ``order``."""
+    order = list(order)
+    first = df.groupBy(*key).agg(F.min(F.struct(*order)).alias("_f"))
+    return first.select(*key, "_f.*")
+
+
+def answer_requests(df: DataFrame, answers: DataFrame, key=("text", "source_lang", "target_lang")) -> DataFrame:
+    """SET3: the answers of the distinct requests joined back to all requests."""
+    return df.join(answers, list(key), "left")

@@ -1,40 +1,52 @@
-"""Vocabulary building (VOC1, VOC4)."""
+"""Vocabulary building (VOC1-VOC4)."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import alpha_tokens
 
-# --- FIXED VALUES: vocabulary input limits of the reference workflow ------------
-MAX_LINES = 2_000_000
-MAX_LINE_BYTES = 2048
 
-
-def vocab_input(lines: DataFrame, max_lines: int = MAX_LINES, max_bytes: int = MAX_LINE_BYTES,
+def vocab_input(lines: DataFrame, max_lines: int | None = None, max_bytes: int | None = None,
                 seed=42, text: str = "text") -> DataFrame:
-    """VOC1: at most ``max_lines`` lines of at most ``max_bytes`` bytes.
+    """VOC1: the lines that a vocabulary is made from; all of them by default.
 
-    The kept lines are the ``max_lines`` smallest by a seeded hash, chosen
-    with the bounded bucket cut of :func:`splits.smallest_by_hash` (no global
-    sort); if fewer lines qualify, all are kept.
+    ``max_bytes`` leaves out longer lines and ``max_lines`` keeps that many,
+    the smallest by a seeded hash. Repeated lines are counted first and the cut
+    is made on the counts, so a popular line is one row until the end.
     """
-    from corpusflow.operators.splits import smallest_by_hash
-    ok = lines.where(F.octet_length(text) <= max_bytes)
-    return smallest_by_hash(ok, max_lines, F.concat_ws("|", F.lit(str(seed)), F.col(text)), tie=[text])
-
-
-def word_vocab(df: DataFrame, n: int, text: str = "text") -> DataFrame:
-    """VOC4: the ``n`` most frequent words with their rank (ties by word).
+    ok = lines.select(F.col(text).alias("text"))
+    if max_bytes is not None:
+        ok = ok.where(F.octet_length("text") <= max_bytes)
+    if max_lines is None:
+        return ok
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("text")))
+    counts = ok.groupBy("text").agg(F.count(F.lit(1)).alias("_n")).withColumn("_h", h).withColumn("_b", F.substring("_h", 1, 4))
+    # at most 65,536 hash buckets, whatever the corpus
+    before = Window.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = counts.groupBy("_b").agg(F.sum("_n").alias("_bn")).select(
+        "_b", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_before")).where(F.col("_before") < max_lines)
+    inside = Window.partitionBy("_b").orderBy("_h", "text").rowsBetween(Window.unboundedPreceding, -1)
+    kept = counts.join(buckets, "_b").withColumn(
+        "_left", F.lit(max_lines) - F.col("_before") - F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    copies = F.least("_n", "_left").cast("int")
+    return kept.where(F.col("_left") > 0).select("text", F.explode(F.array_repeat(F.lit(0), copies))).select("text")
+
+
+def word_vocab(df: DataFrame, n: int, text: str = "text", lang=None) -> DataFrame:
+    """VOC4: ``rank, word, count`` of the ``n`` most frequent words (ties by word).
 
     A top-n report: the limit is the feature; ``orderBy().limit()`` plans as
-    TakeOrderedAndProject over the aggregated counts.
+    TakeOrderedAndProject over the aggregated counts, and the rank is taken
+    over its n rows.
     """
-    counts = (df.select(F.explode(alpha_tokens(F.col(text))).alias("word"))
+    counts = (df.select(F.explode(alpha_tokens(F.col(text), lang)).alias("word"))
               .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
-    top = counts.orderBy(F.col("count").desc(), F.col("word")).limit(n)
-    return top
+    order = [F.col("count").desc(), F.col("word")]
+    top = counts.orderBy(*order).limit(n)
+    return top.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
 
 
 # --- subword vocabulary (VOC2, VOC3) ------------------------------------------------
@@ -52,65 +64,73 @@ def _symbols(word) -> F.Column:
     return F.regexp_extract_all(F.concat(F.lit(WORD_START), word), F.lit("(?s)."), 0)
 
 
-def _apply_round(syms: F.Column, merges: dict) -> F.Column:
-    """Merge every adjacent pair listed in ``merges`` (pairs of a round share
-    no symbol, so one left-to-right pass is exact)."""
-    m = F.create_map(*[F.lit(x) for kv in merges.items() for x in kv])
-
-    def step(acc, x):
-        last = F.element_at(acc, -1)
-        key = F.concat(last, F.lit("\u0001"), x)
-        merged = F.element_at(m, key)
-        return F.when((F.size(acc) > 0) & merged.isNotNull(),
-                      F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(merged))
-                      ).otherwise(F.concat(acc, F.array(x)))
-    return F.aggregate(syms, F.array().cast("array<string>"), step)
-
-
-def train_subwords(df: DataFrame, size: int = 8000, per_round: int = 200, max_rounds: int = 200,
-                   text: str = "text", checkpoint_every: int = 5):
-    """VOC2: merge-based subword vocabulary of at most ``size`` pieces.
-
-    Rounds: count adjacent symbol pairs weighted by word frequency (one
-    aggregate over the word table), take up to ``per_round`` top pairs that
-    share no symbol (a bounded list on the driver), merge them in the word
-    table. The word table is checkpointed every few rounds to cut lineage.
-    Returns (vocab DataFrame ``piece, id``, list of rounds of merges).
-    Full character coverage; ids: eos = 0, unk = 1, no bos.
-    """
-    from corpusflow.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)  # the session's shared folder; set only if unset
-    words = word_counts(df, text).select("cnt", _symbols(F.col("word")).alias("syms"))
-    chars = words.select(F.explode("syms").alias("piece")).distinct()
-    n_chars = chars.count()
-    rounds, n_pieces = [], n_chars
-    for r in range(max_rounds):
-        budget = size - 2 - n_pieces
-        if budget <= 0:
+def merge_round(symbols: list[str], merges: dict[tuple[str, str], str]) -> list[str]:
+    """One left-to-right pass that merges the adjacent pairs in ``merges``."""
+    out: list[str] = []
+    for s in symbols:
+        if out and (new := merges.get((out[-1], s))) is not None:
+            out[-1] = new
+        else:
+            out.append(s)
+    return out
+
+
+def _replay(words: DataFrame, rounds: list[dict], column: str) -> DataFrame:
+    """``words`` with the merge rounds applied to the symbol arrays of ``column``."""
+    def run(batches):
+        for b in batches:
+            at = b.schema.get_field_index(column)
+            rows = b.column(at).to_pylist()
+            for merges in rounds:
+                rows = [merge_round(r, merges) for r in rows]
+            yield b.set_column(at, b.schema.field(at), pa.array(rows, b.schema.field(at).type))
+    return words.mapInArrow(run, words.schema)
+
+
+def choose_round(candidates, most: int) -> dict[tuple[str, str], str]:
+    """Pairs to merge together, in the given order: no two share a symbol, and
+    none has a result of the round as a symbol, so one pass is exact."""
+    chosen: dict[tuple[str, str], str] = {}
+    used: set[str] = set()
+    made: set[str] = set()
+    for a, b in candidates:
+        if len(chosen) >= most:
             break
-        pairs = (words.where(F.size("syms") > 1)
-                 .select("cnt", F.explode(F.transform(F.sequence(F.lit(1), F.size("syms") - 1),
-                                                      lambda i: F.struct(F.element_at("syms", i).alias("a"),
-                                                                         F.element_at("syms", i + 1).alias("b"))))
-                         .alias("p"))
-                 .groupBy("p.a", "p.b").agg(F.sum("cnt").alias("f"))
-                 .where(F.col("f") > 1)
-                 .orderBy(F.col("f").desc(), "a", "b").limit(min(per_round * 4, budget * 4)))
-        chosen, used = {}, set()
-        for row in pairs.collect():  # bounded: at most 4 * per_round rows
-            if len(chosen) >= min(per_round, budget):
-                break
-            if row["a"] in used or row["b"] in used:
-                continue
-            chosen[row["a"] + "\u0001" + row["b"]] = row["a"] + row["b"]
-            used.update((row["a"], row["b"]))
+        if {a, b} & (used | made) or a + b in used or a + b in made:
+            continue
+        chosen[a, b] = a + b
+        used |= {a, b}
+        made.add(a + b)
+    return chosen
+
+
+def train_subwords(df: DataFrame, size: int = 8000, per_round: int = 200, text: str = "text"):
+    """VOC2: merge-based subword vocabulary of ``size`` pieces (fewer only where
+    no pair is left to merge).
+
+    The corpus is read once, into a table of distinct words with counts. Rounds:
+    count adjacent symbol pairs weighted by word frequency (one aggregate over
+    the word table), take up to ``per_round`` top pairs that do not touch one
+    another (a bounded list on the driver), merge them in the word table, which
+    is written anew each round. Returns (vocab ``piece, id``; words ``word,
+    pieces``; the rounds, for words not seen in training). Full character
+    coverage; ids: eos = 0, unk = 1, no bos.
+    """
+    words = _written(word_counts(df, text).select("word", "cnt", _symbols(F.col("word")).alias("pieces")))
+    chars = words.select(F.explode("pieces").alias("piece")).distinct()
+    n_pieces, rounds = chars.count(), []
+    while (budget := size - 2 - n_pieces) > 0:
+        pair = F.arrays_zip(F.slice("pieces", 1, F.size("pieces") - 1).alias("a"), F.slice("pieces", 2, F.size("pieces") - 1).alias("b"))
+        pairs = (words.where(F.size("pieces") > 1).select("cnt", F.explode(pair).alias("p"))
+                 .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("cnt").alias("f"))
+                 .orderBy(F.col("f").desc(), "a", "b").limit(4 * per_round))
+        # what conflicts waits for a later round
+        chosen = choose_round(((r["a"], r["b"]) for r in pairs.collect()), min(per_round, budget))
         if not chosen:
             break
         rounds.append(chosen)
         n_pieces += len(chosen)
-        words = words.select("cnt", _apply_round(F.col("syms"), chosen).alias("syms"))
-        if (r + 1) % checkpoint_every == 0:
-            words = words.checkpoint()
+        words = _written(_replay(words, [chosen], "pieces"))
     spark = df.sparkSession
     merged = [(p,) for rnd in rounds for p in rnd.values()]
     pieces = chars.unionByName(spark.createDataFrame(merged, "piece string")) if merged else chars
@@ -118,19 +138,26 @@ def train_subwords(df: DataFrame, size: int = 8000, per_round: int = 200, max_ro
     # the vocabulary has at most ``size`` rows, so one ordered partition is bounded
     ranked = pieces.distinct().withColumn(
         "id", F.lit(1) + F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("piece")))
-    return specials.unionByName(ranked.select("piece", F.col("id").cast("long"))), rounds
+    return specials.unionByName(ranked.select("piece", F.col("id").cast("long"))), words.select("word", "pieces"), rounds
 
 
-def encode(df: DataFrame, rounds, key: str, text: str = "text") -> DataFrame:
-    """VOC3: text -> pieces. Distinct words are encoded once (replaying the
-    merge rounds) and joined back; pieces are re-assembled in word order."""
-    words = F.filter(F.split(F.trim(F.col(text)), r"\s+"), lambda w: w != "")
-    toks = df.select(key, F.posexplode(words).alias("pos", "word"))
-    distinct = toks.select("word").distinct()
-    syms = _symbols(F.col("word"))
-    for rnd in rounds:
-        syms = _apply_round(syms, rnd)
-    table = distinct.select("word", syms.alias("pieces"))
-    joined = toks.join(table, "word")
-    return (joined.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "pieces"))).alias("_w"))
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the session's shared folder."""
+    import uuid
+    from corpusflow.session import checkpoint_dir
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/subwords/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def encode(df: DataFrame, words: DataFrame, rounds, key: str, text: str = "text") -> DataFrame:
+    """VOC3: text -> pieces. Words seen in training have their pieces in
+    ``words``; the merges are replayed only for the others, each distinct word
+    once. Pieces are re-assembled in word order; ``key`` is unique per text."""
+    split = F.filter(F.split(F.trim(F.col(text)), r"\s+"), lambda w: w != "")
+    toks = df.select(key, F.posexplode(split).alias("pos", "word"))
+    unseen = toks.select("word").distinct().join(words, "word", "left_anti")
+    table = words.unionByName(_replay(unseen.select("word", _symbols(F.col("word")).alias("pieces")), rounds, "pieces"))
+    return (toks.join(table, "word").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "pieces"))).alias("_w"))
             .select(key, F.flatten(F.transform("_w", lambda w: w["pieces"])).alias("pieces")))

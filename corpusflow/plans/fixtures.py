@@ -14,22 +14,11 @@ from corpusflow.functions.text import translation_id
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
-
-    A file with a single row group is read by one task however large the
-    cluster; text work on it would then run on one core. When a scan has
-    fewer partitions than the default parallelism it is spread round-robin;
-    at scale (thousands of file splits) this is a no-op and adds no shuffle.
-    The partition count comes from file metadata, so no job runs here.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    """A driver table. A launcher that knows its files hold few row groups may
+    set ``corpusflow.scanPartitions``; unset (the default) nothing is moved."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    n = spark.conf.get("corpusflow.scanPartitions", None)
+    return df.repartition(int(n)) if n else df
 
 
 # --- FIXED VALUES: classifier labels by source -------------------------------
@@ -79,25 +68,38 @@ def turn_pairs(conversations: DataFrame) -> DataFrame:
     return u.join(a, ["conv_id", "turn"], "inner")
 
 
-# --- FIXED VALUES: triple fixture shape --------------------------------------
-TRIPLE_MAX_WORDS = 60
+# --- FIXED VALUES: two-language fixture and triple fixture shape --------------
+UNIT_PAIRS = (("en", "fr"), ("en", "de"), ("fr", "de"))
+CODE_ONLY = (11, 7)   # every 11th unit (offset 7) has its language code as source
+LEADER = (13, 5)      # every 13th unit (offset 5) has a target that starts with a leader
 HYP_DROP_EVERY = 7
 
 
-def triples(documents: DataFrame) -> DataFrame:
-    """``line_no, src, ref, hyp`` from F1 lines of at most 60 words.
+def units(documents: DataFrame) -> DataFrame:
+    """F1b: line i of a document beside line i of the next one (doc_id + 1).
 
-    ``hyp`` is ``ref`` without every 7th space-separated word; ``line_no`` is a
-    stable global number (doc_id * 2^20 + line number), no global sort needed.
+    Documents of different languages give units of every language order, of
+    languages outside ``UNIT_PAIRS`` and of one language twice; the shorter
+    document leaves null sides. So every reject reason of the cleaning occurs.
     """
-    f1 = line_pairs(documents)
-    words = F.split(F.col("target"), " ")
-    kept = F.filter(words, lambda w, i: (i + 1) % HYP_DROP_EVERY != 0)
-    return (f1.where((F.size(F.split("source", " ")) <= TRIPLE_MAX_WORDS)
-                     & (F.size(words) <= TRIPLE_MAX_WORDS))
-            .select((F.col("doc_id") * F.lit(1 << 20) + F.col("line_no")).alias("line_no"),
-                    F.col("source").alias("src"), F.col("target").alias("ref"),
-                    F.array_join(kept, " ").alias("hyp")))
+    lines = F.split(F.col("text"), "\n")
+    a = documents.select("doc_id", F.col("lang").alias("source_lang"), classifier_of(F.col("source")).alias("classifier"),
+                         lines.alias("s"))
+    b = documents.select((F.col("doc_id") - 1).alias("doc_id"), F.col("lang").alias("target_lang"), lines.alias("t"))
+    both = a.join(b, "doc_id").select("doc_id", "classifier", "source_lang", "target_lang", F.posexplode(F.arrays_zip("s", "t")))
+    n = F.col("doc_id") + F.col("pos") + 1
+    return both.select(
+        "doc_id", (F.col("pos") + 1).cast("bigint").alias("line_no"), "classifier", "source_lang", "target_lang",
+        F.when(n % CODE_ONLY[0] == CODE_ONLY[1], F.col("source_lang")).otherwise(F.col("col.s")).alias("source"),
+        F.when(n % LEADER[0] == LEADER[1], F.concat(F.lit("-- "), F.col("col.t"))).otherwise(F.col("col.t")).alias("target"))
+
+
+def triples(documents: DataFrame) -> DataFrame:
+    """``doc_id, line_no, src, ref, hyp`` from all F1 lines; ``hyp`` is
+    ``ref`` without every 7th space-separated word."""
+    kept = F.filter(F.split(F.col("target"), " "), lambda w, i: (i + 1) % HYP_DROP_EVERY != 0)
+    return line_pairs(documents).select("doc_id", "line_no", F.col("source").alias("src"), F.col("target").alias("ref"),
+                                        F.array_join(kept, " ").alias("hyp"))
 
 
 # --- F3: training-log lines from events ---------------------------------------
@@ -131,7 +133,12 @@ def run_log(events: DataFrame) -> DataFrame:
             .agg((F.max("event_id") + 1).alias("line_no"), F.max("ts").alias("ts"))
             .select("job", "line_no", F.format_string("[%s] Training finished", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
                     .alias("value")))
-    return lines.unionByName(ends)
+    # a job starts with a devices line: as many GPUs as its name has letters
+    starts = (events.select(job.alias("job"), "ts").groupBy("job").agg(F.min("ts").alias("ts"))
+              .select("job", F.lit(-1).cast("bigint").alias("line_no"),
+                      F.format_string("[%s] [config] --devices%s", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+                                      F.repeat(F.lit(" 0"), F.length("job"))).alias("value")))
+    return lines.unionByName(ends).unionByName(starts)
 
 
 def avg_log(events: DataFrame) -> DataFrame:
@@ -171,31 +178,47 @@ def _xml_escape(c):
                      F.lit(">"), F.lit("&gt;"))
 
 
+def labelled(f1: DataFrame) -> DataFrame:
+    """F1 with a space in one label, so that folder names need decoding."""
+    return f1.withColumn("classifier", F.when(F.col("classifier") == "Health", F.lit("Public Health")).otherwise(F.col("classifier")))
+
+
 def write_tmx_tree(f1: DataFrame, root: str) -> None:
-    """F1 as TMX units under ``root/<classifier>/``; source language written
-    as ``XX-GB`` to exercise the region cut and case folding."""
-    tu = F.format_string('<tu><tuv xml:lang="%s-GB"><seg>%s</seg></tuv><tuv xml:lang="%s"><seg>%s</seg></tuv></tu>',
-                         F.upper("source_lang"), _xml_escape(F.col("source")), F.col("target_lang"),
-                         _xml_escape(F.col("target")))
-    # one pass; label folders are partition folders ``classifier=<label>``
-    f1.select("classifier", tu.alias("value")).write.partitionBy("classifier").text(root)
-
-
-def write_delimited_tree(f1: DataFrame, root: str, sep: str) -> None:
-    (f1.select("classifier", "source", "target")
-     .write.partitionBy("classifier").option("header", "true").option("sep", sep).option("escape", '"')
-     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+    """F1 as TMX units under ``root/classifier=<label>/``.
+
+    The source language is written as ``XX-GB`` in two attributes; every third
+    source carries level-2 markup; every fifth line is followed by a unit with
+    an undeclared entity and one of a single side.
+    """
+    seg = F.when(F.col("line_no") % 3 == 0, F.concat(F.lit("{j}<ph>x</ph>"), _xml_escape(F.col("source")))).otherwise(_xml_escape(F.col("source")))
+    tu = F.format_string('<tu><tuv lang="%s-GB" xml:lang="%s-GB"><seg>%s</seg></tuv><tuv xml:lang="%s"><seg>%s</seg></tuv></tu>',
+                         F.upper("source_lang"), F.upper("source_lang"), seg, F.col("target_lang"), _xml_escape(F.col("target")))
+    broken = F.lit('<tu><tuv xml:lang="en"><seg>a &nowhere; b</seg></tuv><tuv xml:lang="fr"><seg>c</seg></tuv></tu>'
+                   '<tu><tuv xml:lang="en"><seg>alone</seg></tuv></tu>')
+    value = F.when(F.col("line_no") % 5 == 0, F.concat(tu, broken)).otherwise(tu)
+    f1.select("classifier", value.alias("value")).write.partitionBy("classifier").text(root)
+
+
+def _write_csv(df: DataFrame, root: str, **options) -> None:
+    (df.write.mode("append").partitionBy("classifier").options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", **options)
      .csv(root))
 
 
+def write_delimited_tree(f1: DataFrame, root: str, sep: str, extension: str = "csv") -> None:
+    """F1 with quoted line ends in every fourth source, in files of two
+    layouts: columns in either order, one with a column more."""
+    f1 = f1.withColumn("source", F.when(F.col("line_no") % 4 == 0, F.concat(F.col("source"), F.lit("\nand more"))).otherwise(F.col("source")))
+    options = dict(sep=sep, escape='"', quoteAll="true", extension=extension)
+    _write_csv(f1.where("line_no % 2 = 0").select("classifier", "source", "target"), root, **options)
+    _write_csv(f1.where("line_no % 2 = 1").select("classifier", F.col("line_no").alias("id"), "target", "source"), root, **options)
+
+
 def write_wordfast_tree(f1: DataFrame, root: str) -> None:
-    """Wordfast columns with a ``&tA;`` tag appended to each text."""
-    (f1.select("classifier", F.upper("source_lang").alias("src-lang"),
-               F.concat("source", F.lit("&tA;")).alias("source"),
-               F.concat(F.col("target_lang"), F.lit("-GB")).alias("target-lang"), F.col("target"))
-     .write.partitionBy("classifier").option("header", "true").option("sep", "\t").option("quote", "")
-     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-     .csv(root))
+    """F1 in the full Wordfast layout, with a ``&tA;`` tag in each source."""
+    _write_csv(f1.select("classifier", F.lit("20200101~100000").alias("date"), F.lit("me").alias("user"), F.lit("0").alias("reuse"),
+                         F.concat(F.upper("source_lang"), F.lit("-GB")).alias("src-lang"), F.concat("source", F.lit("&tA;")).alias("source"),
+                         F.concat(F.col("target_lang"), F.lit("-GB")).alias("target-lang"), F.col("target"), F.lit("x").alias("attr1")),
+               root, sep="\t", quote="")
 
 
 def write_submissions(documents: DataFrame, root: str) -> None:
@@ -206,19 +229,13 @@ def write_submissions(documents: DataFrame, root: str) -> None:
 
 
 def write_log_chunks(run_log_df: DataFrame, root: str, chunk_days: int = 7) -> None:
-    """F3 as rolled log files: one write per time chunk, one file per job.
+    """F3 as rolled log files ``<job>/<time chunk>.../part-*``: one write.
 
-    Chunks are written in time order, so the file stream source (which
-    orders new files by modification time) sees each job's lines in order.
+    Lines are dealt by (job, time chunk), so a job's log is spread over tasks;
+    the folder names sort in time order, as the lines do.
     """
     from corpusflow.operators.logs import wall_time
-    lines = run_log_df.withColumn("_ts", wall_time(F.col("value"))).where(F.col("_ts").isNotNull())
-    day0 = lines.agg(F.min("_ts")).first()[0]
-    bounds = lines.agg(F.max("_ts")).first()[0]
-    n_chunks = int((bounds - day0).days // chunk_days) + 1
-    for c in range(n_chunks):
-        lo = F.lit(day0) + F.expr(f"INTERVAL {c * chunk_days} DAYS")
-        hi = F.lit(day0) + F.expr(f"INTERVAL {(c + 1) * chunk_days} DAYS")
-        part = lines.where((F.col("_ts") >= lo) & (F.col("_ts") < hi)).select("job", "line_no", "value")
-        (part.repartition("job").sortWithinPartitions("line_no").select("job", "value")
-         .write.mode("append").partitionBy("job").text(root))
+    week = F.date_format(F.from_unixtime(F.floor(F.unix_timestamp(wall_time(F.col("value"))) / (chunk_days * 86400)) * (chunk_days * 86400)), "yyyyMMdd")
+    lines = run_log_df.withColumn("chunk", F.when(F.col("line_no") < 0, F.lit("00000000")).otherwise(week))
+    (lines.repartition("job", "chunk").sortWithinPartitions("chunk", "job", "line_no").select("chunk", "job", "value")
+     .write.partitionBy("chunk", "job").text(root))

@@ -4,22 +4,21 @@ from __future__ import annotations
 
 from corpusflow.functions import rules as R
 from corpusflow.operators import filters as FL
+from corpusflow.plans import fixtures as FX
 from corpusflow.plans import sqltext as S
 
 q = R.sql_str
-PAIR = ("en", "en")
-PAIR_SQL = ", ".join(q(x) for x in PAIR)
 
 
-def _normalized_f1() -> str:
+def _normalized(units: str) -> str:
     return f"""
 SELECT doc_id, line_no, classifier, source_lang, target_lang,
        {S.normalize('source', 'source_lang', True)} AS source,
        {S.normalize('target', 'target_lang', True)} AS target
-FROM ({S.F1}) f1"""
+FROM ({units}) f1"""
 
 
-NORMALIZE_LINES = f"SELECT doc_id, line_no, source_lang, source, target FROM ({_normalized_f1()}) n"
+NORMALIZE_LINES = f"SELECT doc_id, line_no, source_lang, source, target FROM ({_normalized(S.F1)}) n"
 
 
 def _leader(c):
@@ -27,16 +26,18 @@ def _leader(c):
 
 
 def _cleaned() -> str:
+    inside = " OR ".join(f"(source_lang IN ('{a}', '{b}') AND target_lang IN ('{a}', '{b}'))" for a, b in FX.UNIT_PAIRS)
     reason = f"""CASE
-  WHEN NOT (source_lang IN ({PAIR_SQL}) AND target_lang IN ({PAIR_SQL})) THEN '{FL.NOT_IN_PAIR}'
+  WHEN NOT ({inside}) THEN '{FL.NOT_IN_PAIR}'
+  WHEN source_lang = target_lang THEN '{FL.SAME_LANGUAGE}'
   WHEN source IS NULL OR target IS NULL THEN '{FL.NULL_TEXT}'
   WHEN {_leader('source')} OR {_leader('target')} THEN '{FL.LEADER_CHARS}'
-  WHEN {S.py_strip('source')} IN ({PAIR_SQL}) OR {S.py_strip('target')} IN ({PAIR_SQL}) THEN '{FL.SUSPICIOUS}'
+  WHEN {S.py_strip('source')} IN (source_lang, target_lang) OR {S.py_strip('target')} IN (source_lang, target_lang) THEN '{FL.SUSPICIOUS}'
   ELSE NULL END"""
     return f"""
 SELECT doc_id, line_no, classifier, source, target, source_lang || '-' || target_lang AS langs,
        {S.translation_id('classifier', 'source', 'target')} AS id, {reason} AS reject_reason
-FROM ({_normalized_f1()}) n"""
+FROM ({_normalized(S.units_sql())}) n"""
 
 
 CLEAN_PAIRS = f"""SELECT doc_id, line_no, id, classifier, source, target, langs
@@ -86,12 +87,11 @@ def _grams_sql(src: str, text: str, extra: str, where: str = "TRUE") -> str:
 
 PROFILE = f"""
 WITH g AS ({_grams_sql('documents', 'text', 'lang', 'lang IS NOT NULL')}),
-c AS (SELECT lang, gram, count(*) AS cnt FROM g GROUP BY lang, gram),
-t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang ORDER BY cnt DESC, gram) <= {LID.DEFAULT_TOP_N})
+c AS (SELECT lang, gram, count(*) AS cnt FROM g GROUP BY lang, gram)
 SELECT lang, gram, cnt,
-       ln((cnt + 1) / (sum(cnt) OVER (PARTITION BY lang) + {LID.DEFAULT_TOP_N})) AS logp,
-       ln(1.0 / (sum(cnt) OVER (PARTITION BY lang) + {LID.DEFAULT_TOP_N})) AS unseen_logp
-FROM t"""
+       ln((cnt + 1) / (sum(cnt) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))) AS logp,
+       ln(1.0 / (sum(cnt) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))) AS unseen_logp
+FROM c"""
 
 LANG_PROFILE = f"SELECT lang, gram, cnt, round(logp, 6) AS logp, round(unseen_logp, 6) AS unseen_logp FROM ({PROFILE}) p"
 
@@ -143,7 +143,12 @@ FROM ({MISSPELT}) m GROUP BY lang, id"""
 SPELLING_GATE = f"""SELECT doc_id, line_no, id, classifier, source, target, langs FROM ({CLEAN_PAIRS}) c
 WHERE id NOT IN (SELECT id FROM ({MISSPELT}) m)"""
 
+LANG_GATE = f"""WITH kept AS ({CLEAN_PAIRS}), det AS ({detect_sql('SELECT source AS t FROM kept UNION ALL SELECT target FROM kept')})
+SELECT k.* FROM kept k JOIN det a ON a.t = k.source JOIN det b ON b.t = k.target
+WHERE a.detected = split_part(k.langs, '-', 1) AND b.detected = split_part(k.langs, '-', 2)"""
+
 ORACLE.update({
+    "lang_gate": LANG_GATE,
     "lang_profile": LANG_PROFILE,
     "lang_detect": LANG_DETECT,
     "lexicon": LEXICON,
@@ -159,7 +164,7 @@ def _flag_sql(base: str) -> str:
     return f"""(SELECT *, rk <= ceil(CAST(0.1 AS DOUBLE) * n) AS held FROM (
   SELECT *, row_number() OVER (PARTITION BY split_n ORDER BY h, id, langs) AS rk,
          count(*) OVER (PARTITION BY split_n) AS n
-  FROM (SELECT *, md5(concat_ws('|', '42', CAST(split_n AS VARCHAR), source, target)) AS h
+  FROM (SELECT *, md5(concat_ws('|', '42', CAST(split_n AS VARCHAR), md5(concat_ws(chr(31), source, target)))) AS h
         FROM {base} WHERE classifier = 'Health') a) b)"""
 
 
@@ -225,10 +230,11 @@ def _match_sql(n_max: int, char: bool) -> str:
     cols = ", ".join(f"coalesce(max(CASE WHEN n = {n} THEN {c} END), 0)::DOUBLE AS {c}{n}"
                      for n in range(1, n_max + 1) for c in ("match", "hyp_n", "ref_n"))
     return f"""(SELECT {cols} FROM (
-  SELECT n, sum(least(h, r)) AS match, sum(h) AS hyp_n, sum(r) AS ref_n FROM (
+  SELECT n, sum(m) AS match, sum(CASE WHEN {int(char)} = 0 OR r > 0 THEN h ELSE 0 END) AS hyp_n, sum(r) AS ref_n
+  FROM (SELECT seg, n, sum(least(h, r)) AS m, sum(h) AS h, sum(r) AS r FROM (
     SELECT seg, n, g, sum(h) AS h, sum(r) AS r FROM (
       {_gram_rows('a', 1, n_max, char)} UNION ALL {_gram_rows('b', 0, n_max, char)}) u
-    GROUP BY seg, n, g) pg GROUP BY n) m)"""
+    GROUP BY seg, n, g) pg GROUP BY seg, n) sg GROUP BY n) m)"""
 
 
 def _bleu_sql() -> str:
@@ -239,7 +245,7 @@ def _bleu_sql() -> str:
         logs.append(f"ln(CASE WHEN match{n} = 0 THEN 100.0 / (pow(2, {z}) * hyp_n{n}) ELSE 100.0 * match{n} / hyp_n{n} END)")
     bp = "CASE WHEN sys_len >= ref_len THEN 1.0 WHEN sys_len > 0 THEN exp(1 - ref_len / sys_len) ELSE 0.0 END"
     return f"""
-WITH t AS (SELECT line_no AS seg, {_tok13a('hyp')} AS a, {_tok13a('ref')} AS b FROM ({S.F5}) f5),
+WITH t AS (SELECT (doc_id, line_no) AS seg, {_tok13a('hyp')} AS a, {_tok13a('ref')} AS b FROM ({S.F5}) f5),
 l AS (SELECT sum(len(a))::DOUBLE AS sys_len, sum(len(b))::DOUBLE AS ref_len FROM t),
 m AS {_match_sql(4, False)}
 SELECT round(CASE WHEN hyp_n4 = 0 THEN 0.0 ELSE ({bp}) * exp(({' + '.join(logs)}) / 4) END, 6) AS bleu,
@@ -256,7 +262,7 @@ def _chrf_sql() -> str:
         es.append(f"{both}::INT")
     nospace = lambda c: f"regexp_replace({c}, {q(R.WS + '+')}, '', 'g')"
     return f"""
-WITH t AS (SELECT line_no AS seg, {nospace('hyp')} AS a, {nospace('ref')} AS b FROM ({S.F5}) f5),
+WITH t AS (SELECT (doc_id, line_no) AS seg, {nospace('hyp')} AS a, {nospace('ref')} AS b FROM ({S.F5}) f5),
 m AS {_match_sql(6, True)},
 s AS (SELECT ({' + '.join(ps)}) AS ps, ({' + '.join(rs)}) AS rs, ({' + '.join(es)}) AS eff FROM m),
 a AS (SELECT CASE WHEN eff > 0 THEN ps / eff ELSE 0 END AS ap, CASE WHEN eff > 0 THEN rs / eff ELSE 0 END AS ar FROM s)
@@ -334,6 +340,8 @@ u AS (
   UNION ALL SELECT job, up, adj_ts, 'train/speed[words per sec]', wps FROM t
   UNION ALL SELECT job, up, adj_ts, 'train/learning_rate', lr FROM t
   UNION ALL SELECT job, up, epoch(ts), 'train/wall-clock', epoch(ts) FROM t
+  UNION ALL SELECT job, up, adj_ts, 'train/gpus', CAST(length(job) AS DOUBLE) FROM t
+  UNION ALL SELECT NULL, event_id + 1, NULL, 'valid-avg/avg-' || CAST(user_id % 3 AS VARCHAR) || '_bleu', round(value, 2) FROM events
   UNION ALL SELECT job, up, adj_ts, 'valid/bleu-detok', cost FROM v
   UNION ALL SELECT job, up, adj_ts, 'valid/bleu-detok_stalled', CAST(stalled AS DOUBLE) FROM v)
 SELECT job, tag, step, round(wall_time, 6) AS wall_time, round(value, 6) AS value FROM u"""
@@ -352,6 +360,7 @@ ORACLE.update({
     "valid_parse": VALID_PARSE,
     "sentences_diff": SEN_DIFF,
     "pause_adjusted": PAUSE_ADJUSTED,
+    "gpu_counts": f"SELECT job, line_no, CAST(length(job) AS INTEGER) AS gpus FROM {F3} f WHERE NOT is_valid",
     "run_duration": RUN_DURATION,
     "best_update": BEST_UPDATE,
     "scalars": SCALARS,
@@ -404,7 +413,7 @@ WHERE session IN (SELECT 'en-cy_' || event_type FROM events WHERE event_type <>
 
 PENDING_SPLITS = f"""WITH inv AS (SELECT s.session, CAST(g.split_n AS INTEGER) AS split_n
   FROM (SELECT DISTINCT session FROM {LATEST} l) s, (SELECT unnest(generate_series(1, 10)) AS split_n) g),
-done AS (SELECT session, split_n FROM {LATEST} l WHERE metric = 'BLEU' AND score > 25.2)
+done AS (SELECT session, split_n FROM {LATEST} l WHERE metric = 'BLEU' AND score >= 50)
 SELECT session, split_n FROM inv WHERE NOT EXISTS (
   SELECT 1 FROM done d WHERE d.session = inv.session AND d.split_n = inv.split_n)"""
 
@@ -430,7 +439,11 @@ ORACLE.update({
 
 
 # --- sources and sinks ---------------------------------------------------------------
-UNITS = f"SELECT classifier, source_lang, source, target_lang, target FROM ({S.F1}) f1"
+_LABEL = "CASE WHEN classifier = 'Health' THEN 'Public Health' ELSE classifier END AS classifier"
+UNITS = f"SELECT {_LABEL}, source_lang, source, target_lang, target FROM ({S.F1}) f1"
+# level-2 markup: the segment's own text nodes, joined by a space
+TMX_UNITS = f"""SELECT {_LABEL}, source_lang, CASE WHEN line_no % 3 <> 0 THEN source WHEN source = '' THEN '{{j}}' ELSE '{{j}} ' || source END AS source,
+  target_lang, target FROM ({S.F1}) f1"""
 
 _URLS = """(SELECT regexp_replace(url, '[?#].*$', '') || ['.tmx.gz', '.xz', ''][page_id % 3 + 1] AS url FROM pages)"""
 MANIFEST = f"""
@@ -444,16 +457,21 @@ SUBMISSIONS = """SELECT doc_id AS id, source AS domain,
   'https://example.org/en/submissions/' || CAST(doc_id AS VARCHAR) || '.tmx' AS url
 FROM documents WHERE lower(source) IN ('src1', 'src2')"""
 
-POSITIONAL_UNITS = f"SELECT classifier, 'en' AS source_lang, source, 'en' AS target_lang, target FROM ({S.F1}) f1"
+# an empty quoted field is read as null
+POSITIONAL_UNITS = f"""SELECT {_LABEL}, 'en' AS source_lang,
+  CASE WHEN line_no % 4 = 0 THEN source || chr(10) || 'and more' ELSE source END AS source, 'en' AS target_lang, target FROM ({S.F1}) f1"""
 
 ORACLE.update({
-    "tmx_pairs": UNITS,
+    "tree_pairs": POSITIONAL_UNITS,
+    "load_corpus": DEDUP_PAIRS,
+    "aligned_export": REPEATED_SPLITS.replace("AS split_n, label, id FROM", "AS split_n, label, source, target FROM"),
+    "tmx_pairs": TMX_UNITS,
     "csv_pairs": POSITIONAL_UNITS,
     "tsv_pairs": POSITIONAL_UNITS,
     "wordfast_pairs": UNITS,
     "manifest": MANIFEST,
     "submissions": SUBMISSIONS,
-    "split_roundtrip": REPEATED_SPLITS,
+    "split_roundtrip": REPEATED_SPLITS.replace("AS split_n, label, id FROM", "AS split_n, label, id, source, target FROM"),
 })
 
 
@@ -475,32 +493,33 @@ REASSEMBLE = f"""SELECT s.conv_id, s.turn,
        ELSE string_agg(sentence, '  ' ORDER BY pos) END AS text
 FROM {_sentences_sql()} s JOIN conversations c USING (conv_id, turn) GROUP BY s.conv_id, s.turn, c.text"""
 
-DISTINCT_REQUESTS = "SELECT DISTINCT text, 'en' AS source_lang, 'cy' AS target_lang FROM conversations"
+DISTINCT_REQUESTS = f"""SELECT doc_id, line_no, first(doc_id) OVER w AS first_doc, first(line_no) OVER w AS first_line
+FROM ({S.F1}) f WINDOW w AS (PARTITION BY source, source_lang ORDER BY doc_id, line_no)"""
 
-BPE_UNJOIN = f"SELECT line_no, ref AS text FROM ({S.F5}) f"
+BPE_UNJOIN = f"SELECT doc_id, line_no, ref AS text FROM ({S.F5}) f"
 
-DETOK = f"""SELECT line_no, array_to_string(list_transform(w, lambda x, i:
+DETOK = f"""SELECT doc_id, line_no, array_to_string(list_transform(w, lambda x, i:
     CASE WHEN i = 1 OR regexp_matches(w[i - 1], '[.:?!]$') THEN upper(substring(x, 1, 1)) || substring(x, 2) ELSE x END), ' ') AS text
-FROM (SELECT line_no, string_split(
+FROM (SELECT doc_id, line_no, string_split(
    regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(ref), '([.,!?:;])', ' \\1', 'g'),
        ' ([.,!?:;%)\\]}}])', '\\1', 'g'), '([(\\[{{$£]) ', '\\1', 'g'), ' '' ', '''', 'g'), ' ') AS w FROM ({S.F5}) f) d"""
 
-TRIPLES = f"""(WITH f AS ({S.F5}), last AS (SELECT src, max(line_no) AS line_no FROM f GROUP BY src)
-SELECT l.line_no, l.src, f.ref, f.hyp FROM last l JOIN f ON f.line_no = l.line_no)"""
+TRIPLES = f"""(WITH f AS (SELECT doc_id, line_no, {S.normalize('src')} AS src, {S.normalize('ref')} AS ref, {S.normalize('hyp')} AS hyp FROM ({S.F5}) x)
+SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY src ORDER BY doc_id DESC, line_no DESC) = 1)"""
 
 ALIGNED_TRIPLES = f"SELECT * FROM {TRIPLES} t"
 
-REVIEW_SAMPLE = f"""SELECT line_no, repeat('-', 80) || chr(10) || chr(10) || 'SEGMENT: ' || CAST(line_no AS VARCHAR) || chr(10)
+REVIEW_SAMPLE = f"""SELECT doc_id, line_no, repeat('-', 80) || chr(10) || chr(10) || 'SEGMENT: ' || CAST(line_no AS VARCHAR) || chr(10)
   || 'src: ' || src || chr(10) || 'ref: ' || ref || chr(10) || 'hyp: ' || hyp || chr(10) || chr(10)
   || 'REF PROBLEMUS:' || chr(10) || 'HYP PROBLEMUS:' || chr(10) || 'SYLW:' || chr(10) || chr(10) || chr(10) AS block
-FROM {TRIPLES} t ORDER BY md5('42|' || src), line_no LIMIT 381"""
+FROM {TRIPLES} t ORDER BY md5('42|' || src), doc_id, line_no LIMIT 381"""
 
-_BENCH_PAIRS = S.F1.replace("FROM documents", "FROM (SELECT item_id AS doc_id, text, 'en' AS lang, 'bench' AS source FROM benchmark)")
-LEAK_REMOVAL = f"""SELECT doc_id, line_no FROM ({S.F1}) f
-WHERE NOT EXISTS (SELECT 1 FROM ({_BENCH_PAIRS}) b WHERE b.source = f.source AND b.target = f.target)"""
+LEAK_REMOVAL = f"""SELECT doc_id, line_no FROM ({S.F1}) f WHERE classifier = 'Health'
+AND NOT EXISTS (SELECT 1 FROM ({S.F1}) b WHERE b.classifier = 'Unknown' AND b.source = f.source AND b.target = f.target)"""
 
-WORD_VOCAB = f"""SELECT word, count(*) AS count FROM (SELECT unnest({S.alpha_tokens('text')}) AS word FROM documents) t
-GROUP BY word ORDER BY count DESC, word LIMIT 1000"""
+WORD_VOCAB = f"""SELECT word, count, CAST(row_number() OVER (ORDER BY count DESC, word) AS INTEGER) AS rank
+FROM (SELECT word, count(*) AS count FROM (SELECT unnest({S.alpha_tokens('text')}) AS word FROM documents) t
+      GROUP BY word ORDER BY count DESC, word LIMIT 1000) v"""
 
 VOCAB_INPUT = f"""WITH s AS ({_split_sql(SPLIT_BASE, 'test')}),
 first_train AS (SELECT * FROM s WHERE label = 'train'),
@@ -508,7 +527,7 @@ draws AS (SELECT f.id, f.classifier, f.source, f.target, f.langs, g.split_n
           FROM first_train f, (SELECT unnest(generate_series(1, 10)) AS split_n) g),
 tr AS (SELECT * FROM {_split_sql('draws', 'valid')} x WHERE label = 'train'),
 lines AS (SELECT source AS text FROM tr UNION ALL SELECT target FROM tr)
-SELECT text FROM lines WHERE octet_length(encode(text)) <= 2048 ORDER BY md5('42|' || text), text LIMIT 50000"""
+SELECT text FROM lines"""
 
 ORACLE.update({
     "sentence_segments": SENTENCE_SEGMENTS,
@@ -523,9 +542,10 @@ ORACLE.update({
     "vocab_input": VOCAB_INPUT,
 })
 
-ORACLE["monitor_stream"] = f"SELECT job, line_no + 1 AS up, round(gap, 6) AS gap, round(adj_ts, 6) AS adj_ts FROM {ADJUSTED} a"
+ORACLE["monitor_stream"] = f"""SELECT job, a.line_no + 1 AS up, round(gap, 6) AS gap, round(adj_ts, 6) AS adj_ts, sen_diff
+FROM {ADJUSTED} a LEFT JOIN ({SEN_DIFF}) s USING (job, line_no)"""
 
 # Encoding then decoding gives back the text with single spaces between words.
-ORACLE["pieces_to_text"] = f"""SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS k,
+ORACLE["pieces_to_text"] = f"""SELECT item_id,
   array_to_string(list_filter(regexp_split_to_array(trim({S.normalize('text')}), '\\s+'), lambda w: w <> ''), ' ') AS text
-FROM conversations WHERE len(list_filter(regexp_split_to_array(trim({S.normalize('text')}), '\\s+'), lambda w: w <> '')) > 0"""
+FROM benchmark WHERE len(list_filter(regexp_split_to_array(trim({S.normalize('text')}), '\\s+'), lambda w: w <> '')) > 0"""

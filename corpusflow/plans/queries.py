@@ -13,7 +13,7 @@ from corpusflow.functions import text as T
 from corpusflow.operators import filters, pairs, stats
 from corpusflow.plans import fixtures as FX
 
-PAIR = ("en", "en")
+PAIRS = FX.UNIT_PAIRS
 
 
 def _docs(spark, sf_dir):
@@ -32,13 +32,11 @@ def q_translation_ids(spark, sf_dir):
 
 
 def _cleaned(spark, sf_dir, lexicon=None, profile=None):
-    units = FX.line_pairs(_docs(spark, sf_dir)).drop("langs")
-    return filters.clean(units, PAIR, lexicon=lexicon, profile=profile)
+    return filters.clean(FX.units(_docs(spark, sf_dir)), PAIRS, lexicon=lexicon, profile=profile)
 
 
 def q_clean_pairs(spark, sf_dir):
-    units = FX.line_pairs(_docs(spark, sf_dir)).drop("langs")
-    return filters.clean_pairs(units, PAIR).select(
+    return filters.clean_pairs(FX.units(_docs(spark, sf_dir)), PAIRS).select(
         "doc_id", "line_no", "id", "classifier", "source", "target", "langs")
 
 
@@ -55,15 +53,14 @@ def q_dedup_pairs(spark, sf_dir):
 
 
 def q_segment_stats(spark, sf_dir):
-    """Flagship: documents -> line pairs -> clean -> de-duplicate -> stats."""
-    units = FX.line_pairs(_docs(spark, sf_dir)).drop("langs")
-    kept = filters.clean_pairs(units, PAIR).select("id", "classifier", "source", "target", "langs")
+    """Flagship: documents -> two-language units -> clean -> de-duplicate -> stats."""
+    kept = filters.clean_pairs(FX.units(_docs(spark, sf_dir)), PAIRS).select("id", "classifier", "source", "target", "langs")
     return stats.segment_stats(pairs.dedup_pairs(kept), keys=("classifier",))
 
 
 def q_alpha_tokens(spark, sf_dir):
     docs = _docs(spark, sf_dir)
-    return docs.select("doc_id", F.posexplode(T.alpha_tokens("text")).alias("pos", "word")) \
+    return docs.select("doc_id", F.posexplode(T.alpha_tokens("text", F.col("lang"))).alias("pos", "word")) \
                .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "word")
 
 
@@ -103,8 +100,7 @@ def _lexicon(spark, sf_dir):
 
 
 def _clean_kept(spark, sf_dir):
-    units = FX.line_pairs(_docs(spark, sf_dir)).drop("langs")
-    return filters.clean_pairs(units, PAIR)
+    return filters.clean_pairs(FX.units(_docs(spark, sf_dir)), PAIRS)
 
 
 def q_lexicon(spark, sf_dir):
@@ -122,11 +118,16 @@ def q_misspelt_sentences(spark, sf_dir):
 
 
 def q_spelling_gate(spark, sf_dir):
-    units = FX.line_pairs(_docs(spark, sf_dir)).drop("langs")
-    return filters.clean_pairs(units, PAIR, lexicon=_lexicon(spark, sf_dir)).select("doc_id", "line_no", "id", "classifier", "source", "target", "langs")
+    return filters.clean_pairs(FX.units(_docs(spark, sf_dir)), PAIRS, lexicon=_lexicon(spark, sf_dir)).select("doc_id", "line_no", "id", "classifier", "source", "target", "langs")
+
+
+def q_lang_gate(spark, sf_dir):
+    kept = filters.clean_pairs(FX.units(_docs(spark, sf_dir)), PAIRS, profile=_profile(spark, sf_dir))
+    return kept.select("doc_id", "line_no", "id", "classifier", "source", "target", "langs")
 
 
 QUERIES.update({
+    "lang_gate": q_lang_gate,
     "lang_profile": q_lang_profile,
     "lang_detect": q_lang_detect,
     "lexicon": q_lexicon,
@@ -171,7 +172,7 @@ from corpusflow.operators import metrics  # noqa: E402
 
 
 def _triples(spark, sf_dir):
-    return FX.triples(_docs(spark, sf_dir)).withColumn("seg", F.col("line_no"))
+    return FX.triples(_docs(spark, sf_dir))
 
 
 def _r6(df):
@@ -228,10 +229,8 @@ def _valid(spark, sf_dir):
     return logs.parse_valid(_runlog(spark, sf_dir))
 
 
-def _adjusted(spark, sf_dir):
-    lines = _train(spark, sf_dir).select("job", "line_no", "ts").unionByName(
-        _valid(spark, sf_dir).select("job", "line_no", "ts"))
-    return logs.pause_adjusted(lines)
+def _clocked(spark, sf_dir):
+    return logs.clock(logs.parse_lines(_runlog(spark, sf_dir)))
 
 
 def q_log_parse(spark, sf_dir):
@@ -247,7 +246,13 @@ def q_sentences_diff(spark, sf_dir):
 
 
 def q_pause_adjusted(spark, sf_dir):
-    return _r6(_adjusted(spark, sf_dir).select("job", "line_no", "gap", "adj_ts"))
+    rows = _clocked(spark, sf_dir).where(F.col("kind").isin("train", "valid"))
+    return _r6(rows.select("job", "line_no", "gap", "adj_ts"))
+
+
+def q_gpu_counts(spark, sf_dir):
+    rows = _clocked(spark, sf_dir).where(F.col("kind") == "train")
+    return rows.select("job", "line_no", F.col("gpus_now").alias("gpus"))
 
 
 def q_run_duration(spark, sf_dir):
@@ -259,10 +264,8 @@ def q_best_update(spark, sf_dir):
 
 
 def q_scalars(spark, sf_dir):
-    adj = _adjusted(spark, sf_dir).select("job", "line_no", "adj_ts")
-    train = logs.sentences_diff(_train(spark, sf_dir)).join(adj, ["job", "line_no"])
-    valid = _valid(spark, sf_dir).join(adj, ["job", "line_no"])
-    return _r6(logs.to_scalars(train, valid))
+    averaged = logs.parse_avg_logs(FX.avg_log(FX.table(spark, sf_dir, "events")))
+    return _r6(logs.to_scalars(_clocked(spark, sf_dir)).unionByName(logs.avg_scalars(averaged)))
 
 
 def q_avg_logs(spark, sf_dir):
@@ -270,9 +273,8 @@ def q_avg_logs(spark, sf_dir):
 
 
 def q_bursts_batch(spark, sf_dir):
-    lines = _train(spark, sf_dir).select("job", "line_no", "ts").unionByName(
-        _valid(spark, sf_dir).select("job", "line_no", "ts"))
-    return logs.bursts(lines)
+    lines = logs.parse_lines(_runlog(spark, sf_dir)).where(F.col("kind").isin("train", "valid"))
+    return logs.bursts(lines.select("job", "line_no", "ts"))
 
 
 QUERIES.update({
@@ -280,6 +282,7 @@ QUERIES.update({
     "valid_parse": q_valid_parse,
     "sentences_diff": q_sentences_diff,
     "pause_adjusted": q_pause_adjusted,
+    "gpu_counts": q_gpu_counts,
     "run_duration": q_run_duration,
     "best_update": q_best_update,
     "scalars": q_scalars,
@@ -337,7 +340,7 @@ def q_pending_splits(spark, sf_dir):
     latest = _latest(spark, sf_dir)
     inventory = latest.select("session").distinct().select(
         "session", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("split_n"))
-    done = latest.where((F.col("metric") == "BLEU") & (F.col("score") > 25.2))
+    done = latest.where((F.col("metric") == "BLEU") & (F.col("score") >= 50))
     return pairs.pending_splits(inventory, done).select("session", F.col("split_n").cast("int"))
 
 
@@ -373,25 +376,25 @@ def _units_out(units):
 
 def q_tmx_pairs(spark, sf_dir):
     root = FX.scratch_dir(spark, "tmx")
-    FX.write_tmx_tree(FX.line_pairs(_docs(spark, sf_dir)), root)
+    FX.write_tmx_tree(FX.labelled(FX.line_pairs(_docs(spark, sf_dir))), root)
     return _units_out(BT.read_tmx(spark, root, glob=None))
 
 
 def q_csv_pairs(spark, sf_dir):
     root = FX.scratch_dir(spark, "csv")
-    FX.write_delimited_tree(FX.line_pairs(_docs(spark, sf_dir)), root, ",")
+    FX.write_delimited_tree(FX.labelled(FX.line_pairs(_docs(spark, sf_dir))), root, ",")
     return _units_out(BT.read_csv_bitext(spark, root, ("en", "en")))
 
 
 def q_tsv_pairs(spark, sf_dir):
     root = FX.scratch_dir(spark, "tsv")
-    FX.write_delimited_tree(FX.line_pairs(_docs(spark, sf_dir)), root, "\t")
+    FX.write_delimited_tree(FX.labelled(FX.line_pairs(_docs(spark, sf_dir))), root, "\t")
     return _units_out(BT.read_csv_bitext(spark, root, ("en", "en"), sep="\t"))
 
 
 def q_wordfast_pairs(spark, sf_dir):
     root = FX.scratch_dir(spark, "wf")
-    FX.write_wordfast_tree(FX.line_pairs(_docs(spark, sf_dir)), root)
+    FX.write_wordfast_tree(FX.labelled(FX.line_pairs(_docs(spark, sf_dir))), root)
     return _units_out(BT.read_wordfast(spark, root, glob="*.csv"))
 
 
@@ -413,27 +416,48 @@ def q_submissions(spark, sf_dir):
     return subs.select(F.col("id").cast("bigint").alias("id"), "domain", "url")
 
 
-def q_file_sizes(spark, sf_dir):
-    return stats.file_sizes(spark, sf_dir, glob="*.parquet")
-
-
 def q_split_roundtrip(spark, sf_dir):
     root = FX.scratch_dir(spark, "splits")
-    out = splits.split_corpus(_split_input(spark, sf_dir))
+    corpus = _split_input(spark, sf_dir)
+    out = splits.with_text(splits.split_corpus(corpus), corpus)
     sinks.write_splits(out.select("id", "classifier", "source", "target", "langs", "split_n", "label"), root)
     inventory = sinks.split_inventory(spark, root)
     back = spark.read.parquet(root).join(inventory, ["split_n", "label"], "left_semi")
-    return back.select(F.col("split_n").cast("int").alias("split_n"), "label", "id")
+    return back.select(F.col("split_n").cast("int").alias("split_n"), "label", "id", "source", "target")
+
+
+def q_tree_pairs(spark, sf_dir):
+    """CSV and TSV files in one tree, dispatched by extension, labels by folder."""
+    root = FX.scratch_dir(spark, "tree")
+    f1 = FX.labelled(FX.line_pairs(_docs(spark, sf_dir)))
+    FX.write_delimited_tree(f1.where(F.col("source_lang") == "en"), root, ",")
+    FX.write_delimited_tree(f1.where(F.col("source_lang") != "en"), root, "\t", extension="tsv")
+    return BT.read_tree(spark, root, ("en", "en")).select("classifier", "source_lang", "source", "target_lang", "target")
+
+
+def q_load_corpus(spark, sf_dir):
+    root = FX.scratch_dir(spark, "corpus")
+    sinks.write_cleaned(FX.corpus(_docs(spark, sf_dir)), root)
+    return BT.load_corpus(spark, root)
+
+
+def q_aligned_export(spark, sf_dir):
+    root = FX.scratch_dir(spark, "aligned")
+    corpus = _split_input(spark, sf_dir)
+    sinks.export_aligned(splits.with_text(splits.split_corpus(corpus), corpus), root)
+    return sinks.read_aligned_splits(spark, root)
 
 
 QUERIES.update({
+    "tree_pairs": q_tree_pairs,
+    "load_corpus": q_load_corpus,
+    "aligned_export": q_aligned_export,
     "tmx_pairs": q_tmx_pairs,
     "csv_pairs": q_csv_pairs,
     "tsv_pairs": q_tsv_pairs,
     "wordfast_pairs": q_wordfast_pairs,
     "manifest": q_manifest,
     "submissions": q_submissions,
-    "file_sizes": q_file_sizes,
     "split_roundtrip": q_split_roundtrip,
 })
 
@@ -457,59 +481,55 @@ def q_reassemble_text(spark, sf_dir):
 
 
 def q_distinct_requests(spark, sf_dir):
-    conv = _conv(spark, sf_dir).select("text", F.lit("en").alias("source_lang"), F.lit("cy").alias("target_lang"))
-    return pairs.distinct_requests(conv)
-
-
-BPE_SPLIT = "(\\\\p{L}{3})(\\\\p{L}{2,})"
+    asked = FX.line_pairs(_docs(spark, sf_dir)).select(
+        "doc_id", "line_no", F.col("source").alias("text"), "source_lang", F.lit("cy").alias("target_lang"))
+    first = pairs.distinct_requests(asked, order=("doc_id", "line_no")).withColumnsRenamed({"doc_id": "first_doc", "line_no": "first_line"})
+    return pairs.answer_requests(asked, first).select("doc_id", "line_no", "first_doc", "first_line")
 
 
 def q_bpe_unjoin(spark, sf_dir):
     t = _triples(spark, sf_dir)
     bpe = F.regexp_replace("ref", "(\\p{L}{3})(\\p{L}{2,})", "$1@@ $2")
-    return t.select("line_no", T.bpe_unjoin(bpe).alias("text"))
+    return t.select("doc_id", "line_no", T.bpe_unjoin(bpe).alias("text"))
 
 
 def q_detok(spark, sf_dir):
     t = _triples(spark, sf_dir)
     tokenized = F.regexp_replace(F.lower("ref"), "([.,!?:;])", " $1")
-    d = t.select("line_no", F.split(T.detokenize(tokenized), " ").alias("_w"))
-    return d.select("line_no", T.detruecase(F.col("_w")).alias("text"))
+    d = t.select("doc_id", "line_no", F.split(T.detokenize(tokenized), " ").alias("_w"))
+    return d.select("doc_id", "line_no", T.detruecase(F.col("_w")).alias("text"))
 
 
-def q_aligned_triples(spark, sf_dir):
+def _aligned(spark, sf_dir):
     t = _triples(spark, sf_dir)
-    src = t.select("line_no", F.col("src").alias("text"))
-    ref = t.select("line_no", F.col("ref").alias("text"))
-    hyp = t.select("line_no", F.col("hyp").alias("text"))
-    return pairs.join_triples(src, ref, hyp)
+    side = lambda c: t.select("doc_id", "line_no", F.col(c).alias("text"))
+    return pairs.join_triples(side("src"), side("ref"), side("hyp"), key=("doc_id", "line_no"))
+
+
+def q_aligned_triples(spark, sf_dir):
+    return _aligned(spark, sf_dir)
 
 
 def q_review_sample(spark, sf_dir):
-    t = _triples(spark, sf_dir)
-    trip = pairs.join_triples(t.select("line_no", F.col("src").alias("text")),
-                              t.select("line_no", F.col("ref").alias("text")),
-                              t.select("line_no", F.col("hyp").alias("text")))
-    return sinks.format_review(splits.review_sample(trip, n=381))
+    return sinks.format_review(splits.review_sample(_aligned(spark, sf_dir), n=381, key=("doc_id", "line_no")),
+                               key=("doc_id", "line_no"))
 
 
 def q_leak_removal(spark, sf_dir):
-    f1 = FX.line_pairs(_docs(spark, sf_dir))
-    bench = FX.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text",
-                                                         F.lit("en").alias("lang"), F.lit("bench").alias("source"))
-    train = FX.line_pairs(bench)
-    return pairs.ensure_unique(f1, train).select("doc_id", "line_no")
+    """Classified pairs that do not occur among the unclassified ones."""
+    test, train = splits.by_class(FX.line_pairs(_docs(spark, sf_dir)))
+    return pairs.ensure_unique(test, train).select("doc_id", "line_no")
 
 
 def q_word_vocab(spark, sf_dir):
-    return vocab.word_vocab(_docs(spark, sf_dir), 1000)
+    return vocab.word_vocab(_docs(spark, sf_dir), 1000, lang=F.col("lang"))
 
 
 def q_vocab_input(spark, sf_dir):
-    out = splits.split_corpus(_split_input(spark, sf_dir))
-    train = out.where(F.col("label") == "train")
+    corpus = _split_input(spark, sf_dir)
+    train = splits.with_text(splits.split_corpus(corpus).where(F.col("label") == "train"), corpus)
     lines = train.select(F.explode(F.array("source", "target")).alias("text"))
-    return vocab.vocab_input(lines, max_lines=50_000)
+    return vocab.vocab_input(lines)
 
 
 QUERIES.update({
@@ -528,14 +548,14 @@ QUERIES.update({
 
 # --- streaming monitor -------------------------------------------------------------------
 def q_monitor_stream(spark, sf_dir):
-    """LOG10-LOG12: F3 as rolled files -> stream -> per-job state -> Parquet."""
+    """LOG10-LOG12: F3 as rolled files -> stream -> carry per job -> Parquet."""
     from corpusflow.streaming import monitor
     root = FX.scratch_dir(spark, "logs")
     FX.write_log_chunks(_runlog(spark, sf_dir), f"{root}/in")
-    q = monitor.monitor(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt")
+    # all files in few batches here; any number of files per batch gives the same rows
+    q = monitor.monitor(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", name="*.txt", max_files=200)
     q.awaitTermination()
-    out = spark.read.schema(monitor.OUTPUT_SCHEMA).parquet(f"{root}/out")
-    return _r6(out.select("job", "up", "gap", "adj_ts"))
+    return _r6(monitor.read_monitor(spark, f"{root}/out").select("job", "up", "gap", "adj_ts", "sen_diff"))
 
 
 QUERIES["monitor_stream"] = q_monitor_stream
@@ -548,23 +568,23 @@ def _subword_input(spark, sf_dir):
 
 
 def q_subword_vocab(spark, sf_dir):
-    v, _ = vocab.train_subwords(_subword_input(spark, sf_dir), size=1500, per_round=100, max_rounds=12)
-    return v
+    return vocab.train_subwords(_subword_input(spark, sf_dir), size=1500)[0]
 
 
 def q_encode_words(spark, sf_dir):
     src = _subword_input(spark, sf_dir)
-    _, rounds = vocab.train_subwords(src, size=1500, per_round=100, max_rounds=12)
-    enc = vocab.encode(src.select(F.concat_ws("-", "conv_id", "turn").alias("k"), "text"), rounds, "k")
+    _, words, rounds = vocab.train_subwords(src, size=1500)
+    enc = vocab.encode(src.select(F.concat_ws("-", "conv_id", "turn").alias("k"), "text"), words, rounds, "k")
     return enc.select("k", F.size("pieces").alias("n_pieces"), T.pieces_to_text(F.col("pieces")).alias("text"))
 
 
 def q_pieces_to_text(spark, sf_dir):
     src = _subword_input(spark, sf_dir)
-    _, rounds = vocab.train_subwords(src, size=1500, per_round=100, max_rounds=12)
-    enc = vocab.encode(src.select(F.col("conv_id").alias("conv_id"), F.col("turn"), "text")
-                       .select(F.concat_ws("-", "conv_id", "turn").alias("k"), "text"), rounds, "k")
-    return enc.select("k", T.pieces_to_text(F.col("pieces")).alias("text"))
+    _, words, rounds = vocab.train_subwords(src, size=1500)
+    # another table, so that words unseen in training are encoded too
+    bench = FX.table(spark, sf_dir, "benchmark").select("item_id", T.normalize(F.col("text")).alias("text"))
+    enc = vocab.encode(bench, words, rounds, "item_id")
+    return enc.select("item_id", T.pieces_to_text(F.col("pieces")).alias("text"))
 
 
 QUERIES.update({

@@ -66,8 +66,12 @@ def translation_id(classifier: str, source: str, target: str) -> str:
     return f"CAST('0x' || substr(md5({key}), 1, 15) AS BIGINT)"
 
 
-def alpha_tokens(x: str) -> str:
-    return (f"list_filter(regexp_split_to_array({x}, '[^\\p{{L}}\\p{{N}}''\\-]+'), "
+def alpha_tokens(x: str, lang: str | None = "lang") -> str:
+    """Chunks of letters alone, after the chunk that an apostrophe binds is taken out."""
+    left = f"regexp_replace({x}, '([\\p{{L}}\\p{{N}}])(?:''[\\p{{L}}\\p{{N}}\\-]+)+', '\\1 ', 'g')"
+    right = f"regexp_replace({x}, '(?:[\\p{{L}}\\p{{N}}\\-]+'')+(\\p{{L}})', ' \\1', 'g')"
+    cut = f"CASE WHEN {lang} IN ('en') THEN {left} WHEN {lang} IN ('fr', 'it') THEN {right} ELSE {x} END" if lang else x
+    return (f"list_filter(regexp_split_to_array({cut}, '[^\\p{{L}}\\p{{N}}\\-]+'), "
             f"lambda t: regexp_full_match(t, '\\p{{L}}+'))")
 
 
@@ -94,9 +98,26 @@ SELECT {translation_id('classifier', 'source', 'target')} AS id, classifier, sou
 FROM ({F1}) f1
 """
 
-F5 = """
-SELECT doc_id * 1048576 + line_no AS line_no, source AS src, target AS ref,
+F5 = f"""
+SELECT doc_id, line_no, source AS src, target AS ref,
        array_to_string(list_filter(string_split(target, ' '), lambda w, i: i % 7 <> 0), ' ') AS hyp
-FROM ({f1}) f1
-WHERE len(string_split(source, ' ')) <= 60 AND len(string_split(target, ' ')) <= 60
-""".format(f1=F1)
+FROM ({F1}) f1
+"""
+
+
+def units_sql() -> str:
+    """F1b with both sides already in the order of their pair."""
+    from corpusflow.plans.fixtures import CODE_ONLY, LEADER, UNIT_PAIRS
+    swap = ", ".join(q(f"{b}-{a}") for a, b in UNIT_PAIRS)
+    return f"""
+SELECT doc_id, line_no, classifier, CASE WHEN sw THEN target ELSE source END AS source,
+       CASE WHEN sw THEN source ELSE target END AS target,
+       CASE WHEN sw THEN target_lang ELSE source_lang END AS source_lang,
+       CASE WHEN sw THEN source_lang ELSE target_lang END AS target_lang
+FROM (SELECT *, source_lang || '-' || target_lang IN ({swap}) AS sw FROM (
+  SELECT a.doc_id, CAST(i AS BIGINT) AS line_no, a.classifier, a.lang AS source_lang, b.lang AS target_lang,
+         CASE WHEN (a.doc_id + i) % {CODE_ONLY[0]} = {CODE_ONLY[1]} THEN a.lang ELSE a.lines[i] END AS source,
+         CASE WHEN (a.doc_id + i) % {LEADER[0]} = {LEADER[1]} THEN '-- ' || b.lines[i] ELSE b.lines[i] END AS target
+  FROM (SELECT doc_id, lang, {classifier_sql('source')} AS classifier, string_split(text, chr(10)) AS lines FROM documents) a
+  JOIN (SELECT doc_id - 1 AS doc_id, lang, string_split(text, chr(10)) AS lines FROM documents) b USING (doc_id),
+       LATERAL (SELECT unnest(range(1, greatest(len(a.lines), len(b.lines)) + 1)) AS i) r) u) v"""

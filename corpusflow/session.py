@@ -18,6 +18,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -47,13 +48,16 @@ _LOCAL_FALLBACK: dict = {}
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets it to shared storage and it is used as is; only when no
-    directory is configured at all (local tests) is a fresh local folder
-    created, once per application.
+    A cluster sets it to shared storage and it is used as is. Where none is
+    configured, a local master (tests) gets a fresh local folder, once per
+    application; on a cluster executors would each write to their own disk, so
+    there it is an error.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = sc.applicationId
         base = _LOCAL_FALLBACK.get(app)
         if base is None:

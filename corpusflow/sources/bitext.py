@@ -8,10 +8,12 @@ Readers split large inputs across tasks: TMX is read as text records cut at
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusflow.functions.text import lang_code, strip_wf_tags
 
@@ -20,69 +22,125 @@ UNIT_COLUMNS = ["source_lang", "source", "target_lang", "target", "source_path"]
 # --- FIXED VALUES: TMX structure ------------------------------------------------
 TU_END = "</tu>"
 TU_START = r"(?s)(<tu[\s>].*)$"
-LANG_ATTR = '@*[local-name()="lang"]'
+LANG_ATTR = '@*[local-name()="lang"][1]'
+#: columns of a Wordfast memory whose file has no header with their names
+WORDFAST_COLUMNS = ("date", "user", "reuse", "src-lang", "source", "target-lang", "target",
+                    "attr1", "attr2", "attr3", "attr4")
 
 
 def _file_path() -> F.Column:
-    return F.col("_metadata.file_path")
+    """The file's path as it is named in the store, not percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def _units_from_xml(x: str = "_x"):
-    """(source_lang, source, target_lang, target) of a ``<tu>`` string.
+def _side(n: int, x: str = "_v"):
+    """(language, text) of the n-th ``tuv`` that has a ``seg``.
 
-    Three XML parses per unit (the languages of the ``tuv``s that have a
-    ``seg``, and each segment's full text); the direct text nodes are fetched
-    only for level-2 markup (a segment with ``{`` or ``}``): then only the
+    The language is the side's first ``lang`` attribute, whatever its
+    namespace. Only for level-2 markup (a segment with ``{`` or ``}``) the
     segment's own text nodes are kept, joined by a space if ``{j`` occurs.
-    A unit with fewer than two segments is dropped.
     """
-    langs = F.expr(f"xpath({x}, '/tu/tuv[seg]/{LANG_ATTR}')")
-    whole = F.size(langs) >= 2
-    out = []
-    for n in (1, 2):
-        full = F.expr(f"xpath_string({x}, '/tu/tuv[seg][{n}]/seg')")
-        direct = F.expr(f"xpath({x}, '/tu/tuv[seg][{n}]/seg/text()')")
-        joined = F.when(full.contains("{j"), F.array_join(direct, " ")).otherwise(F.array_join(direct, ""))
-        text = F.when(full.rlike("[{}]"), joined).otherwise(full)
-        out += [F.when(whole, lang_code(F.element_at(langs, n))), F.when(whole, text)]
-    return out
-
-
-def read_tmx(spark: SparkSession, path: str, glob: str | None = "*.tmx") -> DataFrame:
-    """SRC1/SRC2: TMX units; language = the tuv's lang attribute, region cut."""
-    reader = spark.read.option("lineSep", TU_END)
+    tuv = f"/tu/tuv[seg][{n}]"
+    full = F.expr(f"xpath_string({x}, '{tuv}/seg')")
+    direct = F.expr(f"xpath({x}, '{tuv}/seg[1]/text()')")
+    joined = F.when(full.contains("{j"), F.array_join(direct, " ")).otherwise(F.array_join(direct, ""))
+    lang = F.expr(f"xpath_string({x}, '{tuv}/{LANG_ATTR}')")
+    return F.nullif(lang_code(lang), F.lit("")), F.when(full.rlike("[{}]"), joined).otherwise(full)
+
+
+def tmx_units(spark: SparkSession, path: str, glob: str | None = "*.tmx") -> DataFrame:
+    """Every ``tu`` of the TMX files, with ``reject_reason``: null, ``malformed``
+    (no XML by itself, e.g. an entity that is declared nowhere) or
+    ``one_sided`` (not two sides with a language each)."""
+    reader = spark.read.option("lineSep", TU_END).option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    raw = reader.option("recursiveFileLookup", "true").text(path)
-    recs = (raw.select(F.regexp_extract("value", TU_START, 1).alias("_x"), _file_path().alias("source_path"))
+    recs = (reader.text(path).select(F.regexp_extract("value", TU_START, 1).alias("_x"), _file_path().alias("source_path"))
             .where(F.col("_x") != "")
             .withColumn("_x", F.concat(F.col("_x"), F.lit(TU_END))))
-    s_lang, s_text, t_lang, t_text = _units_from_xml("_x")
-    units = recs.select(s_lang.alias("source_lang"), s_text.alias("source"),
+    parsed = F.from_xml("_x", "_broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    recs = recs.withColumn("_bad", parsed["_broken"].isNotNull() | F.col("_x").rlike(UNDECLARED))
+    recs = recs.withColumn("_v", F.when(~F.col("_bad"), F.col("_x")))
+    (s_lang, s_text), (t_lang, t_text) = _side(1), _side(2)
+    two = F.expr("xpath_int(_v, 'count(/tu/tuv[seg])')") >= 2
+    units = recs.select("_bad", two.alias("_two"), s_lang.alias("source_lang"), s_text.alias("source"),
                         t_lang.alias("target_lang"), t_text.alias("target"), "source_path")
-    # a unit lacking either side is dropped, as in the reference
-    return units.where(F.col("source_lang").isNotNull() & F.col("target_lang").isNotNull())
+    sided = F.col("_two") & F.col("source_lang").isNotNull() & F.col("target_lang").isNotNull()
+    return units.withColumn("reject_reason", F.when(F.col("_bad"), F.lit("malformed")).when(~F.coalesce(sided, F.lit(False)), F.lit("one_sided"))
+                            ).drop("_bad", "_two")
 
 
-def read_csv_bitext(spark: SparkSession, path: str, langs, fieldnames=("source", "target"),
-                    sep: str = ",", encoding: str = "UTF-8", glob: str | None = "*.csv",
-                    multi_line: bool = False) -> DataFrame:
-    """SRC3/SRC4: CSV or TSV with a header; languages assigned by position.
+#: an entity reference that XML itself does not declare
+UNDECLARED = r"&(?!(?:amp|lt|gt|quot|apos);|#[0-9]+;|#x[0-9A-Fa-f]+;)"
+
+
+def read_tmx(spark: SparkSession, path: str, glob: str | None = "*.tmx") -> DataFrame:
+    """SRC1/SRC2: TMX units; language = the tuv's lang attribute, region cut.
 
-    ``multi_line=True`` allows quoted newlines but makes each file one task;
-    keep large inputs one record per line.
+    A unit lacking either side is dropped, as in the reference; so is one that
+    is not well-formed, instead of failing the job (see :func:`tmx_units`).
     """
-    reader = (spark.read.option("header", "true").option("sep", sep).option("encoding", encoding)
-              .option("escape", '"').option("multiLine", str(multi_line).lower())
-              .option("recursiveFileLookup", "true"))
+    return tmx_units(spark, path, glob).where(F.col("reject_reason").isNull()).drop("reject_reason")
+
+
+def _headers(spark: SparkSession, path: str, encoding: str, glob: str | None) -> list[tuple[str, list[str]]]:
+    """(first line, files that start with it): as many as there are layouts.
+
+    The first line of each file is found in parallel; the driver gets the file
+    names, which Spark's own file index holds as well.
+    """
+    reader = (spark.read.option("sep", "\u0001").option("quote", "").option("encoding", encoding)
+              .option("multiLine", str(encoding.upper() not in ("UTF-8", "UTF8")).lower()).option("recursiveFileLookup", "true"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    lines = reader.schema("line string").csv(path).select(
+        "line", F.col("_metadata.file_block_start").alias("b"), _file_path().alias("f"), F.monotonically_increasing_id().alias("i"))
+    firsts = lines.where("b = 0").groupBy("f").agg(F.min_by("line", "i").alias("line"))
+    groups = firsts.groupBy("line").agg(F.array_sort(F.collect_list("f")).alias("files")).orderBy("line")
+    return [(r["line"].lstrip("\ufeff"), r["files"]) for r in groups.collect()]
+
+
+def _read_by_name(spark: SparkSession, path: str, wanted, sep: str, encoding: str, glob: str | None, multi_line: bool,
+                  quote: str = '"', without_header=None) -> DataFrame:
+    """Columns ``wanted`` by header name from files whose headers may differ.
+
+    Names match without regard to case and spaces around them. A file whose
+    first line lacks one of them is read by the columns ``without_header`` if
+    given (the first line is then data), else it is an error.
+    """
+    parts = []
+    for line, files in _headers(spark, path, encoding, glob):
+        names = [c.strip().lower() for c in next(csv.reader([line], delimiter=sep, quotechar=quote or None,
+                                                            quoting=csv.QUOTE_MINIMAL if quote else csv.QUOTE_NONE), [])]
+        named = all(w in names for w in wanted)
+        if not named and without_header is None:
+            raise ValueError(f"no column {', '.join(w for w in wanted if w not in names)} in the header of {files[0]}")
+        columns = names if named else list(without_header)
+        schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(columns))])
+        df = (spark.read.option("header", str(named).lower()).option("enforceSchema", "true").option("sep", sep)
+              .option("encoding", encoding).option("quote", quote).option("escape", quote or "\\")
+              .option("multiLine", str(multi_line).lower())
+              .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+              .schema(schema).csv(files))
+        parts.append(df.select(*(F.col(f"c{columns.index(w)}").alias(w) for w in wanted), _file_path().alias("source_path")))
+    if not parts:
+        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in (*wanted, "source_path")]))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def read_csv_bitext(spark: SparkSession, path: str, langs, fieldnames=("source", "target"),
+                    sep: str = ",", encoding: str = "UTF-8", glob: str | None = "*.csv",
+                    multi_line: bool = True) -> DataFrame:
+    """SRC3/SRC4: CSV or TSV with a header; columns by name, languages by ``fieldnames``.
+
+    Files may order their columns differently and have others. Quoted line
+    ends are read right, for which a file is one task; ``multi_line=False``
+    splits files, for inputs of one record per line.
+    """
     s, t = fieldnames
-    # explicit schema (positional): no inference pass, and no error when no file matches
-    df = reader.schema(f"`{s}` string, `{t}` string").csv(path)
-    return df.select(F.lit(langs[0]).alias("source_lang"), F.col(s).alias("source"),
-                     F.lit(langs[1]).alias("target_lang"), F.col(t).alias("target"),
-                     _file_path().alias("source_path"))
+    df = _read_by_name(spark, path, (s.lower(), t.lower()), sep, encoding, glob, multi_line)
+    return df.select(F.lit(langs[0]).alias("source_lang"), F.col(s.lower()).alias("source"),
+                     F.lit(langs[1]).alias("target_lang"), F.col(t.lower()).alias("target"), "source_path")
 
 
 def read_tsv_bitext(spark: SparkSession, path: str, langs, encoding: str = "UTF-8",
@@ -91,22 +149,18 @@ def read_tsv_bitext(spark: SparkSession, path: str, langs, encoding: str = "UTF-
     return read_csv_bitext(spark, path, langs, sep="\t", encoding=encoding, glob=glob)
 
 
-WORDFAST_COLUMNS = ("src-lang", "source", "target-lang", "target")
-
-
-def read_wordfast(spark: SparkSession, path: str, glob: str | None = "*.txt") -> DataFrame:
+def read_wordfast(spark: SparkSession, path: str, glob: str | None = "*.txt", encoding: str = "UTF-8") -> DataFrame:
     """SRC5: Wordfast TM text: languages from its columns, ``&tX;`` tags removed.
 
-    Rows without both languages are dropped.
+    Columns by the header's names; a file whose first line does not name them
+    has the full Wordfast layout, and its own header line (``%...``) has no
+    languages. Rows without both languages are dropped.
     """
-    reader = (spark.read.option("header", "true").option("sep", "\t").option("quote", "")
-              .option("recursiveFileLookup", "true"))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.schema(", ".join(f"`{c}` string" for c in WORDFAST_COLUMNS)).csv(path)
-    return (df.select(lang_code(F.col("`src-lang`")).alias("source_lang"), strip_wf_tags(F.col("source")).alias("source"),
-                      lang_code(F.col("`target-lang`")).alias("target_lang"), strip_wf_tags(F.col("target")).alias("target"),
-                      _file_path().alias("source_path"))
+    df = _read_by_name(spark, path, ("src-lang", "source", "target-lang", "target"), "\t", encoding, glob,
+                       multi_line=encoding.upper() not in ("UTF-8", "UTF8"), quote="", without_header=WORDFAST_COLUMNS)
+    lang = lambda c: F.when(~F.col(c).startswith("%"), F.nullif(lang_code(F.col(c)), F.lit("")))
+    return (df.select(lang("src-lang").alias("source_lang"), strip_wf_tags(F.col("source")).alias("source"),
+                      lang("target-lang").alias("target_lang"), strip_wf_tags(F.col("target")).alias("target"), "source_path")
             .where(F.col("source_lang").isNotNull() & F.col("target_lang").isNotNull()))
 
 
@@ -135,26 +189,27 @@ def load_corpus(spark: SparkSession, path: str) -> DataFrame:
     return dedup_pairs(df.select("id", "classifier", "source", "target", "langs"))
 
 
+def number_lines(raw: DataFrame) -> DataFrame:
+    """``value, file, line_no`` of a text scan: the exact 1-based line number in each file.
+
+    Computed in parallel with no Python and no global sort: the position of a
+    line inside its file split (a window per split, in scan order) plus the
+    number of lines in the earlier splits of the same file (a prefix over a
+    per-split count table).
+    """
+    raw = raw.select("value", _file_path().alias("file"), F.col("_metadata.file_block_start").alias("_b"),
+                     F.monotonically_increasing_id().alias("_m"))
+    local = raw.withColumn("_pos", F.row_number().over(Window.partitionBy("file", "_b").orderBy("_m")))
+    sizes = raw.groupBy("file", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("file").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("file", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return local.join(offsets, ["file", "_b"]).select("value", "file", (F.col("_pos") + F.col("_off")).cast("bigint").alias("line_no"))
+
+
 def read_aligned(spark: SparkSession, *paths: str):
     """SRC9: line files read back as ``(line_no, text)`` tables, one per path.
 
-    ``line_no`` is the exact 1-based line number, computed in parallel with
-    no Python and no global sort: the position of a line inside its file
-    split (a window per split, in scan order) plus the number of lines in
-    the earlier splits of the same file (a prefix over a per-split count
-    table). Line files of any size then pair up by an equi-join on
-    ``line_no``.
+    Line files of any size then pair up by an equi-join on ``line_no``.
     """
-    out = []
-    for p in paths:
-        raw = spark.read.text(p).select(
-            "value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
-            F.monotonically_increasing_id().alias("_m"))
-        local = raw.withColumn("_pos", F.row_number().over(Window.partitionBy("_f", "_b").orderBy("_m")))
-        sizes = raw.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"))
-        before = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.select("_f", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-        numbered = local.join(offsets, ["_f", "_b"])
-        out.append(numbered.select((F.col("_pos") + F.col("_off")).cast("bigint").alias("line_no"),
-                                   F.col("value").alias("text")))
+    out = [number_lines(spark.read.text(p)).select("line_no", F.col("value").alias("text")) for p in paths]
     return out if len(out) > 1 else out[0]

@@ -5,31 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def line_key() -> F.Column:
-    """Order key of a text line within its file, without reading a file in one task.
-
-    (file split start in KiB) * 2^27 + row position within the scan partition:
-    splits of one file start at least 4 MiB apart and a partition holds fewer
-    than 2^27 lines, so the key orders the lines of each file.
-    """
-    pos = F.monotonically_increasing_id() % F.lit(1 << 33)
-    return F.floor(F.col("_metadata.file_block_start") / 1024) * F.lit(1 << 27) + pos
+from corpusflow.sources.bitext import number_lines
 
 
 def read_logs(spark: SparkSession, root: str, name: str = "marian.log") -> DataFrame:
     """SRC11: ``job, line_no, value`` from every ``name`` file under ``root``;
-    job = the file's parent directory."""
-    raw = (spark.read.option("pathGlobFilter", name).option("recursiveFileLookup", "true").text(root))
-    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("job"),
-                      line_key().alias("line_no"), "value")
+    job = the file's parent directory, ``line_no`` the line's number in its file."""
+    raw = spark.read.option("pathGlobFilter", name).option("recursiveFileLookup", "true").text(root)
+    return number_lines(raw).select(F.regexp_extract("file", r"([^/=]+)/[^/]+$", 1).alias("job"), "line_no", "value")
 
 
 def read_avg_logs(spark: SparkSession, root: str) -> DataFrame:
     """SRC12: ``avg-*.log`` lines with ``name`` = file name without ``.log``."""
     raw = spark.read.option("pathGlobFilter", "avg-*.log").option("recursiveFileLookup", "true").text(root)
-    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.log$", 1).alias("name"),
-                      line_key().alias("line_no"), "value")
+    return number_lines(raw).select(F.regexp_extract("file", r"([^/]+)\.log$", 1).alias("name"), "line_no", "value")
 
 
 def unseen_steps(parsed: DataFrame, seen: DataFrame) -> DataFrame:

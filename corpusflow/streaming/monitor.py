@@ -1,90 +1,89 @@
 """Training-log monitor as Structured Streaming (LOG10-LOG13).
 
 ``readStream.text`` over the job folders replaces the reference's polling
-loop; the file source checkpoint remembers which files were read (LOG10);
-a per-job state (last line time, short-gap sum and count, pause total)
-replaces the pickled monitor state (LOG12), so the stream yields exactly
-the batch ``pause_adjusted`` result. Within a micro-batch a job's lines are
-put back in log order by ``(ts, up)``.
-
-The file source reads each file once: logs must arrive as rolled chunks
-(new files), not as appends to one file.
+loop; the file source checkpoint remembers which files were read (LOG10).
+Each micro-batch goes through the same chunk-parallel operators as a batch
+(:func:`corpusflow.operators.logs.clock`), continued from a carry table of one
+row per job (last line time, short gaps, pauses, sentences, GPUs: LOG12), so no
+job is gathered into one task and the stream yields exactly the batch result,
+wherever batches end. Lines are ordered by file name and line number, as in a
+batch.
+
+The file source reads each file once: logs must arrive as rolled chunks (new
+files of a job sort after its earlier ones), not as appends to one file. A
+batch that is retried writes its rows and its carry to the same folders anew.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.window import Window
 
 from corpusflow.operators import logs as L
+from corpusflow.sources.sinks import write_scalars
 
-OUTPUT_SCHEMA = "job string, up long, ts timestamp, gap double, adj_ts double"
-STATE_SCHEMA = "last_t long, s long, n long, g long"
-US = 1_000_000
-
-
-def _advance(key, frames, state: GroupState):
-    """Pause-adjusted clock for one job's new lines (vectorised)."""
-    (job,) = key
-    pdf = pd.concat(list(frames), ignore_index=True)
-    if pdf.empty:
-        return
-    t = (pdf["ts"].astype("datetime64[us]").astype("int64")).to_numpy()
-    order = np.lexsort((pdf["up"].to_numpy(), t))
-    pdf, t = pdf.iloc[order].reset_index(drop=True), t[order]
-    if state.exists:
-        last_t, s0, n0, g0 = state.get
-    else:
-        last_t, s0, n0, g0 = None, 0, 0, 0
-    prev = np.concatenate([[last_t if last_t is not None else t[0]], t[:-1]])
-    gap = (t - prev).astype("float64")
-    has_gap = np.ones(len(t), dtype=bool)
-    if last_t is None:
-        has_gap[0] = False
-    long_gap = has_gap & (gap > L.PAUSE_SECONDS * US)
-    short = has_gap & ~long_gap
-    s = s0 + np.cumsum(np.where(short, gap, 0)).astype("int64")
-    n = n0 + np.cumsum(short).astype("int64")
-    mean = np.where(n > 0, np.floor(s / np.maximum(n, 1) + 0.5), 0).astype("int64")
-    g = g0 + np.cumsum(np.where(long_gap, gap.astype("int64") - mean, 0)).astype("int64")
-    state.update((int(t[-1]), int(s[-1]), int(n[-1]), int(g[-1])))
-    yield pd.DataFrame({"job": job, "up": pdf["up"].astype("int64"), "ts": pdf["ts"],
-                        "gap": np.where(has_gap, gap / US, np.nan), "adj_ts": (t - g) / US})
-
-
-def parsed_stream(spark: SparkSession, root: str, name: str = "*.txt", max_files: int = 4) -> DataFrame:
-    """LOG11: train and valid lines of every job folder under ``root`` as a stream."""
+OUTPUT_SCHEMA = "job string, up long, ts timestamp, gap double, adj_ts double, sen_diff long"
+
+
+def log_stream(spark: SparkSession, root: str, name: str = "*.log", max_files: int = 4) -> DataFrame:
+    """LOG11: lines of every job folder under ``root`` as a stream; job = the
+    file's folder (of a ``key=value`` folder its value)."""
     raw = (spark.readStream.option("pathGlobFilter", name).option("recursiveFileLookup", "true")
            .option("maxFilesPerTrigger", max_files).text(root))
-    lines = raw.select(F.regexp_extract(F.input_file_name(), r"job=([^/]+)/[^/]+$", 1).alias("job"),
-                       F.lit(0).cast("bigint").alias("line_no"), "value")
-    train = L.parse_train(lines).select("job", "ts", "up")
-    valid = L.parse_valid(lines).select("job", "ts", "up")
-    return train.unionByName(valid)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return raw.select(F.regexp_extract(path, r"([^/=]+)/[^/]+$", 1).alias("job"), path.alias("file"),
+                      F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+
 
+def numbered(batch: DataFrame) -> DataFrame:
+    """``job, line_no, value``: lines counted through the job's files of a batch."""
+    local = batch.withColumn("_pos", F.row_number().over(Window.partitionBy("job", "file", "block").orderBy("at")))
+    sizes = batch.groupBy("job", "file", "block").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("job").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("job", "file", "block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return local.join(offsets, ["job", "file", "block"]).select("job", (F.col("_pos") + F.col("_off")).alias("line_no"), "value")
 
-def monitor(spark: SparkSession, root: str, out_path: str, checkpoint: str, name: str = "*.txt",
-            available_now: bool = True, max_files: int = 4):
+
+def monitor(spark: SparkSession, root: str, out_path: str, checkpoint: str, name: str = "*.log",
+            available_now: bool = True, max_files: int = 4, scalars_path: str | None = None, expire_hours: float | None = None):
     """LOG10-LOG12: start the monitor; returns the StreamingQuery.
 
+    Rows go to ``out_path/batch=<n>``, scalar series (SNK6) to
+    ``scalars_path/batch=<n>`` if given. Jobs without a line for
+    ``expire_hours`` of log time are dropped from the carry.
     ``available_now=True`` drains what is there and stops (tests, backfills);
     otherwise a 5-second processing-time trigger polls like the reference.
     """
-    stream = parsed_stream(spark, root, name, max_files)
-    adjusted = stream.groupBy("job").applyInPandasWithState(
-        _advance, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-    writer = (adjusted.writeStream.format("parquet").option("path", out_path)
-              .option("checkpointLocation", checkpoint).outputMode("append"))
+    def step(batch: DataFrame, n: int) -> None:
+        s = batch.sparkSession
+        carry = s.read.schema(L.STATE).parquet(f"{checkpoint}/carry/batch={n - 1}") if n else None
+        clocked = L.clock(L.parse_lines(numbered(batch)), carry=carry)
+        clocked = clocked.withColumn("sen_diff", F.col("sen_diff").cast("bigint"))
+        (clocked.where(F.col("kind").isin("train", "valid")).select("job", "up", "ts", "gap", "adj_ts", "sen_diff")
+         .write.mode("overwrite").parquet(f"{out_path}/batch={n}"))
+        if scalars_path:
+            write_scalars(L.to_scalars(clocked), f"{scalars_path}/batch={n}", "overwrite")
+        state = L.carry_of(clocked, carry)
+        if expire_hours is not None:
+            newest = state.agg(F.max("at").alias("newest"))
+            state = state.join(F.broadcast(newest), F.col("at") >= F.col("newest") - F.expr(f"INTERVAL {int(expire_hours * 3600)} SECONDS"), "left_semi")
+        state.write.mode("overwrite").parquet(f"{checkpoint}/carry/batch={n}")
+
+    writer = (log_stream(spark, root, name, max_files).writeStream.foreachBatch(step)
+              .option("checkpointLocation", f"{checkpoint}/stream"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     return writer.start()
 
 
+def read_monitor(spark: SparkSession, out_path: str) -> DataFrame:
+    """What the monitor has written so far."""
+    return spark.read.schema(OUTPUT_SCHEMA).parquet(out_path)
+
+
 def drop_seen(stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """LOG10: drop lines already seen (same job and update) within the watermark."""
-    return stream.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["job", "up"])
+    """LOG10: drop lines already seen (same job, kind and update) within the watermark."""
+    return stream.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["job", "kind", "up"])
 
 
 def stream_bursts(stream: DataFrame, watermark: str = "1 hour") -> DataFrame:

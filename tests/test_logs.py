@@ -54,11 +54,26 @@ def test_sentences_diff_and_pause(spark, lines):
     assert adj[5]["adj_ts"] == pytest.approx(adj[2]["ts"].timestamp())
 
 
-def test_prefix_sums_match_across_chunks(spark):
+def test_clock_does_not_depend_on_chunks_or_batches(spark):
+    import random
     from pyspark.sql import functions as F
-    df = spark.range(0, 3000).select(F.lit("a").alias("job"), F.col("id").alias("line_no"), F.lit(1).alias("v"))
-    out = L.running_sums(df, "job", ["line_no"], {"s": F.col("v")}, chunk=F.floor(F.col("line_no") / 7))
-    assert all(r["s"] == r["line_no"] + 1 for r in out.collect())
+    rng = random.Random(4)
+    rows, t = [], 0
+    for i in range(400):
+        t += rng.choice([1, 5, 60, 1200, 1201, 5000])
+        kind = rng.choice(["train", "train", "valid", "devices", "other"])
+        rows.append((rng.choice("ab"), i, t, kind, i * 10 if kind == "train" else None, i % 5 if kind == "devices" else None))
+    df = spark.createDataFrame(rows, "job string, line_no long, t long, kind string, sen long, gpus int").withColumn("ts", F.timestamp_seconds("t"))
+    names = ["job", "line_no", "gap", "adj_ts", "burst", "sen_diff", "gpus_now"]
+    want = sorted(map(str, L.clock(df).select(*names).collect()))
+    for size in (1, 7, 50):
+        assert sorted(map(str, L.clock(df, chunk=F.floor(F.col("line_no") / size)).select(*names).collect())) == want
+    got, carry = [], None
+    for lo, hi in ((0, 3), (3, 90), (90, 91), (91, 400)):
+        part = L.clock(df.where(f"line_no >= {lo} and line_no < {hi}"), carry=carry)
+        got += map(str, part.select(*names).collect())
+        carry = spark.createDataFrame(L.carry_of(part, carry).collect(), L.STATE)
+    assert sorted(got) == want
 
 
 def test_avg_logs(spark):

@@ -49,3 +49,43 @@ def test_mer_wil(spark):
     # E = 2, H = 2, N = 4, M = 3
     assert r["mer"] == pytest.approx(2 / 4)
     assert r["wil"] == pytest.approx(1 - (2 / 4) * (2 / 3))
+
+
+def test_chrf_counts_no_hypothesis_grams_where_the_reference_has_none(spark):
+    # reference of 2 characters: orders 1 and 2 only; p1 = 2/8, p2 = 1/7, r1 = r2 = 1
+    df = _df(spark, [("ab", "abcdefgh")])
+    p, r = (2 / 8 + 1 / 7) / 2, 1.0
+    assert M.chrf(df).first()["chrf"] == pytest.approx(100 * 5 * p * r / (4 * p + r))
+
+
+def test_characters_beyond_the_first_plane(spark):
+    assert M.chrf(_df(spark, [("😀ab", "😀ab")])).first()["chrf"] == pytest.approx(100.0)
+    m, h, r = M.gram_statistics(*M._ids("😀ab", "😀ab"), 2)[1]
+    assert (m, h, r) == (2, 2, 2)
+
+
+def test_empty_sides_do_not_fail(spark):
+    df = _df(spark, [("", "a b"), (None, "c"), ("", "")])
+    assert M.wer(df).first()["wer"] is None
+    assert {r["metric"]: r["score"] for r in M.score(_df(spark, [("a b", "")])).collect()}["WIL"] is None
+    assert {r["metric"] for r in M.score(df).collect()} == {"BLEU", "CHRF", "TER", "WER", "MER", "WIL"}
+
+
+def test_scores_per_key(spark):
+    rows = [("x", "a b c d", "a b c d"), ("y", "a b c d", "a b c e")]
+    df = spark.createDataFrame(rows, "split_n string, ref string, hyp string")
+    got = {(r["split_n"], r["metric"]): r["score"] for r in M.score(df, ["split_n"]).collect()}
+    assert got["x", "WER"] == 0 and got["y", "WER"] == pytest.approx(0.25) and got["x", "BLEU"] == pytest.approx(100.0)
+
+
+def test_word_distance_against_the_plain_recurrence():
+    import random
+    rng = random.Random(2)
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 90))] for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            prev, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
+        assert M.word_distance(a, b) == row[-1]

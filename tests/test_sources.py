@@ -38,6 +38,54 @@ def test_wordfast_and_dispatch(spark):
         ("en", "Hi there", "Helo", "Unknown"), ("en", "a, b", "c", "Unknown")]
 
 
+def test_tmx_of_real_files(spark):
+    root = scratch_dir(spark, "t-tmx2")
+    _write(f"{root}/Public Health+", "a b.tmx", """<?xml version="1.0"?><tmx><body>
+<tu><tuv lang="en-GB" xml:lang="en"><seg>One &amp; two</seg></tuv><tuv lang="cy-GB" xml:lang="cy"><seg>Un</seg></tuv></tu>
+<tu><tuv xml:lang="en"><seg>bad &nowhere; text</seg></tuv><tuv xml:lang="cy"><seg>x</seg></tuv></tu>
+<tu><tuv xml:lang="en"><seg>torn <b>text</seg></tuv><tuv xml:lang="cy"><seg>x</seg></tuv></tu>
+<tu><tuv><seg>no language</seg></tuv><tuv xml:lang="cy"><seg>x</seg></tuv></tu>
+<tu><prop type="x">note</prop><tuv xml:lang="EN"><note>n</note><seg>Three</seg></tuv><tuv xml:lang="cy"><seg>Tri</seg></tuv></tu>
+</body></tmx>""")
+    rows = bitext.with_label(bitext.read_tmx(spark, root)).orderBy("source").collect()
+    assert [(r["source_lang"], r["source"], r["target_lang"], r["target"], r["classifier"]) for r in rows] == [
+        ("en", "One & two", "cy", "Un", "Public Health+"), ("en", "Three", "cy", "Tri", "Public Health+")]
+    reasons = {r["reject_reason"]: r["n"] for r in bitext.tmx_units(spark, root).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert reasons == {None: 2, "malformed": 2, "one_sided": 1}
+
+
+def test_csv_by_header_name(spark):
+    root = scratch_dir(spark, "t-csv")
+    _write(root, "a.csv", 'target,source\nt1,s1\n"t\n2","s ""2"" x"\n')
+    _write(root, "b.csv", "id, Source ,target,note\n1,s3,t3,n\n")
+    got = sorted((r["source"], r["target"]) for r in bitext.read_csv_bitext(spark, root, ("en", "cy")).collect())
+    assert got == [('s "2" x', "t\n2"), ("s1", "t1"), ("s3", "t3")]
+    _write(root, "c.csv", "left,right\na,b\n")
+    import pytest
+    with pytest.raises(ValueError):
+        bitext.read_csv_bitext(spark, root, ("en", "cy"))
+    assert bitext.read_csv_bitext(spark, root, ("en", "cy"), glob="*.none").count() == 0
+
+
+def test_tsv_in_utf16(spark):
+    root = scratch_dir(spark, "t-tsv")
+    os.makedirs(root)
+    with open(f"{root}/a.tsv", "w", encoding="utf-16") as f:
+        f.write("source\ttarget\nŵyn\tlamb\n")
+    got = [(r["source"], r["target"]) for r in bitext.read_tsv_bitext(spark, root, ("cy", "en"), encoding="UTF-16").collect()]
+    assert got == [("ŵyn", "lamb")]
+
+
+def test_full_wordfast_layout(spark):
+    root = scratch_dir(spark, "t-wf2")
+    _write(root, "named.txt", "date\tuser\treuse\tsrc-lang\tsource\ttarget-lang\ttarget\tattr1\n"
+                              "20200101~1\tme\t0\tEN-GB\tHi &tB;you\tCY-GB\tHelo\tx\n20200101~1\tme\t0\t\tno\tCY\tna\tx\n")
+    _write(root, "plain.txt", "%20200101~1\t%user\t%TU=1\t%EN-GB\t%Wordfast TM v.5\t%CY-GB\t%-----------\t.\n"
+                              "20200101~1\tme\t0\tEN-GB\tA \"quoted\tCY-GB\tb\tx\n")
+    rows = sorted((r["source_lang"], r["source"], r["target_lang"], r["target"]) for r in bitext.read_wordfast(spark, root).collect())
+    assert rows == [("en", 'A "quoted', "cy", "b"), ("en", "Hi you", "cy", "Helo")]
+
+
 def test_aligned_lines_and_triples(spark):
     root = scratch_dir(spark, "t-al")
     _write(root, "src.txt", "s1\ns2\ns1\n")

@@ -51,7 +51,12 @@ def test_wordfast_tags(spark):
 
 
 def test_alpha_tokens(spark):
-    assert one(spark, T.alpha_tokens, "Don't stop co-op abc123 Ŵyn, yes.") == ["stop", "Ŵyn", "yes"]
+    assert one(spark, T.alpha_tokens, "Don't stop co-op abc123 Ŵyn, yes.") == ["Don", "t", "stop", "Ŵyn", "yes"]
+    text = "don't go, l'homme mae'r co-op 'quoted' rock'n'roll x'5"
+    words = lambda lang: one(spark, lambda c: T.alpha_tokens(c, lang), text)
+    assert words("en") == ["don", "go", "l", "mae", "quoted", "rock", "x"]
+    assert words("fr") == ["t", "go", "homme", "r", "quoted", "roll", "x"]
+    assert words("cy") == ["don", "t", "go", "l", "homme", "mae", "r", "quoted", "rock", "n", "roll", "x"]
 
 
 def test_translation_id_is_stable(spark):
