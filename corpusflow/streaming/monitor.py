@@ -33,11 +33,12 @@ def log_stream(spark: SparkSession, root: str, name: str = "*.log", max_files: i
            .option("maxFilesPerTrigger", max_files).text(root))
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return raw.select(F.regexp_extract(path, r"([^/=]+)/[^/]+$", 1).alias("job"), path.alias("file"),
-                      F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+                      F.col("_metadata.file_block_start").alias("block"), "value")
 
 
 def numbered(batch: DataFrame) -> DataFrame:
     """``job, line_no, value``: lines counted through the job's files of a batch."""
+    batch = batch.withColumn("at", F.monotonically_increasing_id())  # scan order
     local = batch.withColumn("_pos", F.row_number().over(Window.partitionBy("job", "file", "block").orderBy("at")))
     sizes = batch.groupBy("job", "file", "block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("job").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
