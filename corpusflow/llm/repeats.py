@@ -2,7 +2,7 @@
 
 A byte goes when a 50-byte string that covers it also starts in a document of
 smaller id. Rolling-hash triggers parse every text into overlapping phrases:
-of the 16-byte grams in a 50-byte window the one of least hash is the window's
+of the 24-byte grams in a 50-byte window the one of least hash is the window's
 trigger, and a phrase is what the consecutive windows of one trigger cover. So
 equal windows have equal triggers wherever they are, and each lies in one
 phrase of its document.
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import column, mix64, read, scratch, slices, written
 
 WIDTH = 50
-GRAM = 16
+GRAM = 24
 #: text bytes that a chunk should not exceed (a longer text is a chunk's whole)
 CHUNK_BYTES = 16 << 20
 #: chunks with a gram from which its phrases are sent window by window
@@ -54,12 +54,13 @@ _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 
 
 def _grams(raw: np.ndarray) -> np.ndarray:
-    """Hashes of the 16-byte grams: doubled polynomial hashes, mixed."""
-    h, n = _BYTE[raw], 1
-    while n < GRAM:
+    """Hashes of the 24-byte grams: polynomial hashes of 8 and 16 bytes joined, mixed."""
+    h, n, of = _BYTE[raw], 1, {}
+    while n <= GRAM // 2:
         h = h[:-n] * np.uint64(pow(_BASE, n, 1 << 64)) + h[n:]
         n *= 2
-    return mix64(h)
+        of[n] = h
+    return mix64(of[16][:-8] * np.uint64(pow(_BASE, 8, 1 << 64)) + of[8][16:])
 
 
 def parse(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,21 +89,22 @@ def _has(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, keys), len(table) - 1)] == keys
 
 
-def _pieces(text: bytes, grams: np.ndarray, hot: np.ndarray):
-    """(key, id, first, last) of what of ``text`` is looked at: phrases whose
+def _pieces(text: bytes, phrases, grams: np.ndarray, hot: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(key, id, first, last) of what of ``text`` is looked at: ``phrases`` whose
     trigger is in ``grams``, and the single windows of those in ``hot``."""
-    import xxhash
-    g, first, last = parse(text)
-    some = np.flatnonzero(_has(grams, g) | _has(hot, g))
-    single = _has(hot, g[some])
-    for k, alone in zip(some.tolist(), single.tolist()):
-        a, b = int(first[k]), int(last[k])
+    from xxhash import xxh3_64_intdigest as digest
+    g, first, last = phrases
+    single = _has(hot, g)
+    out = []
+    some = np.flatnonzero(_has(grams, g) | single)
+    for key, a, b, alone in zip(g[some].tolist(), first[some].tolist(), last[some].tolist(), single[some].tolist()):
         if alone:
             for i in range(a, b + 1):
-                h = xxhash.xxh3_64_intdigest(text[i:i + WIDTH])
-                yield h, h, i, i
+                h = digest(text[i:i + WIDTH])
+                out.append((h, h, i, i))
         else:
-            yield int(g[k]), xxhash.xxh3_64_intdigest(text[a:b + WIDTH]), a, b
+            out.append((key, digest(text[a:b + WIDTH]), a, b))
+    return out
 
 
 def _by_shard(keys: np.ndarray, shards: int):
@@ -150,17 +152,16 @@ class Chunk:
             h = xxhash.xxh64_intdigest(text, 42)
             self.docs.append((d, text, (d, h - (h >> 63 << 64)) in copies))
 
-    def live(self):
-        """Documents that take part: with an id, long enough, no copies."""
-        return ((d, text) for d, text, copy in self.docs if d is not None and not copy and len(text) >= WIDTH)
+        # the parse of those that take part: with an id, long enough, no copies
+        self.phrases = {k: parse(text) for k, (d, text, copy) in enumerate(self.docs)
+                        if d is not None and not copy and len(text) >= WIDTH}
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct trigger grams, and whether several documents have them."""
         grams, docs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for d, text in self.live():
-            g = np.unique(parse(text)[0])
-            grams.append(g)
-            docs.append(np.full(len(g), d, np.int64))
+        for k, (g, _, _) in self.phrases.items():
+            grams.append(np.unique(g))
+            docs.append(np.full(len(grams[-1]), self.docs[k][0], np.int64))
         g, d = np.concatenate(grams), np.concatenate(docs)
         order = np.lexsort((d, g))
         g, d = g[order], d[order]
@@ -168,27 +169,27 @@ class Chunk:
         end = np.append(start[1:], len(g)) - 1 if len(g) else start
         return g[start], d[start] != d[end]
 
-    def known(self) -> tuple[np.ndarray, np.ndarray]:
-        """Its grams that other documents have too, and those of them that are hot."""
+    def pieces(self) -> dict[int, list]:
+        """By document, what is looked at: what has grams that other documents have too."""
         told = {r["shard"]: r for r in self.answers if r["shared"] is not None}
         g = self.grams()[0]
         cold, hot = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
         for p, idx in _by_shard(g, self.shards):
             cold.append(g[idx][_flags(told[p]["shared"], len(idx))])
             hot.append(g[idx][_flags(told[p]["hot"], len(idx))])
-        return np.sort(np.concatenate(cold)), np.sort(np.concatenate(hot))
-
-    def dictionary(self, grams: np.ndarray, hot: np.ndarray):
-        """(shard, ids, entries) of the pieces: id -> key, smallest doc_id, bytes."""
-        entry: dict[int, list] = {}
-        if len(grams) or len(hot):
-            for d, text in self.live():
-                for key, pid, a, b in _pieces(text, grams, hot):
-                    e = entry.get(pid)
-                    if e is None:
-                        entry[pid] = [key, d, text[a:b + WIDTH]]
-                    elif d < e[1]:
-                        e[1] = d
+        cold, hot = np.sort(np.concatenate(cold)), np.sort(np.concatenate(hot))
+        if not len(cold) and not len(hot):
+            return {}
+        return {k: _pieces(self.docs[k][1], phrases, cold, hot) for k, phrases in self.phrases.items()}
+
+    def dictionary(self, pieces: dict[int, list]):
+        """(shard, ids, entries) of the distinct pieces: id -> key, smallest doc_id, bytes."""
+        entry: dict[int, tuple] = {}
+        for k in sorted(pieces, key=lambda k: self.docs[k][0]):  # the first is of the smallest id
+            d, text, _ = self.docs[k]
+            for key, pid, a, b in pieces[k]:
+                if pid not in entry:
+                    entry[pid] = (key, d, text[a:b + WIDTH])
         pid = np.sort(np.fromiter(entry, np.uint64, len(entry)))
         keys = np.fromiter((entry[p][0] for p in pid.tolist()), np.uint64, len(pid))
         for p, idx in _by_shard(keys, self.shards):
@@ -227,7 +228,7 @@ def _round_two(shards: int):
     """Chunk -> its dictionary: each looked-at piece once with its smallest doc_id, by shard."""
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         c = Chunk(table, answers, shards)
-        parts = list(c.dictionary(*c.known()))
+        parts = list(c.dictionary(c.pieces()))
         return pa.table({
             "shard": pa.array([p for p, _, _ in parts], pa.int32()), "chunk": pa.array([c.number] * len(parts), pa.int32()),
             "key": _binary([np.array([e[0] for e in es], np.uint64).tobytes() for _, _, es in parts]),
@@ -303,25 +304,29 @@ def _apply(shards: int, with_kept: bool):
     """Chunk and what came back -> the result rows of its documents."""
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         c = Chunk(table, answers, shards)
-        grams, hot = c.known()
+        pieces = c.pieces()
         told = {r["shard"]: r for r in c.answers if r["runs"] is not None}
-        found: dict[int, np.ndarray] = {}  # piece -> smallest doc_id, of all its windows or of each
-        for p, ids, _ in c.dictionary(grams, hot):
+        found: dict[int, list[int]] = {}  # piece -> smallest doc_id, of all its windows or of each
+        for p, ids, _ in c.dictionary(pieces):
             runs = np.frombuffer(told[p]["runs"], np.uint8).astype(np.int64)
-            low, at = np.frombuffer(told[p]["ids"], np.int64), np.cumsum(runs) - runs
+            low, at = np.frombuffer(told[p]["ids"], np.int64).tolist(), np.cumsum(runs) - runs
             found.update((i, low[x:x + n]) for i, x, n in zip(ids, at.tolist(), runs.tolist()))
         spans, kept = [], []
-        for d, text, copy in c.docs:
+        for k, (d, text, copy) in enumerate(c.docs):
             merged: list[list[int]] = []
             if copy:
                 merged.append([0, len(text)])
-            elif found and d is not None:
-                for _, p, a, b in _pieces(text, grams, hot):
+            else:
+                for _, p, a, b in pieces.get(k, ()):
                     low = found[p]
                     if len(low) == 1:
-                        gone = [(a, b)] if low[0] < d else []
+                        gone = [(a, b)] if low[0] < d else ()
+                    elif min(low) >= d:
+                        gone = ()
+                    elif max(low) < d:
+                        gone = [(a, b)]
                     else:
-                        hit = np.flatnonzero(low < d)
+                        hit = np.flatnonzero(np.array(low) < d)
                         gone = [(a + int(x[0]), a + int(x[-1])) for x in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1) if len(x)]
                     for x, y in gone:  # first and last window that goes; phrases come in text order
                         if merged and x <= merged[-1][1]:
