@@ -11,7 +11,7 @@ def spark():
     from pyspark.sql import SparkSession
     from corpusflow.session import checkpoint_dir
     s = (SparkSession.builder.master("local[4]")
-         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
