@@ -231,9 +231,13 @@ def _joined(c: str) -> F.Column:
     return F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _count(kind: str) -> F.Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == F.lit(kind))).cast("long")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(read(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [_count(k).alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"),
                         _joined("spans").alias("spans"))
 
