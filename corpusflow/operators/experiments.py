@@ -29,6 +29,22 @@ def latest_sessions(records: DataFrame) -> DataFrame:
                     F.col("r.metric").alias("metric"), F.col("r.score").alias("score")))
 
 
+def session_states(records: DataFrame) -> DataFrame:
+    """EXP1: the state of each session from its appended records.
+
+    ``records(session, kind, value, at, seq)`` with the kinds ``new`` (created),
+    ``use`` (made current), ``annotate`` (value = comment) and ``progress``
+    (value = trained splits); the latest record of a kind counts, by ``(at,
+    seq)``. One aggregate with map-side partial states, no record is rewritten.
+    """
+    of = lambda kind, c: F.when(F.col("kind") == kind, F.col(c))
+    when = lambda kind: F.when(F.col("kind") == kind, F.struct("at", "seq"))
+    return records.groupBy("session").agg(
+        F.min(of("new", "at")).alias("created"), F.max(of("use", "at")).alias("used"),
+        F.max_by(of("annotate", "value"), when("annotate")).alias("comment"),
+        F.max_by(of("progress", "value"), when("progress")).try_cast("int").alias("progress"))
+
+
 def list_sessions(records: DataFrame, n: int = 10) -> DataFrame:
     """EXP2: the n most recently created sessions, newest first; the session
     with the latest record is marked current. Sort, then limit (Q23)."""
@@ -55,7 +71,7 @@ def best_split(latest: DataFrame, metric: str = "BLEU") -> DataFrame:
 
 def results(table: DataFrame, full: bool = False) -> DataFrame:
     """EXP5: results with or without the per-file detail columns (Q19)."""
-    detail = [c for c in table.columns if c.startswith("detail_") or c == "sizes"]
+    detail = [c for c in table.columns if c.startswith("detail_")]
     return table if full else table.drop(*detail)
 
 

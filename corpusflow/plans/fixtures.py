@@ -165,6 +165,15 @@ def experiments(events: DataFrame) -> DataFrame:
         "stack(3, 'BLEU', BLEU, 'CHRF', CHRF, 'TER', TER) AS (metric, score)"), "updated_at")
 
 
+def session_records(events: DataFrame) -> DataFrame:
+    """F8: session records; the event type gives the kind of record."""
+    kind = F.create_map(*(F.lit(x) for kv in (("signup", "new"), ("click", "use"), ("purchase", "annotate"), ("view", "progress")) for x in kv))
+    value = F.when(F.col("event_type") == "view", F.floor("value").cast("string")).otherwise(F.concat(F.lit("note "), F.col("event_id")))
+    return events.where(F.col("event_type").isin("signup", "click", "purchase", "view")).select(
+        F.concat(F.lit("en-cy_"), F.col("user_id") % 50).alias("session"), F.try_element_at(kind, "event_type").alias("kind"),
+        value.alias("value"), F.col("ts").alias("at"), F.col("event_id").alias("seq"))
+
+
 # --- written fixtures (F1 as files, F7) ------------------------------------------
 def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh folder under the shared ``spark.checkpoint.dir``."""

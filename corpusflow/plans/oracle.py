@@ -421,13 +421,21 @@ done AS (SELECT session, split_n FROM {LATEST} l WHERE metric = 'BLEU' AND score
 SELECT session, split_n FROM inv WHERE NOT EXISTS (
   SELECT 1 FROM done d WHERE d.session = inv.session AND d.split_n = inv.split_n)"""
 
-RESULTS_TABLE = f"""WITH segs AS (SELECT 'en-cy_' || event_type AS session, CAST(user_id % 10 + 1 AS INTEGER) AS split_n,
-  count(*) AS n_segments FROM events GROUP BY ALL)
-SELECT l.session, l.split_n, s.n_segments,
+RESULTS_FULL = f"""WITH segs AS (SELECT 'en-cy_' || event_type AS session, CAST(user_id % 10 + 1 AS INTEGER) AS split_n,
+  count(*) AS n_segments, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 3600e6, 2) AS hours,
+  CAST(sum(strlen(props)) AS BIGINT) AS detail_bytes FROM events GROUP BY ALL)
+SELECT l.session, l.split_n, s.n_segments, s.hours, s.detail_bytes,
   round(max(CASE WHEN metric = 'BLEU' THEN score END), 6) AS bleu,
   round(max(CASE WHEN metric = 'CHRF' THEN score END), 6) AS chrf,
   round(max(CASE WHEN metric = 'TER' THEN score END), 6) AS ter
-FROM {LATEST} l LEFT JOIN segs s USING (session, split_n) GROUP BY l.session, l.split_n, s.n_segments"""
+FROM {LATEST} l LEFT JOIN segs s USING (session, split_n) GROUP BY l.session, l.split_n, s.n_segments, s.hours, s.detail_bytes"""
+RESULTS_TABLE = f"SELECT * EXCLUDE (detail_bytes) FROM ({RESULTS_FULL}) r"
+
+SESSION_STATES = """SELECT 'en-cy_' || CAST(user_id % 50 AS VARCHAR) AS session,
+  min(ts) FILTER (event_type = 'signup') AS created, max(ts) FILTER (event_type = 'click') AS used,
+  arg_max('note ' || CAST(event_id AS VARCHAR), (ts, event_id)) FILTER (event_type = 'purchase') AS comment,
+  CAST(arg_max(floor(value), (ts, event_id)) FILTER (event_type = 'view') AS INTEGER) AS progress
+FROM events WHERE event_type IN ('signup', 'click', 'purchase', 'view') GROUP BY ALL"""
 
 ORACLE.update({
     "latest_sessions": LATEST_SESSIONS,
@@ -439,6 +447,8 @@ ORACLE.update({
     "live_sessions": LIVE_SESSIONS,
     "pending_splits": PENDING_SPLITS,
     "results_table": RESULTS_TABLE,
+    "results_full": RESULTS_FULL,
+    "session_states": SESSION_STATES,
 })
 
 

@@ -344,15 +344,32 @@ def q_pending_splits(spark, sf_dir):
     return pairs.pending_splits(inventory, done).select("session", F.col("split_n").cast("int"))
 
 
-def q_results_table(spark, sf_dir):
+def _results(spark, sf_dir):
+    """AGG3: scores, segments, sizes and duration of each (session, split)."""
     ev = FX.table(spark, sf_dir, "events")
-    segs = ev.groupBy(F.concat(F.lit("en-cy_"), F.col("event_type")).alias("session"),
-                      (F.col("user_id") % 10 + 1).cast("int").alias("split_n")).agg(F.count(F.lit(1)).alias("n_segments"))
-    t = stats.results_table(_latest(spark, sf_dir), segs)
-    return t.select("session", "split_n", "n_segments",
+    key = [F.concat(F.lit("en-cy_"), F.col("event_type")).alias("session"), (F.col("user_id") % 10 + 1).cast("int").alias("split_n")]
+    seconds = F.col("ts").cast("timestamp").cast("double")
+    hours = T.fmt_hours((F.max(seconds) - F.min(seconds)) / 3600.0)
+    segs = ev.groupBy(*key).agg(F.count(F.lit(1)).alias("n_segments"))
+    sizes = ev.groupBy(*key).agg(F.sum(F.octet_length("props")).alias("detail_bytes"))
+    durations = ev.groupBy(*key).agg(hours.alias("hours"))
+    t = stats.results_table(_latest(spark, sf_dir), segs, sizes, durations)
+    return t.select("session", "split_n", "n_segments", "hours", "detail_bytes",
                     *[F.round(F.col("scores")[m], 6).alias(m.lower()) for m in EXP.SCORE_METRICS])
 
 
+def q_results_table(spark, sf_dir):
+    return EXP.results(_results(spark, sf_dir))
+
+
+def q_results_full(spark, sf_dir):
+    return EXP.results(_results(spark, sf_dir), full=True)
+
+
+def q_session_states(spark, sf_dir):
+    return EXP.session_states(FX.session_records(FX.table(spark, sf_dir, "events")))
+
+
 QUERIES.update({
     "latest_sessions": q_latest_sessions,
     "list_sessions": q_list_sessions,
@@ -363,6 +380,8 @@ QUERIES.update({
     "live_sessions": q_live_sessions,
     "pending_splits": q_pending_splits,
     "results_table": q_results_table,
+    "results_full": q_results_full,
+    "session_states": q_session_states,
 })
 
 
