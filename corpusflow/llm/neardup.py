@@ -10,14 +10,18 @@ sketch bound lies six standard deviations away from it.
 
 Copies never become pairs: equal sets are one class. Within a bucket the
 classes are first confirmed against one leader; components are formed; then
-only classes of one bucket that are still in different components are paired.
-So a group of n near copies costs about n confirmations, and no link between
-components is lost. Everything is keyed joins and map-side aggregates; the
-driver sees counts only.
+only classes of one bucket that are still in different components are compared,
+by size and by a sharper odd sketch (2048 samples in 4096 bits, which tells
+0.68 from 0.8), and the few pairs left are confirmed. So a group of n near
+copies costs about n confirmations, no pair of plainly unlike texts leaves the
+bucket join, and no link between components is lost. Everything is keyed joins
+and map-side aggregates; the driver sees counts only.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,16 +32,18 @@ from corpusflow.llm.common import column, mix64, read, slices, utf8, written
 BANDS = 32
 ROWS = 4
 SAMPLES = BANDS * ROWS
-#: bits of an odd sketch, in 64-bit words
+#: bits of an odd sketch, in 64-bit words, and those of the sharper one
 SKETCH_WORDS = 4
-#: XOR bits above which a pair's similarity is below the threshold for certain
-SKETCH_LIMIT = 88
+SHARP_SAMPLES = 2048
+SHARP_WORDS = 64
+#: buckets of a leader that a member must share to be held against it first
+LED = 4
 #: words kept with their hash in one Python worker
 WORDS_KEPT = 400_000
 
 _rng = np.random.default_rng(91)
-_MULTIPLY = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1)
-_ADD = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
+_MULTIPLY = _rng.integers(0, 1 << 32, SHARP_SAMPLES, dtype=np.uint32) | np.uint32(1)
+_ADD = _rng.integers(0, 1 << 32, SHARP_SAMPLES, dtype=np.uint32)
 _BAND_MULTIPLY = _rng.integers(0, 1 << 63, (ROWS,), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -66,12 +72,24 @@ def shingle_hashes(text: bytes | None, k: int, hashes: dict) -> np.ndarray:
     return np.unique(s)
 
 
-def min_hashes(shingles: np.ndarray) -> np.ndarray:
-    """The 128 MinHash samples of a non-empty set."""
+def sketch_limit(samples: int, bits: int, percent: int) -> int:
+    """XOR bits that two sketches of sets at the threshold exceed with a
+    probability of about 1e-9 (six standard deviations)."""
+    apart = 1 - percent / 100
+    grow = math.exp(-4 * samples * apart / bits)
+    mean = bits / 2 * (1 - grow)
+    # of the number of flips, carried over to bits, and of where the flips fall
+    sd = math.hypot(2 * math.sqrt(samples * apart * (1 - apart)) * grow, math.sqrt(bits / 4 * (1 - grow * grow)))
+    return math.ceil(mean + 6 * sd)
+
+
+def min_hashes(shingles: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
+    """MinHash samples of a non-empty set."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    out = np.full(SAMPLES, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(x), 512):
-        np.minimum(out, (x[at:at + 512, None] * _MULTIPLY + _ADD).min(axis=0), out=out)
+    out = np.full(samples, 0xFFFFFFFF, np.uint32)
+    step = 65536 // samples
+    for at in range(0, len(x), step):
+        np.minimum(out, (x[at:at + step, None] * _MULTIPLY[:samples] + _ADD[:samples]).min(axis=0), out=out)
     return out
 
 
@@ -84,11 +102,11 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return key
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
+def odd_sketches(samples: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
     """Parity bitmaps (docs x words): sample i with value v flips bit hash(i, v)."""
-    bits = SKETCH_WORDS * 64
-    at = (mix64(samples.astype(np.uint64) * np.uint64(SAMPLES) + np.arange(SAMPLES, dtype=np.uint64)) % np.uint64(bits)).astype(int)
-    rows = np.repeat(np.arange(len(samples)), SAMPLES)
+    bits, n = words * 64, samples.shape[1]
+    at = (mix64(samples.astype(np.uint64) * np.uint64(n) + np.arange(n, dtype=np.uint64)) % np.uint64(bits)).astype(int)
+    rows = np.repeat(np.arange(len(samples)), n)
     odd = (np.bincount(rows * bits + at.ravel(), minlength=len(samples) * bits) & 1).astype(np.uint8)
     return np.packbits(odd.reshape(len(samples), bits), axis=1).view(np.uint64)
 
@@ -119,10 +137,25 @@ def sketch(docs: DataFrame, shingle: int) -> DataFrame:
         run, "doc_id long, n_shingles long, set_key binary, bands array<long>, odd array<long>")
 
 
-def _near(a: str, b: str) -> Column:
+def sharp_sketch(texts: DataFrame, shingle: int) -> DataFrame:
+    """``rep, size, sharp`` of the documents of ``texts``: their sharper odd sketches."""
+    def run(batches):
+        hashes = _Hashes()
+        for b in slices(batches, 64):
+            sets = [shingle_hashes(t, shingle, hashes) for t in utf8(b, "text")]
+            odd = odd_sketches(np.array([min_hashes(s, SHARP_SAMPLES) for s in sets]).reshape(len(sets), SHARP_SAMPLES), SHARP_WORDS)
+            flat = pa.array(odd.view(np.int64).ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * SHARP_WORDS), flat)
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array([len(s) for s in sets], pa.int64()), lists],
+                                             names=["rep", "size", "sharp"])
+
+    return texts.mapInArrow(run, "rep long, size long, sharp array<long>")
+
+
+def _near(a: str, b: str, words: int, limit: int) -> Column:
     """The two sketches' XOR has few enough bits."""
-    bits = [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH_WORDS)]
-    return sum(bits[1:], bits[0]) <= SKETCH_LIMIT
+    bits = [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(words)]
+    return sum(bits[1:], bits[0]) <= limit
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -146,18 +179,26 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``id, component`` (smallest id reachable) of every node of ``edges(a, b)``."""
+    """``id, component`` (smallest id reachable) of every node of ``edges(a, b)``.
+
+    Each round joins every node to its smallest neighbour (and that one's), and
+    contracts the edges: the nodes of a component at least halve, the edges
+    within it vanish. A component's smallest id only ever joins itself, so it
+    is the one that is left.
+    """
     both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "neardup-edges")
-    now = written(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
-                  .select("id", F.least("id", "m").alias("component"), F.lit(True).alias("moved")), "neardup-labels")
-    while not now.where("moved").isEmpty():
-        old = now.select("id", "component")
-        low = both.join(old.withColumnsRenamed({"id": "b"}), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("m"))
-        step = old.join(low, "id").select("id", F.col("component").alias("was"), F.least("component", "m").alias("next"))
-        jump = old.select(F.col("id").alias("next"), F.col("component").alias("far"))
-        now = written(step.join(jump, "next").select("id", F.least("next", "far").alias("component"),
-                                                     (F.least("next", "far") < F.col("was")).alias("moved")), "neardup-labels")
-    return now.select("id", "component")
+    found = None
+    while found is None or not both.isEmpty():
+        low = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("up"))
+        low = low.join(low.toDF("up", "far"), "up").select("id", F.least("up", "far").alias("up"))
+        step = written(low, "neardup-step")
+        both = written(both.join(step.toDF("a", "up_a"), "a").join(step.toDF("b", "up_b"), "b").where("up_a <> up_b")
+                       .select(F.col("up_a").alias("a"), F.col("up_b").alias("b")).distinct(), "neardup-edges")
+        step = step.toDF("id", "component")
+        found = step if found is None else written(
+            found.join(step.toDF("component", "up"), "component", "left").select("id", F.coalesce("up", "component").alias("component")),
+            "neardup-labels")
+    return found
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -182,8 +223,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     members = written(rows.join(shared.select("key", "leader"), "key"), "neardup-buckets")
 
     odd = reps.select("rep", "odd")
-    star = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    tried = written(star.join(odd.toDF("b", "odd_b"), "b").join(odd.toDF("a", "odd_a"), "a").where(_near("odd_a", "odd_b"))
+    # members that meet a leader in one or two buckets only are left to the second pass
+    star = (members.where("rep <> leader").groupBy(F.col("leader").alias("a"), F.col("rep").alias("b"))
+            .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LED).select("a", "b"))
+    tried = written(star.join(odd.toDF("b", "odd_b"), "b").join(odd.toDF("a", "odd_a"), "a").where(_near("odd_a", "odd_b", SKETCH_WORDS, sketch_limit(SAMPLES, SKETCH_WORDS * 64, percent)))
                     .select("a", "b"), "neardup-pairs")
     ids = members.select("rep").distinct()
     texts = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -196,18 +239,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         "key", "rep", F.coalesce("component", "rep").alias("component"))
     named = written(named, "neardup-named")
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    open_ = written(named.join(mixed, "key").join(odd, "rep"), "neardup-open")
-    x = open_.toDF("rep_x", "key", "component_x", "odd_x")
-    y = open_.toDF("rep_y", "key", "component_y", "odd_y")
-    pairs = (x.join(y, "key").where((F.col("component_x") < F.col("component_y")) & _near("odd_x", "odd_y"))
+    open_ = written(named.join(mixed, "key"), "neardup-open")
+    sharp = sharp_sketch(texts.join(open_.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi"), shingle)
+    open_ = open_.join(written(sharp, "neardup-sharp"), "rep")
+    x = open_.select(*(F.col(c).alias(f"{c}_x" if c != "key" else c) for c in open_.columns))
+    y = open_.select(*(F.col(c).alias(f"{c}_y" if c != "key" else c) for c in open_.columns))
+    alike = (F.col("size_x") * 100 >= F.col("size_y") * percent) & (F.col("size_y") * 100 >= F.col("size_x") * percent)
+    limit = sketch_limit(SHARP_SAMPLES, SHARP_WORDS * 64, percent)
+    pairs = (x.join(y, (x["key"] == y["key"]) & (F.col("component_x") < F.col("component_y")) & alike
+                    & _near("sharp_x", "sharp_y", SHARP_WORDS, limit))
              .select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct())
     rest = written(pairs.join(tried, ["a", "b"], "left_anti"), "neardup-pairs")
-    links = first_links.unionByName(written(confirmed(rest, texts, shingle, percent), "neardup-links"))
-    # a doc_id that stands for two sets already joins their classes: both have it as rep
-    final = components(links).withColumnRenamed("id", "rep")
-
-    moved = classes.join(final, "rep", "left").where("n > 1 or component is not null").select(
-        F.col("set_key").alias("key_of"), F.coalesce("component", "rep").alias("found"))
+    links = written(confirmed(rest, texts, shingle, percent), "neardup-links")
+    # between components, once each; a doc_id that stands for two sets joins their classes
+    over = links.join(one.toDF("a", "up_a"), "a", "left").join(one.toDF("b", "up_b"), "b", "left").select(
+        F.coalesce("up_a", "a").alias("a"), F.coalesce("up_b", "b").alias("b")).where("a <> b").distinct()
+    two = components(over)
+
+    final = classes.join(one.toDF("rep", "up"), "rep", "left").withColumn("up", F.coalesce("up", "rep"))
+    final = final.join(two.toDF("up", "top"), "up", "left").withColumn("found", F.coalesce("top", "up"))
+    moved = final.where("n > 1 or found <> rep").select(F.col("set_key").alias("key_of"), "found")
     return (table.join(moved, table.set_key == moved.key_of, "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))

@@ -66,18 +66,20 @@ def test_empty_table(spark):
     assert N.near_duplicates(documents(spark, []), 2).count() == 0
 
 
-def test_sketch_estimates_similarity():
+@pytest.mark.parametrize("samples, words, other", [(N.SAMPLES, N.SKETCH_WORDS, 0.1), (N.SHARP_SAMPLES, N.SHARP_WORDS, 0.68)])
+def test_sketch_tells_similarities_apart(samples, words, other):
     rng = np.random.default_rng(1)
+    limit = N.sketch_limit(samples, words * 64, 80)
     far = near = 0
-    for _ in range(200):
+    for _ in range(100):
         a = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
-        b = np.concatenate([a[:800], rng.integers(0, 1 << 63, 100, dtype=np.uint64)])  # Jaccard 0.8
-        c = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
-        o = N.odd_sketches(np.array([N.min_hashes(x) for x in (a, b, c)]))
+        near_by, apart = (np.concatenate([a[:int(1800 * j / (1 + j))], rng.integers(0, 1 << 63, 900 - int(1800 * j / (1 + j)), dtype=np.uint64)])
+                          for j in (0.801, other))
+        o = N.odd_sketches(np.array([N.min_hashes(x, samples) for x in (a, near_by, apart)]), words)
         bits = [int(np.bitwise_count(o[0] ^ o[i]).sum()) for i in (1, 2)]
-        near += bits[0] <= N.SKETCH_LIMIT
-        far += bits[1] <= N.SKETCH_LIMIT
-    assert near == 200 and far <= 4
+        near += bits[0] <= limit
+        far += bits[1] <= limit
+    assert near == 100 and far <= 4
 
 
 def test_deduplicated_keeps_columns_and_clean_rows(spark):
