@@ -158,6 +158,12 @@ def _near(a: str, b: str, words: int, limit: int) -> Column:
     return sum(bits[1:], bits[0]) <= limit
 
 
+def _first_meeting(a: str, b: str, band: Column) -> Column:
+    """The two share no bucket of an earlier band, so a pair comes once."""
+    earlier = [F.slice(c, F.lit(1), band) for c in (a, b)]
+    return ~F.exists(F.zip_with(*earlier, lambda x, y: x == y), lambda same: same)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Those ``pairs(a, b)`` whose full sets have 100 * intersection >= percent * union."""
     left = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
@@ -218,7 +224,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     first = classes.select(F.col("set_key").alias("key_of"), "rep")
     reps = written(sets.join(first, (sets.set_key == first.key_of) & (sets.doc_id == first.rep))
                    .select("rep", "bands", "odd").dropDuplicates(["rep", "bands"]), "neardup-reps")
-    rows = reps.select("rep", F.explode("bands").alias("key"))
+    rows = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = rows.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("high")).where("leader < high")
     members = written(rows.join(shared.select("key", "leader"), "key"), "neardup-buckets")
 
@@ -235,19 +241,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     one = components(first_links)
 
     # what shares a bucket, but not yet a component
-    named = members.select("key", "rep").join(one.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component"))
+    named = members.select("key", "band", "rep").join(one.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "key", "band", "rep", F.coalesce("component", "rep").alias("component"))
     named = written(named, "neardup-named")
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     open_ = written(named.join(mixed, "key"), "neardup-open")
     sharp = sharp_sketch(texts.join(open_.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi"), shingle)
-    open_ = open_.join(written(sharp, "neardup-sharp"), "rep")
+    sharp = written(sharp.join(reps.select("rep", "bands").dropDuplicates(["rep"]), "rep"), "neardup-sharp")
+    open_ = open_.join(sharp, "rep")
     x = open_.select(*(F.col(c).alias(f"{c}_x" if c != "key" else c) for c in open_.columns))
     y = open_.select(*(F.col(c).alias(f"{c}_y" if c != "key" else c) for c in open_.columns))
     alike = (F.col("size_x") * 100 >= F.col("size_y") * percent) & (F.col("size_y") * 100 >= F.col("size_x") * percent)
     limit = sketch_limit(SHARP_SAMPLES, SHARP_WORDS * 64, percent)
     pairs = (x.join(y, (x["key"] == y["key"]) & (F.col("component_x") < F.col("component_y")) & alike
-                    & _near("sharp_x", "sharp_y", SHARP_WORDS, limit))
+                    & _near("sharp_x", "sharp_y", SHARP_WORDS, limit) & _first_meeting("bands_x", "bands_y", F.col("band_x")))
              .select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct())
     rest = written(pairs.join(tried, ["a", "b"], "left_anti"), "neardup-pairs")
     links = written(confirmed(rest, texts, shingle, percent), "neardup-links")
