@@ -3,16 +3,19 @@
 Documents of a source form blocks. A source with weight w gives its block j
 the release slot floor(j / w) and the deadline ceil((j + 1) / w); among the
 released blocks, the one with the earliest deadline takes the next slot. With
-weights that are whole parts of ``PARTS`` the schedule repeats every ``PARTS``
-slots, so one period is worked out (a fold over at most ``PARTS`` slots) and
-the slot of any block follows from its number alone. In every prefix of the
-schedule each source is less than one block away from its share.
+weights that are whole numbers the schedule repeats after as many slots as
+their sum, so one period is worked out (a fold over its slots) and the slot of
+any block follows from its number alone. In every prefix of the balanced part
+each source is less than one block away from its share of the period.
 
 DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +23,12 @@ from pyspark.sql.window import Window as W
 
 from corpusflow.llm.common import read
 
-#: whole parts that the weights are rounded to; also the most sources there can be
+#: whole parts that weights from counts are rounded to, up to as many sources
 PARTS = 1000
+#: slots of the longest period for given weights (a period is four slots a source at least)
+MOST = 1 << 20
+#: slots of a period that are worked out before they join the others
+PIECE = 256
 #: documents in a block
 BLOCK = 8
 #: weight of a source without one given: its number of documents to this power
@@ -39,62 +46,125 @@ def _deal() -> Column:
     return F.conv(digits, 16, 10).cast("int")
 
 
-def quotas(counts: DataFrame, weights: dict[str, float] | None, block: int) -> DataFrame:
-    """``rank, source, quota, end``: whole parts of ``PARTS`` by largest remainder;
-    ``end`` is the first slot for which some source may have no block left.
+def _whole(weights: dict[str, float]) -> dict[str, int] | None:
+    """The weights as whole numbers in the same proportions, or None where they sum to more than ``MOST``."""
+    exact = {k: max(Fraction(str(v)), Fraction(0)) for k, v in weights.items()}
+    unit = math.lcm(*(v.denominator for v in exact.values()))
+    whole = {k: int(v * unit) for k, v in exact.items()}
+    shared = math.gcd(*whole.values()) or 1
+    return {k: v // shared for k, v in whole.items()} if sum(whole.values()) // shared <= MOST else None
+
+
+def _lookup(table: dict) -> Column:
+    return F.try_element_at(F.create_map(*(F.lit(x) for kv in table.items() for x in kv)), F.col("source"))
 
-    ``counts(source, n_docs)``; sources in ``weights`` get theirs, without
-    ``weights`` a source weighs its count to the power ``FLATTEN``. Sources of
-    weight 0 or less, or not in ``weights``, get the smallest share: one part.
-    Every source has one part at least, so there may be ``PARTS`` of them.
+
+def quotas(counts: DataFrame, weights: dict[str, float] | None, block: int) -> DataFrame:
+    """``rank, source, quota, parts, weighed, base, end``: of every ``parts`` slots
+    from ``base`` on, ``quota`` are the source's; ``end`` is the first slot for
+    which some source may have no block left.
+
+    ``counts(source, n_docs)``. Sources in ``weights`` get theirs: exactly, in a
+    period of their sum in whole numbers, where that is ``MOST`` at most, else by
+    largest remainder in as many parts as there are blocks (up to ``MOST``, and
+    four for each source), with one part where a weight above 0 would get none.
+    Sources of weight 0 or less, or not in ``weights``, have no share: they are
+    not ``weighed`` and take turns after the last block of those that are.
+
+    Without ``weights`` a source weighs its count to the power ``FLATTEN``: each
+    of up to ``PARTS`` sources gets one of ``PARTS`` parts and the rest by largest
+    remainder.
     """
+    every = W.partitionBy(F.lit(0))
+    blocks = F.ceil(F.col("n_docs") / block)
+    whole = _whole(weights) if weights else None
     if weights is None:
         w = F.pow(F.col("n_docs").cast("double"), F.lit(FLATTEN))
     else:
-        table = F.create_map(*(F.lit(x) for kv in weights.items() for x in kv)) if weights else F.create_map()
-        w = F.greatest(F.coalesce(F.try_element_at(table, F.col("source")), F.lit(0.0)), F.lit(0.0))
-    every = W.partitionBy(F.lit(0))
-    named = counts.withColumn("w", w)
-    spare = F.lit(PARTS) - F.count(F.lit(1)).over(every)
-    share = F.when(F.sum("w").over(every) > 0, spare * F.col("w") / F.sum("w").over(every)).otherwise(
-        spare / F.count(F.lit(1)).over(every))
+        w = F.greatest(F.coalesce(_lookup({k: float(v) for k, v in weights.items()}), F.lit(0.0)), F.lit(0.0)) \
+            if weights else F.lit(0.0)
+    named = counts.withColumn("w", w).withColumn("weighed", F.col("w") > 0)
+    group = W.partitionBy("weighed")
+    n = F.count(F.lit(1)).over(group)
+    wide = F.greatest(F.lit(PARTS), 4 * n, F.least(F.sum(blocks).over(every), F.lit(MOST)))
+    few = F.lit(weights is None)
+    named = named.withColumn("least", few.cast("long")).withColumn("all", F.when(few, F.lit(PARTS)).otherwise(wide).cast("long"))
+    spare = F.col("all") - F.col("least") * n
+    share = spare * F.col("w") / F.sum("w").over(group)
     # remainders are compared at six digits, so that ties are ties on any engine
-    parts = named.withColumn("whole", F.floor(F.round(share, 6))).withColumn("left", F.round(share - F.col("whole"), 6))
-    order = every.orderBy(F.desc("left"), "source")
-    more = (F.row_number().over(order) <= spare - F.sum("whole").over(every)).cast("long")
-    lasts = F.floor(F.ceil(F.col("n_docs") / block) * PARTS / F.col("quota"))
-    return (parts.withColumn("quota", F.col("whole") + 1 + more)
-            .select((F.row_number().over(every.orderBy("source")) - 1).alias("rank"), "source", "quota",
-                    F.min(lasts).over(every).alias("end")))
+    parts = (named.withColumn("spare", spare).withColumn("share", F.when(F.col("weighed"), share).otherwise(0.0))
+             .withColumn("whole", F.floor(F.round("share", 6))).withColumn("left", F.round(F.col("share") - F.col("whole"), 6)))
+    order = group.orderBy(F.desc("left"), "source")
+    more = (F.row_number().over(order) <= F.col("spare") - F.sum("whole").over(group)).cast("long")
+    quota = F.greatest(F.col("whole") + F.col("least") + more, F.lit(1))
+    if whole:
+        quota = F.coalesce(_lookup(whole), F.lit(1)).cast("long")
+    given = (parts.withColumn("quota", F.when(F.col("weighed"), quota).otherwise(1).cast("long"))
+             .withColumn("parts", F.sum("quota").over(group)))
+    lasts = F.floor(blocks * F.col("parts") / F.col("quota"))
+    done = F.max(F.when(F.col("weighed"), F.ceil(blocks * F.col("parts") / F.col("quota")))).over(every)
+    end = F.coalesce(F.min(F.when(F.col("weighed"), lasts)).over(every), F.min(lasts).over(every))
+    return given.select((F.row_number().over(every.orderBy("source")) - 1).alias("rank"), "source", "quota", "parts", "weighed",
+                        F.when(F.col("weighed"), 0).otherwise(F.coalesce(done, F.lit(0))).cast("long").alias("base"),
+                        end.alias("end"))
 
 
 def period(quota: DataFrame) -> DataFrame:
-    """``source, quota, end, slots``: the slots of each source's blocks in the first period."""
-    one = quota.agg(F.array_sort(F.collect_list(F.struct("rank", "source", "quota", "end"))).alias("q"))
-    parts = F.lit(PARTS).cast("long")
+    """``source, quota, parts, base, end, slots``: the slots of each source's blocks in the first period.
+
+    Sources of one quota have the same releases and deadlines and take turns by
+    rank, so the fold keeps one count for each quota that occurs: there are at
+    most ``sqrt(2 * parts)`` of them, however many sources there are.
+    """
+    member = F.struct("rank", "source", "parts", "base", "end")
+    classes = quota.groupBy("weighed", "quota").agg(F.array_sort(F.collect_list(member)).alias("members"))
+    one = classes.agg(
+        F.array_sort(F.collect_list(F.when(F.col("weighed"), F.struct("quota", "members")))).alias("q"),
+        F.flatten(F.collect_list(F.when(~F.col("weighed"), F.col("members")))).alias("last"))
+    one = one.withColumn("parts", F.coalesce(F.get(F.get("q", F.lit(0))["members"], F.lit(0))["parts"], F.lit(0)))
+
+    def due(served: Column, slot: Column) -> Column:
+        def first(s: Column, i: Column) -> Column:
+            n, size = F.get(served, i), F.size(s["members"])
+            turn = F.floor(n / size)
+            return F.struct(F.ceil((turn + 1) * F.col("parts") / s["quota"]).alias("deadline"),
+                            F.get(s["members"], (n % size).cast("int"))["rank"].alias("rank"), i.alias("i"),
+                            (F.floor(turn * F.col("parts") / s["quota"]) <= slot).alias("released"))
+        return F.array_min(F.filter(F.transform("q", first), lambda s: s["released"]))["i"]
 
     def pick(state: Column, slot: Column) -> Column:
         # the released block with the earliest deadline; ties to the source that sorts first
-        open_ = F.filter(F.transform("q", lambda s, i: F.struct(
-            F.ceil((F.get(state["served"], i) + 1) * parts / s["quota"]).alias("deadline"), i.alias("i"),
-            (F.floor(F.get(state["served"], i) * parts / s["quota"]) <= slot).alias("released"))),
-            lambda s: s["released"])
-        best = F.array_min(open_)["i"]
+        best = due(state["served"], slot)
         return F.struct(
             F.transform(state["served"], lambda n, i: n + F.when(i == best, 1).otherwise(0).cast("long")).alias("served"),
-            F.concat(state["order"], F.array(F.struct(slot.alias("slot"), best.alias("i"),
-                                                      F.get(state["served"], best).alias("turn")))).alias("order"))
+            F.concat(state["order"], F.array(F.struct(slot.alias("slot"), best.alias("i")))).alias("order"))
 
-    kind = T.ArrayType(T.StructType([T.StructField("slot", T.LongType(), False), T.StructField("i", T.IntegerType()),
-                                     T.StructField("turn", T.LongType())]), True)
+    def run(state: Column, at: Column) -> Column:
+        # the order grows by pieces, so that it is not copied for every slot
+        slots = F.sequence(at, F.least(at + PIECE, F.col("parts")) - 1)
+        start = F.struct(state["served"].alias("served"), F.array().cast(kind).alias("order"))
+        piece = F.aggregate(slots, start, pick)
+        return F.aggregate(F.array(piece), state, lambda s, x: F.struct(
+            x["served"].alias("served"), F.concat(s["order"], F.array(x["order"])).alias("order")))
+
+    kind = T.ArrayType(T.StructType([T.StructField("slot", T.LongType(), False), T.StructField("i", T.IntegerType())]), True)
     start = F.struct(F.transform("q", lambda s: F.lit(0).cast("long")).alias("served"),
-                     F.array().cast(kind).alias("order"))
-    run = F.aggregate(F.sequence(F.lit(0).cast("long"), parts - 1), start, pick, lambda s: s["order"])
-    mine = F.filter("order", lambda x: x["i"] == F.col("i"))
-    return (one.where(F.size("q") > 0).select("q", run.alias("order")).select("order", F.posexplode("q").alias("i", "s"))
-            .select("s.source", "s.quota", "s.end",
-                    F.transform(F.array_sort(F.transform(mine, lambda x: F.struct(x["turn"], x["slot"]))),
-                                lambda x: x["slot"]).alias("slots")))
+                     F.array().cast(T.ArrayType(kind, True)).alias("order"))
+    pieces = F.when(F.col("parts") > 0, F.sequence(F.lit(0).cast("long"), F.col("parts") - 1, F.lit(PIECE).cast("long"))
+                    ).otherwise(F.array().cast("array<bigint>"))
+    folded = one.withColumn("order", F.aggregate(pieces, start, run, lambda s: F.flatten(s["order"])))
+    folded = folded.withColumn("mine", F.transform("q", lambda s, i: F.transform(
+        F.filter("order", lambda x: x["i"] == i), lambda x: x["slot"])))
+
+    def row(m: Column, quota: Column, slots: Column) -> Column:
+        return F.struct(m["source"].alias("source"), quota.alias("quota"), m["parts"].alias("parts"), m["base"].alias("base"),
+                        m["end"].alias("end"), slots.alias("slots"))
+
+    weighed = F.flatten(F.transform("q", lambda s, i: F.transform(s["members"], lambda m, k: row(
+        m, s["quota"], F.transform(F.sequence(F.lit(0).cast("long"), s["quota"] - 1), lambda turn: F.get(
+            F.get("mine", i), (turn * F.size(s["members"]) + k).cast("int")))))))
+    others = F.transform("last", lambda m, k: row(m, F.lit(1).cast("long"), F.array(k.cast("long"))))
+    return folded.select(F.inline(F.concat(weighed, others)))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -129,21 +199,22 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     start with ``__mix_`` are working columns and do not come out.
     """
     counts = docs.groupBy(source_key().alias("source")).agg(F.count(F.lit(1)).alias("n_docs"))
-    # one row for each source and PARTS slots in all, whatever the corpus: small enough to broadcast
+    # one row for each source and the slots of one period in all, whatever the number of documents
     table = period(quotas(counts, weights, block)).select(
-        F.col("source").alias("__mix_key"), F.col("quota").alias("__mix_quota"), F.col("end").alias("__mix_end"),
-        F.col("slots").alias("__mix_slots"))
+        "quota", "parts", "base", "end", "slots", F.col("source").alias("__mix_key"))
+    table = table.select("__mix_key", *(F.col(c).alias(f"__mix_{c}") for c in ("quota", "parts", "base", "end", "slots")))
     d = numbered(docs).join(F.broadcast(table), "__mix_key")
     d = d.withColumn("block", F.floor(F.col("__mix_n") / block))
     turn = (F.col("block") % F.col("__mix_quota")).cast("int")
+    parts, quota, base = F.col("__mix_parts"), F.col("__mix_quota"), F.col("__mix_base")
     d = d.withColumns({
-        "slot": F.floor(F.col("block") / F.col("__mix_quota")) * PARTS + F.get("__mix_slots", turn),
-        "release": F.floor(F.col("block") * PARTS / F.col("__mix_quota")),
-        "deadline": F.ceil((F.col("block") + 1) * PARTS / F.col("__mix_quota"))})
+        "slot": base + F.floor(F.col("block") / quota) * parts + F.get("__mix_slots", turn),
+        "release": base + F.floor(F.col("block") * parts / quota),
+        "deadline": base + F.ceil((F.col("block") + 1) * parts / quota)})
     return d.withColumns({
         "position": F.col("slot") * block + F.col("__mix_n") % block,
         "balanced": F.col("slot") < F.col("__mix_end"),
-    }).drop("__mix_key", "__mix_n", "__mix_quota", "__mix_end", "__mix_slots")
+    }).drop("__mix_key", "__mix_n", "__mix_quota", "__mix_parts", "__mix_base", "__mix_end", "__mix_slots")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,3 +56,35 @@ def test_odd_rows(spark):
     assert M.mix(documents(spark, [])).count() == 0
     one = M.mix(documents(spark, [(i, "t", "s") for i in range(20)])).collect()
     assert sorted(r.position for r in one) == list(range(20))
+
+
+def deviations(spark, sizes, weights, block=2):
+    """The schedule of the balanced part, held against the weights as given."""
+    docs = documents(spark, [(i * 100_000 + k, "t", s) for i, (s, n) in enumerate(sizes.items()) for k in range(n)], clash=False)
+    got = M.mix(docs, weights=weights, block=block).collect()
+    check(got, sum(sizes.values()), block)
+    slots, served, worst = sorted({(r.slot, r.source) for r in got if r.balanced}), Counter(), 0
+    assert [s for s, _ in slots] == list(range(len(slots)))
+    whole = sum(weights.get(s, 0) for s in sizes)
+    for t, (_, s) in enumerate(slots, 1):
+        served[s] += 1
+        worst = max(worst, *(abs(served[k] - t * weights.get(k, 0) / whole) for k in sizes))
+    return got, len(slots), worst
+
+
+def test_target_weights_are_met(spark):
+    _, n, worst = deviations(spark, {"a": 1800, "b": 200}, {"a": 0.9, "b": 0.1})
+    assert n == 1000 and worst < 1
+    many = {"a": 1000, **{f"s{i}": 50 for i in range(20)}}
+    _, n, worst = deviations(spark, many, {s: 0.5 if s == "a" else 0.025 for s in many})
+    assert n == 1000 and worst < 1
+    # weights without a short period: parts follow the number of blocks
+    _, n, worst = deviations(spark, {"a": 3000, "b": 1500, "c": 900}, {"a": 2 ** 0.5, "b": 0.7071, "c": 1 / 3})
+    assert n > 1500 and worst < 2
+
+
+def test_no_weight_comes_last(spark):
+    got, _, worst = deviations(spark, {"a": 40, "b": 20, "c": 9, "d": 5}, {"a": 2.0, "b": 1.0, "c": 0.0})
+    assert worst < 1
+    assert max(r.slot for r in got if r.source in "ab") < min(r.slot for r in got if r.source in "cd")
+    assert not any(r.balanced for r in got if r.source in "cd")
