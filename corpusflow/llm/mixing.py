@@ -71,9 +71,9 @@ def quotas(counts: DataFrame, weights: dict[str, float] | None, block: int) -> D
     Sources of weight 0 or less, or not in ``weights``, have no share: they are
     not ``weighed`` and take turns after the last block of those that are.
 
-    Without ``weights`` a source weighs its count to the power ``FLATTEN``: each
-    of up to ``PARTS`` sources gets one of ``PARTS`` parts and the rest by largest
-    remainder.
+    Without ``weights`` a source weighs its count to the power ``FLATTEN``. Up to
+    ``PARTS`` sources get one of ``PARTS`` parts each and the rest by largest
+    remainder; more sources get parts as given weights do.
     """
     every = W.partitionBy(F.lit(0))
     blocks = F.ceil(F.col("n_docs") / block)
@@ -87,7 +87,7 @@ def quotas(counts: DataFrame, weights: dict[str, float] | None, block: int) -> D
     group = W.partitionBy("weighed")
     n = F.count(F.lit(1)).over(group)
     wide = F.greatest(F.lit(PARTS), 4 * n, F.least(F.sum(blocks).over(every), F.lit(MOST)))
-    few = F.lit(weights is None)
+    few = (n <= PARTS) if weights is None else F.lit(False)
     named = named.withColumn("least", few.cast("long")).withColumn("all", F.when(few, F.lit(PARTS)).otherwise(wide).cast("long"))
     spare = F.col("all") - F.col("least") * n
     share = spare * F.col("w") / F.sum("w").over(group)

@@ -88,3 +88,16 @@ def test_no_weight_comes_last(spark):
     assert worst < 1
     assert max(r.slot for r in got if r.source in "ab") < min(r.slot for r in got if r.source in "cd")
     assert not any(r.balanced for r in got if r.source in "cd")
+
+
+def test_more_sources_than_parts(spark):
+    n = M.PARTS + 500
+    df = spark.range(n * 3).selectExpr("id as doc_id", "'t' as text", f"concat('s', id % {n}) as source")
+    got = M.mix(df, block=1).collect()
+    check(got, n * 3, 1)
+    assert sorted(r.slot for r in got) == list(range(n * 3)) and all(r.balanced for r in got)
+    for turn in range(3):
+        assert len({r.source for r in got if r.slot // n == turn}) == n
+    sizes = {f"s{i}": 1 for i in range(n)} | {"big": 400}
+    got = M.mix(documents(spark, [(i, "t", s) for i, s in enumerate(s for s, k in sizes.items() for _ in range(k))], clash=False), block=1).collect()
+    check(got, n + 400, 1)
