@@ -33,6 +33,8 @@ _ASSIGN_HINT = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.IGNORECA
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
                       r"|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
+#: UTF-16 of either byte order, of which each character was taken for two
+_WIDE = re.compile(r"(?:[\x01-\xff]\x00){4,}|(?:\x00[\x01-\xff]){4,}")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 
 
@@ -51,8 +53,9 @@ class Layer:
 
     ``at[i]`` is where run ``i`` begins here; ``src[i]`` is (start, end, step):
     with step 0 all of the run comes from the whole span, else character ``k``
-    of the run comes from ``start + k`` (step 1), or base64 byte ``k`` from the
-    characters that hold it (step 4).
+    of the run comes from ``start + k`` (step 1), from the two characters at
+    ``start + 2 * k`` (step 2), or base64 byte ``k`` from the characters that
+    hold it (step 4).
     """
 
     def __init__(self, text: str, at: list[int], src: list[tuple[int, int, int]], parent: "Layer | None"):
@@ -72,14 +75,16 @@ class Layer:
         off = i - self.at[k]
         if step == 1:
             return a + off, a + off + 1
+        if step == 2:
+            return a + 2 * off, a + 2 * off + 2
         return min(a + off * 8 // 6, b - 1), min(a + (off * 8 + 7) // 6 + 1, b)
 
 
-def _replaced(layer: Layer, pattern, decode) -> Layer | None:
+def _replaced(layer: Layer, pattern, decode, how: int = 0) -> Layer | None:
     """The layer with every match decoded in place, so its surroundings stay."""
     text, parts, at, src, end, n = layer.text, [], [], [], 0, 0
     for m in pattern.finditer(text):
-        for piece, a, b, step in ((text[end:m.start()], end, m.start(), 1), (decode(m), m.start(), m.end(), 0)):
+        for piece, a, b, step in ((text[end:m.start()], end, m.start(), 1), (decode(m), m.start(), m.end(), how)):
             if piece:
                 parts.append(piece)
                 at.append(n)
@@ -105,13 +110,13 @@ def _escape(m) -> str:
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd"
 
 
-def _readable(raw: bytes) -> str | None:
-    """``raw`` as text, or None where it is not UTF-8 text."""
+def _text(raw: bytes) -> tuple[str, bool]:
+    """``raw`` as text, UTF-8 or else a character for each byte, and whether it is all readable UTF-8."""
     try:
         text = raw.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\r\n\t" for c in text) else None
+        return raw.decode("latin-1"), False
+    return text, all(c.isprintable() or c in "\r\n\t" for c in text)
 
 
 def _inflated(raw: bytes) -> bytes | None:
@@ -135,7 +140,7 @@ def _base64(layer: Layer, m) -> Layer | None:
     while hash(raw) not in met and (more := _inflated(raw)) is not None:
         met.add(hash(raw))  # data may unpack to themselves
         raw, packed = more, True
-    text = _readable(raw)
+    text, _ = _text(raw)
     if not text:
         return None
     one = not packed and len(text) == len(raw)  # one byte for each character: exact places
@@ -158,6 +163,8 @@ def layers(text: str):
             work.append(new)
         if ("\\" in t or "&#" in t) and (new := _replaced(layer, _UNICODE, _escape)):
             work.append(new)
+        if "\0" in t and (new := _replaced(layer, _WIDE, lambda m: m.group().replace("\0", ""), 2)):
+            work.append(new)
         work += [new for m in _BASE64.finditer(t) if (new := _base64(layer, m))]
 
 

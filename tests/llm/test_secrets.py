@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import random
 import re
 import urllib.parse
 import zlib
@@ -98,3 +99,22 @@ def test_query_over_the_table(spark):
 
 def test_empty_table(spark):
     assert S.scan(documents(spark, [])).count() == 0
+
+
+def hidden(text):
+    """Whether a secret is found in ``text`` and its first letters are taken out of the places it comes from."""
+    spans = [s for s in S.spans(text)[1] if s[0] == "assign"]
+    return bool(spans) and all(0 <= a < b <= len(text) for _, a, b in spans) and "[SECRET]" in S.redact(text, spans)
+
+
+def test_payloads_that_are_not_all_printable():
+    for odd in "\u00a0 \u202f \u3000 \u200b \u00ad \ufeff \x0c \x1b \0".split(" "):
+        assert hidden("x " + base64.b64encode(f"mot de passe{odd}: {KEY}{odd} fin".encode()).decode()), repr(odd)
+        assert hidden("x " + base64.b64encode(gzip.compress(f"un{odd} {KEY}".encode())).decode()), repr(odd)
+    latin = base64.b64encode(f"clé d'accès: {KEY}".encode("latin-1")).decode()
+    (kind, a, b), = S.spans(latin)[1]
+    assert kind == "assign" and KEY in base64.b64decode(latin[a // 4 * 4:-(-b // 4) * 4]).decode("latin-1")
+    for code in ("utf-16", "utf-16-le", "utf-16-be"):
+        wide = base64.b64encode(f"é $x = '{KEY}' €".encode(code)).decode()
+        (kind, a, b), = [s for s in S.spans(wide)[1] if s[0] == "assign"]
+        assert 0 < a < b < len(wide)
