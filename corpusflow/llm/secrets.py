@@ -11,7 +11,6 @@ what is found inside is reported, and removed, in the original text.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -36,6 +35,9 @@ _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-
 #: UTF-16 of either byte order, of which each character was taken for two
 _WIDE = re.compile(r"(?:[\x01-\xff]\x00){4,}|(?:\x00[\x01-\xff]){4,}")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+#: a line end, or its escape, between characters of base64
+_WRAP = re.compile("(?:" + "|".join(f"{e}(?<=[A-Za-z0-9+/_-]{{4}}{e})" for e in (
+    r"\n", r"\r\n", r"\r", r"\\r\\n", r"\\n", r"\\r")) + r")[\x20\t>]*(?=[A-Za-z0-9+/_-])")
 
 
 def find(text: str) -> list[tuple[str, int, int]]:
@@ -129,22 +131,25 @@ def _inflated(raw: bytes) -> bytes | None:
         return None
 
 
-def _base64(layer: Layer, m) -> Layer | None:
-    body = m.group().rstrip("=")
-    try:
-        raw = base64.urlsafe_b64decode(body.replace("+", "-").replace("/", "_") + "=" * (-len(body) % 4))
-    except (binascii.Error, ValueError):
-        return None
-    a, b = m.span()
-    packed, met = False, set()
-    while hash(raw) not in met and (more := _inflated(raw)) is not None:
-        met.add(hash(raw))  # data may unpack to themselves
-        raw, packed = more, True
-    text, _ = _text(raw)
-    if not text:
-        return None
-    one = not packed and len(text) == len(raw)  # one byte for each character: exact places
-    return Layer(text, [0], [(a, b, 4 if one else 0)], layer)
+def _base64(layer: Layer, m) -> list[Layer]:
+    """What a run holds; where that is not readable from its start on, what it holds from the next three
+    characters on too: one of the four is in step with any base64 that begins further on in the run."""
+    out, (a, b) = [], m.span()
+    chars = m.group().rstrip("=").replace("+", "-").replace("/", "_")
+    for shift in range(4):
+        body = chars[shift:len(chars) - ((len(chars) - shift) % 4 == 1)]  # six bits are no byte
+        raw = base64.urlsafe_b64decode(body + "=" * (-len(body) % 4))
+        packed, met = False, set()
+        while hash(raw) not in met and (more := _inflated(raw)) is not None:
+            met.add(hash(raw))  # data may unpack to themselves
+            raw, packed = more, True
+        text, readable = _text(raw)
+        if text:
+            one = not packed and len(text) == len(raw)  # one byte for each character: exact places
+            out.append(Layer(text, [0], [(a + shift, b, 4) if one else (a, b, 0)], layer))
+        if readable or packed:
+            break
+    return out
 
 
 def layers(text: str):
@@ -165,7 +170,9 @@ def layers(text: str):
             work.append(new)
         if "\0" in t and (new := _replaced(layer, _WIDE, lambda m: m.group().replace("\0", ""), 2)):
             work.append(new)
-        work += [new for m in _BASE64.finditer(t) if (new := _base64(layer, m))]
+        # base64 wrapped in lines is decoded with its line ends taken out; nothing else is looked for there
+        for one in (layer, _replaced(layer, _WRAP, lambda m: "") if "\n" in t or "\r" in t or "\\" in t else None):
+            work += [new for m in _BASE64.finditer(one.text) for new in _base64(one, m)] if one else []
 
 
 def spans(text: str) -> tuple[list, list]:

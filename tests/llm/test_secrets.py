@@ -118,3 +118,23 @@ def test_payloads_that_are_not_all_printable():
         wide = base64.b64encode(f"é $x = '{KEY}' €".encode(code)).decode()
         (kind, a, b), = [s for s in S.spans(wide)[1] if s[0] == "assign"]
         assert 0 < a < b < len(wide)
+
+
+def test_base64_in_lines():
+    long = ("é" * 40 + f" some words {KEY} " + "and more é " * 30).encode()
+    for width in (12, 63, 64, 76):
+        for end in ("\n", "\r\n", "\\n", "\\r\\n", "\n   "):
+            for data in (long, gzip.compress(random.Random(3).randbytes(300) + long)):
+                b64 = base64.b64encode(data).decode()
+                assert hidden("key: " + end.join(b64[i:i + width] for i in range(0, len(b64), width)) + " end"), (width, end)
+    b64 = base64.b64encode(f"0123456789012345678901234567890123456789 {KEY} tail".encode()).decode()
+    wrapped = f"x {b64[:64]}\n{b64[64:]} y"
+    assert any(a < 66 < b and kind == "assign" for kind, a, b in S.spans(wrapped)[1])
+    assert S.spans("deadbeef0123\n4567deadbeef and passw\nord=abcdefghijklmnop")[1] == []
+
+
+def test_base64_glued_to_other_characters():
+    for data in (f"a {KEY} b".encode(), gzip.compress(KEY.encode()), zlib.compress(f"the {KEY}".encode())):
+        b64 = base64.b64encode(data).decode()
+        for front in ("https://host/path/", "id-", "user_", "a", "ab", "abc", "x/y_z-", "-----"):
+            assert hidden(front + b64) and hidden(front + b64.rstrip("=") + "/tail"), (front, data)
