@@ -32,6 +32,13 @@ _ASSIGN_HINT = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.IGNORECA
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
                       r"|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
+#: single bytes of data written as text: percent escapes, with + as a space, or those of string literals
+_BYTES = [re.compile(_UNICODE.pattern + r"|\\([abfnrtv0\\'\"])|%([0-9A-Fa-f]{2})" + more) for more in ("", r"|\+")]
+_SIMPLE = dict(zip("abfnrtv0\\'\"", "\a\b\f\n\r\t\v\0\\'\""))
+_LATIN = re.compile(r"[\x00-\xff]+")
+_PACKED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
+#: packed bytes unpacked at a time; what comes before damaged data is kept
+FEED = 256
 #: UTF-16 of either byte order, of which each character was taken for two
 _WIDE = re.compile(r"(?:[\x01-\xff]\x00){4,}|(?:\x00[\x01-\xff]){4,}")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -121,14 +128,53 @@ def _text(raw: bytes) -> tuple[str, bool]:
     return text, all(c.isprintable() or c in "\r\n\t" for c in text)
 
 
-def _inflated(raw: bytes) -> bytes | None:
-    """gzip or zlib data unpacked, or None."""
-    if raw[:2] != b"\x1f\x8b" and not (len(raw) > 2 and raw[0] == 0x78 and (raw[0] << 8 | raw[1]) % 31 == 0):
-        return None
-    try:
-        return zlib.decompressobj(47).decompress(raw)
-    except zlib.error:
-        return None
+def _inflated(raw: bytes, start: int) -> tuple[bytes, int]:
+    """What the gzip or zlib data at ``start`` and all members after it unpack to, and where they end."""
+    out, end = [], start
+    while _PACKED.match(raw, end):
+        z, at = zlib.decompressobj(47), end
+        try:
+            while not z.eof and at < len(raw):
+                out.append(z.decompress(raw[at:at + FEED]))
+                at += FEED
+        except zlib.error:
+            break
+        end = min(at, len(raw)) - len(z.unused_data)
+        while z.eof and raw[end:end + 1] == b"\0":  # padding between members
+            end += 1
+    return b"".join(out), end
+
+
+def _unpacked(raw: bytes) -> list[tuple[bytes, int, int]]:
+    """All that is packed in ``raw``, at any depth, with the bytes of ``raw`` that hold it."""
+    out, work, met = [], [(raw, None)], set()
+    while work:
+        data, place = work.pop()
+        if (key := hashlib.blake2b(data, digest_size=16).digest()) in met:
+            continue  # data may unpack to themselves
+        met.add(key)
+        at = 0
+        while m := _PACKED.search(data, at):
+            more, end = _inflated(data, m.start())
+            at = max(end, m.start() + 1) if more else m.start() + 1
+            if more:
+                out.append((more, *(place or (m.start(), max(end, m.start() + 1)))))
+                work.append((more, out[-1][1:]))
+    return out
+
+
+def _byte(m) -> str:
+    if m[7]:
+        return _SIMPLE[m[7]]
+    return chr(int(m[8], 16)) if m[8] else " " if m.group() == "+" else _escape(m)
+
+
+def _escaped(layer: Layer, pattern) -> list[Layer]:
+    """What is packed in data written as text with escapes, taken byte by byte."""
+    if not (view := _replaced(layer, pattern, _byte)):
+        return []
+    return [Layer(_text(data)[0], [0], [(m.start() + a, m.start() + b, 0)], view)
+            for m in _LATIN.finditer(view.text) for data, a, b in _unpacked(m.group().encode("latin-1"))]
 
 
 def _base64(layer: Layer, m) -> list[Layer]:
@@ -139,15 +185,12 @@ def _base64(layer: Layer, m) -> list[Layer]:
     for shift in range(4):
         body = chars[shift:len(chars) - ((len(chars) - shift) % 4 == 1)]  # six bits are no byte
         raw = base64.urlsafe_b64decode(body + "=" * (-len(body) % 4))
-        packed, met = False, set()
-        while hash(raw) not in met and (more := _inflated(raw)) is not None:
-            met.add(hash(raw))  # data may unpack to themselves
-            raw, packed = more, True
         text, readable = _text(raw)
-        if text:
-            one = not packed and len(text) == len(raw)  # one byte for each character: exact places
-            out.append(Layer(text, [0], [(a + shift, b, 4) if one else (a, b, 0)], layer))
-        if readable or packed:
+        one = len(text) == len(raw)  # one byte for each character: exact places
+        out.append(Layer(text, [0], [(a + shift, b, 4) if one else (a, b, 0)], layer))
+        packed = _unpacked(raw)
+        out += [Layer(_text(data)[0], [0], [(a, b, 0)], layer) for data, _, _ in packed]
+        if readable or packed and packed[0][1:] == (0, len(raw)):
             break
     return out
 
@@ -168,6 +211,9 @@ def layers(text: str):
             work.append(new)
         if ("\\" in t or "&#" in t) and (new := _replaced(layer, _UNICODE, _escape)):
             work.append(new)
+        if "%" in t or "\\" in t or "&#" in t:
+            for pattern in _BYTES[:1 + ("+" in t and "%" in t)]:
+                work += _escaped(layer, pattern)
         if "\0" in t and (new := _replaced(layer, _WIDE, lambda m: m.group().replace("\0", ""), 2)):
             work.append(new)
         # base64 wrapped in lines is decoded with its line ends taken out; nothing else is looked for there

@@ -138,3 +138,17 @@ def test_base64_glued_to_other_characters():
         b64 = base64.b64encode(data).decode()
         for front in ("https://host/path/", "id-", "user_", "a", "ab", "abc", "x/y_z-", "-----"):
             assert hidden(front + b64) and hidden(front + b64.rstrip("=") + "/tail"), (front, data)
+
+
+def test_packed_data_in_escapes_and_members():
+    body = f"hidden + % {KEY} here".encode()
+    for pack in (gzip.compress, zlib.compress):
+        z = pack(body)
+        for text in ("".join(f"%{c:02X}" for c in z), urllib.parse.quote(z, safe=""), urllib.parse.quote_plus(z),
+                     "".join(f"\\x{c:02x}" for c in z), repr(z), "".join(f"\\u{c:04x}" for c in z), urllib.parse.quote(urllib.parse.quote(z))):
+            assert hidden(f"start {text} end"), text
+            assert all(a >= 6 for _, a, b in S.spans(f"start {text} end")[1])
+        for more in (b"", b"\0" * 8):
+            members = pack(b"nothing") + more + pack(b"nor here") + pack(body)
+            assert hidden(base64.b64encode(members).decode())
+    assert hidden(base64.b64encode(b"some bytes \xff first " + gzip.compress(gzip.compress(body))).decode())
