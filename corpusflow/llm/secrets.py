@@ -1,9 +1,9 @@
 """Secret scans with a recursive decoding worklist (operator 4).
 
 A text is the first layer of a worklist. Every layer is scanned with the same
-patterns and then unwrapped: percent escapes, Unicode escapes, base64 runs and
-gzip or zlib data inside them each give a new layer, until no layer gives a new
-one (a layer seen before is not taken again, so cycles end). Each layer knows
+patterns and then unwrapped: percent escapes, Unicode escapes, UTF-16, base64
+runs (also over line ends) and gzip or zlib data inside escapes or base64 each
+give a new layer, until no layer gives a new one (a layer seen before is not taken again, so cycles end). Each layer knows
 for each of its characters the span of the original text that it came from, so
 what is found inside is reported, and removed, in the original text.
 """
@@ -29,11 +29,14 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")  # runs are maximal, so shorter ones need no look
 _ASSIGN_HINT = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.IGNORECASE)
 
-_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
-                      r"|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
+# an escape whose own first character is escaped, any number of times over, is decoded at once
+_ONE_PERCENT = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
+_PERCENT = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
+_UNICODE = re.compile(r"\\(?:x5[cC]|u005[cC]|U0000005[cC]|u\{0{0,4}5[cC]\})*"
+                      r"(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))"
+                      r"|&(?:#0{0,5}38;|#[xX]0{0,4}26;)*(?:#([0-9]{1,7});|#[xX]([0-9A-Fa-f]{1,6});)")
 #: single bytes of data written as text: percent escapes, with + as a space, or those of string literals
-_BYTES = [re.compile(_UNICODE.pattern + r"|\\([abfnrtv0\\'\"])|%([0-9A-Fa-f]{2})" + more) for more in ("", r"|\+")]
+_BYTES = [re.compile(_UNICODE.pattern + r"|\\([abfnrtv0\\'\"])|%(?:25)*([0-9A-Fa-f]{2})" + more) for more in ("", r"|\+")]
 _SIMPLE = dict(zip("abfnrtv0\\'\"", "\a\b\f\n\r\t\v\0\\'\""))
 _LATIN = re.compile(r"[\x00-\xff]+")
 _PACKED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
@@ -58,30 +61,62 @@ def find(text: str) -> list[tuple[str, int, int]]:
 
 
 class Layer:
-    """Decoded text whose runs map to spans of the layer that it came from.
-
-    ``at[i]`` is where run ``i`` begins here; ``src[i]`` is (start, end, step):
-    with step 0 all of the run comes from the whole span, else character ``k``
-    of the run comes from ``start + k`` (step 1), from the two characters at
-    ``start + 2 * k`` (step 2), or base64 byte ``k`` from the characters that
-    hold it (step 4).
+    """Decoded text whose runs map to spans of an earlier text.
+
+    ``at[i]`` is where run ``i`` begins here; ``src[i]`` is (start, end, step,
+    offset): with step 0 all of the run comes from the whole span, else
+    character ``k`` of the span (``offset`` is that of the run's first) comes
+    from ``start + k`` (step 1), from the two characters at ``start + 2 * k``
+    (step 2), or base64 byte ``k`` from the characters that hold it (step 4).
+    The map is joined to that of the parent, so that long chains stay cheap; it
+    leads to the original text, or to the text of ``via``, a parent in pieces
+    that bytes of more characters do not fit.
     """
 
     def __init__(self, text: str, at: list[int], src: list[tuple[int, int, int]], parent: "Layer | None"):
-        self.text, self.at, self.src, self.parent = text, at, src, parent
+        self.text, self.at, self.via, self.first = text, at, parent, parent is None
+        self.src = [(*s, 0) for s in src]
+        if parent is not None and (joined := parent._joined(at, src)):
+            (self.at, self.src), self.via = joined, parent.via
+
+    def _joined(self, at: list[int], src: list[tuple[int, int, int]]) -> tuple[list, list] | None:
+        """The map of a child, joined to this one, or None where it cannot be."""
+        out_at, out_src = [], []
+        for p, (a, b, step) in zip(at, src):
+            if step == 0:
+                out_at.append(p)
+                out_src.append((self._one(a)[0], self._one(b - 1)[1], 0, 0))
+                continue
+            k = bisect_right(self.at, a) - 1
+            start, end, mine, off = self.src[k]
+            if step > 1:
+                if mine != 1 or k + 1 < len(self.at) and self.at[k + 1] < b:
+                    return None
+                start += off + a - self.at[k]
+                out_at.append(p)
+                out_src.append((start, start + b - a, step, 0))
+                continue
+            while k < len(self.at) and self.at[k] < b:
+                q = max(a, self.at[k])
+                out_at.append(p + q - a)
+                out_src.append((*self.src[k][:3], self.src[k][3] + q - self.at[k]))
+                k += 1
+        return out_at, out_src
 
     def back(self, start: int, end: int) -> tuple[int, int]:
         """The span in the original text of ``start:end`` of this layer."""
-        if self.parent is None:
-            return start, end
-        return self.parent.back(self._one(start)[0], self._one(end - 1)[1])
+        layer = self
+        while layer is not None:
+            start, end = layer._one(start)[0], layer._one(end - 1)[1]
+            layer = layer.via
+        return start, end
 
     def _one(self, i: int) -> tuple[int, int]:
         k = bisect_right(self.at, i) - 1
-        a, b, step = self.src[k]
+        a, b, step, off = self.src[k]
         if step == 0:
             return a, b
-        off = i - self.at[k]
+        off += i - self.at[k]
         if step == 1:
             return a + off, a + off + 1
         if step == 2:
@@ -110,7 +145,7 @@ def _replaced(layer: Layer, pattern, decode, how: int = 0) -> Layer | None:
 
 
 def _percent(m) -> str:
-    return bytes.fromhex(m.group().replace("%", "")).decode("utf-8", "replace")
+    return bytes.fromhex("".join(_ONE_PERCENT.findall(m.group()))).decode("utf-8", "replace")
 
 
 def _escape(m) -> str:
@@ -229,7 +264,7 @@ def spans(text: str) -> tuple[list, list]:
     every: set = set()
     for layer in layers(text):
         found = find(layer.text)
-        if layer.parent is None:
+        if layer.first:
             base = sorted(found, key=order)
         every.update((kind, *layer.back(a, b)) for kind, a, b in found)
     return base, sorted(every, key=order)

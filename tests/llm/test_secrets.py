@@ -152,3 +152,12 @@ def test_packed_data_in_escapes_and_members():
             members = pack(b"nothing") + more + pack(b"nor here") + pack(body)
             assert hidden(base64.b64encode(members).decode())
     assert hidden(base64.b64encode(b"some bytes \xff first " + gzip.compress(gzip.compress(body))).decode())
+
+
+def test_long_chains_of_layers():
+    for n in (1, 2, 1000, 20_000):
+        for chain in ("%" + "25" * n + "70", "\\" + "x5c" * n + "x70", "\\" + "u005c" * n + "u0070", "&" + "#38;" * n + "#112;"):
+            assert {k for k, _, _ in S.spans(chain)[1]} <= {"hex"}
+            (_, a, b), = [s for s in S.spans(f"x {chain}{KEY[1:]}")[1] if s[0] == "assign"]
+            assert (a, b) == (2, 2 + len(chain) + len(KEY) - 1)
+    assert "assign" in {k for k, _, _ in S.spans("\\x25" + "5Cx25" * 700 + "70" + KEY[1:])[1]}
