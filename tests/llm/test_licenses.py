@@ -49,3 +49,28 @@ def test_clean_texts_and_empty_table(spark):
     rows = [(1, "we talk about the license of the driver and the permission he had"), (2, " ".join(words(random.Random(1), 500)))]
     assert all(not r.matches for r in L.scan(documents(spark, rows)).collect())
     assert L.scan(documents(spark, [])).count() == 0
+
+
+def matches(text):
+    return L.Library(L.TEMPLATES).places(L.shingles(words_of(text.encode()), L._Hashes()))[1]
+
+
+def test_like_templates_are_told_apart():
+    for name, text in L.TEMPLATES.items():
+        got = [m[0] for m in matches(f"one two three {text} four five six")]
+        same = name.removesuffix("-text")
+        assert name in got and all(g.removesuffix("-text") == same or name.endswith("-text") for g in got), (name, got)
+    gpl2 = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+            "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.")
+    assert [m[0] for m in matches(gpl2)] == ["GPL-2.0"]
+    assert [m[0] for m in matches(L.TEMPLATES["BSD"])] == ["BSD"]
+
+
+def test_every_place_is_reported():
+    rng = random.Random(4)
+    for name in ("MIT-notice", "MIT", "GPL-3.0", "ISC", "MPL-2.0-text"):
+        t = L.TEMPLATES[name]
+        for gap in (0, 1, 7, 400):
+            w = " ".join(words(rng, gap))
+            got = [m for m in matches(f"{t} {w} {t} {w} {t}") if m[0] == name]
+            assert len(got) == 3 and all(m[1] == m[2] for m in got), (name, gap, [m[:2] for m in got])
