@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("decontaminate", "licenses", "mixing", "neardup", "quality", "repeats", "secrets", "tokens", "topk", "warc")
+MODULES = ("decontaminate", "licenses", "mixing", "neardup", "quality", "repeats", "secrets", "simhash", "tokens", "topk", "warc")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
