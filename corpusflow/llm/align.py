@@ -35,6 +35,8 @@ PAIRS_KEPT = 1 << 22
 #: words and their characters kept in one Python worker; the table starts anew beyond
 WORDS_KEPT = 400_000
 CHARS_KEPT = 1 << 24
+#: times that a word is met at least if it stays when the table starts anew
+OFTEN = 4
 #: characters of text that are cut into words at a time
 BLOCK = 1 << 20
 #: white space of either tokenizer's reading, and the mark for a space
@@ -56,7 +58,8 @@ def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarr
         if np.array_equal(doubled, follow):
             break
         follow = doubled
-    label = np.unique(follow, return_inverse=True)[1]
+    # terminals are B tokens that point to themselves; their order is that of the bytes
+    label = (np.cumsum(follow[n:] == own) - 1)[follow - n]
     return label[:n], label[n:]
 
 
@@ -64,7 +67,8 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """All overlapping pairs: places of their A and B tokens, and where their
     overlap ends. Both sides tile the bytes, so each stretch between
     neighbouring ends is the overlap of one pair."""
-    cuts = np.union1d(ends_a, ends_b)
+    cuts = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+    cuts = cuts[np.append(cuts[1:] != cuts[:-1], True)]
     return np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts), cuts
 
 
@@ -95,13 +99,17 @@ class Words:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         # a piece with a space behind another character could cross a cut
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
-        self.name_a, self.name_b = (np.array([str(i) for i in range(len(x))], object) for x in (self.bytes_a, self.bytes_b))
+        self.len_a, self.len_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
+        # an id with the mark behind it: , within a side, | between the sides, ; between groups
+        self.marked = [[np.array([f"{i}{mark}" for i in range(len(x))], object) for mark in (",", end)]
+                       for x, end in ((self.bytes_a, "|"), (self.bytes_b, ";"))]
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.chars = 0
         self.strings: list[str] = []
+        self.uses = np.zeros(0, np.int64)
         #: tokens of A, tokens of B, groups, links of each word; all 0 where the tokens do not make up its bytes
         self.sizes = np.zeros((0, 4), np.int64)
         self.same = np.zeros(0, bool)
@@ -111,6 +119,22 @@ class Words:
     def full(self) -> bool:
         return len(self.index) > WORDS_KEPT or self.chars > CHARS_KEPT
 
+    def shrink(self) -> None:
+        """Make room: only words met often stay, under new numbers, if they are few."""
+        often = np.flatnonzero(self.uses >= OFTEN)
+        names, old = list(self.index), (self.strings, self.sizes, self.same, self.ptr, self.pairs)
+        names = [names[i] for i in often.tolist()]
+        chars = sum(map(len, names))
+        self.clear()
+        if 2 * len(names) > WORDS_KEPT or 2 * chars > CHARS_KEPT:
+            return
+        self.index, self.chars = dict(zip(names, range(len(names)))), chars
+        self.uses = np.zeros(len(names), np.int64)
+        strings, sizes, same, ptr, pairs = old
+        self.strings = [strings[i] for i in often.tolist()]
+        self.sizes, self.same, self.pairs = sizes[often], same[often], pairs[_ranges(ptr, often)]
+        self.ptr = np.concatenate([[0], np.cumsum(sizes[often, 3])])
+
     def split(self, text: str) -> list[str]:
         return CUT.split(text) if self.cuts else [text]
 
@@ -129,29 +153,26 @@ class Words:
         ids_a = [x.ids for x in self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False)]
         ids_b = self.b.encode(new, num_threads=1)
         want = [b" " + w.encode() for w in new]
-        same = np.array([b"".join(map(self.bytes_a.__getitem__, x)) == w and b"".join(map(self.bytes_b.__getitem__, y)) == w
-                         for x, y, w in zip(ids_a, ids_b, want)], bool)
-        good = np.flatnonzero(same)
-        a, b = (np.fromiter(chain.from_iterable(ids[i] for i in good), np.int64) for ids in (ids_a, ids_b))
-        n_a, n_b = (np.array([len(ids[i]) for i in good], np.int64) for ids in (ids_a, ids_b))
-        ends_a, ends_b = (np.cumsum(np.fromiter((len(of[i]) for i in ids.tolist()), np.int64, len(ids)))
-                          for of, ids in ((self.bytes_a, a), (self.bytes_b, b)))
-        sizes = np.zeros((len(new), 4), np.int64)
-        strings, pairs, n_links = [""] * len(new), np.zeros(0, np.uint64), np.zeros(len(new), np.int64)
+        good = np.flatnonzero(self._same(ids_a, ids_b, want))
+        if len(good) < len(new):
+            ids_a, ids_b = ([ids[i] for i in good.tolist()] for ids in (ids_a, ids_b))
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (ids_a, ids_b))
+        sizes, same = np.zeros((len(new), 4), np.int64), np.zeros(len(new), bool)
+        same[good] = True
+        strings, pairs = [""] * len(new), np.zeros(0, np.uint64)
         if len(good):
+            ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
             group_a, group_b = groups(ends_a, ends_b)
             at_a, at_b, cuts = links(ends_a, ends_b)
-            word_ends = ends_a[np.cumsum(n_a) - 1]
             pairs = a[at_a].astype(np.uint64) << np.uint64(32) | b[at_b].astype(np.uint64)
-            n_links[good] = np.diff(np.searchsorted(cuts, word_ends, "right"), prepend=0)
-            last = group_b[np.cumsum(n_b) - 1] + 1
-            sizes[good] = np.stack([n_a, n_b, np.diff(last, prepend=0), n_links[good]], axis=1)
-            # every token's id with the mark behind it: , within a side, | between the sides, ; between groups
-            more_a, more_b = (np.append(g[1:] == g[:-1], False) for g in (group_a, group_b))
-            marked = np.concatenate([self.name_a[a] + np.where(more_a, ",", "|").astype(object),
-                                     self.name_b[b] + np.where(more_b, ",", ";").astype(object)])
+            stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
+            upto = np.searchsorted(cuts, ends_a[stop_a - 1], "right")
+            sizes[good] = np.stack([n_a, n_b, np.diff(group_b[stop_b - 1] + 1, prepend=0), np.diff(upto, prepend=0)], axis=1)
             order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
-            marked, stop = marked[order].tolist(), np.cumsum(n_a + n_b).tolist()
+            marked = np.concatenate([np.where(np.append(g[1:] == g[:-1], False), m[0][x], m[1][x])
+                                     for g, m, x in zip((group_a, group_b), self.marked, (a, b))])[order].tolist()
+            stop = (stop_a + stop_b).tolist()
             for i, s, e in zip(good.tolist(), [0, *stop], stop):
                 strings[i] = "".join(marked[s:e])[:-1]
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
@@ -159,12 +180,28 @@ class Words:
         self.strings += strings
         self.sizes = np.concatenate([self.sizes, sizes])
         self.same = np.concatenate([self.same, same])
-        self.ptr = np.concatenate([self.ptr, self.ptr[-1] + np.cumsum(n_links)])
+        self.ptr = np.concatenate([self.ptr, self.ptr[-1] + np.cumsum(sizes[:, 3])])
         self.pairs = np.concatenate([self.pairs, pairs])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+
+    def _same(self, ids_a, ids_b, want: list[bytes]) -> np.ndarray:
+        """Do both tokenizers' tokens make up each word byte for byte?"""
+        whole = b"".join(want)
+        size = np.fromiter(map(len, want), np.int64, len(want))
+        plain = True
+        for ids, of, lens in ((ids_a, self.bytes_a, self.len_a), (ids_b, self.bytes_b, self.len_b)):
+            flat = list(chain.from_iterable(ids))
+            stop = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            upto = np.concatenate([[0], np.cumsum(lens[flat])])[np.concatenate([[0], stop])]
+            plain = plain and np.array_equal(np.diff(upto), size) and b"".join(map(of.__getitem__, flat)) == whole
+        if plain:
+            return np.ones(len(want), bool)
+        return np.array([b"".join(map(self.bytes_a.__getitem__, x)) == w and b"".join(map(self.bytes_b.__getitem__, y)) == w
+                         for x, y, w in zip(ids_a, ids_b, want)], bool)
 
     def placed(self, texts: list[str]):
         """``(i, ids)`` for each block of each text: the numbers of its words.
-        Numbers hold until ``clear`` is called."""
+        Numbers hold until ``shrink`` is called."""
         waiting, size = [], 0
         for i, text in enumerate(texts):
             for block in self.blocks(text):
@@ -176,9 +213,11 @@ class Words:
         yield from self._numbered(waiting)
 
     def _numbered(self, waiting):
-        self.learn(list({w for _, words in waiting for w in words if w not in self.index}))
-        for i, words in waiting:
-            yield i, np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        self.learn(list(set().union(*(words for _, words in waiting)).difference(self.index)))
+        ids = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words for _, words in waiting)), np.int64)
+        self.uses += np.bincount(ids, minlength=len(self.uses))
+        for (i, _), part in zip(waiting, np.split(ids, np.cumsum([len(words) for _, words in waiting[:-1]]))):
+            yield i, part
 
 
 #: words that a Python worker keeps from one task to the next
@@ -236,7 +275,7 @@ def pair_counts(docs: DataFrame, shared) -> DataFrame:
             if words.full():
                 if len(n):
                     yield counted(n)
-                words.clear()
+                words.shrink()
                 n = np.zeros(0, np.int64)
             for _, held in _by_text(words, _texts(b)):
                 n = np.concatenate([n, np.zeros(len(words.index) - len(n), np.int64)])
@@ -256,7 +295,7 @@ def _plain(docs: DataFrame, shared, table=None) -> DataFrame:
         words, n_best, count_sum, known = _kept(shared), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
         for b in slices(batches):
             if words.full():
-                words.clear()
+                words.shrink()
                 n_best, count_sum, known = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
             texts = _texts(b)
             sums, digests = np.zeros((len(texts), 6), np.int64), [""] * len(texts)
@@ -293,7 +332,7 @@ def _row_pairs(docs: DataFrame, shared) -> DataFrame:
         words = _kept(shared)
         for b in slices(batches, 64):
             if words.full():
-                words.clear()
+                words.shrink()
             rows = column(b, "row").to_pylist()
             for i, held in _by_text(words, _texts(b)):
                 pair, m = np.unique(np.concatenate([words.pairs[_ranges(words.ptr, ids)] for ids in held]), return_counts=True)

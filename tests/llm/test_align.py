@@ -109,7 +109,7 @@ def test_small_blocks_and_tables_change_nothing(spark, monkeypatch):
         words, out = A.Words(*files), []
         for text in texts:
             if words.full():
-                words.clear()
+                words.shrink()
             for _, held in A._by_text(words, [text]):
                 ids = np.concatenate(held)
                 out.append((words.sizes[ids].sum(axis=0).tolist(), [words.strings[i] for i in ids], sorted(words.pairs[A._ranges(words.ptr, ids)].tolist())))
@@ -117,7 +117,7 @@ def test_small_blocks_and_tables_change_nothing(spark, monkeypatch):
 
     whole = run()
     monkeypatch.setattr(A, "BLOCK", 100)
-    monkeypatch.setattr(A, "WORDS_KEPT", 3)
+    monkeypatch.setattr(A, "WORDS_KEPT", 30)
     assert run() == whole and len(whole) == 3
 
 
