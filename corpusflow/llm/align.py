@@ -7,13 +7,14 @@ byte, or itself if nothing reaches beyond its end. Successor doubling
 token points to the terminal token of its component; tokens of one terminal
 are one group.
 
-A space between two characters that are no white space begins a token in both
-tokenizers, so a text is cut there: its words are tokenized and aligned once
-for as long as a Python worker keeps them, and a text's result is put together
-from its words. Link counts are added up by word in each task, then by id pair
-across the corpus; a second pass reads each link's count. The table of id
-pairs is broadcast while it has at most ``pairs_kept`` rows (it is counted
-first), and joined by id pair otherwise.
+A space or line end between two characters that are no white space begins a
+token in both tokenizers, so a text is cut there: its units are tokenized and
+aligned once for as long as a Python worker keeps them, and a text's result is
+put together from its units. One pass writes each text's figures and the id
+pairs of its links, and adds up the links by unit in each task, then by id pair
+across the corpus. A second pass over the written id pairs looks up each link's
+count. The table of id pairs is broadcast while it has at most ``pairs_kept``
+rows (it is counted first), and joined by id pair otherwise.
 """
 
 from __future__ import annotations
@@ -41,7 +42,9 @@ OFTEN = 4
 BLOCK = 1 << 20
 #: white space of either tokenizer's reading, and the mark for a space
 SPACE = "\\s\\x1c-\\x1f\\u2581"
-CUT = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
+CUT = re.compile(f"(?<=[^{SPACE}])(?=[ \n][^{SPACE}])")
+#: what lies between a space and a cut, or begins with a line end
+PLAIN = re.compile(f"\n?[^{SPACE}](?:.*[^{SPACE}])?", re.DOTALL).fullmatch
 
 
 def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +83,7 @@ def _ranges(ptr: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Words with their tokens, groups and links under both tokenizers."""
+    """Units of text with their tokens, groups and links under both tokenizers."""
 
     def __init__(self, json_file: bytes, model_file: bytes):
         import sentencepiece
@@ -97,8 +100,10 @@ class Words:
             self.bytes_a[i] = b"".join(byte_of[c] if c in byte_of else c.encode() for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        # a piece with a space behind another character could cross a cut
-        self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
+        # a piece with a space or line end behind another character could cross a cut
+        self.cuts = "▁" in pieces and not any(re.search("[^▁]▁|\n", p) for p in pieces)
+        #: do id pairs fit in 32 bits?
+        self.narrow = len(self.bytes_a) * len(self.bytes_b) <= 1 << 32
         self.len_a, self.len_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
         # an id with the mark behind it: , within a side, | between the sides, ; between groups
         self.marked = [[np.array([f"{i}{mark}" for i in range(len(x))], object) for mark in (",", end)]
@@ -114,7 +119,8 @@ class Words:
         self.sizes = np.zeros((0, 4), np.int64)
         self.same = np.zeros(0, bool)
         self.ptr = np.zeros(1, np.int64)
-        self.pairs = np.zeros(0, np.uint64)
+        #: A's id times B's number of ids, plus B's id, of each link
+        self.pairs = np.zeros(0, np.int64)
 
     def full(self) -> bool:
         return len(self.index) > WORDS_KEPT or self.chars > CHARS_KEPT
@@ -135,24 +141,35 @@ class Words:
         self.sizes, self.same, self.pairs = sizes[often], same[often], pairs[_ranges(ptr, often)]
         self.ptr = np.concatenate([[0], np.cumsum(sizes[often, 3])])
 
-    def split(self, text: str) -> list[str]:
-        return CUT.split(text) if self.cuts else [text]
-
     def blocks(self, text: str):
-        """Pieces of a text, cut where words are, of about ``BLOCK`` characters."""
-        at = 0
+        """A space and the text, cut where units are into about ``BLOCK`` characters."""
+        text, at = " " + text, 0
         while self.cuts and len(text) - at > BLOCK and (m := CUT.search(text, at + BLOCK)):
             yield text[at:m.start()]
-            at = m.end()
+            at = m.start()
         yield text[at:]
 
+    def units(self, block: str) -> list[str]:
+        """The units of a block. A plain one is written without the space that
+        it begins with; others begin with a space or line end."""
+        out = block[1:].replace("\n", " \n").split(" ")
+        if block[0] == "\n":
+            out[0] = "\n" + out[0]
+        if all(map(PLAIN, set(out).difference(self.index))):
+            return out
+        parts = CUT.split(block) if self.cuts else [block]
+        return [x[1:] if x[0] == " " and x[1:2] != "\n" and PLAIN(x, 1) else x for x in parts]
+
     def learn(self, new: list[str]) -> None:
-        """Tokenize and align words that are not in the table."""
+        """Tokenize and align units that are not in the table."""
         if not new:
             return
-        ids_a = [x.ids for x in self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False)]
-        ids_b = self.b.encode(new, num_threads=1)
-        want = [b" " + w.encode() for w in new]
+        whole = [w if w[0] in " \n" else " " + w for w in new]
+        ids_a = [x.ids for x in self.a.encode_batch_fast(whole, add_special_tokens=False)]
+        # the model adds the space that a unit begins with; before a line end it is a token of its own
+        ids_b = self.b.encode([w if w[0] == "\n" else w[1:] for w in whole], num_threads=1)
+        ids_b = [x[1:] if w[0] == "\n" else x for x, w in zip(ids_b, whole)]
+        want = [w.encode() for w in whole]
         good = np.flatnonzero(self._same(ids_a, ids_b, want))
         if len(good) < len(new):
             ids_a, ids_b = ([ids[i] for i in good.tolist()] for ids in (ids_a, ids_b))
@@ -160,12 +177,12 @@ class Words:
         a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (ids_a, ids_b))
         sizes, same = np.zeros((len(new), 4), np.int64), np.zeros(len(new), bool)
         same[good] = True
-        strings, pairs = [""] * len(new), np.zeros(0, np.uint64)
+        strings, pairs = [""] * len(new), np.zeros(0, np.int64)
         if len(good):
             ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
             group_a, group_b = groups(ends_a, ends_b)
             at_a, at_b, cuts = links(ends_a, ends_b)
-            pairs = a[at_a].astype(np.uint64) << np.uint64(32) | b[at_b].astype(np.uint64)
+            pairs = a[at_a] * len(self.bytes_b) + b[at_b]
             stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
             upto = np.searchsorted(cuts, ends_a[stop_a - 1], "right")
             sizes[good] = np.stack([n_a, n_b, np.diff(group_b[stop_b - 1] + 1, prepend=0), np.diff(upto, prepend=0)], axis=1)
@@ -205,7 +222,7 @@ class Words:
         waiting, size = [], 0
         for i, text in enumerate(texts):
             for block in self.blocks(text):
-                waiting.append((i, self.split(block)))
+                waiting.append((i, self.units(block)))
                 size += len(block)
                 if size >= BLOCK:
                     yield from self._numbered(waiting)
@@ -257,89 +274,92 @@ def _by_text(words: Words, texts: list[str]):
         yield at, held
 
 
-def pair_counts(docs: DataFrame, shared) -> DataFrame:
-    """``pair, n``: the links of the corpus by id pair (A's id << 32 | B's id)."""
+#: figures of a text by itself, and those that need the counts of the corpus
+OWN = ("n_a", "n_b", "n_groups", "n_links")
+SHARED = ("n_best", "count_sum")
+
+
+def aligned(docs: DataFrame, shared) -> DataFrame:
+    """A row with ``doc_id``, its own figures and its links' id pairs for every
+    text, and in between rows of ``pair, n`` that add up a task's links."""
     def run(batches):
         words = _kept(shared)
+        kind = np.uint32 if words.narrow else np.int64
 
         def counted(n):
-            of_pair = np.repeat(n, np.diff(words.ptr[:len(n) + 1]))
+            of_pair = np.repeat(n, words.sizes[:len(n), 3])
             pair, at = np.unique(words.pairs[:len(of_pair)], return_inverse=True)
-            total = np.zeros(len(pair), np.int64)
-            np.add.at(total, at, of_pair)
+            total = np.bincount(at, of_pair, len(pair)).astype(np.int64)
             pair, total = pair[total > 0], total[total > 0]
-            return pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), pa.array(total)], names=["pair", "n"])
+            none = len(pair)
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(none, pa.int64())] * (2 + len(OWN)) + [pa.nulls(none, pa.string()), pa.nulls(none, pa.binary()), pa.array(pair), pa.array(total)],
+                names=names)
 
-        n = np.zeros(0, np.int64)
+        names, n = ["doc_id", "row", *OWN, "groups_sha256", "links", "pair", "n"], np.zeros(0, np.int64)
         for b in slices(batches):
             if words.full():
                 if len(n):
                     yield counted(n)
                 words.shrink()
                 n = np.zeros(0, np.int64)
-            for _, held in _by_text(words, _texts(b)):
-                n = np.concatenate([n, np.zeros(len(words.index) - len(n), np.int64)])
-                for ids in held:
-                    n += np.bincount(ids, minlength=len(n))
-        if len(n):
-            yield counted(n)
-
-    return (docs.select("text").mapInArrow(run, "pair long, n long")
-            .groupBy("pair").agg(F.sum("n").alias("n")))
-
-
-def _plain(docs: DataFrame, shared, table=None) -> DataFrame:
-    """Every row's own figures, and the two that need the corpus where ``table``
-    (id pairs in order, their counts, whether that is the most of their B id) is given."""
-    def run(batches):
-        words, n_best, count_sum, known = _kept(shared), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-        for b in slices(batches):
-            if words.full():
-                words.shrink()
-                n_best, count_sum, known = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
             texts = _texts(b)
-            sums, digests = np.zeros((len(texts), 6), np.int64), [""] * len(texts)
+            sums, digests, found = np.zeros((len(texts), len(OWN)), np.int64), [""] * len(texts), [b""] * len(texts)
             for i, held in _by_text(words, texts):
-                if table is not None and known < len(words.index):
-                    pairs, counts, best = table.value
-                    ptr = words.ptr[known:] - words.ptr[known]
-                    at = np.searchsorted(pairs, words.pairs[words.ptr[known]:].view(np.int64))
-                    # words of texts without tokens may have links that the corpus has not
-                    at = np.minimum(at, len(pairs) - 1)
-                    upto = [np.concatenate([[0], np.cumsum(x[at])]) for x in (best, counts)]
-                    n_best, count_sum = (np.concatenate([x, np.diff(u[ptr])]) for x, u in zip((n_best, count_sum), upto))
-                    known = len(words.index)
+                n = np.concatenate([n, np.zeros(len(words.index) - len(n), np.int64)])
                 text = hashlib.sha256()
                 for j, ids in enumerate(held):
-                    sums[i, :4] += words.sizes[ids].sum(axis=0)
-                    if table is not None:
-                        sums[i, 4:] += n_best[ids].sum(), count_sum[ids].sum()
+                    np.add.at(n, ids, 1)
+                    sums[i] += words.sizes[ids].sum(axis=0)
                     text.update(((";" if j else "") + ";".join(map(words.strings.__getitem__, ids.tolist()))).encode())
                 digests[i] = text.hexdigest()
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), *(pa.array(x) for x in sums.T.copy()), pa.array(digests, pa.string()), column(b, "row")],
-                                             names=["doc_id", *FIGURES, "groups_sha256", "row"])
+                found[i] = b"".join(words.pairs[_ranges(words.ptr, ids)].astype(kind).tobytes() for ids in held)
+            no = pa.nulls(len(texts), pa.int64())
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), column(b, "row"), *(pa.array(x) for x in sums.T.copy()), pa.array(digests, pa.string()),
+                                              pa.array(found, pa.binary()), no, no], names=names)
+        if len(n):
+            yield counted(n)
 
-    return docs.select("doc_id", "text", "row").mapInArrow(
-        run, "doc_id long, " + ", ".join(f"{c} long" for c in FIGURES) + ", groups_sha256 string, row long")
+    return docs.mapInArrow(run, "doc_id long, row long, " + ", ".join(f"{c} long" for c in OWN)
+                           + ", groups_sha256 string, links binary, pair long, n long")
 
 
-FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+def _pairs(links: list[bytes], narrow: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Id pairs of a batch of texts, and where each text's end."""
+    pairs = np.frombuffer(b"".join(links), np.uint32 if narrow else np.int64)
+    return pairs, np.cumsum([len(x) for x in links]) // pairs.itemsize
 
 
-def _row_pairs(docs: DataFrame, shared) -> DataFrame:
-    """``row, pair, m``: the distinct id pairs of each row with their links in it."""
+def looked_up(texts: DataFrame, table, narrow: bool) -> DataFrame:
+    """Texts with the figures that need the corpus, from the broadcast ``table``:
+    id pairs in order, their counts, whether that is the most of their B id."""
+    def run(batches):
+        keys, counts, best = table.value
+        for b in slices(batches):
+            pairs, stop = _pairs(column(b, "links").to_pylist(), narrow)
+            at = np.searchsorted(keys, pairs)
+            upto = (np.concatenate([[0], np.cumsum(x[at])]) for x in (best, counts))
+            more = [pa.array(np.diff(u[np.concatenate([[0], stop])])) for u in upto]
+            yield pa.RecordBatch.from_arrays([column(b, c) for c in ("doc_id", *OWN)] + more + [column(b, "groups_sha256")],
+                                             names=["doc_id", *OWN, *SHARED, "groups_sha256"])
+
+    return texts.select("doc_id", *OWN, "groups_sha256", "links").mapInArrow(
+        run, "doc_id long, " + ", ".join(f"{c} long" for c in OWN + SHARED) + ", groups_sha256 string")
+
+
+def joined(texts: DataFrame, rated: DataFrame, narrow: bool) -> DataFrame:
+    """The same by a join on the id pair with ``rated(pair, n, best)``."""
     def run(batches):
-        words = _kept(shared)
         for b in slices(batches, 64):
-            if words.full():
-                words.shrink()
-            rows = column(b, "row").to_pylist()
-            for i, held in _by_text(words, _texts(b)):
-                pair, m = np.unique(np.concatenate([words.pairs[_ranges(words.ptr, ids)] for ids in held]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), rows[i])), pa.array(pair.view(np.int64)), pa.array(m.astype(np.int64))],
+            pairs, stop = _pairs(column(b, "links").to_pylist(), narrow)
+            for row, part in zip(column(b, "row").to_pylist(), np.split(pairs, stop[:-1])):
+                pair, m = np.unique(part, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), row)), pa.array(pair.astype(np.int64)), pa.array(m.astype(np.int64))],
                                                  names=["row", "pair", "m"])
 
-    return docs.select("text", "row").mapInArrow(run, "row long, pair long, m long")
+    sums = (texts.where("n_links > 0").select("row", "links").mapInArrow(run, "row long, pair long, m long").join(rated, "pair").groupBy("row")
+            .agg(F.sum(F.when(F.col("best"), F.col("m")).otherwise(0)).alias("n_best"), F.sum(F.col("m") * F.col("n")).alias("count_sum")))
+    return texts.join(sums, "row", "left").na.fill(0, [*SHARED]).select("doc_id", *OWN, *SHARED, "groups_sha256")
 
 
 def align(docs: DataFrame, json_path: str, model_path: str, pairs_kept: int = PAIRS_KEPT) -> DataFrame:
@@ -353,35 +373,32 @@ def align(docs: DataFrame, json_path: str, model_path: str, pairs_kept: int = PA
     not make up byte for byte, have no tokens: zeros and ''. They count for no
     id pair. Repeated rows count each time and give repeated results; a null
     doc_id stays null; other columns are not looked at. A text of any length is
-    taken whole, a block of words at a time; a word of any length is kept whole
-    in memory.
+    taken whole, a block of units at a time; a unit of any length is kept whole
+    in memory, as are a text's id pairs (some four bytes for each token).
     """
     spark = docs.sparkSession
     files = []
     for path in (json_path, model_path):
         with open(path, "rb") as f:
             files.append(f.read())
+    words = Words(*files)
+    n_b, narrow = len(words.bytes_b), words.narrow
     shared = spark.sparkContext.broadcast(tuple(files))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("row"))
-    counts = written(pair_counts(docs, shared), "align-pairs")
-    out = ["doc_id", *FIGURES, "groups_sha256"]
+    numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
+    table = written(aligned(numbered, shared), "align-texts")
+    counts = written(table.where("pair is not null").groupBy("pair").agg(F.sum("n").alias("n")), "align-pairs")
+    texts = table.where("pair is null")
     if counts.count() <= pairs_kept:
-        # a pair without links stands in for none
-        found = counts.union(spark.createDataFrame([(-1, 0)], counts.schema)).sort("pair").toPandas()
+        found = counts.sort("pair").toPandas()
         pairs, n = found["pair"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
-        b, of_b = np.unique(pairs & 0xFFFFFFFF, return_inverse=True)
+        b, of_b = np.unique(pairs % n_b, return_inverse=True)
         most = np.zeros(len(b), np.int64)
         np.maximum.at(most, of_b, n)
-        table = spark.sparkContext.broadcast((pairs, n, (n == most[of_b]).astype(np.int64)))
-        return _plain(docs, shared, table).select(*out)
-    numbered = written(docs.withColumn("row", F.monotonically_increasing_id()), "align-rows")
-    of_b = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))
-    most = counts.groupBy(of_b.alias("b")).agg(F.max("n").alias("most"))
-    rated = counts.withColumn("b", of_b).join(most, "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
-    sums = (_row_pairs(numbered, shared).join(rated, "pair").groupBy("row")
-            .agg(F.sum(F.when(F.col("best"), F.col("m")).otherwise(0)).alias("n_best"), F.sum(F.col("m") * F.col("n")).alias("count_sum")))
-    own = _plain(numbered, shared).drop("n_best", "count_sum")
-    return own.join(sums, "row", "left").na.fill(0, ["n_best", "count_sum"]).select(*out)
+        kept = spark.sparkContext.broadcast((pairs.astype(np.uint32 if narrow else np.int64), n, (n == most[of_b]).astype(np.int64)))
+        return looked_up(texts, kept, narrow)
+    most = counts.groupBy((F.col("pair") % n_b).alias("b")).agg(F.max("n").alias("most"))
+    rated = counts.withColumn("b", F.col("pair") % n_b).join(most, "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
+    return joined(texts, rated, narrow)
 
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from tests.llm.data import ODD, corpus, documents
 
 FILES = (P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"))
 TEXTS = [*corpus(seed=8, n=40), " ", "  a  b ", " lead", "trail ", "é▁x y", "a\x00b c", "<s> hi <|endoftext|> there </s> <unk>", "ﬁ 　x y", "a\n\nb\t c d",
-         "🤷‍♂️ word", "́a b", "x y z", "z ́a", "don't 'tis 12 345 + - x", "한국어 말 하다", "\x1c a \x1d b", "a" * 2000, "\r\n x", "y ▁ z", "ab " * 40]
+         "🤷‍♂️ word", "́a b", "x y z", "z ́a", "don't 'tis 12 345 + - x", "한국어 말 하다", "\x1c a \x1d b", "a" * 2000, "\r\n x", "\nfirst line\nsecond line\n\nthird\n fourth\n", "a\nb \nc\n", "x\n▁y", "one\n12\n+\né", "y ▁ z", "ab " * 40]
 
 
 @pytest.fixture(scope="module")
