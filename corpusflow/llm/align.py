@@ -108,6 +108,7 @@ class Words:
         # an id with the mark behind it: , within a side, | between the sides, ; between groups
         self.marked = [[np.array([f"{i}{mark}" for i in range(len(x))], object) for mark in (",", end)]
                        for x, end in ((self.bytes_a, "|"), (self.bytes_b, ";"))]
+        self.chars_a, self.chars_b = (np.array([len(t) for t in m[0]], np.int64) for m in self.marked)
         self.clear()
 
     def clear(self) -> None:
@@ -149,16 +150,19 @@ class Words:
             at = m.start()
         yield text[at:]
 
-    def units(self, block: str) -> list[str]:
-        """The units of a block. A plain one is written without the space that
-        it begins with; others begin with a space or line end."""
+    def units(self, block: str) -> tuple[list[str], set[str]]:
+        """The units of a block, and those not yet in the table. A plain unit is
+        written without the space that it begins with; others begin with a space
+        or line end."""
         out = block[1:].replace("\n", " \n").split(" ")
         if block[0] == "\n":
             out[0] = "\n" + out[0]
-        if all(map(PLAIN, set(out).difference(self.index))):
-            return out
-        parts = CUT.split(block) if self.cuts else [block]
-        return [x[1:] if x[0] == " " and x[1:2] != "\n" and PLAIN(x, 1) else x for x in parts]
+        new = set(out).difference(self.index)
+        if not all(map(PLAIN, new)):
+            parts = CUT.split(block) if self.cuts else [block]
+            out = [x[1:] if x[0] == " " and x[1:2] != "\n" and PLAIN(x, 1) else x for x in parts]
+            new = set(out).difference(self.index)
+        return out, new
 
     def learn(self, new: list[str]) -> None:
         """Tokenize and align units that are not in the table."""
@@ -170,13 +174,14 @@ class Words:
         ids_b = self.b.encode([w if w[0] == "\n" else w[1:] for w in whole], num_threads=1)
         ids_b = [x[1:] if w[0] == "\n" else x for x, w in zip(ids_b, whole)]
         want = [w.encode() for w in whole]
-        good = np.flatnonzero(self._same(ids_a, ids_b, want))
-        if len(good) < len(new):
-            ids_a, ids_b = ([ids[i] for i in good.tolist()] for ids in (ids_a, ids_b))
+        flat_a, flat_b = (list(chain.from_iterable(ids)) for ids in (ids_a, ids_b))
         n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
-        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (ids_a, ids_b))
-        sizes, same = np.zeros((len(new), 4), np.int64), np.zeros(len(new), bool)
-        same[good] = True
+        a, b = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
+        same = self._same(want, (flat_a, a, n_a, self.bytes_a, self.len_a), (flat_b, b, n_b, self.bytes_b, self.len_b))
+        good = np.flatnonzero(same)
+        if len(good) < len(new):
+            a, b, n_a, n_b = a[np.repeat(same, n_a)], b[np.repeat(same, n_b)], n_a[good], n_b[good]
+        sizes = np.zeros((len(new), 4), np.int64)
         strings, pairs = [""] * len(new), np.zeros(0, np.int64)
         if len(good):
             ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
@@ -188,10 +193,11 @@ class Words:
             sizes[good] = np.stack([n_a, n_b, np.diff(group_b[stop_b - 1] + 1, prepend=0), np.diff(upto, prepend=0)], axis=1)
             order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
             marked = np.concatenate([np.where(np.append(g[1:] == g[:-1], False), m[0][x], m[1][x])
-                                     for g, m, x in zip((group_a, group_b), self.marked, (a, b))])[order].tolist()
-            stop = (stop_a + stop_b).tolist()
+                                     for g, m, x in zip((group_a, group_b), self.marked, (a, b))])[order]
+            chars = np.cumsum(np.concatenate([self.chars_a[a], self.chars_b[b]])[order])
+            text, stop = "".join(marked.tolist()), chars[stop_a + stop_b - 1].tolist()
             for i, s, e in zip(good.tolist(), [0, *stop], stop):
-                strings[i] = "".join(marked[s:e])[:-1]
+                strings[i] = text[s:e - 1]
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
         self.chars += sum(map(len, new))
         self.strings += strings
@@ -201,20 +207,17 @@ class Words:
         self.pairs = np.concatenate([self.pairs, pairs])
         self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
 
-    def _same(self, ids_a, ids_b, want: list[bytes]) -> np.ndarray:
-        """Do both tokenizers' tokens make up each word byte for byte?"""
-        whole = b"".join(want)
-        size = np.fromiter(map(len, want), np.int64, len(want))
-        plain = True
-        for ids, of, lens in ((ids_a, self.bytes_a, self.len_a), (ids_b, self.bytes_b, self.len_b)):
-            flat = list(chain.from_iterable(ids))
-            stop = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
-            upto = np.concatenate([[0], np.cumsum(lens[flat])])[np.concatenate([[0], stop])]
-            plain = plain and np.array_equal(np.diff(upto), size) and b"".join(map(of.__getitem__, flat)) == whole
-        if plain:
-            return np.ones(len(want), bool)
-        return np.array([b"".join(map(self.bytes_a.__getitem__, x)) == w and b"".join(map(self.bytes_b.__getitem__, y)) == w
-                         for x, y, w in zip(ids_a, ids_b, want)], bool)
+    @staticmethod
+    def _same(want: list[bytes], *sides) -> np.ndarray:
+        """Do both sides' tokens make up each unit byte for byte?"""
+        whole, size = b"".join(want), np.fromiter(map(len, want), np.int64, len(want))
+        same = np.ones(len(want), bool)
+        for flat, ids, n, of, lens in sides:
+            stop = np.cumsum(n)
+            upto = np.concatenate([[0], np.cumsum(lens[ids])])[np.concatenate([[0], stop])]
+            if not np.array_equal(np.diff(upto), size) or b"".join(map(of.__getitem__, flat)) != whole:
+                same &= [b"".join(map(of.__getitem__, flat[i:j])) == w for i, j, w in zip([0, *stop.tolist()], stop.tolist(), want)]
+        return same
 
     def placed(self, texts: list[str]):
         """``(i, ids)`` for each block of each text: the numbers of its words.
@@ -222,7 +225,7 @@ class Words:
         waiting, size = [], 0
         for i, text in enumerate(texts):
             for block in self.blocks(text):
-                waiting.append((i, self.units(block)))
+                waiting.append((i, *self.units(block)))
                 size += len(block)
                 if size >= BLOCK:
                     yield from self._numbered(waiting)
@@ -230,10 +233,12 @@ class Words:
         yield from self._numbered(waiting)
 
     def _numbered(self, waiting):
-        self.learn(list(set().union(*(words for _, words in waiting)).difference(self.index)))
-        ids = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words for _, words in waiting)), np.int64)
+        if not waiting:
+            return
+        self.learn(list(set().union(*(new for *_, new in waiting))))
+        ids = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words for _, words, _ in waiting)), np.int64)
         self.uses += np.bincount(ids, minlength=len(self.uses))
-        for (i, _), part in zip(waiting, np.split(ids, np.cumsum([len(words) for _, words in waiting[:-1]]))):
+        for (i, *_), part in zip(waiting, np.split(ids, np.cumsum([len(words) for _, words, _ in waiting[:-1]]))):
             yield i, part
 
 
