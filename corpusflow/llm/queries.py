@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("align", "decontaminate", "licenses", "mixing", "neardup", "quality", "repeats", "secrets", "simhash", "tokens", "topk", "warc")
+MODULES = ("align", "decontaminate", "licenses", "mixing", "neardup", "quality", "repeats", "secrets", "simhash", "tokens", "topk", "warc", "whitening")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
