@@ -31,6 +31,8 @@ from corpusflow.llm.topk import _usable
 
 #: spectra that one task combines
 FAN = 8
+#: vectors that one partition takes, and partitions at most
+TAKEN, PARTITIONS = 4096, 10_000
 #: rows that are turned into an array at a time
 ROWS = 1024
 #: an eigenvalue below this share of their sum counts as zero
@@ -176,8 +178,8 @@ class Spectrum:
 SPECTRUM = "node long, n long, mean binary, eigenvalues binary, vectors binary"
 
 
-def spectrum(fit: DataFrame, dim: int) -> Spectrum:
-    """Spectrum of all vectors of ``fit(x array<long>)``: one for each partition, combined in a tree."""
+def spectrum(fit: DataFrame, n: int, dim: int) -> Spectrum:
+    """Spectrum of all n vectors of ``fit(x array<long>)``: one for each partition, combined in a tree."""
     def run(batches):
         from pyspark import TaskContext
         own = Spectrum(dim)
@@ -195,7 +197,8 @@ def spectrum(fit: DataFrame, dim: int) -> Spectrum:
             whole.merge(Spectrum.of(row))
         return pd.DataFrame([whole.row(int(key[0]))])
 
-    level = written(fit.mapInArrow(run, SPECTRUM), "whitening-spectra")
+    dealt = fit.repartition(max(1, min(PARTITIONS, -(-n // TAKEN))))
+    level = written(dealt.mapInArrow(run, SPECTRUM), "whitening-spectra")
     while level.count() > 1:
         level = written(level.groupBy(F.floor(F.col("node") / FAN).cast("long").alias("up")).applyInPandas(combine, SPECTRUM), "whitening-spectra")
     found = level.collect()
@@ -277,7 +280,7 @@ def whiten(vectors: DataFrame, components: int = 4, scale: int = 256) -> DataFra
     fit = written(table.select("x").distinct(), "whitening-fit")
     n, sums = _sums(fit, dim)
     mean = np.array([s / n for s in sums])
-    basis = spectrum(fit, dim).vectors
+    basis = spectrum(fit, n, dim).vectors
     basis = np.linalg.qr(basis)[0]
 
     def projected(x):
