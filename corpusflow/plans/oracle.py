@@ -563,3 +563,31 @@ FROM {ADJUSTED} a LEFT JOIN ({SEN_DIFF}) s USING (job, line_no)"""
 ORACLE["pieces_to_text"] = f"""SELECT item_id,
   array_to_string(list_filter(regexp_split_to_array(trim({S.normalize('text')}), '\\s+'), lambda w: w <> ''), ' ') AS text
 FROM benchmark WHERE len(list_filter(regexp_split_to_array(trim({S.normalize('text')}), '\\s+'), lambda w: w <> '')) > 0"""
+
+
+# --- unigram subwords: seeds, and one pass of expectation over the lattices of all words ---
+SEEDS = f"""wc AS (SELECT '▁' || word AS w, count(*) AS cnt FROM (
+    SELECT unnest(list_filter(regexp_split_to_array(trim({S.normalize('text')}), '\\s+'), lambda w: w <> '')) AS word FROM conversations) x GROUP BY 1),
+subs AS (SELECT w, cnt, i AS s, i + m AS e, substr(w, i, m) AS piece
+         FROM wc, LATERAL (SELECT unnest(range(1, length(w) + 1)) AS i) a, LATERAL (SELECT unnest(range(1, least(16, length(w) - i + 1) + 1)) AS m) b),
+freq AS (SELECT piece, CAST(sum(cnt) AS BIGINT) AS freq FROM subs GROUP BY piece),
+seeds AS (SELECT * FROM freq WHERE length(piece) = 1
+          UNION ALL (SELECT * FROM freq WHERE length(piece) > 1 AND freq > 1 ORDER BY freq * length(piece) DESC, piece LIMIT 4000))"""
+ORACLE["unigram_seeds"] = f"WITH {SEEDS} SELECT * FROM seeds"
+ORACLE["unigram_expectation"] = f"""WITH RECURSIVE {SEEDS},
+p AS (SELECT piece, freq * length(piece) / (SELECT sum(freq * length(piece)) FROM seeds) AS p FROM seeds),
+arcs AS (SELECT w, cnt, s, e, piece, p FROM subs JOIN p USING (piece)),
+ends AS (SELECT w, e, list({{'s': s, 'p': p}}) AS x FROM arcs GROUP BY w, e),
+starts AS (SELECT w, s, list({{'e': e, 'p': p}}) AS x FROM arcs GROUP BY w, s),
+ahead(w, pos, a) AS (SELECT w, 1::BIGINT, [1.0::DOUBLE] FROM wc
+  UNION ALL SELECT f.w, f.pos + 1, list_append(f.a, list_sum(list_transform(ends.x, lambda t: f.a[t.s] * t.p)))
+            FROM ahead f JOIN ends ON ends.w = f.w AND ends.e = f.pos + 1),
+behind(w, pos, b) AS (SELECT w, length(w) + 1, [1.0::DOUBLE] FROM wc
+  UNION ALL SELECT f.w, f.pos - 1, list_prepend(list_sum(list_transform(starts.x, lambda t: f.b[t.e - f.pos + 1] * t.p)), f.b)
+            FROM behind f JOIN starts ON starts.w = f.w AND starts.s = f.pos - 1)
+SELECT piece, round(sum(cnt * a[s] * p * b[e] / a[length(arcs.w) + 1]), 3) AS expected
+FROM arcs JOIN ahead ON ahead.w = arcs.w AND ahead.pos = length(arcs.w) + 1 JOIN behind ON behind.w = arcs.w AND behind.pos = 1
+GROUP BY piece"""
+ORACLE["unigram_text"] = f"""SELECT item_id,
+  array_to_string(list_filter(regexp_split_to_array(trim({S.normalize('text')}), '\\s+'), lambda w: w <> ''), ' ') AS text
+FROM benchmark"""

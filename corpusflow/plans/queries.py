@@ -6,6 +6,8 @@ full; column names match :mod:`corpusflow.plans.oracle`.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -611,3 +613,40 @@ QUERIES.update({
     "encode_words": q_encode_words,
     "pieces_to_text": q_pieces_to_text,
 })
+
+
+# --- unigram subwords -----------------------------------------------------------------------
+from corpusflow.operators import unigram  # noqa: E402
+
+
+def q_unigram_seeds(spark, sf_dir):
+    return unigram.seed_pieces(vocab.word_counts(_subword_input(spark, sf_dir)), 4000)
+
+
+def q_unigram_expectation(spark, sf_dir):
+    """Expected counts of all seed pieces in the first pass of the training."""
+    words = vocab.word_counts(_subword_input(spark, sf_dir))
+    seeds = {r.piece: r.freq * len(r.piece) for r in unigram.seed_pieces(words, 4000).collect()}
+    model = unigram.Model(seeds, [math.log(v) - math.log(sum(seeds.values())) for v in seeds.values()])
+    counts, _ = unigram.expected_counts(words, model)
+    return spark.createDataFrame([(p, round(c, 3)) for p, c in counts.items()], "piece string, expected double")
+
+
+def q_unigram_vocab(spark, sf_dir):
+    return unigram.train(_subword_input(spark, sf_dir), size=800, seeds=4000)[0].withColumn("score", F.round("score", 3))
+
+
+def q_unigram_text(spark, sf_dir):
+    """Encoded by a model of another table and put together again."""
+    _, model, _ = unigram.train(_subword_input(spark, sf_dir), size=800, seeds=4000)
+    bench = FX.table(spark, sf_dir, "benchmark").select("item_id", T.normalize(F.col("text")).alias("text"))
+    enc = unigram.encode(bench, model, ["item_id"])
+    return enc.select("item_id", unigram.decode("pieces").alias("text"))
+
+
+QUERIES.update({
+    "unigram_seeds": q_unigram_seeds,
+    "unigram_expectation": q_unigram_expectation,
+    "unigram_vocab": q_unigram_vocab,
+    "unigram_text": q_unigram_text,
+})
