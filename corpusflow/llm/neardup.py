@@ -11,11 +11,14 @@ sketch bound lies six standard deviations away from it.
 Copies never become pairs: equal sets are one class. Within a bucket the
 classes are first confirmed against one leader; components are formed; then
 only classes of one bucket that are still in different components are compared,
-by size and by a sharper odd sketch (2048 samples in 4096 bits, which tells
-0.68 from 0.8), and the few pairs left are confirmed. So a group of n near
-copies costs about n confirmations, no pair of plainly unlike texts leaves the
-bucket join, and no link between components is lost. Everything is keyed joins
-and map-side aggregates; the driver sees counts only.
+by size and by a parity bitmap of 4096 bits, and what passes is confirmed. For
+sets of up to 4096 shingles the bitmap folds the whole set: its XOR never has
+more bits than the two sets have different shingles, so no link is lost, and
+hardly fewer for sets of some hundreds, so hardly any pair under the threshold
+passes. Larger sets fold 2048 samples, which tells 0.68 from 0.8. So a group of
+n near copies costs about n confirmations, unlike texts of a bucket cost a
+comparison of bitmaps inside the join, and no link between components is lost.
+Everything is keyed joins and map-side aggregates; the driver sees counts only.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ SAMPLES = BANDS * ROWS
 SKETCH_WORDS = 4
 SHARP_SAMPLES = 2048
 SHARP_WORDS = 64
+#: shingles of a set that is folded whole into a sharper sketch
+WHOLE = 4096
 #: buckets of a leader that a member must share to be held against it first
 LED = 4
 #: words kept with their hash in one Python worker
@@ -137,25 +142,50 @@ def sketch(docs: DataFrame, shingle: int) -> DataFrame:
         run, "doc_id long, n_shingles long, set_key binary, bands array<long>, odd array<long>")
 
 
-def sharp_sketch(texts: DataFrame, shingle: int) -> DataFrame:
-    """``rep, size, sharp`` of the documents of ``texts``: their sharper odd sketches."""
+def set_sketches(sets: list[np.ndarray], words: int = SHARP_WORDS) -> np.ndarray:
+    """Parity bitmaps (docs x words) of whole sets: each shingle flips one bit."""
+    bits = words * 64
+    at = mix64(np.concatenate([np.empty(0, np.uint64), *sets])) % np.uint64(bits)
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    odd = (np.bincount(rows * bits + at.astype(int), minlength=len(sets) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(len(sets), bits), axis=1).view(np.uint64)
+
+
+def sharp_sketch(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``rep, size, whole, sharp`` of the documents of ``texts``: the bitmap of the
+    whole set and that of its samples. Each is null where no set of like size needs it."""
+    def lists(odd, some):
+        flat = pa.array(odd.view(np.int64).ravel())
+        offsets = np.concatenate([[0], np.cumsum(some)]).astype(np.int32) * SHARP_WORDS
+        return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=pa.array(~some))
+
     def run(batches):
         hashes = _Hashes()
         for b in slices(batches, 64):
             sets = [shingle_hashes(t, shingle, hashes) for t in utf8(b, "text")]
-            odd = odd_sketches(np.array([min_hashes(s, SHARP_SAMPLES) for s in sets]).reshape(len(sets), SHARP_SAMPLES), SHARP_WORDS)
-            flat = pa.array(odd.view(np.int64).ravel())
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * SHARP_WORDS), flat)
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array([len(s) for s in sets], pa.int64()), lists],
-                                             names=["rep", "size", "sharp"])
+            size = np.array([len(s) for s in sets], np.int64)
+            small, large = size <= WHOLE, size * 100 > WHOLE * percent
+            samples = np.array([min_hashes(s, SHARP_SAMPLES) for s, some in zip(sets, large) if some], np.uint32).reshape(-1, SHARP_SAMPLES)
+            yield pa.RecordBatch.from_arrays([
+                column(b, "doc_id"), pa.array(size), lists(set_sketches([s for s, some in zip(sets, small) if some]), small),
+                lists(odd_sketches(samples, SHARP_WORDS), large)], names=["rep", "size", "whole", "sharp"])
+
+    return texts.mapInArrow(run, "rep long, size long, whole array<long>, sharp array<long>")
+
 
-    return texts.mapInArrow(run, "rep long, size long, sharp array<long>")
+def _alike(percent: int) -> Column:
+    """Sizes and sharper sketches of sets x and y allow a link."""
+    sizes = (F.col("size_x") * 100 >= F.col("size_y") * percent) & (F.col("size_y") * 100 >= F.col("size_x") * percent)
+    # a link has at most this share of the sizes' sum in shingles that only one side has
+    whole = _bits("whole_x", "whole_y", SHARP_WORDS) * (100 + percent) <= (F.col("size_x") + F.col("size_y")) * (100 - percent)
+    sampled = _bits("sharp_x", "sharp_y", SHARP_WORDS) <= sketch_limit(SHARP_SAMPLES, SHARP_WORDS * 64, percent)
+    return sizes & F.when((F.col("size_x") <= WHOLE) & (F.col("size_y") <= WHOLE), whole).otherwise(sampled)
 
 
-def _near(a: str, b: str, words: int, limit: int) -> Column:
-    """The two sketches' XOR has few enough bits."""
+def _bits(a: str, b: str, words: int) -> Column:
+    """Bits in which two sketches differ."""
     bits = [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(words)]
-    return sum(bits[1:], bits[0]) <= limit
+    return sum(bits[1:], bits[0])
 
 
 def _first_meeting(a: str, b: str, band: Column) -> Column:
@@ -232,7 +262,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     # members that meet a leader in one or two buckets only are left to the second pass
     star = (members.where("rep <> leader").groupBy(F.col("leader").alias("a"), F.col("rep").alias("b"))
             .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LED).select("a", "b"))
-    tried = written(star.join(odd.toDF("b", "odd_b"), "b").join(odd.toDF("a", "odd_a"), "a").where(_near("odd_a", "odd_b", SKETCH_WORDS, sketch_limit(SAMPLES, SKETCH_WORDS * 64, percent)))
+    tried = written(star.join(odd.toDF("b", "odd_b"), "b").join(odd.toDF("a", "odd_a"), "a").where(_bits("odd_a", "odd_b", SKETCH_WORDS) <= sketch_limit(SAMPLES, SKETCH_WORDS * 64, percent))
                     .select("a", "b"), "neardup-pairs")
     ids = members.select("rep").distinct()
     texts = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -246,15 +276,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     named = written(named, "neardup-named")
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     open_ = written(named.join(mixed, "key"), "neardup-open")
-    sharp = sharp_sketch(texts.join(open_.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi"), shingle)
+    sharp = sharp_sketch(texts.join(open_.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi"), shingle, percent)
     sharp = written(sharp.join(reps.select("rep", "bands").dropDuplicates(["rep"]), "rep"), "neardup-sharp")
     open_ = open_.join(sharp, "rep")
     x = open_.select(*(F.col(c).alias(f"{c}_x" if c != "key" else c) for c in open_.columns))
     y = open_.select(*(F.col(c).alias(f"{c}_y" if c != "key" else c) for c in open_.columns))
-    alike = (F.col("size_x") * 100 >= F.col("size_y") * percent) & (F.col("size_y") * 100 >= F.col("size_x") * percent)
-    limit = sketch_limit(SHARP_SAMPLES, SHARP_WORDS * 64, percent)
-    pairs = (x.join(y, (x["key"] == y["key"]) & (F.col("component_x") < F.col("component_y")) & alike
-                    & _near("sharp_x", "sharp_y", SHARP_WORDS, limit) & _first_meeting("bands_x", "bands_y", F.col("band_x")))
+    pairs = (x.join(y, (x["key"] == y["key"]) & (F.col("component_x") < F.col("component_y")) & _alike(percent)
+                    & _first_meeting("bands_x", "bands_y", F.col("band_x")))
              .select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct())
     rest = written(pairs.join(tried, ["a", "b"], "left_anti"), "neardup-pairs")
     links = written(confirmed(rest, texts, shingle, percent), "neardup-links")

@@ -88,3 +88,51 @@ def test_deduplicated_keeps_columns_and_clean_rows(spark):
     out = N.deduplicated(df)
     assert out.columns == df.columns
     assert sorted((r.doc_id or 0) for r in out.collect()) == [0, 1, 2, 4]
+
+
+def test_group_at_the_threshold_makes_few_pairs(spark, monkeypatch):
+    """Copies with two words changed lie around the threshold: what is confirmed
+    in the second pass is little more than its links, not the group's square."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(300):
+        w = [f"w{j}" for j in range(40)]
+        for j in rng.choice(40, 2, replace=False):
+            w[j] = f"x{i}_{j}"
+        rows.append((i, " ".join(w)))
+    made, keep = [], N.written
+
+    def counting(df, tag):
+        out = keep(df, tag)
+        made.extend([out.count()] if tag in ("neardup-pairs", "neardup-links") else [])
+        return out
+
+    monkeypatch.setattr(N, "written", counting)
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(documents(spark, rows), 2).collect()}
+    assert got == {d: v[1] for d, v in brute(rows, 2).items()}
+    star, _, second, links = made
+    assert star <= 4 * len(rows) and second <= 1.3 * links + 20
+
+
+@pytest.mark.parametrize("n", [3, 40, 700, 4096])
+def test_whole_set_sketch_never_loses_a_link(n):
+    rng = np.random.default_rng(n)
+    for both in (1.0, 0.9, 0.8, 0.7):
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        b = np.unique(np.concatenate([a[:round(2 * n * both / (1 + both))], rng.integers(0, 1 << 63, n - round(2 * n * both / (1 + both)), dtype=np.uint64)]))
+        a = np.unique(a)
+        x, y = N.set_sketches([a, np.empty(0, np.uint64), b])[[0, 2]]
+        bits, apart = int(np.bitwise_count(x ^ y).sum()), len(np.setxor1d(a, b))
+        assert bits <= apart and (bits >= 0.9 * apart - 2 or apart > 200)
+        if both == 0.7 and 40 <= n:
+            assert bits * 180 > (len(a) + len(b)) * 20
+
+
+def test_long_texts_of_like_size_on_both_sides_of_the_whole_limit(spark):
+    base = [f"w{i}" for i in range(N.WHOLE)]
+    rows = []
+    for i in range(8):  # 4000 to 4280 shingles, each near the next
+        w = base[:4000 + 40 * i] if 4000 + 40 * i <= N.WHOLE else base + [f"y{j}" for j in range(4000 + 40 * i - N.WHOLE)]
+        rows.append((i, " ".join(f"z{i}_{j}" if j % 25 == i else x for j, x in enumerate(w))))
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(documents(spark, rows), 2).collect()}
+    assert got == {d: v[1] for d, v in brute(rows, 2).items()}
