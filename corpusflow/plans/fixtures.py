@@ -248,3 +248,31 @@ def write_log_chunks(run_log_df: DataFrame, root: str, chunk_days: int = 7) -> N
     lines = run_log_df.withColumn("chunk", F.when(F.col("line_no") < 0, F.lit("00000000")).otherwise(week))
     (lines.repartition("job", "chunk").sortWithinPartitions("chunk", "job", "line_no").select("chunk", "job", "value")
      .write.partitionBy("chunk", "job").text(root))
+
+
+def grow_logs(run_log_df: DataFrame, root: str, share: float = 1.0) -> None:
+    """F3 as one log file ``<job>/train.log`` each, of which the first ``share``
+    of a job's lines is there, and half of the line after them.
+
+    One file has one writer: a job's lines pass through one task, a line at a
+    time. What was there before stays as it is, so a reader sees the files grow.
+    """
+    from pyspark.sql import Window
+
+    lines = run_log_df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("job")))
+    lines = lines.repartition("job").sortWithinPartitions("job", "line_no").select("job", "value", "_n")
+
+    def write(rows):
+        from itertools import groupby
+
+        from corpusflow.sources.follow import _filesystem
+        system, path = _filesystem(root)
+        for job, own in groupby(rows, lambda r: r.job):
+            system.create_dir(f"{path}/{job}", recursive=True)
+            with system.open_output_stream(f"{path}/{job}/train.log") as f:
+                for i, r in enumerate(own):
+                    text, whole = r.value.encode(), int(r["_n"] * share)
+                    if i <= whole:
+                        f.write(text + b"\n" if i < whole else text[:len(text) // 2])
+
+    lines.foreachPartition(write)

@@ -558,6 +558,7 @@ ORACLE.update({
 
 ORACLE["monitor_stream"] = f"""SELECT job, a.line_no + 1 AS up, round(gap, 6) AS gap, round(adj_ts, 6) AS adj_ts, sen_diff
 FROM {ADJUSTED} a LEFT JOIN ({SEN_DIFF}) s USING (job, line_no)"""
+ORACLE["monitor_appended"] = ORACLE["monitor_stream"]
 
 # Encoding then decoding gives back the text with single spaces between words.
 ORACLE["pieces_to_text"] = f"""SELECT item_id,

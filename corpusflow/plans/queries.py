@@ -579,7 +579,19 @@ def q_monitor_stream(spark, sf_dir):
     return _r6(monitor.read_monitor(spark, f"{root}/out").select("job", "up", "gap", "adj_ts", "sen_diff"))
 
 
+def q_monitor_appended(spark, sf_dir):
+    """LOG10/LOG11: one file for each job, appended to between runs of the monitor, once in the middle of a line."""
+    from corpusflow.streaming import monitor
+    root = FX.scratch_dir(spark, "growing")
+    lines = _runlog(spark, sf_dir)
+    for share in (0.41, 1.0):
+        FX.grow_logs(lines, f"{root}/in", share)
+        monitor.monitor(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", follow=True).awaitTermination()
+    return _r6(monitor.read_monitor(spark, f"{root}/out").select("job", "up", "gap", "adj_ts", "sen_diff"))
+
+
 QUERIES["monitor_stream"] = q_monitor_stream
+QUERIES["monitor_appended"] = q_monitor_appended
 
 
 # --- subword vocabulary ---------------------------------------------------------------------

@@ -9,8 +9,9 @@ job is gathered into one task and the stream yields exactly the batch result,
 wherever batches end. Lines are ordered by file name and line number, as in a
 batch.
 
-The file source reads each file once: logs must arrive as rolled chunks (new
-files of a job sort after its earlier ones), not as appends to one file. A
+Logs may arrive as rolled chunks (new files of a job sort after its earlier
+ones; the file source reads each file once) or as appends to one file
+(``follow``: :mod:`corpusflow.sources.follow` reads on where a batch ended). A
 batch that is retried writes its rows and its carry to the same folders anew.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusflow.operators import logs as L
+from corpusflow.sources.follow import FollowedLogs
 from corpusflow.sources.sinks import write_scalars
 
 OUTPUT_SCHEMA = "job string, up long, ts timestamp, gap double, adj_ts double, sen_diff long"
@@ -36,9 +38,19 @@ def log_stream(spark: SparkSession, root: str, name: str = "*.log", max_files: i
                       F.col("_metadata.file_block_start").alias("block"), "value")
 
 
+def followed_stream(spark: SparkSession, root: str, name: str = "*.log", split_bytes: int = 16 << 20) -> DataFrame:
+    """LOG10/LOG11: as :func:`log_stream`, reading on in files that were appended to."""
+    spark.dataSource.register(FollowedLogs)
+    raw = (spark.readStream.format("followed_logs").option("path", root).option("name", name)
+           .option("splitBytes", split_bytes).load())
+    return raw.select(F.regexp_extract("file", r"([^/=]+)/[^/]+$", 1).alias("job"), "file",
+                      F.floor(F.col("start") / split_bytes).alias("block"), F.col("start").alias("at"), "value")
+
+
 def numbered(batch: DataFrame) -> DataFrame:
     """``job, line_no, value``: lines counted through the job's files of a batch."""
-    batch = batch.withColumn("at", F.monotonically_increasing_id())  # scan order
+    if "at" not in batch.columns:
+        batch = batch.withColumn("at", F.monotonically_increasing_id())  # scan order
     local = batch.withColumn("_pos", F.row_number().over(Window.partitionBy("job", "file", "block").orderBy("at")))
     sizes = batch.groupBy("job", "file", "block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("job").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
@@ -47,12 +59,14 @@ def numbered(batch: DataFrame) -> DataFrame:
 
 
 def monitor(spark: SparkSession, root: str, out_path: str, checkpoint: str, name: str = "*.log",
-            available_now: bool = True, max_files: int = 4, scalars_path: str | None = None, expire_hours: float | None = None):
+            available_now: bool = True, max_files: int = 4, scalars_path: str | None = None, expire_hours: float | None = None,
+            follow: bool = False):
     """LOG10-LOG12: start the monitor; returns the StreamingQuery.
 
     Rows go to ``out_path/batch=<n>``, scalar series (SNK6) to
     ``scalars_path/batch=<n>`` if given. Jobs without a line for
     ``expire_hours`` of log time are dropped from the carry.
+    With ``follow`` files may grow, and a batch takes all that is new.
     ``available_now=True`` drains what is there and stops (tests, backfills);
     otherwise a 5-second processing-time trigger polls like the reference.
     """
@@ -71,7 +85,8 @@ def monitor(spark: SparkSession, root: str, out_path: str, checkpoint: str, name
             state = state.join(F.broadcast(newest), F.col("at") >= F.col("newest") - F.expr(f"INTERVAL {int(expire_hours * 3600)} SECONDS"), "left_semi")
         state.write.mode("overwrite").parquet(f"{checkpoint}/carry/batch={n}")
 
-    writer = (log_stream(spark, root, name, max_files).writeStream.foreachBatch(step)
+    lines = followed_stream(spark, root, name) if follow else log_stream(spark, root, name, max_files)
+    writer = (lines.writeStream.foreachBatch(step)
               .option("checkpointLocation", f"{checkpoint}/stream"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     return writer.start()
