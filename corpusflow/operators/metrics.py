@@ -7,8 +7,9 @@ sums them per key, and a closed form ends it. Segment text is never shuffled,
 no n-gram becomes a row, and all splits and metrics come from one scan.
 
 BLEU and chrF follow sacreBLEU 2.0.0 defaults (13a tokens, exp smoothing;
-char order 6, beta 2, whitespace removed). WER/MER/WIL and the edit rate are
-word-level Levenshtein statistics summed over segments. Where a sum is divided
+char order 6, beta 2, whitespace removed). WER/MER/WIL are word-level
+Levenshtein statistics summed over segments; the edit rate (TER) also lets a
+block of words move for one edit. Where a sum is divided
 by no reference (or hypothesis) words the score is null.
 """
 
@@ -92,6 +93,114 @@ def word_distance(ref: list, hyp: list) -> int:
     return score
 
 
+# FIXED VALUES: the shift search of TER. Words of a block, places that it may
+# move, and moved texts that are tried for a segment, all at most.
+SHIFT_WORDS, SHIFT_PLACES, SHIFT_TRIALS = 10, 50, 1000
+#: cells of the largest alignment table that is searched for shifts
+SHIFT_CELLS = 1 << 26
+_PAIR, _HYP, _REF = 0, 1, 2
+
+
+def _alignment(ref: np.ndarray, hyp: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """A cheapest alignment that prefers pairs, then words of the hypothesis
+    alone: for each reference word the last hypothesis word at or before it
+    (-1 for none), and running counts of the wrong words of both sides."""
+    n, m = len(ref), len(hyp)
+    ramp = np.arange(n + 1)
+    prev, steps = ramp.copy(), np.empty((m, n), np.uint8)
+    for i in range(m):
+        pair, alone = prev[:-1] + (ref != hyp[i]), prev[1:] + 1
+        row = np.empty(n + 1, np.int64)
+        row[0], row[1:] = i + 1, np.minimum(pair, alone)
+        row = np.minimum.accumulate(row - ramp) + ramp
+        steps[i] = np.where(row[1:] == pair, _PAIR, np.where(row[1:] == alone, _HYP, _REF))
+        prev = row
+    at, wrong_ref, wrong_hyp = [-1] * n, np.zeros(n + 1, np.int64), np.zeros(m + 1, np.int64)
+    i, j = m, n
+    while i or j:
+        step = _HYP if not j else _REF if not i else steps[i - 1, j - 1]
+        if step == _PAIR:
+            wrong = ref[j - 1] != hyp[i - 1]
+            wrong_ref[j], wrong_hyp[i] = wrong, wrong
+            at[j - 1] = i - 1
+            i, j = i - 1, j - 1
+        elif step == _HYP:
+            wrong_hyp[i] = 1
+            i -= 1
+        else:
+            wrong_ref[j] = 1
+            at[j - 1] = i - 1
+            j -= 1
+    return at, np.cumsum(wrong_ref), np.cumsum(wrong_hyp)
+
+
+def _moved(words: list, start: int, length: int, to: int) -> list:
+    """``words`` with a block put before place ``to`` (places inside the block
+    count from its end)."""
+    block, rest = words[start:start + length], words[:start] + words[start + length:]
+    at = to if to <= start else to - length if to > start + length else to
+    return rest[:at] + block + rest[at:]
+
+
+def _blocks(ref: list, hyp: list):
+    """Equal runs as (place in hyp, place in ref, words), places near each other."""
+    places: dict = {}
+    for j, w in enumerate(ref):
+        places.setdefault(w, []).append(j)
+    for i, w in enumerate(hyp):
+        for j in places.get(w, ()):
+            if abs(i - j) > SHIFT_PLACES:
+                continue
+            for length in range(1, SHIFT_WORDS + 1):
+                yield i, j, length
+                if i + length >= len(hyp) or j + length >= len(ref) or hyp[i + length] != ref[j + length]:
+                    break
+
+
+def shifted_edits(ref: list, hyp: list) -> int:
+    """Edits of TER: moves of blocks, found greedily, and the word distance left.
+
+    Each round tries to move every block of the hypothesis that also stands in
+    the reference, where words of both are wrong, next to the places that the
+    alignment gives; the move that lowers the distance most is made (ties: the
+    longest block, the first one, the first place). Distances are exact, without
+    a beam. Segments of over 2^26 cells are rated without moves.
+    """
+    ids: dict = {}
+    ref, hyp = ([ids.setdefault(w, len(ids)) for w in side] for side in (ref, hyp))
+    if not ref:
+        return len(hyp)
+    moves, trials = 0, 0
+    while True:
+        left = word_distance(ref, hyp)
+        # a move keeps the length, so the difference of lengths stays
+        if left <= abs(len(ref) - len(hyp)) or len(ref) * len(hyp) > SHIFT_CELLS:
+            return moves + left
+        at, wrong_ref, wrong_hyp = _alignment(np.array(ref), np.array(hyp))
+        best, most = None, left - abs(len(ref) - len(hyp))
+        for i, j, length in _blocks(ref, hyp):
+            if (wrong_hyp[i + length] == wrong_hyp[i] or wrong_ref[j + length] == wrong_ref[j]
+                    or i <= at[j] < i + length):
+                continue
+            last = None
+            for k in range(j - 1, j + length):
+                to = at[k] + 1 if k >= 0 else 0
+                if to != last:
+                    last = to
+                    trials += 1
+                    # moving a block can gain no more than taking it out and putting it in again
+                    if best is not None and (min(2 * length, most), length, -i, -to) <= best[:4]:
+                        continue
+                    words = _moved(hyp, i, length, to)
+                    tried = (left - word_distance(ref, words), length, -i, -to, words)
+                    best = tried if best is None or tried > best else best
+            if trials >= SHIFT_TRIALS:
+                break
+        if trials >= SHIFT_TRIALS or best is None or best[0] <= 0:
+            return moves + left
+        hyp, moves = best[-1], moves + 1
+
+
 # statistics of a segment, by the metric that needs them
 _GRAMS = {"bleu": BLEU_ORDER, "chrf": CHRF_ORDER}
 _FIELDS = {
@@ -119,7 +228,7 @@ def _statistics(kinds):
                 elif k == "edits":
                     row += [word_distance(list(r), list(h)), len(r), len(h)]
                 elif k == "edits_lower":
-                    row += [word_distance([w.lower() for w in r], [w.lower() for w in h]), len(r)]
+                    row += [shifted_edits([w.lower() for w in r], [w.lower() for w in h]), len(r)]
                 else:
                     row.append(alignment_hits(list(r), list(h)))
             rows.append(row)
@@ -205,11 +314,11 @@ def wer(df: DataFrame, keys=()) -> DataFrame:
 
 
 def edit_rate(df: DataFrame, keys=()) -> DataFrame:
-    """MET3: TER without shift moves (case-insensitive, x100), per key."""
+    """MET3: TER, moves of blocks included (case-insensitive, x100), per key."""
     return segment_sums(df, list(keys), ["edits_lower"]).select(*keys, _edit_rate_score().alias("edit_rate"))
 
 
-_KEY = 1 << 20  # (cost, hits) packed as cost * _KEY - hits: one integer, min = best
+_KEY = 1 << 31  # (cost, hits) packed as cost * _KEY - hits: one integer, min = best; hits are fewer than words
 
 
 def alignment_hits(ref_words, hyp_words) -> int:

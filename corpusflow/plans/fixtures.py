@@ -102,6 +102,25 @@ def triples(documents: DataFrame) -> DataFrame:
                                         F.array_join(kept, " ").alias("hyp"))
 
 
+def edited(documents: DataFrame) -> DataFrame:
+    """F5b: ``doc_id, line_no, kind, ref, hyp`` with a known edit in each hypothesis.
+
+    ``ref`` are the distinct a-z words of an F1 line that has one; by ``kind``
+    the last word (0) or, of 7 words or more, the last three (4) move to the
+    front, the first word is replaced (1), the last one is missing (2), or one
+    is added (3). Lines of over 50 words move nothing.
+    """
+    w, n = F.col("w"), F.size("w")
+    front = lambda k: F.concat(F.slice(w, n - k + 1, F.lit(k)), F.slice(w, F.lit(1), n - k))
+    kind = (F.col("doc_id") + F.col("line_no")) % 5
+    hyp = (F.when((kind == 0) & (n <= 50), front(1)).when((kind == 4) & (n >= 7) & (n <= 50), front(3))
+           .when(kind == 1, F.concat(F.array(F.lit("0")), F.slice(w, F.lit(2), n))).when(kind == 2, F.slice(w, F.lit(1), n - 1))
+           .when(kind == 3, F.concat(w, F.array(F.lit("1")))).otherwise(w))
+    words = F.array_distinct(F.regexp_extract_all("target", F.lit("[a-z]+"), 0))
+    return (line_pairs(documents).select("doc_id", "line_no", words.alias("w")).where(F.size("w") > 0)
+            .select("doc_id", "line_no", kind.cast("int").alias("kind"), F.array_join(w, " ").alias("ref"), F.array_join(hyp, " ").alias("hyp")))
+
+
 # --- F3: training-log lines from events ---------------------------------------
 # FIXED VALUES: jobs that receive the validation (``error``) lines
 VALID_JOBS = ("click", "purchase", "signup", "view")

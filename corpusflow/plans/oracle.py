@@ -282,7 +282,20 @@ SCORE_TABLE = " UNION ALL ".join([
     f"SELECT 'TER', edit_rate FROM ({EDIT_RATE}) x", f"SELECT 'WER', wer FROM ({WER}) x",
     f"SELECT 'MER', mer FROM ({MER_WIL}) x", f"SELECT 'WIL', wil FROM ({MER_WIL}) x"])
 
+# Edits, distance, hits and words of either side follow from the kind of edit:
+# words are distinct, so nothing cheaper turns one side into the other.
+WORD_EDITS = f"""WITH f AS (SELECT CAST((doc_id + line_no) % 5 AS INTEGER) AS kind, len(list_distinct(regexp_extract_all(target, '[a-z]+'))) AS n FROM ({S.F1}) f1),
+e AS (SELECT kind, n, CASE WHEN kind = 0 AND n BETWEEN 2 AND 50 THEN 1 WHEN kind = 4 AND n BETWEEN 7 AND 50 THEN 3 ELSE 0 END AS k FROM f WHERE n > 0),
+d AS (SELECT kind, n AS n, CASE kind WHEN 2 THEN n - 1 WHEN 3 THEN n + 1 ELSE n END AS m,
+             CASE WHEN k > 0 THEN 1 WHEN kind IN (1, 2, 3) THEN 1 ELSE 0 END AS moved,
+             CASE WHEN k > 0 THEN 2 * k WHEN kind IN (1, 2, 3) THEN 1 ELSE 0 END AS dist,
+             CASE WHEN k > 0 THEN n - k WHEN kind IN (1, 2) THEN n - 1 ELSE n END AS hits FROM e),
+t AS (SELECT kind, sum(n)::DOUBLE AS n, sum(m)::DOUBLE AS m, sum(moved) AS moved, sum(dist) AS dist, sum(hits)::DOUBLE AS hits FROM d GROUP BY kind)
+SELECT kind, 'TER' AS metric, round(100 * moved / n, 6) AS score FROM t UNION ALL SELECT kind, 'WER', round(dist / n, 6) FROM t
+UNION ALL SELECT kind, 'MER', round(dist / (hits + dist), 6) FROM t UNION ALL SELECT kind, 'WIL', round(1 - (hits / n) * (hits / m), 6) FROM t"""
+
 ORACLE.update({
+    "word_edits": WORD_EDITS,
     "bleu": _bleu_sql(),
     "chrf": _chrf_sql(),
     "wer": WER,

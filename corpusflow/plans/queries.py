@@ -205,7 +205,14 @@ def q_score_table(spark, sf_dir):
     return _r6(metrics.score(_triples(spark, sf_dir)))
 
 
+def q_word_edits(spark, sf_dir):
+    """MET3-MET5 on every kind of edit: words and blocks that moved, replaced, missing and added words."""
+    t = metrics.score(FX.edited(_docs(spark, sf_dir)), ["kind"]).where(F.col("metric").isin("TER", "WER", "MER", "WIL"))
+    return _r6(t)
+
+
 QUERIES.update({
+    "word_edits": q_word_edits,
     "bleu": q_bleu,
     "chrf": q_chrf,
     "wer": q_wer,

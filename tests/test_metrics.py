@@ -89,3 +89,85 @@ def test_word_distance_against_the_plain_recurrence():
             for j, y in enumerate(b, 1):
                 prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
         assert M.word_distance(a, b) == row[-1]
+
+
+def test_shifts_of_the_published_example():
+    # one block moves, two words are replaced, one is missing (Snover et al. 2006)
+    ref = "SAUDI ARABIA denied THIS WEEK information published in the AMERICAN new york times".lower().split()
+    hyp = "THIS WEEK THE SAUDIS denied information published in the new york times".lower().split()
+    assert M.shifted_edits(ref, hyp) == 4 and len(ref) == 13
+
+
+def _listed_rates(ref, hyp):
+    """Fewest edits over all orders of block moves (each one edit), by breadth-first search."""
+    best, seen, layer, moves = M.word_distance(ref, hyp), {tuple(hyp)}, [tuple(hyp)], 0
+    while moves + 1 < best:
+        moves += 1
+        new = set()
+        for w in layer:
+            for i in range(len(w)):
+                for k in range(1, len(w) - i + 1):
+                    rest = w[:i] + w[i + k:]
+                    new |= {rest[:t] + w[i:i + k] + rest[t:] for t in range(len(rest) + 1)}
+        layer = list(new - seen)
+        seen |= new
+        best = min([best, *(moves + M.word_distance(ref, list(w)) for w in layer)])
+    return best
+
+
+def test_shifts_against_all_moves():
+    import random
+    rng = random.Random(11)
+    same = 0
+    for _ in range(150):
+        ref = [rng.choice("abcdefgh") for _ in range(rng.randint(0, 6))]
+        hyp = list(ref)
+        for _ in range(rng.randint(0, 2)):
+            k = rng.randint(0, len(hyp))
+            hyp = hyp[k:] + hyp[:k]
+            if hyp and rng.random() < 0.5:
+                hyp[rng.randrange(len(hyp))] = rng.choice("abxyz")
+        got, least, plain = M.shifted_edits(ref, hyp), _listed_rates(ref, hyp), M.word_distance(ref, hyp)
+        assert least <= got <= plain
+        same += got == least
+    assert same > 130  # the search is greedy
+
+
+def test_alignment_costs_the_distance():
+    import random
+
+    import numpy as np
+    rng = random.Random(4)
+    for _ in range(200):
+        ref, hyp = ([rng.randint(0, 4) for _ in range(rng.randint(0, 12))] for _ in "ab")
+        at, wrong_ref, wrong_hyp = M._alignment(np.array(ref, int), np.array(hyp, int))
+        assert len(at) == len(ref) and at == sorted(at)
+        assert max(wrong_ref[-1], wrong_hyp[-1]) <= M.word_distance(ref, hyp) <= wrong_ref[-1] + wrong_hyp[-1]
+        for j, i in enumerate(at):
+            if wrong_ref[j + 1] == wrong_ref[j]:
+                assert ref[j] == hyp[i]
+
+
+def test_move_lands_where_it_should():
+    w = list("abcdef")
+    assert "".join(M._moved(w, 1, 2, 0)) == "bcadef" and "".join(M._moved(w, 1, 2, 5)) == "adebcf"
+    assert "".join(M._moved(w, 1, 2, 2)) == "adbcef" and "".join(M._moved(w, 0, 6, 3)) == "abcdef"
+
+
+def test_hits_beyond_a_million_words():
+    n = (1 << 20) + 3
+    # (cost, hits) must not run into one another
+    assert M._KEY > n and (2 * M._KEY - n) // M._KEY == 1
+    w = [str(i) for i in range(700)]
+    assert M.alignment_hits(w, w[1:]) == 699
+
+
+def test_long_segments_with_moves_end():
+    import random
+    import time
+    rng = random.Random(1)
+    ref = [f"w{rng.randint(0, 400)}" for _ in range(1500)]
+    hyp = ref[700:] + ref[:700]
+    t = time.time()
+    assert M.shifted_edits(ref, hyp) <= M.word_distance(ref, hyp)
+    assert time.time() - t < 60
