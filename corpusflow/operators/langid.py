@@ -1,18 +1,27 @@
 """Language identification as a train-and-score Spark job (LID1, LID2, FLT5).
 
 The reference calls a per-sentence detector library. Here a character
-trigram profile is trained from labelled text with one aggregate, and texts
-are scored by joining their trigrams to the profile, which keeps every trigram
-seen; AQE decides by its measured size whether it is broadcast.
+trigram profile, which keeps every trigram seen, is trained from labelled text
+with one aggregate. Its rows are counted; while they are few enough the profile
+is packed into arrays (sorted trigrams, one row of gains for each language) and
+broadcast, and a text is scored where it is, by one lookup and one sum for each
+language: no trigram becomes a row and nothing is shuffled. A larger profile
+meets the texts' trigrams by a join.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 3
 DEFAULT_MARGIN = 0.05  # minimum score gap per trigram between best and runner-up
+#: rows of a profile, and cells of its arrays (8 bytes each), that are broadcast at most
+PACKED_ROWS, PACKED_CELLS = 1 << 21, 1 << 23
+#: characters of text scored at a time
+CHARACTERS = 1 << 20
 
 
 def padded(c) -> F.Column:
@@ -47,16 +56,84 @@ def train_lang_profile(df: DataFrame, lang: str = "lang", text: str = "text") ->
         F.log(F.lit(1.0) / F.col("denom")).alias("unseen_logp"))
 
 
-def detect_lang(df: DataFrame, profile: DataFrame, text: str = "text",
-                margin: float = DEFAULT_MARGIN) -> DataFrame:
-    """LID2: add ``detected`` (null when not reliable) and ``lid_score`` to ``df``.
-
-    Distinct texts are scored once and joined back. Score of language L =
-    sum over the text's trigrams of log p(g|L), with unseen grams at L's
-    unseen probability; only languages sharing at least one trigram with the
-    text are candidates. A text is reliable when the best score beats the
-    runner-up by ``margin`` per trigram.
+def gram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams of padded texts as numbers, and the place of each one's text."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    if len(points) < GRAM:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    of = np.repeat(np.arange(len(texts)), size)
+    inside = of[GRAM - 1:] == of[:1 - GRAM]
+    codes = points[:-2] << 42 | points[1:-1] << 21 | points[2:]
+    return codes[inside], of[:1 - GRAM][inside]
+
+
+class PackedProfile:
+    """A profile as arrays: sorted trigrams and, by language, what each of them gains."""
+
+    def __init__(self, rows):
+        langs = sorted(set(rows["lang"]))
+        at = {x: i for i, x in enumerate(langs)}
+        own = np.array([at[x] for x in rows["lang"]], np.int64)
+        grams = list(rows["gram"])
+        codes = gram_codes(grams)[0] if grams else np.empty(0, np.int64)
+        self.langs, self.unseen = langs, np.zeros(len(langs))
+        self.unseen[own] = rows["unseen_logp"]
+        self.codes, place = np.unique(codes, return_inverse=True)
+        self.gains = np.zeros((len(langs), len(self.codes) + 1))  # the last column is for unseen trigrams
+        self.gains[own, place] = rows["logp"] - rows["unseen_logp"]
+
+    def detect(self, texts: list[str], margin: float) -> list[str | None]:
+        """Language of each padded text, None where it is not reliable."""
+        codes, of = gram_codes(texts)
+        at = np.searchsorted(self.codes, codes)
+        known = np.append(self.codes, -1)[at] == codes
+        at[~known] = len(self.codes)
+        n = np.bincount(of, minlength=len(texts))
+        score = np.full((len(self.langs) + 2, len(texts)), -np.inf)
+        for i, gains in enumerate(self.gains):
+            gain = np.bincount(of, gains[at], len(texts))
+            # every trigram seen in a language gains something
+            score[i] = np.where(gain > 0, gain + self.unseen[i] * n, -np.inf)
+        best = score.argmax(axis=0)
+        first, second = np.sort(score, axis=0)[:-3:-1]
+        with np.errstate(invalid="ignore", divide="ignore"):
+            good = (first > -np.inf) & ((second == -np.inf) | ((first - second) / n >= margin))
+        return [self.langs[i] if ok else None for i, ok in zip(best.tolist(), good.tolist())]
+
+
+def detect_lang(df: DataFrame, profile: DataFrame, text: str = "text", margin: float = DEFAULT_MARGIN,
+                packed_rows: int = PACKED_ROWS) -> DataFrame:
+    """LID2: add ``detected`` (null when not reliable) to ``df``.
+
+    Score of language L = sum over the text's trigrams of log p(g|L), with
+    unseen grams at L's unseen probability; only languages sharing at least one
+    trigram with the text are candidates. A text is reliable when the best score
+    beats the runner-up by ``margin`` per trigram. Null and empty texts have no
+    language.
     """
+    sizes = profile.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("lang").alias("langs"), F.count_distinct("gram").alias("grams")).first()
+    if sizes.n > packed_rows or sizes.langs * sizes.grams > PACKED_CELLS:
+        return detect_by_join(df, profile, text, margin)
+    packed = df.sparkSession.sparkContext.broadcast(PackedProfile(profile.select("lang", "gram", "logp", "unseen_logp").toPandas()))
+
+    @F.arrow_udf("string")
+    def language(texts: pa.Array) -> pa.Array:
+        out, waiting, size = [], [], 0
+        for t in texts.to_pylist():
+            waiting.append(t or "")
+            size += len(waiting[-1])
+            if size >= CHARACTERS:
+                out += packed.value.detect(waiting, margin)
+                waiting, size = [], 0
+        return pa.array(out + packed.value.detect(waiting, margin), pa.string())
+
+    return df.withColumn("detected", language(padded(F.col(text))))
+
+
+def detect_by_join(df: DataFrame, profile: DataFrame, text: str = "text", margin: float = DEFAULT_MARGIN) -> DataFrame:
+    """:func:`detect_lang` for a profile of any size: distinct texts are scored
+    once, by a join of their trigrams with the profile, and joined back."""
     prof = profile.select("lang", "gram", (F.col("logp") - F.col("unseen_logp")).alias("gain"), "unseen_logp")
     # Texts are keyed by a 96-bit hash pair so long strings never travel
     # through the shuffles; the partial aggregate runs before the first one.
