@@ -112,10 +112,11 @@ def detect_lang(df: DataFrame, profile: DataFrame, text: str = "text", margin: f
     beats the runner-up by ``margin`` per trigram. Null and empty texts have no
     language.
     """
-    sizes = profile.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("lang").alias("langs"), F.count_distinct("gram").alias("grams")).first()
-    if sizes.n > packed_rows or sizes.langs * sizes.grams > PACKED_CELLS:
+    # one row more than may be packed tells whether it is too large
+    rows = profile.select("lang", "gram", "logp", "unseen_logp").limit(packed_rows + 1).toPandas()
+    if len(rows) > packed_rows or rows["lang"].nunique() * rows["gram"].nunique() > PACKED_CELLS:
         return detect_by_join(df, profile, text, margin)
-    packed = df.sparkSession.sparkContext.broadcast(PackedProfile(profile.select("lang", "gram", "logp", "unseen_logp").toPandas()))
+    packed = df.sparkSession.sparkContext.broadcast(PackedProfile(rows))
 
     @F.arrow_udf("string")
     def language(texts: pa.Array) -> pa.Array:
