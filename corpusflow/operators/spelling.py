@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import alpha_tokens
+from corpusflow.operators.affixes import AffixDictionary
 from corpusflow.operators.stats import long_sides
 
 DEFAULT_MIN_DOCS = 3
@@ -49,16 +50,19 @@ def tokens(pairs: DataFrame, keys=("id",), with_side: bool = False) -> DataFrame
     return sides.select(*keys, *extra, "lang", F.explode(alpha_tokens(F.col("text"), F.col("lang"))).alias("word"))
 
 
-def unknown_words(toks: DataFrame, lexicon: DataFrame) -> DataFrame:
+def unknown_words(toks: DataFrame, lexicon: DataFrame | AffixDictionary) -> DataFrame:
     """``lang, word, n`` of the distinct words of ``toks`` without a lexicon entry.
 
     Repeats collapse map-side first, so a frequent word meets the lexicon once.
+    ``lexicon`` is a table ``lang, word`` or an affix dictionary.
     """
+    if isinstance(lexicon, AffixDictionary):
+        return lexicon.unknown(toks)
     words = toks.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).withColumn("_form", lookup_form(F.col("word")))
     return words.join(lexicon.select("lang", F.col("word").alias("_form")), ["lang", "_form"], "left_anti").drop("_form")
 
 
-def misspelt_words(pairs: DataFrame, lexicon: DataFrame, keys=("id",), short_circuit: bool = False) -> DataFrame:
+def misspelt_words(pairs: DataFrame, lexicon: DataFrame | AffixDictionary, keys=("id",), short_circuit: bool = False) -> DataFrame:
     """SPL2: every token with no lexicon entry, ``(*keys, lang, word)``.
 
     The distinct words are checked; tokens are then held to the unknown ones by

@@ -121,6 +121,42 @@ def edited(documents: DataFrame) -> DataFrame:
             .select("doc_id", "line_no", kind.cast("int").alias("kind"), F.array_join(w, " ").alias("ref"), F.array_join(hyp, " ").alias("hyp")))
 
 
+# FIXED VALUES: rules of the affix dictionary F9
+AFFIX_RULES = """SET UTF-8
+PFX R Y 1
+PFX R 0 re .
+SFX S Y 2
+SFX S 0 s [^sy]
+SFX S y ies y
+SFX G N 2
+SFX G e ing e
+SFX G 0 ing [^e]
+COMPOUNDFLAG C
+COMPOUNDMIN 3
+FORBIDDENWORD !
+"""
+
+
+def dictionary_lines(lexicon: DataFrame) -> DataFrame:
+    """``lang, value`` lines of a ``.dic`` file: the lexicon's words, flags by
+    length and first letter (R: even length, S: first letter of even code, G:
+    length a multiple of 3, C: of 4, !: of 11)."""
+    n = F.length("word")
+    flags = F.concat_ws("", F.when(n % 2 == 0, "R"), F.when(F.ascii("word") % 2 == 0, "S"), F.when(n % 3 == 0, "G"),
+                        F.when(n % 4 == 0, "C"), F.when(n % 11 == 0, "!"))
+    return lexicon.select("lang", F.when(flags == "", F.col("word")).otherwise(F.concat_ws("/", "word", flags)).alias("value"))
+
+
+def word_forms(lexicon: DataFrame) -> DataFrame:
+    """``lang, word`` forms made of the lexicon's words, right and wrong ones."""
+    w = F.col("word")
+    cut = F.substring(w, F.lit(1), F.length(w) - 1)
+    forms = F.array(w, F.concat(w, F.lit("s")), F.concat(w, F.lit("ing")), F.concat(cut, F.lit("ies")), F.concat(cut, F.lit("ing")),
+                    F.concat(F.lit("re"), w), F.concat(F.lit("re"), w, F.lit("s")), F.concat(F.lit("re"), w, F.lit("ing")),
+                    F.concat(w, w), F.concat(w, w, w), F.concat(w, F.lit("q"), w))
+    return lexicon.select("lang", F.explode(forms).alias("word")).distinct()
+
+
 # --- F3: training-log lines from events ---------------------------------------
 # FIXED VALUES: jobs that receive the validation (``error``) lines
 VALID_JOBS = ("click", "purchase", "signup", "view")

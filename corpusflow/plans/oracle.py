@@ -605,3 +605,23 @@ GROUP BY piece"""
 ORACLE["unigram_text"] = f"""SELECT item_id,
   array_to_string(list_filter(regexp_split_to_array(trim({S.normalize('text')}), '\\s+'), lambda w: w <> ''), ' ') AS text
 FROM benchmark"""
+
+# Forms that the rules make of each stem, listed; compounds of a word with itself,
+# or of any two or three stems, by their parts.
+ORACLE["affix_words"] = f"""WITH RECURSIVE lex AS (SELECT * FROM ({LEXICON}) x WHERE regexp_full_match(word, '[a-z]{{3,}}')),
+st AS (SELECT lang, word, substring(word, 1, length(word) - 1) AS cut, length(word) % 2 = 0 AS r, ascii(word) % 2 = 0 AS s,
+              length(word) % 3 = 0 AS g, length(word) % 4 = 0 AS c, length(word) % 11 = 0 AS bad FROM lex),
+ok AS (SELECT * FROM st WHERE NOT bad),
+ends AS (SELECT lang, word AS w, r FROM ok
+  UNION ALL SELECT lang, word || 's', r FROM ok WHERE s AND right(word, 1) NOT IN ('s', 'y')
+  UNION ALL SELECT lang, cut || 'ies', r FROM ok WHERE s AND right(word, 1) = 'y'),
+good AS (SELECT lang, w FROM ends UNION ALL SELECT lang, 're' || w FROM ends WHERE r
+  UNION ALL SELECT lang, word || 'ing' FROM ok WHERE g AND right(word, 1) <> 'e'
+  UNION ALL SELECT lang, cut || 'ing' FROM ok WHERE g AND right(word, 1) = 'e'),
+forms AS (SELECT DISTINCT lang, unnest([word, word || 's', word || 'ing', cut || 'ies', cut || 'ing', 're' || word, 're' || word || 's',
+                                        're' || word || 'ing', word || word, word || word || word, word || 'q' || word]) AS word FROM st),
+rest AS (SELECT * FROM forms ANTI JOIN (SELECT DISTINCT lang, w AS word FROM good) k USING (lang, word)),
+walk(lang, word, pos) AS (SELECT lang, word, 0::BIGINT FROM rest
+  UNION SELECT k.lang, k.word, k.pos + length(p.word) FROM walk k JOIN st p
+    ON p.lang = k.lang AND p.c AND substring(k.word, k.pos + 1, length(p.word)) = p.word AND length(p.word) < length(k.word))
+SELECT lang, word FROM rest ANTI JOIN (SELECT lang, word FROM walk WHERE pos = length(word)) z USING (lang, word)"""

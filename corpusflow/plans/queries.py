@@ -7,6 +7,7 @@ full; column names match :mod:`corpusflow.plans.oracle`.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,7 +80,7 @@ QUERIES = {
 
 
 # --- language identification and spelling ------------------------------------
-from corpusflow.operators import langid, spelling  # noqa: E402
+from corpusflow.operators import affixes, langid, spelling  # noqa: E402
 
 
 def _profile(spark, sf_dir):
@@ -123,12 +124,24 @@ def q_spelling_gate(spark, sf_dir):
     return filters.clean_pairs(FX.units(_docs(spark, sf_dir)), PAIRS, lexicon=_lexicon(spark, sf_dir)).select("doc_id", "line_no", "id", "classifier", "source", "target", "langs")
 
 
+def q_affix_words(spark, sf_dir):
+    """SPL2 with an affix dictionary: the forms that no stem, rule or compound accounts for."""
+    # plain letters, so that both engines take the same characters
+    lexicon = _lexicon(spark, sf_dir).where(F.col("word").rlike("^[a-z]{3,}$"))
+    rules = affixes.parse_rules(FX.AFFIX_RULES.splitlines())
+    langs = [r.lang for r in lexicon.select("lang").distinct().collect()]
+    lines = FX.dictionary_lines(lexicon)
+    stems = reduce(DataFrame.unionByName, [affixes.parse_stems(lines.where(F.col("lang") == x), x, rules) for x in langs])
+    return affixes.AffixDictionary(stems, {x: rules for x in langs}).unknown(FX.word_forms(lexicon)).select("lang", "word")
+
+
 def q_lang_gate(spark, sf_dir):
     kept = filters.clean_pairs(FX.units(_docs(spark, sf_dir)), PAIRS, profile=_profile(spark, sf_dir))
     return kept.select("doc_id", "line_no", "id", "classifier", "source", "target", "langs")
 
 
 QUERIES.update({
+    "affix_words": q_affix_words,
     "lang_gate": q_lang_gate,
     "lang_profile": q_lang_profile,
     "lang_detect": q_lang_detect,
