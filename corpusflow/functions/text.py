@@ -183,13 +183,9 @@ def alpha_tokens(c, lang=None) -> Column:
     return F.regexp_extract_all(_col(c), run, F.lit(0))
 
 
-SENT_MARK = "␞"
-
-
 def split_sentences(c) -> Column:
     """TXT9: array of sentences, cut after runs of ``.!?`` followed by space."""
-    marked = F.regexp_replace(_col(c), f"([.!?]+){R.WS}+", "$1" + SENT_MARK)
-    return F.filter(F.split(marked, SENT_MARK), lambda s: s != "")
+    return F.filter(F.split(_col(c), f"(?<=[.!?]){R.WS}+"), lambda s: s != "")
 
 
 def rstrip_period(c) -> Column:

@@ -24,11 +24,11 @@ def sentence_rows(df: DataFrame, key: list, text: str = "text") -> DataFrame:
 def reassemble(sentences: DataFrame, originals: DataFrame, key: list, text: str = "text",
                value: str = "sentence") -> DataFrame:
     """TXT11: join sentences back per key in ``pos`` order; the separator is a
-    newline if the original text had one, else two spaces."""
-    sep = (originals.select(*key, F.when(F.col(text).contains("\n"), F.lit("\n")).otherwise(F.lit("  ")).alias("_sep")))
+    newline if the original text had one, else two spaces. Every request is
+    answered: one without sentences by an empty text, one without text by null."""
+    asked = originals.select(*key, F.col(text).isNull().alias("_none"), F.col(text).contains("\n").alias("_lines"))
     g = sentences.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("pos", value))).alias("_parts"))
-    j = g.join(sep, key)
     # array_join needs a literal separator, so pick one of the two joins
     parts = F.transform("_parts", lambda p: p[value])
-    return j.select(*key, F.when(F.col("_sep") == "\n", F.array_join(parts, "\n"))
-                    .otherwise(F.array_join(parts, "  ")).alias("text"))
+    joined = F.when(F.col("_lines"), F.array_join(parts, "\n")).otherwise(F.array_join(parts, "  "))
+    return asked.join(g, key, "left").select(*key, F.when(~F.col("_none"), F.coalesce(joined, F.lit(""))).alias("text"))

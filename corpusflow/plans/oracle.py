@@ -503,22 +503,28 @@ ORACLE.update({
 
 
 # --- requests, subword text, review, leaks, vocabulary --------------------------------
-from corpusflow.functions import text as TX  # noqa: E402
+#: stands for a cut; no given text has it
+SENT_MARK = "␞"
 
 
-def _sentences_sql() -> str:
-    marked = f"regexp_replace({S.normalize('text')}, {q('([.!?]+)' + R.WS + '+')}, {q(chr(92) + '1' + TX.SENT_MARK)}, 'g')"
+def _sentences_sql(table: str = "conversations") -> str:
+    marked = f"regexp_replace({S.normalize('text')}, {q('([.!?]+)' + R.WS + '+')}, {q(chr(92) + '1' + SENT_MARK)}, 'g')"
     return f"""(SELECT conv_id, turn, CAST(i - 1 AS BIGINT) AS pos, regexp_replace({S.py_strip('parts[i]')}, '\\.+$', '') AS sentence
-FROM (SELECT conv_id, turn, list_filter(string_split({marked}, {q(TX.SENT_MARK)}), lambda s: s <> '') AS parts
-      FROM conversations) c, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i) r)"""
+FROM (SELECT conv_id, turn, list_filter(string_split({marked}, {q(SENT_MARK)}), lambda s: s <> '') AS parts
+      FROM {table}) c, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i) r)"""
 
 
 SENTENCE_SEGMENTS = f"SELECT * FROM {_sentences_sql()} s"
 
-REASSEMBLE = f"""SELECT s.conv_id, s.turn,
-  CASE WHEN contains(c.text, chr(10)) THEN string_agg(sentence, chr(10) ORDER BY pos)
-       ELSE string_agg(sentence, '  ' ORDER BY pos) END AS text
-FROM {_sentences_sql()} s JOIN conversations c USING (conv_id, turn) GROUP BY s.conv_id, s.turn, c.text"""
+def _reassemble_sql(table: str) -> str:
+    return f"""SELECT c.conv_id, c.turn, CASE WHEN c.text IS NULL THEN NULL
+       WHEN contains(c.text, chr(10)) THEN coalesce(string_agg(sentence, chr(10) ORDER BY pos), '')
+       ELSE coalesce(string_agg(sentence, '  ' ORDER BY pos), '') END AS text
+FROM {table} c LEFT JOIN {_sentences_sql(table)} s USING (conv_id, turn) GROUP BY c.conv_id, c.turn, c.text"""
+
+
+REASSEMBLE = _reassemble_sql("conversations")
+_BLANK = """(SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN ' ' || chr(10) || ' ' ELSE text END AS text FROM conversations)"""
 
 DISTINCT_REQUESTS = f"""SELECT doc_id, line_no, first(doc_id) OVER w AS first_doc, first(line_no) OVER w AS first_line
 FROM ({S.F1}) f WINDOW w AS (PARTITION BY source, source_lang ORDER BY doc_id, line_no)"""
@@ -559,6 +565,7 @@ SELECT text FROM lines"""
 ORACLE.update({
     "sentence_segments": SENTENCE_SEGMENTS,
     "reassemble_text": REASSEMBLE,
+    "reassemble_blank": _reassemble_sql(_BLANK),
     "distinct_requests": DISTINCT_REQUESTS,
     "bpe_unjoin": BPE_UNJOIN,
     "detok": DETOK,
@@ -625,3 +632,12 @@ walk(lang, word, pos) AS (SELECT lang, word, 0::BIGINT FROM rest
   UNION SELECT k.lang, k.word, k.pos + length(p.word) FROM walk k JOIN st p
     ON p.lang = k.lang AND p.c AND substring(k.word, k.pos + 1, length(p.word)) = p.word AND length(p.word) < length(k.word))
 SELECT lang, word FROM rest ANTI JOIN (SELECT lang, word FROM walk WHERE pos = length(word)) z USING (lang, word)"""
+
+# --- event time in the stream ---------------------------------------------------------------
+ORACLE["stream_dedup"] = f"""WITH f AS (SELECT job, CASE WHEN is_valid THEN 'valid' ELSE 'train' END AS kind, up, ts, max(ts) OVER () AS last FROM {F3} x)
+SELECT job, kind, up FROM f UNION ALL SELECT job, kind, up + 2000000000 FROM f WHERE ts > last - INTERVAL 30 MINUTE
+UNION ALL SELECT '-', 'late', count(*) FROM f WHERE ts < last - INTERVAL 2 HOUR AND up % 50 = 0"""
+ORACLE["stream_bursts"] = f"""WITH g AS (SELECT job, ts, max(ts) OVER () AS last, epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY job ORDER BY ts) AS gap FROM {F3} f),
+b AS (SELECT *, sum(CASE WHEN gap > 1200 THEN 1 ELSE 0 END) OVER (PARTITION BY job ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS burst FROM g)
+SELECT job, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n_lines FROM b GROUP BY job, burst
+HAVING epoch(max(ts)) + 1200 < epoch(any_value(last)) - 3600"""

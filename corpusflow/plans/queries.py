@@ -521,6 +521,13 @@ def q_reassemble_text(spark, sf_dir):
     return requests.reassemble(sents, conv, ["conv_id", "turn"])
 
 
+def q_reassemble_blank(spark, sf_dir):
+    """TXT11 where requests are empty, blank or null: every request is answered."""
+    turn = F.col("turn") % 5
+    conv = _conv(spark, sf_dir).withColumn("text", F.when(turn == 0, "").when(turn == 1, F.lit(None)).when(turn == 2, " \n ").otherwise(F.col("text")))
+    return requests.reassemble(requests.sentence_rows(conv, ["conv_id", "turn"]), conv, ["conv_id", "turn"])
+
+
 def q_distinct_requests(spark, sf_dir):
     asked = FX.line_pairs(_docs(spark, sf_dir)).select(
         "doc_id", "line_no", F.col("source").alias("text"), "source_lang", F.lit("cy").alias("target_lang"))
@@ -576,6 +583,7 @@ def q_vocab_input(spark, sf_dir):
 QUERIES.update({
     "sentence_segments": q_sentence_segments,
     "reassemble_text": q_reassemble_text,
+    "reassemble_blank": q_reassemble_blank,
     "distinct_requests": q_distinct_requests,
     "bpe_unjoin": q_bpe_unjoin,
     "detok": q_detok,
@@ -610,6 +618,43 @@ def q_monitor_appended(spark, sf_dir):
     return _r6(monitor.read_monitor(spark, f"{root}/out").select("job", "up", "gap", "adj_ts", "sen_diff"))
 
 
+def _event_stream(spark, sf_dir, tag, of):
+    """``of(stream)`` drained over all log lines, then over lines that come later:
+    repeats of the last half hour and new lines of it, and new lines of two hours
+    before the last one and earlier, which are too late."""
+    from corpusflow.streaming import monitor
+    root = FX.scratch_dir(spark, tag)
+    lines = logs.parse_lines(_runlog(spark, sf_dir)).where(F.col("kind").isin("train", "valid")).select("job", "kind", "ts", "up")
+    lines.write.parquet(f"{root}/in/part=1")
+    lines = spark.read.schema(lines.schema).parquet(f"{root}/in/part=1")
+    last = lines.agg(F.max("ts")).first()[0]
+    recent = lines.where(F.col("ts") > F.lit(last) - F.expr("INTERVAL 30 MINUTES"))
+    late = lines.where((F.col("ts") < F.lit(last) - F.expr("INTERVAL 2 HOURS")) & (F.col("up") % 50 == 0))
+    stream = of(spark.readStream.schema(lines.schema).parquet(f"{root}/in"))
+    monitor.drain(stream, f"{root}/out", f"{root}/ckpt")
+    more = late.withColumn("up", F.col("up") + 10**9)
+    if tag == "dedup":
+        more = more.union(recent).union(recent.withColumn("up", F.col("up") + 2 * 10**9))
+    more.write.parquet(f"{root}/in/part=2")
+    dropped = monitor.drain(stream, f"{root}/out", f"{root}/ckpt")
+    return spark.read.schema(stream.schema).parquet(f"{root}/out"), dropped
+
+
+def q_stream_dedup(spark, sf_dir):
+    """LOG10: lines seen once, with a row that counts those that came too late."""
+    from corpusflow.streaming import monitor
+    out, dropped = _event_stream(spark, sf_dir, "dedup", monitor.drop_seen)
+    return out.select("job", "kind", "up").union(spark.createDataFrame([("-", "late", dropped)], "job string, kind string, up long"))
+
+
+def q_stream_bursts(spark, sf_dir):
+    """LOG13 in a stream: the bursts closed by the watermark, late lines left out."""
+    from corpusflow.streaming import monitor
+    return _event_stream(spark, sf_dir, "bursts", monitor.stream_bursts)[0]
+
+
+QUERIES["stream_dedup"] = q_stream_dedup
+QUERIES["stream_bursts"] = q_stream_bursts
 QUERIES["monitor_stream"] = q_monitor_stream
 QUERIES["monitor_appended"] = q_monitor_appended
 

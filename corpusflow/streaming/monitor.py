@@ -98,12 +98,26 @@ def read_monitor(spark: SparkSession, out_path: str) -> DataFrame:
 
 
 def drop_seen(stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """LOG10: drop lines already seen (same job, kind and update) within the watermark."""
+    """LOG10: drop lines already seen (same job, kind and update) within the
+    watermark; lines older than it are dropped and counted by the state operator."""
     return stream.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["job", "kind", "up"])
 
 
-def stream_bursts(stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """LOG13 in a stream: 20-minute session windows keyed by job."""
+def stream_bursts(stream: DataFrame, watermark: str = "1 hour", threshold: int = L.PAUSE_SECONDS) -> DataFrame:
+    """LOG13 in a stream: ``job, start_ts, end_ts, n_lines`` of the bursts that
+    the watermark has closed. As in a batch, a gap over ``threshold`` seconds
+    starts a new burst, one of just that length does not."""
+    gap = F.expr(f"INTERVAL {threshold} SECONDS + INTERVAL 1 MICROSECOND")
     return (stream.withWatermark("ts", watermark)
-            .groupBy("job", F.session_window("ts", f"{L.PAUSE_SECONDS} seconds"))
-            .agg(F.count(F.lit(1)).alias("n_lines")))
+            .groupBy("job", F.session_window("ts", f"{threshold} seconds 1 microseconds").alias("w"))
+            .agg(F.count(F.lit(1)).alias("n_lines"))
+            .select("job", F.col("w.start").alias("start_ts"), (F.col("w.end") - gap).alias("end_ts"), "n_lines"))
+
+
+def drain(stream: DataFrame, out_path: str, checkpoint: str) -> int:
+    """Append what a stream of events has to say now to Parquet; returns how many
+    rows came too late for its state."""
+    q = (stream.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])

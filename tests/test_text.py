@@ -112,3 +112,18 @@ def test_spelling_short_circuit(spark):
     full = sorted(r["word"] for r in spelling.misspelt_words(pairs, lex).collect())
     short = sorted(r["word"] for r in spelling.misspelt_words(pairs, lex, short_circuit=True).collect())
     assert full == ["wrold", "xx", "yy"] and short == ["wrold", "yy"]
+
+
+def test_sentences_of_a_text_with_any_character(spark):
+    from corpusflow.functions import text as T
+    from pyspark.sql import functions as F
+    rows = [("One. Two!?  Three\n4", ["One.", "Two!?", "Three\n4"]), ("a ␞ b. c␞", ["a ␞ b.", "c␞"]), (". . x", [".", ".", "x"]), ("", []), ("a.  ", ["a."])]
+    got = spark.createDataFrame([(t,) for t, _ in rows], "t string").select(T.split_sentences(F.col("t")).alias("s")).collect()
+    assert [r.s for r in got] == [w for _, w in rows]
+
+
+def test_every_request_is_answered(spark):
+    from corpusflow.operators import requests as R
+    df = spark.createDataFrame([(1, "One. Two."), (2, ""), (3, None), (4, " \n"), (5, "a.\nb. c")], "k long, text string")
+    got = {r.k: r.text for r in R.reassemble(R.sentence_rows(df, ["k"]), df, ["k"]).collect()}
+    assert set(got) == {1, 2, 3, 4, 5} and (got[2], got[3], got[4]) == ("", None, "") and got[1] == "One  Two"
