@@ -4,8 +4,8 @@ Documents of a source form blocks. A source with weight w gives its block j
 the release slot floor(j / w) and the deadline ceil((j + 1) / w); among the
 released blocks, the one with the earliest deadline takes the next slot. With
 weights that are whole numbers the schedule repeats after as many slots as
-their sum, so one period is worked out (a fold over its slots) and the slot of
-any block follows from its number alone. In every prefix of the balanced part
+their sum, so one period is worked out (running counts over its blocks and
+slots, parted by deadline) and the slot of any block follows from its number alone. In every prefix of the balanced part
 each source is less than one block away from its share of the period.
 
 DataFrame functions only.
@@ -15,20 +15,21 @@ from __future__ import annotations
 
 import math
 from fractions import Fraction
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from corpusflow.llm.common import read
+from corpusflow.llm.common import read, written
 
-#: whole parts that weights from counts are rounded to, up to as many sources
+#: whole parts that weights from counts are rounded to; as many times that as four for each source need
 PARTS = 1000
 #: slots of the longest period for given weights (a period is four slots a source at least)
 MOST = 1 << 20
-#: slots of a period that are worked out before they join the others
-PIECE = 256
+#: ways in which blocks and slots of a period are parted at a time
+WAYS = 16
 #: documents in a block
 BLOCK = 8
 #: weight of a source without one given: its number of documents to this power
@@ -71,9 +72,9 @@ def quotas(counts: DataFrame, weights: dict[str, float] | None, block: int) -> D
     Sources of weight 0 or less, or not in ``weights``, have no share: they are
     not ``weighed`` and take turns after the last block of those that are.
 
-    Without ``weights`` a source weighs its count to the power ``FLATTEN``. Up to
-    ``PARTS`` sources get one of ``PARTS`` parts each and the rest by largest
-    remainder; more sources get parts as given weights do.
+    Without ``weights`` a source weighs its count to the power ``FLATTEN``. There
+    are as many times ``PARTS`` parts as four for each source need; each source
+    gets one and the rest go by largest remainder.
     """
     every = W.partitionBy(F.lit(0))
     blocks = F.ceil(F.col("n_docs") / block)
@@ -86,9 +87,11 @@ def quotas(counts: DataFrame, weights: dict[str, float] | None, block: int) -> D
     named = counts.withColumn("w", w).withColumn("weighed", F.col("w") > 0)
     group = W.partitionBy("weighed")
     n = F.count(F.lit(1)).over(group)
-    wide = F.greatest(F.lit(PARTS), 4 * n, F.least(F.sum(blocks).over(every), F.lit(MOST)))
-    few = (n <= PARTS) if weights is None else F.lit(False)
-    named = named.withColumn("least", few.cast("long")).withColumn("all", F.when(few, F.lit(PARTS)).otherwise(wide).cast("long"))
+    if weights is None:
+        least, parts = 1, F.ceil(4 * n / PARTS) * PARTS
+    else:
+        least, parts = 0, F.greatest(F.lit(PARTS), 4 * n, F.least(F.sum(blocks).over(every), F.lit(MOST)))
+    named = named.withColumn("least", F.lit(least).cast("long")).withColumn("all", parts.cast("long"))
     spare = F.col("all") - F.col("least") * n
     share = spare * F.col("w") / F.sum("w").over(group)
     # remainders are compared at six digits, so that ties are ties on any engine
@@ -109,62 +112,53 @@ def quotas(counts: DataFrame, weights: dict[str, float] | None, block: int) -> D
                         end.alias("end"))
 
 
-def period(quota: DataFrame) -> DataFrame:
-    """``source, quota, parts, base, end, slots``: the slots of each source's blocks in the first period.
+def _level(rows: DataFrame, below: int) -> DataFrame:
+    """One digit more of ``node`` for all jobs and slots.
 
-    Sources of one quota have the same releases and deadlines and take turns by
-    rank, so the fold keeps one count for each quota that occurs: there are at
-    most ``sqrt(2 * parts)`` of them, however many sources there are.
+    A job's digit comes from its priority. Jobs with a digit under ``k`` never
+    wait for others, so a slot is left over by them just where the running
+    count of such jobs less that of slots falls to a new low: the slot's digit
+    is the number of ``k`` that leave it over.
+    """
+    digit = F.floor(F.col("priority") / below) % WAYS
+    order = W.partitionBy("weighed", "node").orderBy("time", "is_slot")
+    upto, before = order.rowsBetween(W.unboundedPreceding, 0), order.rowsBetween(W.unboundedPreceding, -1)
+    ks = range(1, WAYS)
+    step = lambda k: F.when(F.col("is_slot"), -1).when(digit < k, 1).otherwise(0)
+    rows = rows.withColumns({f"n{k}": F.sum(step(k)).over(upto) for k in ks})
+    rows = rows.withColumns({f"low{k}": F.least(F.min(f"n{k}").over(before), F.lit(0)) for k in ks})
+    left = reduce(add, ((F.col(f"n{k}") < F.col(f"low{k}")).cast("long") for k in ks))
+    return rows.withColumn("node", F.col("node") * WAYS + F.when(F.col("is_slot"), left).otherwise(digit)).drop(
+        *(f"{c}{k}" for c in ("n", "low") for k in ks))
+
+
+def period(quota: DataFrame, slots: int) -> DataFrame:
+    """``source, quota, parts, base, end, slots``: the slots of each source's blocks
+    in the first period, which has ``slots`` slots at most.
+
+    The blocks of a period are jobs of one slot with a fixed priority (deadline,
+    then rank). Jobs and slots are parted by priority, ``WAYS`` ways at a time,
+    until each job is alone with its slot; a level is one shuffle and running
+    counts, whatever the number of sources and quotas.
     """
-    member = F.struct("rank", "source", "parts", "base", "end")
-    classes = quota.groupBy("weighed", "quota").agg(F.array_sort(F.collect_list(member)).alias("members"))
-    one = classes.agg(
-        F.array_sort(F.collect_list(F.when(F.col("weighed"), F.struct("quota", "members")))).alias("q"),
-        F.flatten(F.collect_list(F.when(~F.col("weighed"), F.col("members")))).alias("last"))
-    one = one.withColumn("parts", F.coalesce(F.get(F.get("q", F.lit(0))["members"], F.lit(0))["parts"], F.lit(0)))
-
-    def due(served: Column, slot: Column) -> Column:
-        def first(s: Column, i: Column) -> Column:
-            n, size = F.get(served, i), F.size(s["members"])
-            turn = F.floor(n / size)
-            return F.struct(F.ceil((turn + 1) * F.col("parts") / s["quota"]).alias("deadline"),
-                            F.get(s["members"], (n % size).cast("int"))["rank"].alias("rank"), i.alias("i"),
-                            (F.floor(turn * F.col("parts") / s["quota"]) <= slot).alias("released"))
-        return F.array_min(F.filter(F.transform("q", first), lambda s: s["released"]))["i"]
-
-    def pick(state: Column, slot: Column) -> Column:
-        # the released block with the earliest deadline; ties to the source that sorts first
-        best = due(state["served"], slot)
-        return F.struct(
-            F.transform(state["served"], lambda n, i: n + F.when(i == best, 1).otherwise(0).cast("long")).alias("served"),
-            F.concat(state["order"], F.array(F.struct(slot.alias("slot"), best.alias("i")))).alias("order"))
-
-    def run(state: Column, at: Column) -> Column:
-        # the order grows by pieces, so that it is not copied for every slot
-        slots = F.sequence(at, F.least(at + PIECE, F.col("parts")) - 1)
-        start = F.struct(state["served"].alias("served"), F.array().cast(kind).alias("order"))
-        piece = F.aggregate(slots, start, pick)
-        return F.aggregate(F.array(piece), state, lambda s, x: F.struct(
-            x["served"].alias("served"), F.concat(s["order"], F.array(x["order"])).alias("order")))
-
-    kind = T.ArrayType(T.StructType([T.StructField("slot", T.LongType(), False), T.StructField("i", T.IntegerType())]), True)
-    start = F.struct(F.transform("q", lambda s: F.lit(0).cast("long")).alias("served"),
-                     F.array().cast(T.ArrayType(kind, True)).alias("order"))
-    pieces = F.when(F.col("parts") > 0, F.sequence(F.lit(0).cast("long"), F.col("parts") - 1, F.lit(PIECE).cast("long"))
-                    ).otherwise(F.array().cast("array<bigint>"))
-    folded = one.withColumn("order", F.aggregate(pieces, start, run, lambda s: F.flatten(s["order"])))
-    folded = folded.withColumn("mine", F.transform("q", lambda s, i: F.transform(
-        F.filter("order", lambda x: x["i"] == i), lambda x: x["slot"])))
-
-    def row(m: Column, quota: Column, slots: Column) -> Column:
-        return F.struct(m["source"].alias("source"), quota.alias("quota"), m["parts"].alias("parts"), m["base"].alias("base"),
-                        m["end"].alias("end"), slots.alias("slots"))
-
-    weighed = F.flatten(F.transform("q", lambda s, i: F.transform(s["members"], lambda m, k: row(
-        m, s["quota"], F.transform(F.sequence(F.lit(0).cast("long"), s["quota"] - 1), lambda turn: F.get(
-            F.get("mine", i), (turn * F.size(s["members"]) + k).cast("int")))))))
-    others = F.transform("last", lambda m, k: row(m, F.lit(1).cast("long"), F.array(k.cast("long"))))
-    return folded.select(F.inline(F.concat(weighed, others)))
+    turn, q, parts = F.col("turn"), F.col("quota"), F.col("parts")
+    jobs = quota.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), q - 1)))
+    jobs = jobs.select("weighed", "rank", "turn", F.floor(turn * parts / q).alias("time"),
+                       (F.row_number().over(W.partitionBy("weighed").orderBy(F.ceil((turn + 1) * parts / q), "rank")) - 1)
+                       .cast("long").alias("priority"))
+    none = F.lit(None).cast("long")
+    places = jobs.select("weighed", none.alias("rank"), none.alias("turn"), F.col("priority").alias("time"),
+                         none.alias("priority"), F.lit(True).alias("is_slot"), F.lit(0).cast("long").alias("node"))
+    rows = jobs.withColumns({"is_slot": F.lit(False), "node": F.lit(0).cast("long")}).unionByName(places)
+    below = 1
+    while below * WAYS < slots:
+        below *= WAYS
+    while below:
+        rows, below = _level(rows, below), below // WAYS
+    met = rows.groupBy("weighed", "node").agg(F.max("rank").alias("rank"), F.max("turn").alias("turn"),
+                                              F.max(F.when(F.col("is_slot"), F.col("time"))).alias("slot"))
+    mine = met.groupBy("rank").agg(F.array_sort(F.collect_list(F.struct("turn", "slot")))["slot"].alias("slots"))
+    return quota.join(mine, "rank").select("source", "quota", "parts", "base", "end", "slots")
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -200,10 +194,12 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     """
     counts = docs.groupBy(source_key().alias("source")).agg(F.count(F.lit(1)).alias("n_docs"))
     # one row for each source and the slots of one period in all, whatever the number of documents
-    table = period(quotas(counts, weights, block)).select(
+    quota = written(quotas(counts, weights, block), "quotas")
+    slots = quota.agg(F.max("parts")).first()[0] or 1
+    table = period(quota, slots).select(
         "quota", "parts", "base", "end", "slots", F.col("source").alias("__mix_key"))
     table = table.select("__mix_key", *(F.col(c).alias(f"__mix_{c}") for c in ("quota", "parts", "base", "end", "slots")))
-    d = numbered(docs).join(F.broadcast(table), "__mix_key")
+    d = numbered(docs).join(F.broadcast(table) if slots <= MOST else table, "__mix_key")
     d = d.withColumn("block", F.floor(F.col("__mix_n") / block))
     turn = (F.col("block") % F.col("__mix_quota")).cast("int")
     parts, quota, base = F.col("__mix_parts"), F.col("__mix_quota"), F.col("__mix_base")
@@ -229,26 +225,27 @@ WITH RECURSIVE d AS (
 num AS (SELECT doc_id, source, k, row_number() OVER (PARTITION BY k ORDER BY deal, doc_id NULLS FIRST) - 1 AS n FROM d),
 c AS (SELECT k, count(*) AS n_docs FROM d GROUP BY k),
 w AS (SELECT k, n_docs, pow(n_docs, {FLATTEN}) AS w FROM c),
-s AS (SELECT k, n_docs, ({PARTS} - count(*) OVER ()) * w / sum(w) OVER () AS share, {PARTS} - count(*) OVER () AS spare FROM w),
+al AS (SELECT CAST(ceil(4 * count(*) / {PARTS}.0) AS BIGINT) * {PARTS} AS parts FROM w),
+s AS (SELECT k, n_docs, (parts - count(*) OVER ()) * w / sum(w) OVER () AS share, parts - count(*) OVER () AS spare FROM w, al),
 p AS (SELECT k, n_docs, spare, floor(round(share, 6)) AS whole, round(share - floor(round(share, 6)), 6) AS rest FROM s),
 q AS (SELECT k, n_docs, CAST(whole + 1 + CASE WHEN row_number() OVER (ORDER BY rest DESC, k) <= spare - sum(whole) OVER ()
                               THEN 1 ELSE 0 END AS BIGINT) AS quota FROM p),
-e AS (SELECT min(((n_docs + {BLOCK - 1}) // {BLOCK}) * {PARTS} // quota) AS fin FROM q),
+e AS (SELECT min(((n_docs + {BLOCK - 1}) // {BLOCK}) * parts // quota) AS fin FROM q, al),
 ql AS (SELECT list(k ORDER BY k) AS ks, list(quota ORDER BY k) AS qs FROM q),
 run(slot, served, pick) AS (
   SELECT CAST(-1 AS BIGINT), list_transform(qs, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT) FROM ql
   UNION ALL
   SELECT slot + 1, list_transform(served, lambda x, i: x + CASE WHEN i = best THEN 1 ELSE 0 END), best
   FROM (SELECT slot, served, list_position(due, list_min(due)) AS best
-        FROM (SELECT slot, served, list_transform(served, lambda x, i: CASE WHEN x * {PARTS} // qs[i] <= slot + 1
-                 THEN ((x + 1) * {PARTS} + qs[i] - 1) // qs[i] ELSE 1000000 END) AS due FROM run, ql)
-        WHERE slot < {PARTS - 1})),
+        FROM (SELECT slot, served, list_transform(served, lambda x, i: CASE WHEN x * parts // qs[i] <= slot + 1
+                 THEN ((x + 1) * parts + qs[i] - 1) // qs[i] ELSE 1000000000000 END) AS due, parts FROM run, ql, al)
+        WHERE slot < parts - 1)),
 t AS (SELECT ks[pick] AS k, slot AS first_slot, row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS turn
       FROM run, ql WHERE slot >= 0),
 b AS (SELECT doc_id, source, k, n, n // {BLOCK} AS block FROM num)
-SELECT doc_id, source, block, (block // quota) * {PARTS} + first_slot AS slot,
-       block * {PARTS} // quota AS release, ((block + 1) * {PARTS} + quota - 1) // quota AS deadline,
-       ((block // quota) * {PARTS} + first_slot) * {BLOCK} + n % {BLOCK} AS position,
-       (block // quota) * {PARTS} + first_slot < (SELECT fin FROM e) AS balanced
-FROM b JOIN q USING (k) JOIN t ON t.k = b.k AND t.turn = b.block % quota
+SELECT doc_id, source, block, (block // quota) * parts + first_slot AS slot,
+       block * parts // quota AS release, ((block + 1) * parts + quota - 1) // quota AS deadline,
+       ((block // quota) * parts + first_slot) * {BLOCK} + n % {BLOCK} AS position,
+       (block // quota) * parts + first_slot < (SELECT fin FROM e) AS balanced
+FROM al, b JOIN q USING (k) JOIN t ON t.k = b.k AND t.turn = b.block % quota
 """}

@@ -1,3 +1,4 @@
+import heapq
 from collections import Counter
 
 from corpusflow.llm import mixing as M
@@ -101,3 +102,40 @@ def test_more_sources_than_parts(spark):
     sizes = {f"s{i}": 1 for i in range(n)} | {"big": 400}
     got = M.mix(documents(spark, [(i, "t", s) for i, s in enumerate(s for s, k in sizes.items() for _ in range(k))], clash=False), block=1).collect()
     check(got, n + 400, 1)
+
+
+def earliest_deadline(quota, parts):
+    """(rank, turn) -> slot, by a heap over one period."""
+    jobs = sorted((j * parts // q, -(-(j + 1) * parts // q), r, j) for r, q in quota.items() for j in range(q))
+    out, ready, at = {}, [], 0
+    for slot in range(parts):
+        while at < len(jobs) and jobs[at][0] <= slot:
+            heapq.heappush(ready, jobs[at][1:])
+            at += 1
+        _, r, j = heapq.heappop(ready)
+        out[r, j] = slot
+    return out
+
+
+def test_uneven_sources(spark):
+    # many different quotas: every slot of the period, held against a heap
+    counts = spark.range(1, 302).selectExpr("concat('s', id) as source", "id * id as n_docs")
+    quota = M.quotas(counts, None, M.BLOCK).collect()
+    parts = quota[0].parts
+    assert parts == 2 * M.PARTS and sum(r.quota for r in quota) == parts and len({r.quota for r in quota}) > 10
+    want = earliest_deadline({r.rank: r.quota for r in quota}, parts)
+    rank = {r.source: r.rank for r in quota}
+    got = M.period(M.quotas(counts, None, M.BLOCK), parts).collect()
+    assert {(rank[r.source], j): s for r in got for j, s in enumerate(r.slots)} == want
+
+
+def test_uneven_given_weights(spark):
+    weights = {f"s{i}": i for i in range(1, 60)} | {"none": 0}
+    counts = spark.createDataFrame([(s, 1000) for s in weights], "source string, n_docs long")
+    quota = M.quotas(counts, weights, 1).collect()
+    parts = sum(range(1, 60))
+    want = earliest_deadline({r.rank: r.quota for r in quota if r.weighed}, parts)
+    rank = {r.source: r.rank for r in quota if r.weighed}
+    got = {r.source: r for r in M.period(M.quotas(counts, weights, 1), parts).collect()}
+    assert {(rank[s], j): t for s in rank for j, t in enumerate(got[s].slots)} == want
+    assert got["none"].slots == [0] and got["none"].base == 1000 * parts
