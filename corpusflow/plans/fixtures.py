@@ -94,6 +94,18 @@ def units(documents: DataFrame) -> DataFrame:
         F.when(n % LEADER[0] == LEADER[1], F.concat(F.lit("-- "), F.col("col.t"))).otherwise(F.col("col.t")).alias("target"))
 
 
+#: abbreviations written into the documents: after this word comes that one
+SHORT_AFTER = ((" in ", " in cf. "), (" by ", " by approx. "), (" de ", " de p.ex. "), (" der ", " der z.B. "), (" la ", " la No. "))
+
+
+def shortened(documents: DataFrame) -> DataFrame:
+    """The documents with abbreviations in their lines."""
+    text = F.col("text")
+    for word, both in SHORT_AFTER:
+        text = F.replace(text, F.lit(word), F.lit(both))
+    return documents.select("doc_id", "lang", text.alias("text"))
+
+
 def triples(documents: DataFrame) -> DataFrame:
     """``doc_id, line_no, src, ref, hyp`` from all F1 lines; ``hyp`` is
     ``ref`` without every 7th space-separated word."""

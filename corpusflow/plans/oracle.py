@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corpusflow.functions import rules as R
+from corpusflow.operators import borders as BD
 from corpusflow.operators import filters as FL
 from corpusflow.plans import fixtures as FX
 from corpusflow.plans import sqltext as S
@@ -507,11 +508,15 @@ ORACLE.update({
 SENT_MARK = "␞"
 
 
-def _sentences_sql(table: str = "conversations") -> str:
+def _sentence_parts(table: str) -> str:
     marked = f"regexp_replace({S.normalize('text')}, {q('([.!?]+)' + R.WS + '+')}, {q(chr(92) + '1' + SENT_MARK)}, 'g')"
+    return f"""SELECT conv_id, turn, list_filter(string_split({marked}, {q(SENT_MARK)}), lambda s: s <> '') AS parts
+      FROM {table}"""
+
+
+def _sentences_sql(table: str = "conversations") -> str:
     return f"""(SELECT conv_id, turn, CAST(i - 1 AS BIGINT) AS pos, regexp_replace({S.py_strip('parts[i]')}, '\\.+$', '') AS sentence
-FROM (SELECT conv_id, turn, list_filter(string_split({marked}, {q(SENT_MARK)}), lambda s: s <> '') AS parts
-      FROM {table}) c, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i) r)"""
+FROM ({_sentence_parts(table)}) c, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i) r)"""
 
 
 SENTENCE_SEGMENTS = f"SELECT * FROM {_sentences_sql()} s"
@@ -641,3 +646,28 @@ ORACLE["stream_bursts"] = f"""WITH g AS (SELECT job, ts, max(ts) OVER () AS last
 b AS (SELECT *, sum(CASE WHEN gap > 1200 THEN 1 ELSE 0 END) OVER (PARTITION BY job ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS burst FROM g)
 SELECT job, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n_lines FROM b GROUP BY job, burst
 HAVING epoch(max(ts)) + 1200 < epoch(any_value(last)) - 3600"""
+
+# --- learnt sentence borders ----------------------------------------------------------------
+_SHORT = "text"
+for _word, _both in FX.SHORT_AFTER:
+    _SHORT = f"replace({_SHORT}, {q(_word)}, {q(_both)})"
+ORACLE["abbreviation_scores"] = f"""SELECT lang, word, n_stop, n_free, round(
+  2 * ((n_stop * ln({BD.ALWAYS}) + n_free * ln({1 - BD.ALWAYS})) - (n_stop * ln(p) + n_free * ln(1 - p)))
+  * exp(-letters) * (length(word) - letters + 1) * pow(letters, -n_free), 6) + 0.0 AS score
+FROM (SELECT lang, word, n_stop, n_free, CAST(length(replace(word, '.', '')) AS DOUBLE) AS letters,
+             sum(n_stop) OVER (PARTITION BY lang) / sum(n_stop + n_free) OVER (PARTITION BY lang) AS p
+      FROM (SELECT lang, word, count(*) FILTER (WHERE stop) AS n_stop, count(*) FILTER (WHERE NOT stop) AS n_free
+            FROM (SELECT lang, lower(regexp_extract(t, {q(BD.WORD)}, 1)) AS word, regexp_extract(t, {q(BD.WORD)}, 2) = '.' AS stop
+                  FROM (SELECT lang, unnest(regexp_split_to_array({_SHORT}, {q(R.WS + '+')})) AS t FROM documents) a) w
+            WHERE word <> '' GROUP BY lang, word) b) c"""
+ORACLE["trained_segments"] = f"""WITH short AS (SELECT word, lang FROM ({ORACLE["abbreviation_scores"]}) s
+  WHERE score >= {BD.LEAST_SCORE} AND n_stop >= {BD.LEAST_COUNT}),
+cut AS (SELECT doc_id AS conv_id, lang AS turn, {_SHORT} AS text FROM documents),
+one AS (SELECT conv_id AS doc_id, turn AS lang, i AS p, parts[i] AS s, regexp_extract(parts[i], '(\\S+)$', 1) AS t
+  FROM ({_sentence_parts("cut")}) c, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i) r),
+met AS (SELECT doc_id, p, s, regexp_extract(t, {q(BD.WORD)}, 2) = '.'
+               AND (lang, lower(regexp_extract(t, {q(BD.WORD)}, 1))) IN (SELECT (lang, word) FROM short) AS open FROM one),
+runs AS (SELECT *, sum(CASE WHEN before THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) - 1 AS pos
+  FROM (SELECT *, coalesce(lag(open) OVER (PARTITION BY doc_id ORDER BY p), false) AS before FROM met) x)
+SELECT doc_id, CAST(pos AS BIGINT) AS pos, regexp_replace({S.py_strip("string_agg(s, ' ' ORDER BY p)")}, '\\.+$', '') AS sentence
+FROM runs GROUP BY doc_id, pos"""

@@ -727,3 +727,23 @@ QUERIES.update({
     "unigram_vocab": q_unigram_vocab,
     "unigram_text": q_unigram_text,
 })
+
+
+# --- learnt sentence borders ----------------------------------------------------------------
+from corpusflow.operators import borders  # noqa: E402
+
+
+def q_abbreviation_scores(spark, sf_dir):
+    return borders.abbreviation_scores(FX.shortened(_docs(spark, sf_dir)))
+
+
+def q_trained_segments(spark, sf_dir):
+    """TXT9: abbreviations learnt from all documents, then their sentences."""
+    docs = FX.shortened(_docs(spark, sf_dir))
+    return borders.trained_sentence_rows(docs, ["doc_id"], borders.abbreviations(borders.abbreviation_scores(docs)))
+
+
+QUERIES.update({
+    "abbreviation_scores": q_abbreviation_scores,
+    "trained_segments": q_trained_segments,
+})
