@@ -259,8 +259,8 @@ def labelled(f1: DataFrame) -> DataFrame:
     return f1.withColumn("classifier", F.when(F.col("classifier") == "Health", F.lit("Public Health")).otherwise(F.col("classifier")))
 
 
-def write_tmx_tree(f1: DataFrame, root: str) -> None:
-    """F1 as TMX units under ``root/classifier=<label>/``.
+def tmx_lines(f1: DataFrame) -> DataFrame:
+    """F1 as TMX units, ``classifier, line_no, value``.
 
     The source language is written as ``XX-GB`` in two attributes; every third
     source carries level-2 markup; every fifth line is followed by a unit with
@@ -272,7 +272,46 @@ def write_tmx_tree(f1: DataFrame, root: str) -> None:
     broken = F.lit('<tu><tuv xml:lang="en"><seg>a &nowhere; b</seg></tuv><tuv xml:lang="fr"><seg>c</seg></tuv></tu>'
                    '<tu><tuv xml:lang="en"><seg>alone</seg></tuv></tu>')
     value = F.when(F.col("line_no") % 5 == 0, F.concat(tu, broken)).otherwise(tu)
-    f1.select("classifier", value.alias("value")).write.partitionBy("classifier").text(root)
+    return f1.select("classifier", "line_no", value.alias("value"))
+
+
+def write_tmx_tree(f1: DataFrame, root: str) -> None:
+    """F1 as TMX units under ``root/classifier=<label>/``."""
+    tmx_lines(f1).drop("line_no").write.partitionBy("classifier").text(root)
+
+
+def write_packed_tree(f1: DataFrame, root: str, files: int = 4) -> None:
+    """F1 as TMX units in ``files`` xz, gz and zip files each, the zip files with
+    a member for each label. A file has one writer, a line at a time."""
+    kind = F.concat(F.element_at(F.array(F.lit("xz"), F.lit("gz"), F.lit("zip")), F.col("line_no").cast("int") % 3 + 1),
+                    (F.hash("value") % files + files) % files)
+    lines = tmx_lines(f1).withColumn("file", F.concat(kind, F.when(~kind.startswith("zip"), F.col("classifier")).otherwise("")))
+    lines = lines.repartition("file").sortWithinPartitions("file", "classifier").select("file", "classifier", "value")
+
+    def write(rows):
+        import gzip
+        import lzma
+        import zipfile
+        from itertools import groupby
+
+        from corpusflow.sources.follow import _filesystem
+        system, path = _filesystem(root)
+        for name, own in groupby(rows, lambda r: r.file):
+            members = groupby(own, lambda r: r.classifier)
+            if name.startswith("zip"):
+                system.create_dir(f"{path}/zipped", recursive=True)
+                with system.open_output_stream(f"{path}/zipped/{name}.zip") as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
+                    for label, lines_ in members:
+                        with z.open(f"{label}/units.tmx", "w") as out:
+                            out.writelines(r.value.encode() + b"\n" for r in lines_)
+                continue
+            for label, lines_ in members:
+                system.create_dir(f"{path}/{label}", recursive=True)
+                packer = lzma.open if name.startswith("xz") else gzip.open
+                with system.open_output_stream(f"{path}/{label}/{name[:3]}.tmx.{name[:2]}", compression=None) as f, packer(f, "wb") as out:
+                    out.writelines(r.value.encode() + b"\n" for r in lines_)
+
+    lines.foreachPartition(write)
 
 
 def _write_csv(df: DataFrame, root: str, **options) -> None:

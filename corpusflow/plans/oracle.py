@@ -671,3 +671,4 @@ runs AS (SELECT *, sum(CASE WHEN before THEN 0 ELSE 1 END) OVER (PARTITION BY do
   FROM (SELECT *, coalesce(lag(open) OVER (PARTITION BY doc_id ORDER BY p), false) AS before FROM met) x)
 SELECT doc_id, CAST(pos AS BIGINT) AS pos, regexp_replace({S.py_strip("string_agg(s, ' ' ORDER BY p)")}, '\\.+$', '') AS sentence
 FROM runs GROUP BY doc_id, pos"""
+ORACLE["packed_pairs"] = TMX_UNITS

@@ -747,3 +747,14 @@ QUERIES.update({
     "abbreviation_scores": q_abbreviation_scores,
     "trained_segments": q_trained_segments,
 })
+
+
+# --- packed inputs --------------------------------------------------------------------------
+def q_packed_pairs(spark, sf_dir):
+    """SRC13: the units of tmx_pairs, from xz, gz and zip files."""
+    root = FX.scratch_dir(spark, "packed")
+    FX.write_packed_tree(FX.labelled(FX.line_pairs(_docs(spark, sf_dir))), root)
+    return _units_out(BT.read_packed_tmx(spark, root))
+
+
+QUERIES["packed_pairs"] = q_packed_pairs

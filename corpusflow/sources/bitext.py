@@ -55,8 +55,29 @@ def tmx_units(spark: SparkSession, path: str, glob: str | None = "*.tmx") -> Dat
     reader = spark.read.option("lineSep", TU_END).option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    recs = (reader.text(path).select(F.regexp_extract("value", TU_START, 1).alias("_x"), _file_path().alias("source_path"))
-            .where(F.col("_x") != "")
+    return _units_of(reader.text(path).select("value", _file_path().alias("source_path")))
+
+
+def packed_tmx_units(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`tmx_units`, of the TMX files inside xz, gz and zip files; what
+    cannot be unpacked is a row with the reason ``damaged``."""
+    from corpusflow.sources.packed import read_packed
+    found = read_packed(spark, path, sep=TU_END)
+    units = _units_of(found.select("value", "source_path", "error"), "error")
+    return units.withColumn("reject_reason", F.when(F.col("error").isNotNull(), F.lit("damaged")).otherwise(F.col("reject_reason"))).drop("error")
+
+
+def read_packed_tmx(spark: SparkSession, path: str) -> DataFrame:
+    """SRC13: units of packed TMX files; :func:`packed_tmx_units` says what is left out."""
+    return packed_tmx_units(spark, path).where(F.col("reject_reason").isNull()).drop("reject_reason")
+
+
+def _units_of(records: DataFrame, *more: str) -> DataFrame:
+    """Units of ``value, source_path``, each a text up to the end of a ``tu``."""
+    keep = F.col("_x") != ""
+    for c in more:
+        keep = keep | F.col(c).isNotNull()
+    recs = (records.select(F.regexp_extract("value", TU_START, 1).alias("_x"), "source_path", *more).where(keep)
             .withColumn("_x", F.concat(F.col("_x"), F.lit(TU_END))))
     parsed = F.from_xml("_x", "_broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
     recs = recs.withColumn("_bad", parsed["_broken"].isNotNull() | F.col("_x").rlike(UNDECLARED))
@@ -64,7 +85,7 @@ def tmx_units(spark: SparkSession, path: str, glob: str | None = "*.tmx") -> Dat
     (s_lang, s_text), (t_lang, t_text) = _side(1), _side(2)
     two = F.expr("xpath_int(_v, 'count(/tu/tuv[seg])')") >= 2
     units = recs.select("_bad", two.alias("_two"), s_lang.alias("source_lang"), s_text.alias("source"),
-                        t_lang.alias("target_lang"), t_text.alias("target"), "source_path")
+                        t_lang.alias("target_lang"), t_text.alias("target"), "source_path", *more)
     sided = F.col("_two") & F.col("source_lang").isNotNull() & F.col("target_lang").isNotNull()
     return units.withColumn("reject_reason", F.when(F.col("_bad"), F.lit("malformed")).when(~F.coalesce(sided, F.lit(False)), F.lit("one_sided"))
                             ).drop("_bad", "_two")
@@ -106,16 +127,18 @@ def _read_by_name(spark: SparkSession, path: str, wanted, sep: str, encoding: st
 
     Names match without regard to case and spaces around them. A file whose
     first line lacks one of them is read by the columns ``without_header`` if
-    given (the first line is then data), else it is an error.
+    given (the first line is then data), else it is an error. Files of one
+    layout are read together.
     """
-    parts = []
+    parts, layouts = [], {}
     for line, files in _headers(spark, path, encoding, glob):
         names = [c.strip().lower() for c in next(csv.reader([line], delimiter=sep, quotechar=quote or None,
                                                             quoting=csv.QUOTE_MINIMAL if quote else csv.QUOTE_NONE), [])]
         named = all(w in names for w in wanted)
         if not named and without_header is None:
             raise ValueError(f"no column {', '.join(w for w in wanted if w not in names)} in the header of {files[0]}")
-        columns = names if named else list(without_header)
+        layouts.setdefault((named, tuple(names if named else without_header)), []).extend(files)
+    for (named, columns), files in sorted(layouts.items()):
         schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(columns))])
         df = (spark.read.option("header", str(named).lower()).option("enforceSchema", "true").option("sep", sep)
               .option("encoding", encoding).option("quote", quote).option("escape", quote or "\\")

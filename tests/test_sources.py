@@ -119,3 +119,12 @@ def test_corpus_roundtrip_and_inventory(spark):
     sinks.write_splits(sp, f"{root}/splits")
     inv = [(r["split_n"], r["label"]) for r in sinks.split_inventory(spark, f"{root}/splits").collect()]
     assert inv == [(1, "train")]
+
+
+def test_headerless_files_are_one_scan(spark):
+    root = scratch_dir(spark, "t-wf3")
+    for i in range(6):
+        _write(root, f"m{i}.txt", f"2020010{i}~1\tme\t0\tEN-GB\ttext {i}\tCY-GB\ttestun {i}\tx\n")
+    df = bitext.read_wordfast(spark, root)
+    assert sorted(r["source"] for r in df.collect()) == [f"text {i}" for i in range(6)]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
