@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.llm.common import column, read, slices, utf8, written
 
@@ -78,12 +79,12 @@ def _merged(spans: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-_SCHEMA = "n_words long, hits array<int>, items array<string>"
+_SCHEMA = T.StructType().add("n_words", T.LongType()).add("hits", T.ArrayType(T.IntegerType())).add("items", T.ArrayType(T.StringType()))
 
 
 def _pass(docs: DataFrame, shared, keep: list[str]) -> DataFrame:
     """One look at the texts against one broadcast set; earlier hits are kept."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in keep)
+    fields = [T.StructField(f.name, f.dataType) for f in docs.schema.fields if f.name in keep]
 
     def run(batches):
         index = shared.value
@@ -105,7 +106,7 @@ def _pass(docs: DataFrame, shared, keep: list[str]) -> DataFrame:
                 [*(column(b, c) for c in keep), pa.array(n, pa.int64()), pa.array(hits, pa.list_(pa.int32())),
                  pa.array(items, pa.list_(pa.string()))], names=[*keep, "n_words", "hits", "items"])
 
-    return docs.mapInArrow(run, f"{fields}, {_SCHEMA}" if fields else _SCHEMA)
+    return docs.mapInArrow(run, T.StructType(fields + _SCHEMA.fields))
 
 
 def _shards(benchmark: DataFrame, max_bytes: int) -> list[DataFrame]:
@@ -207,8 +208,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(text, pa.string()), column(b, "n_words"),
                                               column(b, "n_hit")], names=["doc_id", "text", "n_words", "n_hit"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return found.mapInArrow(run, f"doc_id {kind}, text string, n_words long, n_hit long")
+    kind = T.StructType().add("doc_id", docs.schema["doc_id"].dataType).add("text", T.StringType())
+    return found.mapInArrow(run, kind.add("n_words", T.LongType()).add("n_hit", T.LongType()))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

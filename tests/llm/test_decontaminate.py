@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusflow.llm import decontaminate as D
 from tests.llm.data import ODD, documents, words
@@ -78,3 +79,12 @@ def test_empty_tables(spark, case):
     rows, items = case
     assert D.scan(documents(spark, []), bench(spark, items)).count() == 0
     assert D.clean(documents(spark, rows), bench(spark, [])).count() == len(rows)
+
+
+@pytest.mark.parametrize("limit", [D.BROADCAST_BYTES, 400])
+def test_odd_column_names(spark, case, limit):
+    rows, items = case
+    docs = documents(spark, rows, clash=False).withColumn("dc:title x", F.lit("t")).withColumn("1st, of: <two>", F.lit(1))
+    want = {i for i, t in rows for n, hit, _ in [brute(t, items)] if not (hit and 20 * hit >= n)}
+    got = D.clean(docs, bench(spark, items), max_bytes=limit)
+    assert got.columns == docs.columns and {r["doc_id"] for r in got.collect()} == want
