@@ -15,7 +15,9 @@ is the writer's line separator.
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +34,12 @@ BROADCAST_ROWS = 100_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CRLF = "\r\n"
+#: packed bytes unpacked at a time
+FEED = 1 << 16
+#: bytes in which a record's headers must end
+HEAD = 1 << 20
+_GZIP = b"\x1f\x8b\x08"
+_LINE_ENDS = re.compile(rb"[\r\n]*")
 
 
 def _urn(*parts: Column) -> Column:
@@ -98,36 +106,91 @@ def write_warc(pages: DataFrame, path: str, least: int = REVISIT_BYTES) -> None:
      .write.option("lineSep", _CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", FILE_PAGES).text(path))
 
 
-def unpack(data: bytes) -> bytes:
-    """An archive file's bytes; gzip files may have a member for each record."""
-    if data[:2] != b"\x1f\x8b":
-        return data
-    out = []
-    while data:
-        z = zlib.decompressobj(31)
-        out.append(z.decompress(data) + z.flush())
-        data = z.unused_data.lstrip(b"\0")
-    return b"".join(out)
-
-
-def parse(data: bytes):
-    """(headers with lower-case names, block) of each record; stops at a damaged one."""
+def unpack(data: bytes):
+    """An archive file's bytes in blocks; gzip files may have a member for each
+    record. None stands where bytes are lost: a damaged or torn member, after
+    which the next one that can be read goes on."""
+    if data[:2] != _GZIP[:2]:
+        yield from (data[at:at + FEED] for at in range(0, len(data), FEED))
+        return
     at, view = 0, memoryview(data)
-    while True:
-        while data[at:at + 1] in (b"\r", b"\n"):
-            at += 1
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            return
-        headers = {}
-        for line in data[at:end].decode("utf-8", "replace").split(_CRLF)[1:]:
-            name, _, value = line.partition(":")
-            headers[name.strip().lower()] = value.strip()
-        size = headers.get("content-length", "")
-        if not size.isdigit() or end + 4 + int(size) > len(data):
+    while at < len(data):
+        z, start = zlib.decompressobj(31), at
+        try:
+            while not z.eof and at < len(data):
+                if block := z.decompress(view[at:at + FEED]):
+                    yield block
+                at = min(at + FEED, len(data))
+        except zlib.error:
+            yield None
+            at = data.find(_GZIP, start + 1)
+            if at < 0:
+                return
+            continue
+        if not z.eof:
+            yield None
             return
-        at = end + 4 + int(size)
-        yield headers, view[end + 4:at]
+        at -= len(z.unused_data)
+        while data[at:at + 1] == b"\0":
+            at += 1
+
+
+def _headers(head: bytes) -> dict[str, str]:
+    out = {}
+    for line in head.decode("utf-8", "replace").split(_CRLF)[1:]:
+        name, _, value = line.partition(":")
+        out[name.strip().lower()] = value.strip()
+    return out
+
+
+def records(blocks):
+    """(headers with lower-case names, block) of each record of the unpacked
+    ``blocks``, and (None, b"") for each damaged stretch: what is no record, is
+    torn, or is not followed by a line end or a record. Reading goes on at the
+    next place that begins like a record. One record is held at a time."""
+    buf, lost, need = bytearray(), False, 0
+    for block in chain(blocks, [b""]):
+        last = not block  # nothing that follows belongs to what is there
+        buf += block or b""
+        while len(buf) >= need or last:
+            del buf[:_LINE_ENDS.match(buf).end()]
+            need = 0
+            if not buf or not last and len(buf) < 5:
+                break
+            headers, stop, found = None, -1, buf.startswith(b"WARC/")
+            end = buf.find(b"\r\n\r\n") if found else -1
+            if found and end < 0 and not last and len(buf) < HEAD:
+                need = len(buf) + 1
+                break
+            if end >= 0 and buf.find(b"\nWARC/1.", 1, end) < 0:  # else the headers are torn
+                headers = _headers(bytes(buf[:end]))
+                size = headers.get("content-length", "")
+                stop = end + 4 + int(size) if size.isdigit() else -1
+            if stop >= 0 and not last and len(buf) < stop + 5:
+                need = stop + 5
+                break
+            if 0 <= stop <= len(buf) and (stop == len(buf) or buf[stop] in b"\r\n" or buf.startswith(b"WARC/", stop)):
+                yield headers, bytes(buf[end + 4:stop])
+                del buf[:stop]
+                lost = False
+                continue
+            if not lost:
+                yield None, b""
+                lost = True
+            at = buf.find(b"WARC/1.", 1)
+            if at < 0 and not last:
+                del buf[:-6]  # the start of a record may be torn
+                need = len(buf) + 1
+                break
+            del buf[:at if at >= 0 else len(buf)]
+        if block is None and not lost:
+            yield None, b""
+            lost = True
+
+
+def parse(data):
+    """The undamaged records of ``data``, an archive's bytes or blocks of it."""
+    return (r for r in records([data] if isinstance(data, bytes) else data) if r[0] is not None)
 
 
 _FIELDS = {"warc-type": "kind", "warc-record-id": "record_id", "warc-concurrent-to": "concurrent_to", "warc-target-uri": "url",
@@ -138,22 +201,24 @@ def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFram
     """Records of the ``.warc``, ``.txt`` and gzipped archives below ``path``.
 
     ``kind, record_id, concurrent_to, url, date, stated_digest, page,
-    refers_to, payload_bytes, payload_digest, fields[, payload]``: absent
+    refers_to, payload_bytes, payload_digest, fields, error[, payload]``: absent
     headers are null; length and bare SHA-1 are those of the HTTP body of
     responses and of the whole block of other records; ``fields`` is the block
     of a metadata record. Damaged ends of files are left out.
     """
-    names = [*_FIELDS.values(), "payload_bytes", "payload_digest", "fields", *["payload"] * payload]
+    names = [*_FIELDS.values(), "payload_bytes", "payload_digest", "fields", "error", *["payload"] * payload]
     types = {"payload_bytes": pa.int64(), "payload": pa.binary()}
 
     def rows(data):
-        for h, block in parse(unpack(data)):
-            body = bytes(block)
+        for h, body in records(unpack(data)):
+            if h is None:
+                yield dict.fromkeys(names) | {"error": "damaged"}
+                continue
             if h.get("content-type", "").startswith("application/http"):
                 body = body.partition(b"\r\n\r\n")[2]
             row = {c: h.get(k) for k, c in _FIELDS.items()}
             row |= {"payload_bytes": len(body), "payload_digest": hashlib.sha1(body).hexdigest(),
-                    "fields": body.decode("utf-8", "replace") if h.get("warc-type") == "metadata" else None}
+                    "fields": body.decode("utf-8", "replace") if h.get("warc-type") == "metadata" else None, "error": None}
             yield row | ({"payload": body} if payload else {})
 
     def run(batches):

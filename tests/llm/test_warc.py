@@ -56,3 +56,54 @@ def test_records_of_other_writers():
     members = b"".join(gzip.compress(rec) for _ in range(3))
     assert [bytes(b) for _, b in A.parse(A.unpack(members))] == [b"abc"] * 3
     assert len(list(A.parse(rec + rec[:-8]))) == 1 and list(A.parse(b"")) == [] and list(A.parse(b"junk")) == []
+
+
+def record(n, body=b"abc"):
+    return b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: %d\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (n, len(body), body)
+
+
+def read(blocks):
+    return [h["warc-record-id"] if h else None for h, _ in A.records(blocks)]
+
+
+def test_damaged_records_are_told_and_passed():
+    good = [record(i, b"x" * 50) for i in range(4)]
+    torn = record(9, b"y" * 50)[:-20]
+    for size in (1, 3, 7, 64, 1 << 20):
+        cut = lambda data: [data[i:i + size] for i in range(0, len(data), size)]
+        assert read(cut(b"".join(good))) == ["0", "1", "2", "3"]
+        # cut in its block, a wrong length, no headers' end, junk between, junk at the end
+        assert read(cut(good[0] + torn + good[1] + good[2])) == ["0", None, "1", "2"]
+        assert read(cut(good[0] + good[1].replace(b"h: 50", b"h: 20") + good[2])) == ["0", None, "2"]
+        assert read(cut(good[0] + good[1].replace(b"h: 50", b"h: many") + good[2])) == ["0", None, "2"]
+        assert read(cut(good[0] + b"junk\r\n\r\njunk\r\n" + good[1] + torn)) == ["0", None, "1", None]
+        assert read(cut(torn)) == [None] and read(cut(b"\r\n\r\n")) == []
+
+
+def test_damaged_members():
+    # bodies that hardly pack, so that damage lies in their data
+    members = [gzip.compress(record(i, hashlib.sha512(bytes([i])).hexdigest().encode())) for i in range(4)]
+    assert read(A.unpack(b"".join(members))) == ["0", "1", "2", "3"]
+    broken = bytearray(members[1])
+    broken[40] ^= 0xFF
+    got = read(A.unpack(members[0] + bytes(broken) + members[2] + members[3]))
+    assert got[0] == "0" and None in got and got[-2:] == ["2", "3"]
+    assert read(A.unpack(members[0] + members[1][:-30])) == ["0", None]
+    assert read(A.unpack(members[0] + b"trailing" + members[1])) == ["0", None, "1"]
+
+
+def test_error_rows(spark):
+    import os
+    path = scratch(spark, "test-warc").removeprefix("file:")
+    os.makedirs(path)
+    with open(f"{path}/a.warc", "wb") as f:
+        f.write(record(1) + record(2)[:-9] + record(3))
+    rows = A.read_warc(spark, path).collect()
+    assert [(r.record_id, r.error) for r in rows] == [("1", None), (None, "damaged"), ("3", None)]
+    assert A.captures(A.read_warc(spark, path)).count() == 2
+
+
+def test_a_large_member_is_unpacked_in_pieces():
+    data = gzip.compress(b"".join(record(i, b"z" * 1000) for i in range(20_000)))
+    assert max(len(b) for b in A.unpack(data)) < 80 << 20
+    assert read(A.unpack(data)) == [str(i) for i in range(20_000)]
