@@ -4,9 +4,10 @@ The rules, a file of bounded size, are compiled into tables by ending and
 beginning and travel to the tasks; the stems are a table. A distinct word
 becomes the few ``(stem, flags it needs)`` that its endings and beginnings
 allow, and one join with the stems on ``(lang, stem)`` tells whether one of them
-is there with these flags. Words that are left are tried as compounds: their
-parts of the length of stems are joined with the stems that may stand in a
-compound, and a word is one if the parts found lead from its start to its end.
+is there with these flags. Words that are left are tried as compounds: a filter of
+bounded size, of the stems that may stand in one, leaves of their parts those
+that can lead from start to end; these are joined with the stems, and a word is
+a compound if the parts found lead from its start to its end.
 Nothing is expanded: the forms of a stem are never listed.
 
 Read from ``.aff``: FLAG, PFX, SFX (strip, condition, cross product),
@@ -17,6 +18,7 @@ COMPOUNDFLAG, COMPOUNDMIN, FORBIDDENWORD, NEEDAFFIX. Flags behind an affix
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -24,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.operators.vocab import _written
+
 
 @dataclass(frozen=True)
 class Affix:
@@ -139,6 +143,44 @@ def case_forms(w) -> Column:
     return F.array_distinct(F.array_compact(F.array(w, F.when(upper | (w == cap), lower), F.when(upper, cap))))
 
 
+#: bits of the filter of compound parts; with more stems it lets more parts
+#: through to the join
+FILTER_BITS = 1 << 24
+
+
+def _part_bits(parts: DataFrame) -> bytes:
+    """A bit for the checksum of each ``lang, stem``, 2 MB in all."""
+    at = F.crc32(F.encode(F.concat_ws("\x00", "lang", "stem"), "utf-8")) % FILTER_BITS + 1
+    rows = (parts.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("k"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")))
+    out = bytearray(FILTER_BITS // 8)
+    for r in rows.collect():
+        start = (r.k - 1) * len(r.bits)
+        out[start:start + len(r.bits)] = r.bits
+    return bytes(out)
+
+
+def _spans(lang: str, form: str, bits: bytes, longest: int) -> list[tuple[int, int]]:
+    """Parts of ``form`` that the filter knows and that lie on a way from start to end."""
+    n, chars, first = len(form), [c.encode() for c in form], zlib.crc32(f"{lang}\x00".encode())
+    starts: list[list[int]] = [[] for _ in range(n + 1)]
+    for s in range(n):
+        if s and not starts[s]:
+            continue
+        crc = first
+        for e in range(s + 1, min(n, s + longest) + 1):
+            crc = zlib.crc32(chars[e - 1], crc)
+            at = crc % FILTER_BITS
+            if bits[at >> 3] >> (at & 7) & 1 and e - s < n:
+                starts[e].append(s)
+    out, reach = [], {n}
+    for e in range(n, 0, -1):
+        if e in reach:
+            reach.update(starts[e])
+            out += [(s, e) for s in starts[e]]
+    return out
+
+
 class AffixDictionary:
     """Stems ``lang, stem, flags`` and the rules of each language."""
 
@@ -174,6 +216,7 @@ class AffixDictionary:
         met = met.where(~has("forbidden") & ~((F.size("need") == 0) & has("need_affix"))).select("lang", "word").distinct()
         if all(r.compound is None for r in self.rules.values()):
             return met
+        met = _written(met)
         return met.unionByName(self.compounds(words.join(met, ["lang", "word"], "left_anti")))
 
     def compounds(self, words: DataFrame) -> DataFrame:
@@ -183,13 +226,20 @@ class AffixDictionary:
         longest = parts.agg(F.max(F.length("stem"))).first()[0]
         if longest is None:
             return words.select("lang", "word").limit(0)
+        bits = words.sparkSession.sparkContext.broadcast(_part_bits(parts))
+
+        def cut(batches):
+            for b in batches:
+                rows = [(lang, word, form, s, e, form[s:e]) for lang, word, form in zip(*(b.column(i).to_pylist() for i in range(3)))
+                        for s, e in _spans(lang, form, bits.value, longest)]
+                cols = list(zip(*rows)) if rows else [()] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.string()] * 3 + [pa.int32()] * 2 + [pa.string()])],
+                                                 names=["lang", "word", "form", "s", "e", "stem"])
+
         form = words.select("lang", "word", F.explode(case_forms(F.col("word"))).alias("form"))
-        size = F.length("form")
-        cut = form.select("lang", "word", "form", F.explode(F.sequence(F.lit(1), size)).alias("at")).where(F.length("form") > 0)
-        cut = cut.select("lang", "word", "form", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("at") + 1))).alias("n"))
-        cut = cut.select("lang", "word", "form", F.struct((F.col("at") - 1).alias("s"), (F.col("at") - 1 + F.col("n")).alias("e")).alias("span"),
-                         F.substr("form", F.col("at"), F.col("n")).alias("stem"))
-        found = cut.join(parts.select("lang", "stem"), ["lang", "stem"]).groupBy("lang", "word", "form").agg(F.collect_set("span").alias("spans"))
+        tried = form.mapInArrow(cut, "lang string, word string, form string, s int, e int, stem string")
+        found = (tried.join(parts.select("lang", "stem"), ["lang", "stem"]).groupBy("lang", "word", "form")
+                 .agg(F.collect_set(F.struct("s", "e")).alias("spans")))
 
         @F.arrow_udf("boolean")
         def leads(spans: pa.Array, sizes: pa.Array) -> pa.Array:
@@ -206,5 +256,5 @@ class AffixDictionary:
 
     def unknown(self, toks: DataFrame) -> DataFrame:
         """``lang, word, n`` of the distinct words of ``toks`` that are not accepted."""
-        words = toks.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+        words = _written(toks.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
         return words.join(self.accepted(words.select("lang", "word")), ["lang", "word"], "left_anti")

@@ -75,3 +75,18 @@ def test_no_words_and_no_stems(spark, book):
     assert book.unknown(none).count() == 0
     empty = A.AffixDictionary(spark.createDataFrame([], "lang string, stem string, flags array<string>"), book.rules)
     assert [tuple(r) for r in empty.unknown(spark.createDataFrame([("en", "x")], "lang string, word string")).collect()] == [("en", "x", 1)]
+
+
+def test_compounds_meet_the_stems_by_few_parts(spark):
+    rules = A.parse_rules(["COMPOUNDFLAG C"])
+    stems = ["hat", "box", "lamp", "é\U0001f600x"]
+    book = A.AffixDictionary(spark.createDataFrame([("en", w, ["C"]) for w in stems], "lang string, stem string, flags array<string>"), {"en": rules})
+    bits = A._part_bits(book.stems)
+    assert sum(b.bit_count() for b in bits) == len(stems) and len(bits) == A.FILTER_BITS // 8
+    assert sorted(A._spans("en", "hatboxé\U0001f600x", bits, 4)) == [(0, 3), (3, 6), (6, 9)]
+    # no way from start to end, one part only, another language
+    assert A._spans("en", "hatboxq" * 9, bits, 4) == A._spans("en", "hat", bits, 4) == A._spans("cy", "hatbox", bits, 4) == []
+    # a filter that knows everything changes no result
+    words = spark.createDataFrame([("en", w) for w in ("hatbox", "boxé\U0001f600xhat", "hatboxq", "hat", "Lamphat", "LAMPBOX")], "lang string, word string")
+    found = {r.word for r in book.compounds(words).collect()}
+    assert found == {"hatbox", "boxé\U0001f600xhat", "Lamphat", "LAMPBOX"}
