@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import csv
 from functools import reduce
+from xml.parsers import expat
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -22,7 +24,6 @@ UNIT_COLUMNS = ["source_lang", "source", "target_lang", "target", "source_path"]
 # --- FIXED VALUES: TMX structure ------------------------------------------------
 TU_END = "</tu>"
 TU_START = r"(?s)(<tu[\s>].*)$"
-LANG_ATTR = '@*[local-name()="lang"][1]'
 #: columns of a Wordfast memory whose file has no header with their names
 WORDFAST_COLUMNS = ("date", "user", "reuse", "src-lang", "source", "target-lang", "target",
                     "attr1", "attr2", "attr3", "attr4")
@@ -33,19 +34,92 @@ def _file_path() -> F.Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def _side(n: int, x: str = "_v"):
-    """(language, text) of the n-th ``tuv`` that has a ``seg``.
+class _Sides:
+    """Handlers that read one ``tu``: of each ``tuv`` with a ``seg``, in ``found``,
+    its first attribute of the local name ``lang`` (by name, empty if none) and
+    the text of its first ``seg``.
 
-    The language is the side's first ``lang`` attribute, whatever its
-    namespace. Only for level-2 markup (a segment with ``{`` or ``}``) the
-    segment's own text nodes are kept, joined by a space if ``{j`` occurs.
+    Only for level-2 markup (a segment with ``{`` or ``}``) the segment's own
+    text nodes are kept, joined by a space if ``{j`` occurs. Of a text node with a
+    CDATA section that is its first piece.
     """
-    tuv = f"/tu/tuv[seg][{n}]"
-    full = F.expr(f"xpath_string({x}, '{tuv}/seg')")
-    direct = F.expr(f"xpath({x}, '{tuv}/seg[1]/text()')")
-    joined = F.when(full.contains("{j"), F.array_join(direct, " ")).otherwise(F.array_join(direct, ""))
-    lang = F.expr(f"xpath_string({x}, '{tuv}/{LANG_ATTR}')")
-    return F.nullif(lang_code(lang), F.lit("")), F.when(full.rlike("[{}]"), joined).otherwise(full)
+
+    def __init__(self):
+        self.path, self.found, self.lang, self.segs = [], [], "", 0
+        self.all, self.nodes, self.inside, self.closed = [], [], False, False
+
+    def start(self, name, attributes):
+        self.inside = False
+        self.path.append(name.rpartition(":")[2])
+        if self.path == ["tu", "tuv"]:
+            langs = [kv for kv in zip(attributes[::2], attributes[1::2]) if kv[0].rpartition(":")[2] == "lang" and not kv[0].startswith("xmlns:")]
+            self.lang, self.segs, self.all, self.nodes = min(langs)[1] if langs else "", 0, [], []
+        elif self.path == ["tu", "tuv", "seg"]:
+            self.segs += 1
+
+    def end(self, name):
+        self.inside = False
+        if self.path == ["tu", "tuv"] and self.segs:
+            text = "".join(self.all)
+            if "{" in text or "}" in text:
+                text = (" " if "{j" in text else "").join(self.nodes)
+            self.found.append((self.lang, text))
+        self.path.pop()
+
+    def other(self, *_):
+        self.inside = False
+
+    def cdata(self):
+        # a section goes on the node before it, or begins one
+        if self.inside:
+            self.closed = True
+        else:
+            self.text("")
+
+    def cdata_end(self):
+        self.closed = True
+
+    def text(self, data):
+        if self.segs == 1 and self.path[:3] == ["tu", "tuv", "seg"]:
+            self.all.append(data)
+            if len(self.path) == 3:
+                if not self.inside:
+                    self.nodes.append(data)
+                elif not self.closed:
+                    self.nodes[-1] += data
+                if not self.inside:
+                    self.inside, self.closed = True, False
+
+
+def _sides_of(unit: str) -> list[tuple[str, str]] | None:
+    """(language, text) of each side of a ``tu``; None if it is no XML."""
+    sides, parser = _Sides(), expat.ParserCreate()
+    parser.ordered_attributes = parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = sides.start, sides.end, sides.text
+    parser.StartCdataSectionHandler, parser.EndCdataSectionHandler = sides.cdata, sides.cdata_end
+    parser.CommentHandler = parser.ProcessingInstructionHandler = sides.other
+    try:
+        parser.Parse(unit, True)
+    except expat.ExpatError:
+        return None
+    return sides.found
+
+
+def _parsed(batches):
+    """Batches ``_bad, _x, ...`` with the two sides of ``_x`` in place of it."""
+    for b in batches:
+        bad, out = [], []
+        for broken, unit in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            found = None if broken or unit is None else _sides_of(unit)
+            bad.append(found is None)
+            if found is None:
+                out.append((None,) * 5)
+            else:
+                (s, source), (t, target) = (*found[:2], ("", ""), ("", ""))[:2]
+                out.append((len(found) > 1, s, source, t, target))
+        two, *texts = zip(*out) if out else [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(bad, pa.bool_()), pa.array(two, pa.bool_()), *(pa.array(x, pa.string()) for x in texts), *b.columns[2:]],
+                                         names=["_bad", "_two", "_s", "source", "_t", "target", *b.schema.names[2:]])
 
 
 def tmx_units(spark: SparkSession, path: str, glob: str | None = "*.tmx") -> DataFrame:
@@ -80,12 +154,11 @@ def _units_of(records: DataFrame, *more: str) -> DataFrame:
     recs = (records.select(F.regexp_extract("value", TU_START, 1).alias("_x"), "source_path", *more).where(keep)
             .withColumn("_x", F.concat(F.col("_x"), F.lit(TU_END))))
     parsed = F.from_xml("_x", "_broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
-    recs = recs.withColumn("_bad", parsed["_broken"].isNotNull() | F.col("_x").rlike(UNDECLARED))
-    recs = recs.withColumn("_v", F.when(~F.col("_bad"), F.col("_x")))
-    (s_lang, s_text), (t_lang, t_text) = _side(1), _side(2)
-    two = F.expr("xpath_int(_v, 'count(/tu/tuv[seg])')") >= 2
-    units = recs.select("_bad", two.alias("_two"), s_lang.alias("source_lang"), s_text.alias("source"),
-                        t_lang.alias("target_lang"), t_text.alias("target"), "source_path", *more)
+    recs = recs.select((parsed["_broken"].isNotNull() | F.col("_x").rlike(UNDECLARED)).alias("_bad"), "_x", "source_path", *more)
+    # a unit is read once for all its fields
+    units = recs.mapInArrow(_parsed, ", ".join(["_bad boolean, _two boolean, _s string, source string, _t string, target string", *(f"{c} string" for c in ("source_path", *more))]))
+    lang = lambda c: F.nullif(lang_code(F.col(c)), F.lit(""))
+    units = units.select("_bad", "_two", lang("_s").alias("source_lang"), "source", lang("_t").alias("target_lang"), "target", "source_path", *more)
     sided = F.col("_two") & F.col("source_lang").isNotNull() & F.col("target_lang").isNotNull()
     return units.withColumn("reject_reason", F.when(F.col("_bad"), F.lit("malformed")).when(~F.coalesce(sided, F.lit(False)), F.lit("one_sided"))
                             ).drop("_bad", "_two")

@@ -128,3 +128,20 @@ def test_headerless_files_are_one_scan(spark):
     df = bitext.read_wordfast(spark, root)
     assert sorted(r["source"] for r in df.collect()) == [f"text {i}" for i in range(6)]
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_tmx_unit_is_read_once(spark):
+    units = {
+        '<tu><tuv lang="EN-gb" xml:lang="fr"><seg>a{j}<ph>x<b>y</b></ph>b<!-- c -->c<?pi?>d&lt;&#65;</seg><seg>2</seg></tuv>'
+        '<tuv xml:lang="cy"><note/><seg> e <i>f</i>\r\ng</seg></tuv></tu>': ("en", "a{j} b c d<A", "cy", " e f\ng", None),
+        '<tu><tuv z:lang="fr" b:lang="de"><seg>{<b>x</b>}</seg></tuv><p:tuv lang="c&#121;"><p:seg>t</p:seg></p:tuv></tu>': ("de", "{}", "cy", "t", None),
+        '<tu><tuv lang="en"><seg>}<![CDATA[<]]>u</seg></tuv><tuv lang="cy"><seg><![CDATA[<]]>u</seg></tuv></tu>': ("en", "}", "cy", "<u", None),
+        '<tu><tuv lang="en"><x><seg>a</seg></x></tuv><tuv lang="en"><seg>b</seg></tuv></tu>': ("en", "b", None, "", "one_sided"),
+        '<tu><tuv lang="en"><seg>a</tuv></tu>': (None, None, None, None, "malformed"),
+    }
+    records = spark.createDataFrame([(u.removesuffix("</tu>"), u) for u in units], "value string, source_path string")
+    df = bitext._units_of(records)
+    got = {r.source_path: (r.source_lang, r.source, r.target_lang, r.target, r.reject_reason) for r in df.collect()}
+    assert got == units
+    kept = df.where("reject_reason is null")
+    assert "xpath" not in kept._jdf.queryExecution().executedPlan().toString()
