@@ -171,3 +171,24 @@ def test_long_segments_with_moves_end():
     t = time.time()
     assert M.shifted_edits(ref, hyp) <= M.word_distance(ref, hyp)
     assert time.time() - t < 60
+
+
+def test_batches_count_like_single_segments():
+    import random
+
+    import numpy as np
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(6)] + ["é", "\U0001f600"]
+    segments = [[rnd.choices(words[:rnd.randrange(1, 9)], k=rnd.choice([0, 1, 2, 5, 20, 60])) for _ in range(2)] for _ in range(400)]
+    for i in range(100):  # some alike
+        r = rnd.choices(words, k=30)
+        segments.append([r, [w for j, w in enumerate(r) if j % rnd.randrange(3, 9)]])
+    segments.append([rnd.choices(words, k=700), rnd.choices(words, k=650)])
+    refs, hyps = [r for r, _ in segments], [h for _, h in segments]
+    assert M.hits_of(refs, hyps) == [M.alignment_hits(r, h) for r, h in segments]
+    for r, h, order in ((refs, hyps, 4), (["".join(x) for x in refs], ["".join(x) for x in hyps], 6)):
+        want = [M.gram_statistics(*M._ids(b, a), order) for a, b in zip(r, h)]
+        assert M.grams_of(h, r, order).tolist() == [[list(x) for x in row] for row in want]
+    many = [[f"x{rnd.randrange(10**5)}" for _ in range(3000)] * 2 for _ in range(30)]
+    want = [M.gram_statistics(*M._ids(a, b), 4) for a, b in zip(many, reversed(many))]
+    assert np.array_equal(M.grams_of(many, many[::-1], 4), np.array(want)) and M.grams_of([], [], 4).shape == (0, 4, 3)
