@@ -192,3 +192,19 @@ def test_batches_count_like_single_segments():
     many = [[f"x{rnd.randrange(10**5)}" for _ in range(3000)] * 2 for _ in range(30)]
     want = [M.gram_statistics(*M._ids(a, b), 4) for a, b in zip(many, reversed(many))]
     assert np.array_equal(M.grams_of(many, many[::-1], 4), np.array(want)) and M.grams_of([], [], 4).shape == (0, 4, 3)
+
+
+def test_bleu_tokens_in_the_task(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from corpusflow.functions import rules as R
+    rnd = random.Random(9)
+    bits = ["a", "B", "1", "23", ".", ",", "-", "\n", "-\n", " ", "  ", "<skipped>", "&quot;", "&amp;", "&amp;lt;", "&lt;", "'", "é", "\U0001f600", "\x1c", "\x85", "　", *map(chr, range(33, 127)), *R.PY_SPACE_CHARS]
+    texts = ["".join(rnd.choices(bits, k=rnd.randrange(60))) for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    got = {r.x: list(r.w) for r in df.select("x", M.tokenize_13a(F.col("x")).alias("w")).collect()}
+    assert {x: M.words_13a(x) for x in texts} == got
+    plan = M.bleu(df.select(F.col("x").alias("ref"), F.col("x").alias("hyp")))._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan
