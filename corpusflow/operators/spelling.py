@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions.text import alpha_tokens
 from corpusflow.operators.affixes import AffixDictionary
 from corpusflow.operators.stats import long_sides
+from corpusflow.operators.vocab import _written
 
 DEFAULT_MIN_DOCS = 3
 
@@ -70,7 +71,8 @@ def misspelt_words(pairs: DataFrame, lexicon: DataFrame | AffixDictionary, keys=
     when the source side has a misspelling, the target side is not checked, so
     its words are not counted (an anti-join of those ids on target tokens).
     """
-    toks = tokens(pairs, keys, with_side=True)
+    # read for the words and for the tokens, so the pairs are made once
+    toks = tokens(_written(pairs.select(*keys, "langs", "source", "target")), keys, with_side=True)
     bad = toks.join(unknown_words(toks, lexicon).select("lang", "word"), ["lang", "word"], "left_semi")
     if short_circuit:
         src_bad = bad.where(F.col("side") == 1).select(*keys).distinct()

@@ -127,3 +127,21 @@ def test_every_request_is_answered(spark):
     df = spark.createDataFrame([(1, "One. Two."), (2, ""), (3, None), (4, " \n"), (5, "a.\nb. c")], "k long, text string")
     got = {r.k: r.text for r in R.reassemble(R.sentence_rows(df, ["k"]), df, ["k"]).collect()}
     assert set(got) == {1, 2, 3, 4, 5} and (got[2], got[3], got[4]) == ("", None, "") and got[1] == "One  Two"
+
+
+def test_pairs_are_made_once_for_words_and_tokens(spark):
+    from pyspark.sql import functions as F
+
+    from corpusflow.operators import spelling
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(x):
+        made.add(1)
+        return x
+
+    raw = spark.createDataFrame([(i, "en-en", "good bad", "good") for i in range(8)], "id long, langs string, source string, target string")
+    pairs = raw.withColumn("source", text("source"))
+    lexicon = spark.createDataFrame([("en", "good")], "lang string, word string")
+    bad = spelling.misspelt_words(pairs, lexicon)
+    assert sorted(tuple(r) for r in bad.collect()) == [("en", "bad", i) for i in range(8)] and made.value == 8
