@@ -208,3 +208,13 @@ def test_bleu_tokens_in_the_task(spark):
     assert {x: M.words_13a(x) for x in texts} == got
     plan = M.bleu(df.select(F.col("x").alias("ref"), F.col("x").alias("hyp")))._jdf.queryExecution().executedPlan().toString()
     assert "regexp_replace" not in plan
+
+
+def test_ter_looks_for_no_move_that_wins_nothing(monkeypatch):
+    def never(*_):
+        raise AssertionError("aligned")
+
+    monkeypatch.setattr(M, "_alignment", never)
+    ref = [f"w{i}" for i in range(40)]
+    assert M.shifted_edits(ref, ["x", *ref[1:]]) == 1
+    assert M.shifted_edits(ref, [*ref[:20], "x", *ref[21:], "y"]) == 2
