@@ -4,8 +4,8 @@ Words are counted once; every pass of the training runs over that table of
 distinct words. Seed pieces are the substrings of words that weigh most by
 frequency times length. A pass sends the pieces and their log probabilities to
 the tasks (their number is a parameter, whatever the corpus), a task runs
-forward and backward over the lattice of each word and adds up expected counts
-by piece, and one aggregate over (piece, count) rows ends it. Between passes
+forward and backward over the lattices of a batch of words side by side and adds
+up expected counts by piece, and one aggregate over (piece, count) rows ends it. Between passes
 the pieces whose loss costs the least likelihood go, a quarter at a time, until
 the size is reached. Encoding is one projection of the texts: no word becomes a
 row, so no word can be hot.
@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ KEEP, PASSES = 0.75, 2
 LEAST = 0.5
 #: how much less likely than the least likely piece an unknown character is (log)
 UNKNOWN = 10.0
+#: characters up to which words are taken side by side, a step for each position, and of all those words
+SIDE_BY_SIDE, TOGETHER = 256, 100_000
 #: segmented words kept in one Python worker
 WORDS_KEPT = 200_000
 
@@ -43,7 +46,8 @@ def seed_pieces(words: DataFrame, n: int) -> DataFrame:
     parts = F.flatten(F.transform(F.sequence(F.lit(1), size), lambda i: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(LONGEST), size - i + 1)), lambda m: F.substr(F.col("w"), i, m))))
     counts = marked.select(F.explode(parts).alias("piece"), "cnt").groupBy("piece").agg(F.sum("cnt").alias("freq"))
-    counts = _written(counts)
+    # most substrings occur once; nothing below asks for them
+    counts = _written(counts.where((F.length("piece") == 1) | (F.col("freq") > 1)))
     long = counts.where((F.length("piece") > 1) & (F.col("freq") > 1))
     best = long.orderBy((F.col("freq") * F.length("piece")).desc(), "piece").limit(n)
     return counts.where(F.length("piece") == 1).unionByName(best)
@@ -107,6 +111,106 @@ class Model:
         return ahead[-1]
 
 
+class Lattices:
+    """The lattices of many ``words`` side by side: an arc for each piece that
+    stands somewhere in one, and for each character that is no piece (-1)."""
+
+    def __init__(self, trie: "Trie", words: list[str]):
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        points = np.array(memoryview("".join(words).encode("utf-32-le")).cast("I"), np.int64)
+        word = np.repeat(np.arange(len(words)), n)
+        # a word has a place before each character and one at its end
+        first = np.cumsum(n + 1) - (n + 1)
+        self.end, self.places = first + n, int((n + 1).sum())
+        place = np.arange(len(points)) + word
+        start, stop, piece = trie.found(points, np.repeat(np.cumsum(n), n))
+        self.word, self.piece = word[start], piece
+        self.start, self.stop = place[start], place[start] + stop - start
+        # arcs by where they end, those from further left first, and by where they start
+        self.ends = self._steps(self.stop - first[self.word], self.stop, self.start)
+        self.starts = self._steps(self.start - first[self.word], self.start, self.stop)[::-1]
+
+    @staticmethod
+    def _steps(at, place, other) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each position in the words: its arcs, grouped by place; where groups begin; the arcs' groups."""
+        order = np.lexsort((other, place, at))
+        cuts = np.flatnonzero(np.diff(at[order])) + 1
+        steps = []
+        for arcs in np.split(order, cuts) if len(order) else []:
+            new = np.diff(place[arcs], prepend=-1) != 0
+            steps.append((arcs, np.flatnonzero(new), np.cumsum(new) - 1))
+        return steps
+
+    def expect(self, scores: np.ndarray, times: np.ndarray, into: np.ndarray) -> np.ndarray:
+        """As ``Model.expect`` for each word; ``scores`` has that of unknown characters last."""
+        arc = scores[self.piece]
+        ahead, behind = np.zeros(self.places), np.zeros(self.places)
+        for steps, to, goal, other in ((self.ends, ahead, self.stop, self.start), (self.starts, behind, self.start, self.stop)):
+            for arcs, first, group in steps:
+                v = to[other[arcs]] + arc[arcs]
+                top = np.maximum.reduceat(v, first)
+                to[goal[arcs[first]]] = top + np.log(np.add.reduceat(np.exp(v - top[group]), first))
+        whole = ahead[self.end]
+        known = self.piece >= 0
+        p = np.exp(ahead[self.start] + arc + behind[self.stop] - whole[self.word]) * times[self.word]
+        into += np.bincount(self.piece[known], p[known], len(into))
+        return whole
+
+    def best(self, scores: np.ndarray, times: np.ndarray, into: np.ndarray) -> None:
+        """Add the ``times`` of words to the pieces of their likeliest segmentations (``Model.best``)."""
+        arc = scores[self.piece]
+        ahead, back = np.zeros(self.places), np.full(self.places, -1)
+        for arcs, first, group in self.ends:
+            v = ahead[self.start[arcs]] + arc[arcs]
+            top = np.maximum.reduceat(v, first)
+            ahead[self.stop[arcs[first]]] = top
+            # of equally likely ones the longer piece, which comes first
+            likeliest = np.flatnonzero(v == top[group])[::-1]
+            back[self.stop[arcs[likeliest]]] = arcs[likeliest]
+        arcs = back[self.end]
+        while len(arcs := arcs[arcs >= 0]):
+            known = arcs[self.piece[arcs] >= 0]
+            into += np.bincount(self.piece[known], times[self.word[known]], len(into))
+            arcs = back[self.start[arcs]]
+
+
+class Trie:
+    """Finds all pieces in texts, one more character of all places at a time."""
+
+    def __init__(self, pieces: list[str]):
+        self.chars = np.array(sorted({ord(c) for p in pieces for c in p}), np.int64)
+        code = {chr(c): i for i, c in enumerate(self.chars.tolist())}
+        nodes, at = {}, {}
+        for i, p in enumerate(pieces):
+            node = 0
+            for c in p:
+                node = nodes.setdefault(node * len(code) + code[c], len(nodes) + 1)
+            at[node] = i
+        self.keys = np.array(sorted(nodes), np.int64)
+        self.next = np.array([nodes[k] for k in self.keys.tolist()], np.int64)
+        self.piece = np.array([at.get(n, -1) for n in range(len(nodes) + 1)], np.int64)
+
+    def found(self, points: np.ndarray, until: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, piece) of the pieces in ``points``, none over the ends
+        ``until`` of its word; -1 for a character that is no piece."""
+        code = np.searchsorted(self.chars, points)
+        code[np.append(self.chars, -1)[code] != points] = -1
+        start, node, n, out = np.arange(len(points)), np.zeros(len(points), np.int64), 0, []
+        while len(start):
+            c = code[start + n]
+            key = node * len(self.chars) + c
+            at = np.searchsorted(self.keys, key)
+            on = (c >= 0) & (np.append(self.keys, -1)[at] == key)
+            node = np.where(on, np.append(self.next, 0)[at], 0)
+            piece = np.where(on, self.piece[node], -1)
+            n += 1
+            some = piece >= 0 if n > 1 else np.ones(len(start), bool)
+            out.append((start[some], start[some] + n, piece[some]))
+            on &= start + n < until[start]
+            start, node = start[on], node[on]
+        return tuple(np.concatenate(x) for x in zip(*out)) if out else tuple(np.zeros(0, np.int64) for _ in range(3))
+
+
 def _log_sum(x: list[float]) -> float:
     top = max(x, default=-math.inf)
     return top if top == -math.inf else top + math.log(sum(math.exp(v - top) for v in x))
@@ -122,17 +226,36 @@ def digamma(x: float) -> float:
     return out + math.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y / 132))))
 
 
-def _by_piece(words: DataFrame, model: Model, of: Callable) -> tuple[dict[str, float], float]:
-    """Sums by piece, and the sum of what ``of(model, word, cnt, sums)`` returns, over ``words(word, cnt)``."""
+def _by_piece(words: DataFrame, model: Model, many: Callable, one: Callable) -> tuple[dict[str, float], float]:
+    """Sums by piece over ``words(word, cnt)``, and the sum of the log likelihoods returned.
+
+    ``many(lattices, scores, times, sums)`` takes words side by side, ``one(model,
+    word, times, sums)`` one of the long ones; both return log likelihoods or None.
+    """
     shared = words.sparkSession.sparkContext.broadcast((model.pieces, model.scores))
 
     def run(batches):
-        own, sums, total = Model(*shared.value), {}, 0.0
+        own = Model(*shared.value)
+        trie, scores = Trie(own.pieces), np.array([*own.scores, own.unknown])
+        sums, met, total = np.zeros(len(own.pieces)), np.zeros(len(own.pieces), bool), 0.0
         for b in batches:
-            for word, cnt in zip(b.column("word").to_pylist(), b.column("cnt").to_pylist()):
-                total += of(own, WORD_START + word, cnt, sums) * cnt
-        ids = [-1, *sums]
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([total, *sums.values()], pa.float64())], names=["i", "v"])
+            marked = [WORD_START + w for w in b.column("word").to_pylist()]
+            times = b.column("cnt").to_numpy(zero_copy_only=False).astype(float)
+            size = np.fromiter(map(len, marked), np.int64, len(marked))
+            short = np.flatnonzero(size <= SIDE_BY_SIDE)
+            for few in np.split(short, np.flatnonzero(np.diff(np.cumsum(size[short]) // TOGETHER)) + 1):
+                lattices = Lattices(trie, [marked[i] for i in few])
+                met[lattices.piece[lattices.piece >= 0]] = True
+                said = many(lattices, scores, times[few], sums)
+                total += 0.0 if said is None else float(said @ times[few])
+            for i in np.flatnonzero(size > SIDE_BY_SIDE):
+                found: dict[int, float] = {}
+                total += (one(own, marked[i], times[i], found) or 0.0) * times[i]
+                for k, v in found.items():
+                    sums[k] += v
+                    met[k] = True
+        ids = np.flatnonzero(met)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *ids.tolist()], pa.int64()), pa.array([total, *sums[ids].tolist()], pa.float64())], names=["i", "v"])
 
     rows = words.select("word", "cnt").mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v"))
     # no more rows than pieces
@@ -143,18 +266,18 @@ def _by_piece(words: DataFrame, model: Model, of: Callable) -> tuple[dict[str, f
 
 def expected_counts(words: DataFrame, model: Model) -> tuple[dict[str, float], float]:
     """Expected count of each piece and log likelihood of ``words(word, cnt)``."""
-    return _by_piece(words, model, lambda m, word, cnt, sums: m.expect(word, cnt, sums))
+    return _by_piece(words, model, lambda lattices, *x: lattices.expect(*x), lambda m, *x: m.expect(*x))
 
 
 def best_counts(words: DataFrame, model: Model) -> dict[str, float]:
     """Count of each piece in the likeliest segmentations."""
-    def of(m, word, cnt, sums):
+    def one(m, word, times, sums):
         for *_, i in m.best(word):
             if i >= 0:
-                sums[i] = sums.get(i, 0.0) + cnt
-        return 0.0
+                sums[i] = sums.get(i, 0.0) + times
 
-    return _by_piece(words, model, of)[0]
+    found, _ = _by_piece(words, model, lambda lattices, *x: lattices.best(*x), one)
+    return {p: n for p, n in found.items() if n}
 
 
 def maximised(counts: dict[str, float], chars) -> Model:

@@ -83,6 +83,39 @@ def test_expectation_against_all_segmentations(texts, counts):
         assert best == dict(listed)
 
 
+def test_words_side_by_side_are_as_one_by_one(monkeypatch):
+    """The sums of a batch of words against those of each word alone, and long words by themselves."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aab¼é😀c漢") for _ in range(rng.randint(0, 14))) for _ in range(300)] + ["a" * 90]
+    pieces = sorted({w[i:i + n] for w in words for n in (1, 2, 3, 5) for i in range(0, len(w) - n, 3)} - {"漢", ""})
+    # equal scores, so that ties are met
+    model = U.Model(pieces, [-1.0 - rng.randint(1, 3) * len(p) ** 0.5 for p in pieces])
+    marked, times = [MARK + w for w in words], U.np.arange(1.0, len(words) + 1)
+    scores = U.np.array([*model.scores, model.unknown])
+    lattices = U.Lattices(U.Trie(pieces), marked)
+    expected, best = U.np.zeros(len(pieces)), U.np.zeros(len(pieces))
+    said = lattices.expect(scores, times, expected)
+    lattices.best(scores, times, best)
+    want, listed = {}, Counter()
+    assert said.tolist() == pytest.approx([model.expect(w, n, want) for w, n in zip(marked, times)])
+    assert expected.tolist() == pytest.approx([want.get(i, 0.0) for i in range(len(pieces))])
+    for w, n in zip(marked, times):
+        listed.update({i: n * c for i, c in Counter(i for *_, i in model.best(w)).items()})
+    assert best.tolist() == [listed.get(i, 0) for i in range(len(pieces))]
+    empty = U.Lattices(U.Trie(pieces), [])
+    assert len(empty.expect(scores, times[:0], expected)) == 0
+
+
+def test_long_words_and_short_ones_add_up(texts, monkeypatch):
+    words = word_counts(texts.where("text is not null"))
+    model = U.Model(list("▁lowarneidstg") + ["er", "▁lo"], [-2.0 - i / 10 for i in range(15)])
+    whole = U.expected_counts(words, model), U.best_counts(words, model)
+    long = words.unionByName(words.selectExpr("repeat(word, 60) AS word", "0L AS cnt"))
+    counts, likelihood = U.expected_counts(long, model)
+    assert likelihood == pytest.approx(whole[0][1]) and counts == pytest.approx(whole[0][0])
+    assert U.best_counts(long, model) == whole[1]
+
+
 def test_pruning_keeps_what_costs_most(counts):
     """The loss of a piece against the likelihood of segmentations made anew without it."""
     scores = {p: math.log(f) for p, f in {"▁": .1, "l": .1, "o": .1, "w": .1, "e": .1, "r": .1, "lo": .1, "low": .12, "er": .13, "we": .02}.items()}
