@@ -40,3 +40,33 @@ def test_nothing_to_learn(spark):
     empty = df.where("id < 0")
     assert B.abbreviation_scores(empty).count() == 0
     assert B.trained_sentence_rows(df, ["id"], B.abbreviations(scores)).where(F.col("id") == 2).count() == 2
+
+
+def test_whitespace_of_tokens_is_that_of_the_rules():
+    import sys
+    from corpusflow.functions import rules as R
+    assert {c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()} == set(R.PY_SPACE_CHARS)
+
+
+def test_tokens_are_counted_before_they_are_rows(spark, monkeypatch):
+    """A task passes on a row for each different token, not for each token; also when it does so early."""
+    df = spark.createDataFrame([(None, "a\u2003b. a"), ("en", None), ("en", "")] + [("en", "one two. one\u00a0 \n two.")] * 500, "lang string, text string").coalesce(1)
+    want = {("en", "one"): 1000, ("en", "two."): 1000, (None, "a"): 2, (None, "b."): 1}
+    rows = B.token_counts(df).collect()
+    assert {(r.lang, r.t): r.n for r in rows} == want and len(rows) == 4
+    monkeypatch.setattr(B, "MOST_TOKENS", 1)
+    scores = {(r.lang, r.word): (r.n_stop, r.n_free) for r in B.abbreviation_scores(df).collect()}
+    assert scores == {("en", "one"): (0, 1000), ("en", "two"): (1000, 0), (None, "a"): (0, 2), (None, "b"): (1, 0)}
+
+
+def test_few_abbreviations_are_sent_and_many_joined(spark, monkeypatch):
+    """The pieces are shuffled by the text's key only; the same sentences come of both ways."""
+    df = corpus(spark)
+    short = B.abbreviations(B.abbreviation_scores(df))
+    sent = B.trained_sentence_rows(df, ["id"], short)
+    plan = sent._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+    monkeypatch.setattr(B, "MOST_SENT", 0)
+    joined = B.trained_sentence_rows(df, ["id"], short)
+    assert "strategy=broadcast" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, sent.collect())) == sorted(map(tuple, joined.collect()))
