@@ -7,24 +7,28 @@ trigger, and a phrase is what the consecutive windows of one trigger cover. So
 equal windows have equal triggers wherever they are, and each lies in one
 phrase of its document.
 
-Documents lie in chunks by a hash of doc_id. Two rounds go from chunks to
+Documents lie in chunks by a hash of doc_id. Three rounds go from chunks to
 shards and back:
 
 1. each chunk sends its distinct trigger grams to shards by gram; a gram of
    one document only can be no part of a repeat; a bit for each says so;
-2. each chunk sends its dictionary, the distinct phrases with the other
-   triggers, with the smallest doc_id that has them. A shard sorts the suffixes
-   of its phrases (their windows, cut at 50 bytes) into one order, in which
-   equal windows are neighbours, and takes the smallest doc_id of each. These
-   ids come back, and the chunk applies them to its parse, the sequence of
-   phrases of each document.
+2. each chunk sends hashes of its dictionary, the distinct phrases with the
+   other triggers, with the smallest doc_id that has them. A phrase that a
+   smaller document of another chunk has goes whole. Of the others a phrase is
+   asked for if its trigger stands in a second phrase;
+3. these are sent, each by the one chunk of its smallest doc_id. A shard sorts
+   the suffixes of its phrases (their windows, cut at 50 bytes) into one order,
+   in which equal windows are neighbours; a bit for each window says whether a
+   smaller document has it. The chunk applies what came back to its parse, the
+   sequence of phrases of each document.
 
 Whole copies of a text are told by hash before and take no part in the rounds.
 Whatever many documents share is sent once by each chunk, so hot passages do
-not gather. A gram that very many chunks have stands before too many different
-contexts for one shard; its phrases are sent window by window, to shards by
-the whole window. Texts are moved once, into a table bucketed by chunk that
-all rounds read in place.
+not gather. A gram that stands before very many different contexts is too much
+for one shard; the hashes of its phrases are sent window by window, to shards by
+the whole window, which then need not be asked for. Texts are parsed and moved
+once, into a table bucketed by chunk that all rounds read in place. Chunks and
+shards have so many bytes of text each, and are held as arrays.
 """
 
 from __future__ import annotations
@@ -44,10 +48,14 @@ WIDTH = 50
 GRAM = 24
 #: text bytes that a chunk should not exceed (a longer text is a chunk's whole)
 CHUNK_BYTES = 16 << 20
-#: chunks with a gram from which its phrases are sent window by window
+#: text bytes whose phrases a shard should not exceed, and for fewer of which there is no further shard
+SHARD_BYTES, LEAST_BYTES = 8 << 20, 1 << 20
+#: a gram's phrases, counted by chunk, are sent window by window from the square of this on
 HOT_CHUNKS = 128
 #: windows that a shard sorts at a time
 SORT_WINDOWS = 200_000
+#: windows that are parsed at a time, and pieces that are handled at a time
+BLOCK, PIECES = 1 << 18, 1 << 15
 
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
@@ -63,61 +71,70 @@ def _grams(raw: np.ndarray) -> np.ndarray:
     return mix64(of[16][:-8] * np.uint64(pow(_BASE, 8, 1 << 64)) + of[8][16:])
 
 
-def parse(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The phrases of ``text``: trigger gram hash, first and last window start."""
-    if len(text) < WIDTH:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    g = _grams(np.frombuffer(text, np.uint8))
-    wide = WIDTH - GRAM + 1
-    low = (g & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(g), dtype=np.uint64)
-    n = 1
-    while 2 * n <= wide:
-        low = np.minimum(low[:-n], low[n:])
-        n *= 2
-    if wide > n:
-        low = np.minimum(low[:len(low) - (wide - n)], low[wide - n:])
-    at = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    cut = np.flatnonzero(np.diff(at)) + 1
-    first = np.concatenate(([0], cut))
-    return g[at[first]], first, np.concatenate((cut, [len(at)])) - 1
+def _triggers(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each phrase of ``text`` the trigger gram's hash and place, and the first window."""
+    raw, wide = np.frombuffer(text, np.uint8), WIDTH - GRAM + 1
+    grams, at, first = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for begin in range(0, len(text) - WIDTH + 1, BLOCK):
+        g = _grams(raw[begin:begin + BLOCK + WIDTH - 1])
+        low = (g & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(g), dtype=np.uint64)
+        n = 1
+        while 2 * n <= wide:
+            low = np.minimum(low[:-n], low[n:])
+            n *= 2
+        if wide > n:
+            low = np.minimum(low[:len(low) - (wide - n)], low[wide - n:])
+        place = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        new = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+        if begin and place[0] + begin == at[-1][-1]:  # goes on
+            new = new[1:]
+        grams.append(g[place[new]])
+        at.append(place[new] + begin)
+        first.append(new + begin)
+    return np.concatenate(grams), np.concatenate(at), np.concatenate(first)
 
 
-def _has(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Which keys are in the sorted table."""
-    if not len(table):
-        return np.zeros(len(keys), bool)
-    return table[np.minimum(np.searchsorted(table, keys), len(table) - 1)] == keys
+def parse(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The phrases of ``text``: trigger gram hash, first and last window start."""
+    g, _, first = _triggers(text)
+    return g, first, np.append(first[1:], len(text) - WIDTH + 1)[:len(first)] - 1
+
+
+def marks(text: bytes) -> bytes:
+    """The parse of ``text``, a byte a phrase: how far its trigger is behind the one
+    before, and whether it is the trigger from when it came into the window, or
+    from when the one before left it."""
+    _, at, first = _triggers(text)
+    came = np.append(False, first[1:] != at[:-1] + 1)[:len(at)]
+    return (2 * np.diff(at, prepend=0) + came).astype(np.uint8).tobytes()
+
+
+def phrases(marked: np.ndarray, count: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Trigger place, first and last window of the phrases of texts that stand at
+    ``start`` in a buffer; ``marked`` has the marks of all, ``count`` how many of each."""
+    step = (marked >> 1).astype(np.int64)
+    start, size, count = start[count > 0], size[count > 0], count[count > 0]
+    head = np.cumsum(count) - count
+    at = np.cumsum(step)
+    at += np.repeat(start - at[head] + step[head], count)
+    first = np.where(marked & 1, at - (WIDTH - GRAM), np.append(0, at)[:len(at)] + 1)
+    first[head] = start
+    last = np.append(first[1:], 0)[:len(at)] - 1
+    last[head + count - 1] = start + size - WIDTH
+    return at, first, last
 
 
-def _pieces(text: bytes, phrases, grams: np.ndarray, hot: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(key, id, first, last) of what of ``text`` is looked at: ``phrases`` whose
-    trigger is in ``grams``, and the single windows of those in ``hot``."""
-    from xxhash import xxh3_64_intdigest as digest
-    g, first, last = phrases
-    single = _has(hot, g)
-    out = []
-    some = np.flatnonzero(_has(grams, g) | single)
-    for key, a, b, alone in zip(g[some].tolist(), first[some].tolist(), last[some].tolist(), single[some].tolist()):
-        if alone:
-            for i in range(a, b + 1):
-                h = digest(text[i:i + WIDTH])
-                out.append((h, h, i, i))
-        else:
-            out.append((key, digest(text[a:b + WIDTH]), a, b))
-    return out
+def _blob(a: np.ndarray) -> bytes:
+    return np.ascontiguousarray(a).tobytes()
 
 
-def _by_shard(keys: np.ndarray, shards: int):
-    """(shard, indexes in order) of the keys of each shard."""
-    part = (mix64(keys) % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    cut = np.flatnonzero(np.diff(part[order])) + 1
-    for idx in np.split(order, cut) if len(order) else []:
-        yield int(part[idx[0]]), idx
+def _planes(a: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, so that equal upper bytes stand together."""
+    return _blob(a.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
 
 
-def _blob(a: np.ndarray) -> bytes:
-    return np.ascontiguousarray(a).tobytes()
+def _unplanes(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
 
 
 def _bits(a: np.ndarray) -> bytes:
@@ -132,11 +149,33 @@ def _binary(values) -> pa.Array:
     return pa.array(values, pa.binary())
 
 
+def _cut(a: np.ndarray, sizes) -> list[np.ndarray]:
+    return np.split(a, np.cumsum(sizes)[:-1]) if len(sizes) else []
+
+
+def _groups(keys: np.ndarray) -> np.ndarray:
+    """Where in sorted keys each begins."""
+    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+
+
+def _digests(text: bytes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of ``text[a:b]``, many at a time."""
+    from xxhash import xxh3_64_intdigest as digest
+    view, out = memoryview(text), np.empty(len(a), np.uint64)
+    for k in range(0, len(a), PIECES):
+        x, y = a[k:k + PIECES].tolist(), b[k:k + PIECES].tolist()
+        out[k:k + len(x)] = np.fromiter((digest(view[i:j]) for i, j in zip(x, y)), np.uint64, len(x))
+    return out
+
+
 class Chunk:
     """The documents of a chunk and what came back to it.
 
-    Answers are given in the order in which the chunk asked: by shard, then by
-    value, which does not depend on the order of rows.
+    Texts stand in one buffer with a byte between them. A key is a shard's
+    number and 32 bits of a hash, which tell a shard's keys apart but for a few;
+    those are then looked at with others'. Answers are given in the order in
+    which the chunk asked: by shard, then by key of a gram or hash of a phrase,
+    which does not depend on the order of rows.
     """
 
     def __init__(self, table: pa.Table, answers: pa.Table, shards: int):
@@ -144,216 +183,271 @@ class Chunk:
         import zstandard
         unpack = zstandard.ZstdDecompressor().decompress
         self.shards, self.number = shards, table["chunk"][0].as_py() if len(table) else None
-        self.answers = answers.to_pylist()
-        copies = {(r["doc_id"], r["hash"]) for r in self.answers if r["hash"] is not None}
-        self.docs = []  # doc_id, text, whether it is a copy of a smaller document
-        for d, z in zip(table["doc_id"].to_pylist(), table["packed"].to_pylist()):
-            text = unpack(z)
-            h = xxhash.xxh64_intdigest(text, 42)
-            self.docs.append((d, text, (d, h - (h >> 63 << 64)) in copies))
-
-        # the parse of those that take part: with an id, long enough, no copies
-        self.phrases = {k: parse(text) for k, (d, text, copy) in enumerate(self.docs)
-                        if d is not None and not copy and len(text) >= WIDTH}
-
-    def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct trigger grams, and whether several documents have them."""
-        grams, docs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for k, (g, _, _) in self.phrases.items():
-            grams.append(np.unique(g))
-            docs.append(np.full(len(grams[-1]), self.docs[k][0], np.int64))
-        g, d = np.concatenate(grams), np.concatenate(docs)
-        order = np.lexsort((d, g))
-        g, d = g[order], d[order]
-        start = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else np.empty(0, np.int64)
-        end = np.append(start[1:], len(g)) - 1 if len(g) else start
-        return g[start], d[start] != d[end]
-
-    def pieces(self) -> dict[int, list]:
-        """By document, what is looked at: what has grams that other documents have too."""
-        told = {r["shard"]: r for r in self.answers if r["shared"] is not None}
-        g = self.grams()[0]
-        cold, hot = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
-        for p, idx in _by_shard(g, self.shards):
-            cold.append(g[idx][_flags(told[p]["shared"], len(idx))])
-            hot.append(g[idx][_flags(told[p]["hot"], len(idx))])
-        cold, hot = np.sort(np.concatenate(cold)), np.sort(np.concatenate(hot))
-        if not len(cold) and not len(hot):
-            return {}
-        return {k: _pieces(self.docs[k][1], phrases, cold, hot) for k, phrases in self.phrases.items()}
-
-    def dictionary(self, pieces: dict[int, list]):
-        """(shard, ids, entries) of the distinct pieces: id -> key, smallest doc_id, bytes."""
-        entry: dict[int, tuple] = {}
-        for k in sorted(pieces, key=lambda k: self.docs[k][0]):  # the first is of the smallest id
-            d, text, _ = self.docs[k]
-            for key, pid, a, b in pieces[k]:
-                if pid not in entry:
-                    entry[pid] = (key, d, text[a:b + WIDTH])
-        pid = np.sort(np.fromiter(entry, np.uint64, len(entry)))
-        keys = np.fromiter((entry[p][0] for p in pid.tolist()), np.uint64, len(pid))
-        for p, idx in _by_shard(keys, self.shards):
-            ids = pid[idx].tolist()
-            yield p, ids, [entry[i] for i in ids]
+        self.answers = sorted((r for r in answers.to_pylist() if r["shard"] is not None), key=lambda r: r["shard"])
+        copies = {tuple(x) for x in zip(answers["doc_id"].to_pylist(), answers["hash"].to_pylist()) if x[1] is not None}
+        self.ids, texts, marked = table["doc_id"].to_pylist(), [], []
+        self.copy = []  # whether it is a copy of a smaller document
+        for d, z, m in zip(self.ids, table["packed"].to_pylist(), table["marks"].to_pylist()):
+            texts.append(unpack(z))
+            h = xxhash.xxh64_intdigest(texts[-1], 42) if copies else 0
+            self.copy.append((d, h - (h >> 63 << 64)) in copies)
+            # the parse of those that take part: with an id, long enough, no copies
+            marked.append(b"" if d is None or self.copy[-1] else unpack(m))
+        self.size = np.array([len(t) for t in texts], np.int64)
+        self.start = np.cumsum(self.size + 1) - self.size - 1
+        self.text = b"\0".join(texts)
+        count = np.array([len(m) for m in marked], np.int64)
+        at, self.first, self.last = phrases(np.frombuffer(b"".join(marked), np.uint8), count, self.start, self.size)
+        self.doc = np.repeat(np.array([d or 0 for d in self.ids], np.int64), count)
+        self.key = self._keys(at)
+
+    def _keyed(self, to_shard: np.ndarray, low: np.ndarray) -> np.ndarray:
+        return (mix64(to_shard) % np.uint64(self.shards)) << np.uint64(32) | low & np.uint64(0xFFFFFFFF)
+
+    def _keys(self, at: np.ndarray) -> np.ndarray:
+        """The keys of the grams at these places."""
+        raw, out = np.frombuffer(self.text, np.uint8), np.empty(len(at), np.uint64)
+        for k in range(0, len(at), PIECES):
+            words = raw[at[k:k + PIECES, None] + np.arange(GRAM)].view(np.uint64)
+            h = np.full(len(words), _BASE, np.uint64)
+            for w in range(GRAM // 8):
+                h = mix64(h ^ words[:, w]) * np.uint64(_BASE)
+            out[k:k + len(h)] = self._keyed(h, h)
+        return out
+
+    def _told(self, what: str, shard: np.ndarray, bits: np.ndarray | None = None) -> np.ndarray:
+        """The answers to what was asked of these shards (in order), ``bits`` of each."""
+        bits = np.ones(len(shard), np.int64) if bits is None else bits
+        head = _groups(shard)
+        blobs = {r["shard"]: r[what] for r in self.answers if r[what] is not None}
+        return np.concatenate([np.empty(0, bool), *(_flags(blobs[int(p)], int(n)) for p, n in zip(shard[head], np.add.reduceat(bits, head) if len(head) else ()))])
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct keys of trigger grams, whether several documents have them, and in how many phrases."""
+        order = np.argsort(self.key)
+        key, doc = self.key[order], self.doc[order]
+        head = _groups(key)
+        many = np.diff(np.append(head, len(key)))
+        twice = np.minimum.reduceat(doc, head) != np.maximum.reduceat(doc, head) if len(head) else np.empty(0, bool)
+        # of those that stand in several places the different phrases are counted
+        some = order[np.repeat(many > 1, many)]
+        owner = np.repeat(np.arange(len(head)), many)[np.repeat(many > 1, many)]
+        if len(some):
+            pid = _digests(self.text, self.first[some], self.last[some] + WIDTH)
+            by = np.argsort(pid)  # equal phrases have equal grams
+            many = np.where(many > 1, np.bincount(owner[by][_groups(pid[by])], minlength=len(head)), many)
+        return key[head], twice, many
+
+    def look(self) -> None:
+        """What is looked at: phrases whose grams other documents have too, the
+        single windows of hot ones, and the dictionary, these once each."""
+        key, flag = np.unique(self.key, return_inverse=True)
+        shard = (key >> np.uint64(32)).astype(np.int64)
+        cold, hot = (np.flatnonzero(self._told(x, shard)[flag]) for x in ("shared", "hot"))
+        del key, flag, shard
+        windows = self.last[hot] - self.first[hot] + 1
+        of = np.repeat(hot, windows)
+        single = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows - self.first[hot], windows)
+        self.a, self.b = np.concatenate((self.first[cold], single)), np.concatenate((self.last[cold], single))
+        del single
+        pid, self.whose = _digests(self.text, self.a, self.b + WIDTH), np.concatenate((self.doc[cold], self.doc[of]))
+        h = pid[len(cold):]
+        keys = np.concatenate((self.key[cold], self._keyed(h, mix64(h ^ self.key[of]))))
+        del of, h, cold
+        order = np.argsort(pid)  # equal pieces have equal keys
+        head = _groups(pid[order])
+        least = np.minimum.reduceat(self.whose[order], head) if len(head) else np.empty(0, np.int64)
+        one = order[head]
+        keys, pid = keys[one], pid[one]
+        by = np.argsort(keys >> np.uint64(32), kind="stable")
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        self.entry = np.empty(len(order), np.int64)
+        self.entry[order] = np.repeat(rank, np.diff(np.append(head, len(order))))
+        self.one, self.keys, self.pids, self.least = one[by], keys[by], pid[by], least[by]
+        self.shard = (self.keys >> np.uint64(32)).astype(np.int64)
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of the dictionary what goes whole, and the places of what is asked for."""
+        return self._told("gone", self.shard), np.flatnonzero(self._told("ask", self.shard))
+
+    def rows(self, shard: np.ndarray, **columns) -> pa.Table:
+        """A row for each shard; columns: arrays in order of shards, and how their parts are written."""
+        head = _groups(shard)
+        n = np.diff(np.append(head, len(shard)))
+        return pa.table({"shard": pa.array(shard[head], pa.int32()), "chunk": pa.array([self.number] * len(head), pa.int32())}
+                        | {c: _binary([how(x) for x in _cut(a, n)]) for c, (a, how) in columns.items()})
 
 
 def _round_one(shards: int):
     """Chunk -> its distinct trigger grams, by shard; ``twice``: in several of its documents."""
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         c = Chunk(table, answers, shards)
-        g, twice = c.grams()
-        parts = list(_by_shard(g, shards))
-        return pa.table({"shard": pa.array([p for p, _ in parts], pa.int32()), "chunk": pa.array([c.number] * len(parts), pa.int32()),
-                         "grams": _binary([_blob(g[i]) for _, i in parts]), "twice": _binary([_bits(twice[i]) for _, i in parts])})
+        key, twice, many = c.grams()
+        return c.rows((key >> np.uint64(32)).astype(np.int64), grams=(key.astype(np.uint32), _blob), twice=(twice, _bits),
+                      many=(np.minimum(many, 0xFFFF).astype(np.uint16), _blob))
     return run
 
 
+def _column(shard: pa.Table, name: str, dtype) -> tuple[np.ndarray, list[int]]:
+    """The values of all rows, and how many each has."""
+    each = [np.frombuffer(b, dtype) for b in shard[name].to_pylist()]
+    return np.concatenate(each), [len(x) for x in each]
+
+
 def _repeated(hot_chunks: int):
     """Shard -> for each chunk a bit for each of its grams: in several documents, and hot."""
     def run(shard: pa.Table) -> pa.Table:
-        grams = [np.frombuffer(b, np.uint64) for b in shard["grams"].to_pylist()]
-        twice = [_flags(b, len(g)) for b, g in zip(shard["twice"].to_pylist(), grams)]
-        _, inverse, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+        grams, n = _column(shard, "grams", np.uint32)
+        _, inverse, count = np.unique(grams, return_inverse=True, return_counts=True)
         many = count > 1
-        many[inverse[np.concatenate(twice)]] = True
-        hot = many & (count >= hot_chunks)
-        cut = np.cumsum([len(x) for x in grams])[:-1]
+        many[inverse[np.concatenate([_flags(b, k) for b, k in zip(shard["twice"].to_pylist(), n)])]] = True
+        hot = many & (np.bincount(inverse, _column(shard, "many", np.uint16)[0]) >= hot_chunks ** 2)
         return pa.table({"chunk": shard["chunk"], "shard": shard["shard"],
-                         "shared": _binary([_bits(x) for x in np.split((many & ~hot)[inverse], cut)]),
-                         "hot": _binary([_bits(x) for x in np.split(hot[inverse], cut)])})
+                         "shared": _binary([_bits(x) for x in _cut((many & ~hot)[inverse], n)]),
+                         "hot": _binary([_bits(x) for x in _cut(hot[inverse], n)])})
     return run
 
 
 def _round_two(shards: int):
-    """Chunk -> its dictionary: each looked-at piece once with its smallest doc_id, by shard."""
+    """Chunk -> hashes of its dictionary: each looked-at piece once with its smallest doc_id, by shard."""
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        c = Chunk(table, answers, shards)
+        c.look()
+        return c.rows(c.shard, key=(c.keys.astype(np.uint32), _blob), pid=(c.pids, _blob), least=(c.least, _planes))
+    return run
+
+
+def _first_of(shard: pa.Table) -> pa.Table:
+    """Shard -> for each chunk two bits for each of its pieces: a smaller document of
+    another chunk has it; the piece is needed, as others have its key."""
+    key, n = _column(shard, "key", np.uint32)
+    pid, _ = _column(shard, "pid", np.uint64)
+    least = np.concatenate([_unplanes(b) for b in shard["least"].to_pylist()])
+    order = np.lexsort((least, pid, key))
+    k, p = key[order], pid[order]
+    one = order[np.append(True, (k[1:] != k[:-1]) | (p[1:] != p[:-1]))[:len(k)]]
+    same = key[one][1:] == key[one][:-1]
+    gone, ask = np.ones(len(key), bool), np.zeros(len(key), bool)
+    gone[one] = False
+    ask[one] = np.append(same, False) | np.append(False, same)
+    return pa.table({"chunk": shard["chunk"], "shard": shard["shard"],
+                     "gone": _binary([_bits(x) for x in _cut(gone, n)]), "ask": _binary([_bits(x) for x in _cut(ask, n)])})
+
+
+def _round_three(shards: int):
+    """Chunk -> the pieces it was asked for, by shard."""
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         c = Chunk(table, answers, shards)
-        parts = list(c.dictionary(c.pieces()))
-        return pa.table({
-            "shard": pa.array([p for p, _, _ in parts], pa.int32()), "chunk": pa.array([c.number] * len(parts), pa.int32()),
-            "key": _binary([np.array([e[0] for e in es], np.uint64).tobytes() for _, _, es in parts]),
-            "least": _binary([np.array([e[1] for e in es], np.int64).tobytes() for _, _, es in parts]),
-            "size": _binary([bytes(len(e[2]) for e in es) for _, _, es in parts]),
-            "body": _binary([b"".join([e[2] for e in es]) for _, _, es in parts])})
+        c.look()
+        _, ask = c.asked()
+        a, z = c.a[c.one[ask]], c.b[c.one[ask]] + WIDTH
+        body = lambda of: b"".join([c.text[i:j] for i, j in of.tolist()])
+        return c.rows(c.shard[ask], key=(c.keys[ask].astype(np.uint32), _blob), least=(c.least[ask], _planes),
+                      size=((z - a).astype(np.uint8), _blob), body=(np.stack((a, z), 1), body))
     return run
 
 
-def _least_of_windows(body, start, windows, least, ids, at) -> None:
-    """Puts the smallest ``least`` of each window of the phrases into ``ids``: the
-    phrases' suffixes in one order, equal windows side by side."""
+def _smaller(body, start, windows, least) -> np.ndarray:
+    """Of each window of the phrases whether one of smaller ``least`` has it: their
+    suffixes in one order, equal windows side by side."""
     owner = np.repeat(np.arange(len(start)), windows)
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
     text = np.ascontiguousarray(body[(start[owner] + offset)[:, None] + np.arange(WIDTH)]).view(f"S{WIDTH}").ravel()
-    by = np.lexsort((least[owner], text))
-    first = np.append(True, text[by][1:] != text[by][:-1])
-    low = np.empty(len(owner), np.int64)
-    low[by] = least[owner][by][np.flatnonzero(first)[np.cumsum(first) - 1]]
-    ids[at[owner] + offset] = low
-
-
-def _smallest(shard: pa.Table, sort_windows: int) -> pa.Table:
-    """Shard -> for each chunk the smallest doc_ids of its pieces, in its order.
-
-    ``runs`` is how many ids a piece has: one for all of its windows, or one
-    for each.
-    """
-    import xxhash
-    sizes = [np.frombuffer(b, np.uint8).astype(np.int64) for b in shard["size"].to_pylist()]
-    size, key = np.concatenate(sizes), np.frombuffer(b"".join(shard["key"].to_pylist()), np.uint64)
-    least = np.frombuffer(b"".join(shard["least"].to_pylist()), np.int64)
-    raw = b"".join(shard["body"].to_pylist())
-    body, start = np.frombuffer(raw, np.uint8), np.cumsum(size) - size
-    pid = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:a + n]) for a, n in zip(start.tolist(), size.tolist())), np.uint64, len(size))
-    order = np.lexsort((least, pid, key))
-    new = np.append(True, (pid[order][1:] != pid[order][:-1]) | (key[order][1:] != key[order][:-1]))
-    one = order[new]  # of each phrase the entry of smallest doc_id
-    which = np.empty(len(order), np.int64)
-    which[order] = np.cumsum(new) - 1
-    k1, least1, windows, start1 = key[one], least[one], size[one] - WIDTH + 1, start[one]
-    shared = np.append(k1[1:] == k1[:-1], False) | np.append(False, k1[1:] == k1[:-1])
-    runs = np.where(shared, windows, 1)
-    at = np.cumsum(runs) - runs
-    ids = np.repeat(least1, runs)
-    multi = np.flatnonzero(shared)  # phrases with a common trigger, by trigger
-    done = np.cumsum(windows[multi])
-    border = np.flatnonzero(np.append(k1[multi][1:] != k1[multi][:-1], True)) + 1 if len(multi) else multi
-    a = 0
-    while a < len(multi):  # some triggers at a time, never part of one
-        over = np.searchsorted(done[border - 1], (done[a - 1] if a else 0) + sort_windows, side="right") - 1
-        b = int(border[max(over, np.searchsorted(border, a, side="right"))])
-        m = multi[a:b]
-        _least_of_windows(body, start1[m], windows[m], least1[m], ids, at[m])
-        a = b
-    out_runs, out_ids, done_rows = [], [], 0
-    for n in map(len, sizes):
-        w = which[done_rows:done_rows + n]
-        done_rows += n
-        r = runs[w]
-        out_runs.append(_blob(r.astype(np.uint8)))
-        out_ids.append(_blob(ids[np.repeat(at[w], r) + np.arange(r.sum()) - np.repeat(np.cumsum(r) - r, r)]))
-    return pa.table({"chunk": shard["chunk"], "shard": shard["shard"], "runs": _binary(out_runs), "ids": _binary(out_ids)})
+    mine = least[owner]
+    by = np.lexsort((mine, text))
+    text, mine = text[by], mine[by]
+    first = np.append(True, text[1:] != text[:-1])
+    out = np.empty(len(owner), bool)
+    out[by] = mine[np.flatnonzero(first)[np.cumsum(first) - 1]] < mine
+    return out
 
 
 def _sorted_shard(sort_windows: int):
+    """Shard -> for each chunk a bit for each window of its pieces: a smaller document has it."""
     def run(shard: pa.Table) -> pa.Table:
-        return _smallest(shard, sort_windows)
+        key, n = _column(shard, "key", np.uint32)
+        size = _column(shard, "size", np.uint8)[0].astype(np.int64)
+        least = np.concatenate([_unplanes(b) for b in shard["least"].to_pylist()])
+        body = np.frombuffer(b"".join(shard["body"].to_pylist()), np.uint8)
+        start, windows = np.cumsum(size) - size, size - WIDTH + 1
+        at = np.cumsum(windows) - windows
+        found = np.empty(windows.sum(), bool)
+        order = np.argsort(key, kind="stable")
+        border = np.append(_groups(key[order])[1:], len(order))  # where the triggers end
+        done = np.append(0, np.cumsum(windows[order]))
+        a = 0
+        while a < len(order):  # some triggers at a time, never part of one
+            over = np.searchsorted(done[border], done[a] + sort_windows, side="right") - 1
+            b = int(border[max(over, np.searchsorted(border, a, side="right"))])
+            m = order[a:b]
+            w = windows[m]
+            found[np.repeat(at[m], w) + np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)] = _smaller(body, start[m], w, least[m])
+            a = b
+        each = [int(x.sum()) for x in _cut(windows, n)]
+        return pa.table({"chunk": shard["chunk"], "shard": shard["shard"], "windows": _binary([_bits(x) for x in _cut(found, each)])})
     return run
 
 
+def _removed(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends in the chunk's buffer of the maximal runs that go, whole copies apart."""
+    c.look()
+    gone, ask = c.asked()
+    windows = c.b[c.one] - c.a[c.one] + 1
+    bits = c._told("windows", c.shard[ask], windows[ask])
+    # a whole piece goes where a smaller document has it, of this chunk or another
+    whole = gone[c.entry] | (c.whose > c.least[c.entry])
+    step = np.zeros(len(c.text) + 2, np.int8)
+    step[c.a[whole]] += 1  # pieces share no window
+    step[c.b[whole] + 1] -= 1
+    mask = np.cumsum(step, dtype=np.int8).astype(bool)
+    del step
+    # else the windows that smaller documents have
+    place = np.full(len(c.one), -1)
+    place[ask] = np.cumsum(windows[ask]) - windows[ask]
+    part = np.flatnonzero(~whole & (place[c.entry] >= 0))
+    for k in range(0, len(part), PIECES):
+        some = part[k:k + PIECES]
+        n = windows[c.entry[some]]
+        offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        hit = bits[np.repeat(place[c.entry[some]], n) + offset]
+        mask[(np.repeat(c.a[some], n) + offset)[hit]] = True
+    edge = np.flatnonzero(np.diff(mask.view(np.int8), prepend=np.int8(0)))  # the last place is no window
+    begin, end = edge[::2], edge[1::2] + WIDTH - 1
+    new = np.append(True, begin[1:] > end[:-1])[:len(begin)]
+    return begin[new], end[np.append(new[1:], True)[:len(end)]]
+
+
 def _apply(shards: int, with_kept: bool):
     """Chunk and what came back -> the result rows of its documents."""
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         c = Chunk(table, answers, shards)
-        pieces = c.pieces()
-        told = {r["shard"]: r for r in c.answers if r["runs"] is not None}
-        found: dict[int, list[int]] = {}  # piece -> smallest doc_id, of all its windows or of each
-        for p, ids, _ in c.dictionary(pieces):
-            runs = np.frombuffer(told[p]["runs"], np.uint8).astype(np.int64)
-            low, at = np.frombuffer(told[p]["ids"], np.int64).tolist(), np.cumsum(runs) - runs
-            found.update((i, low[x:x + n]) for i, x, n in zip(ids, at.tolist(), runs.tolist()))
-        spans, kept = [], []
-        for k, (d, text, copy) in enumerate(c.docs):
-            merged: list[list[int]] = []
-            if copy:
-                merged.append([0, len(text)])
-            else:
-                for _, p, a, b in pieces.get(k, ()):
-                    low = found[p]
-                    if len(low) == 1:
-                        gone = [(a, b)] if low[0] < d else ()
-                    elif min(low) >= d:
-                        gone = ()
-                    elif max(low) < d:
-                        gone = [(a, b)]
-                    else:
-                        hit = np.flatnonzero(np.array(low) < d)
-                        gone = [(a + int(x[0]), a + int(x[-1])) for x in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1) if len(x)]
-                    for x, y in gone:  # first and last window that goes; phrases come in text order
-                        if merged and x <= merged[-1][1]:
-                            merged[-1][1] = max(merged[-1][1], y + WIDTH)
-                        else:
-                            merged.append([x, y + WIDTH])
-            spans.append([z for s in merged for z in s])
-            end, rest = 0, []
-            for x, y in merged:
-                rest.append(text[end:x])
-                end = y
-            kept.append(b"".join([*rest, text[end:]]))
-        out = {"doc_id": table["doc_id"], "n_bytes": pa.array([len(t) for _, t, _ in c.docs], pa.int64()),
+        begin, end = _removed(c)
+        cut = np.searchsorted(begin, np.append(c.start, len(c.text) + 1))
+        spans, sha, kept = [], [], []
+        for k, (copy, n, at) in enumerate(zip(c.copy, c.size.tolist(), c.start.tolist())):
+            i, j = cut[k], cut[k + 1]
+            spans.append([0, n] if copy else (np.stack((begin[i:j], end[i:j]), 1).ravel() - at).tolist() if j > i else [])
+            edges = [0, *spans[-1], n]
+            rest = b"".join([c.text[at + x:at + y] for x, y in zip(edges[::2], edges[1::2])])
+            sha.append(hashlib.sha256(rest).hexdigest())
+            if with_kept:
+                kept.append(rest)
+        out = {"doc_id": table["doc_id"], "n_bytes": pa.array(c.size, pa.int64()),
                "n_removed": pa.array([sum(s[1::2]) - sum(s[::2]) for s in spans], pa.int64()),
-               "spans": pa.array(spans, pa.list_(pa.int64())),
-               "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())}
+               "spans": pa.array(spans, pa.list_(pa.int64())), "kept_sha256": pa.array(sha, pa.string())}
         return pa.table(out | ({"kept": _binary(kept)} if with_kept else {}))
     return run
 
 
 def _packed(batches):
-    """Texts compressed one by one, before they are moved."""
+    """Texts parsed and compressed one by one, before they are moved."""
     import zstandard
-    pack = zstandard.ZstdCompressor(level=3).compress
+    pack, quick = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdCompressor(level=1).compress
     for b in slices(batches):
-        yield pa.RecordBatch.from_arrays([column(b, "chunk"), column(b, "doc_id"), _binary([pack(t) for t in column(b, "text").to_pylist()])],
-                                         names=["chunk", "doc_id", "packed"])
+        texts = column(b, "text").to_pylist()
+        yield pa.RecordBatch.from_arrays([column(b, "chunk"), column(b, "doc_id"), _binary([pack(t) for t in texts]), _binary([quick(marks(t)) for t in texts])],
+                                         names=["chunk", "doc_id", "packed", "marks"])
 
 
 def remove_repeats(docs: DataFrame, with_kept: bool = False, hot_chunks: int = HOT_CHUNKS,
@@ -374,7 +468,8 @@ def remove_repeats(docs: DataFrame, with_kept: bool = False, hot_chunks: int = H
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(3 * n, math.ceil(size / CHUNK_BYTES))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
+    shards = max(1, math.ceil(size / SHARD_BYTES), min(n, math.ceil(size / LEAST_BYTES)))
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(chunks)).cast("int"))
 
     # whole copies: a text's documents but the one of smallest id
     hashes = written(rows.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WIDTH)).select(
@@ -383,26 +478,28 @@ def remove_repeats(docs: DataFrame, with_kept: bool = False, hot_chunks: int = H
     copies = written(hashes.join(first, ["hash", "hash2"]).where("doc_id > first").select("chunk", "doc_id", "hash"), "repeats-copies")
 
     name = f"llm_repeats_{uuid.uuid4().hex}"
-    (rows.mapInArrow(_packed, "chunk int, doc_id long, packed binary").repartition(n, "chunk")
+    (rows.mapInArrow(_packed, "chunk int, doc_id long, packed binary, marks binary").repartition(n, "chunk")
      .write.format("parquet").bucketBy(n, "chunk").sortBy("chunk").option("compression", "none")
      .option("path", scratch(spark, "repeats")).saveAsTable(name))
-    table = spark.table(name).select("chunk", "doc_id", "packed").groupBy("chunk")
+    table = spark.table(name).select("chunk", "doc_id", "packed", "marks").groupBy("chunk")
 
     def answers(*tables: DataFrame):
         """What came back to the chunks, as one table."""
-        every = spark.createDataFrame([], "chunk int, doc_id long, hash long, shard int, shared binary, hot binary, runs binary, ids binary")
+        every = spark.createDataFrame([], "chunk int, doc_id long, hash long, shard int, shared binary, hot binary, gone binary, ask binary, windows binary")
         for t in tables:
             every = every.unionByName(t, allowMissingColumns=True)
         return every.groupBy("chunk")
 
-    sent = table.cogroup(answers(copies)).applyInArrow(_round_one(n), "shard int, chunk int, grams binary, twice binary")
+    sent = table.cogroup(answers(copies)).applyInArrow(_round_one(shards), "shard int, chunk int, grams binary, twice binary, many binary")
     shared = written(sent.groupBy("shard").applyInArrow(_repeated(hot_chunks), "chunk int, shard int, shared binary, hot binary"), "repeats-grams")
-    entries = table.cogroup(answers(copies, shared)).applyInArrow(
-        _round_two(n), "shard int, chunk int, key binary, least binary, size binary, body binary")
-    found = entries.groupBy("shard").applyInArrow(_sorted_shard(sort_windows), "chunk int, shard int, runs binary, ids binary")
-    return table.cogroup(answers(copies, shared, found)).applyInArrow(
-        _apply(n, with_kept), "doc_id long, n_bytes long, n_removed long, spans array<long>, kept_sha256 string"
-                              + ", kept binary" * with_kept)
+    pieces = table.cogroup(answers(copies, shared)).applyInArrow(_round_two(shards), "shard int, chunk int, key binary, pid binary, least binary")
+    told = written(pieces.groupBy("shard").applyInArrow(_first_of, "chunk int, shard int, gone binary, ask binary"), "repeats-pieces")
+    bodies = table.cogroup(answers(copies, shared, told)).applyInArrow(
+        _round_three(shards), "shard int, chunk int, key binary, least binary, size binary, body binary")
+    found = bodies.groupBy("shard").applyInArrow(_sorted_shard(sort_windows), "chunk int, shard int, windows binary")
+    return table.cogroup(answers(copies, shared, told, found)).applyInArrow(
+        _apply(shards, with_kept), "doc_id long, n_bytes long, n_removed long, spans array<long>, kept_sha256 string"
+                                   + ", kept binary" * with_kept)
 
 
 def op7_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:

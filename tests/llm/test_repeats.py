@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from corpusflow.llm import repeats as R
@@ -65,5 +67,40 @@ def test_parse_covers_every_window_once():
         assert [i for x, y in zip(a, b) for i in range(x, y + 1)] == list(range(max(0, n - 49)))
 
 
+def test_marks_give_the_parse_of_many_texts(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, k, n).astype(np.uint8).tobytes() for n in (0, 49, 50, 51, 77, 300, 1000) for k in (1, 2, 200)]
+    parsed = [R.parse(t) for t in texts]
+    monkeypatch.setattr(R, "BLOCK", 29)  # the same in pieces
+    size = np.array([len(t) for t in texts])
+    start = np.cumsum(size + 1) - size - 1
+    marked = [R.marks(t) for t in texts]
+    at, first, last = R.phrases(np.frombuffer(b"".join(marked), np.uint8), np.array([len(m) for m in marked]), start, size)
+    assert first.tolist() == [i + s for (_, a, _), s in zip(parsed, start.tolist()) for i in a.tolist()]
+    assert last.tolist() == [i + s for (_, _, b), s in zip(parsed, start.tolist()) for i in b.tolist()]
+    assert ((first <= last) & (at >= last) & (at + R.GRAM <= first + R.WIDTH)).all()
+    for text, (g, a, b) in zip(texts, parsed):
+        assert all(np.array_equal(x, y) for x, y in zip(R.parse(text), (g, a, b)))
+
+
+def test_what_very_many_chunks_share_is_not_sent_window_by_window():
+    """A passage in 140 chunks: what they send stays a small multiple of their text."""
+    rng, shards = random.Random(5), 3
+    passage = rng.randbytes(4000).hex()
+    fields = {"chunk": pa.int32(), "doc_id": pa.int64(), "hash": pa.int64(), "shard": pa.int32()} | {
+        c: pa.binary() for c in ("shared", "hot", "gone", "ask", "windows")}
+    empty = pa.schema(fields).empty_table()
+    batches = [pa.RecordBatch.from_pydict({"chunk": pa.array([k], pa.int32()), "doc_id": [k], "text": [(passage + rng.randbytes(500).hex()).encode()]})
+               for k in range(140)]
+    tables = [pa.Table.from_batches(R._packed([b])) for b in batches]
+    sent = pa.concat_tables([R._round_one(shards)(t, empty) for t in tables])
+    rows = [r for p in range(shards) for r in R._repeated(R.HOT_CHUNKS)(sent.filter(pyarrow.compute.equal(sent["shard"], p))).to_pylist()]
+    entries = 0
+    for k, t in enumerate(tables):
+        answers = pa.Table.from_pylist([dict.fromkeys(fields) | r for r in rows if r["chunk"] == k], schema=empty.schema)
+        entries += R._round_two(shards)(t, answers).nbytes
+    assert entries < 4 * sum(b["text"].nbytes for b in batches)
+
+
 def test_empty_table(spark):
     assert R.remove_repeats(documents(spark, [])).count() == 0
