@@ -218,3 +218,71 @@ def test_ter_looks_for_no_move_that_wins_nothing(monkeypatch):
     ref = [f"w{i}" for i in range(40)]
     assert M.shifted_edits(ref, ["x", *ref[1:]]) == 1
     assert M.shifted_edits(ref, [*ref[:20], "x", *ref[21:], "y"]) == 2
+
+
+def test_a_word_is_taken_apart_once(monkeypatch):
+    import random
+    rnd = random.Random(3)
+    bits = ["a", "B", "7", "1.", ".", ",", "-", "-\n", "\n", " ", "<skipped>", "<skip", "ped>", "&amp;lt;", "&quot;", "é", "\x85", "　", "don't", "x-1"]
+    texts = ["".join(rnd.choices(bits, k=rnd.randrange(40))) for _ in range(500)]
+    assert M.tokens_13a(texts) == [M.words_13a(x) for x in texts]
+    seen, parts = [], M._parts_13a
+    monkeypatch.setattr(M, "_parts_13a", lambda x: seen.append(x) or parts(x))
+    assert M.tokens_13a(["the end. the end.", "the, end."] * 50) == [["the", "end", ".", "the", "end", "."], ["the", ",", "end", "."]] * 50
+    assert sorted(seen) == ["end.", "the,"]
+
+
+def test_grams_of_wide_alphabets_count_like_single_segments():
+    import random
+
+    import numpy as np
+    rnd = random.Random(8)
+    # six of these characters do not fit one number
+    texts = ["".join(chr(rnd.randrange(0x4e00, 0x4e00 + 9000)) for _ in range(400)) for _ in range(80)] + ["", "\x00", "ab"]
+    other = [x[:150] + x[151:] + x[:20] for x in texts]
+    want = [M.gram_statistics(*M._ids(a, b), 6) for a, b in zip(other, texts)]
+    assert np.array_equal(M.grams_of(other, texts, 6), np.array(want))
+
+
+def test_alignment_against_the_plain_table():
+    import random
+    rng = random.Random(6)
+    for _ in range(300):
+        ref, hyp = ([rng.choice("abc") for _ in range(rng.randint(0, 14))] for _ in "ab")
+        n, m = len(ref), len(hyp)
+        cost = [[i + j for j in range(n + 1)] for i in range(m + 1)]
+        for i in range(1, m + 1):
+            for j in range(1, n + 1):
+                cost[i][j] = min(cost[i - 1][j - 1] + (ref[j - 1] != hyp[i - 1]), cost[i - 1][j] + 1, cost[i][j - 1] + 1)
+        before, bad_ref, bad_hyp, i, j = [-1] * n, [0] * n, [0] * m, m, n
+        while i or j:
+            if i and j and cost[i][j] == cost[i - 1][j - 1] + (ref[j - 1] != hyp[i - 1]):
+                bad_ref[j - 1] = bad_hyp[i - 1] = int(ref[j - 1] != hyp[i - 1])
+                i, j = i - 1, j - 1
+                before[j] = i
+            elif i and (not j or cost[i][j] == cost[i - 1][j] + 1):
+                i -= 1
+                bad_hyp[i] = 1
+            else:
+                j -= 1
+                bad_ref[j], before[j] = 1, i - 1
+        got, wrong_ref, wrong_hyp = M._alignment(ref, hyp)
+        assert got == before
+        assert list(wrong_ref) == [sum(bad_ref[:k]) for k in range(n + 1)] and list(wrong_hyp) == [sum(bad_hyp[:k]) for k in range(m + 1)]
+        assert M.word_distance(ref, hyp, M._places(ref)) == cost[m][n]
+
+
+def test_texts_are_split_in_the_task(spark):
+    plan = M.score(_df(spark, [("a b", "a c")]))._jdf.queryExecution().executedPlan().toString()
+    assert "split(" not in plan and "filter(" not in plan
+
+
+def test_odd_rows_count_as_before(spark):
+    rows = [(None, "a b  c\t", "a　b c"), (None, "a b  c\t", "a　b c"), (None, None, "x y"), (1, "A.Σ ΣΑΣ", "a.ς σας"),
+            (1, "", ""), (1, " \x85 ", None), (1, "d e f g h", "g h d e f"), (2, None, None)]
+    df = spark.createDataFrame(rows, "k long, ref string, hyp string")
+    sums = {r.k: r.asDict() for r in M.segment_sums(df, ["k"], list(M._FIELDS)).collect()}
+    words = {k: [sums[k][c] for c in ("dist", "ref_words", "hyp_words", "low_dist", "low_ref_words", "hits")] for k in sums}
+    assert words == {None: [2, 6, 8, 2, 6, 6], 1: [6, 7, 7, 1, 7, 3], 2: [0] * 6}
+    assert [sums[None][f"bleu_{c}1"] for c in ("match", "hyp", "ref")] == [6, 8, 6]
+    assert [sums[1][f"chrf_{c}6"] for c in ("match", "hyp", "ref")] == [0, 1, 1]
