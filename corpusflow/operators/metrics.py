mer_wil: word distances and hits from one table

Symptom: mer_wil spent 1370 CPU seconds per input GB on 0.10 GB (quick run): Python 971, JVM 387, GC 11; 130 s of task time in one stage.
Evidence: in a profile of the task's functions the word distance and the table of the hits took about the same time, though the hits' table holds the distance in the same cell; the JVM split both texts by regular expressions and sent them as arrays of words.
Fix: one table gives cost and hits (edits_of, alignment), as the heaviest choice of pairs, which needs five passes over a row instead of nine; word_distance stays for wer and the moves. That the tasks get the texts whole is the change before this one (word_edits), and the figures before are from ahead of both.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 1076 -> 440 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.97 -> 0.97 GB, longest task 94 -> 38 s, most memory of a task 0 -> 0 MB; at 6 GB of input CPU 5910 -> 1931 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 5.87 -> 5.87 GB, longest task 127 -> 45 s, most memory of a task 0 -> 0 MB; with hot keys, at 1 GB of input CPU 318 -> 192 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.18 -> 0.18 GB, longest task 27 -> 15 s, most memory of a task 0 -> 0 MB.

@@ -367,6 +367,9 @@ def _statistics(kinds):
     @F.pandas_udf(", ".join(f"{c} long" for c in names))
     def stats(hyp: pd.Series, ref: pd.Series) -> pd.DataFrame:
         parts = []
+        if "hits" in kinds:  # the table of the hits has the word distances too
+            words = [[x.split() for x in side] for side in (ref, hyp)]
+            aligned = edits_of(*words)
         for k in kinds:
             if k == "bleu":
                 tokens = tokens_13a([*hyp, *ref])
@@ -377,13 +380,15 @@ def _statistics(kinds):
                 sums[:, :, 1] *= sums[:, :, 2] > 0
                 parts.append(sums)
             elif k == "edits_lower":
-                words = ((r.lower().split(), h.lower().split()) for h, r in zip(hyp, ref))
-                parts.append([(shifted_edits(r, h), len(r)) for r, h in words])
-            elif k == "edits":
-                words = ((r.split(), h.split()) for h, r in zip(hyp, ref))
-                parts.append([(word_distance(r, h), len(r), len(h)) for r, h in words])
+                pairs = ((r.lower().split(), h.lower().split()) for h, r in zip(hyp, ref))
+                parts.append([(shifted_edits(r, h), len(r)) for r, h in pairs])
+            elif k == "hits":
+                parts.append(aligned[:, 1])
+            elif "hits" in kinds:
+                parts.append(np.stack([aligned[:, 0], *([*map(len, side)] for side in words)], 1))
             else:
-                parts.append(hits_of([x.split() for x in ref], [x.split() for x in hyp]))
+                pairs = ((r.split(), h.split()) for h, r in zip(hyp, ref))
+                parts.append([(word_distance(r, h), len(r), len(h)) for r, h in pairs])
         rows = np.concatenate([np.asarray(x, np.int64).reshape(len(hyp), len(_FIELDS[k])) for x, k in zip(parts, kinds)], 1)
         return pd.DataFrame(rows, columns=names, dtype="int64")
 
@@ -469,31 +474,40 @@ def edit_rate(df: DataFrame, keys=()) -> DataFrame:
 _KEY = 1 << 31  # (cost, hits) packed as cost * _KEY - hits: one integer, min = best; hits are fewer than words
 
 
-def alignment_hits(ref_words, hyp_words) -> int:
-    """Hits of a minimum-cost word alignment, most hits among ties.
+def _weights(key: int) -> tuple[int, int]:
+    """What pairs of equal and of other words save, in an alignment that starts
+    from all words of both sides alone, one edit each: the heaviest alignment has
+    the least cost and, of those, the most hits."""
+    return 2 * key + 1, key
+
+
+def _cost_and_hits(words, saved, key: int):
+    rest = words * key - saved
+    cost = -(-rest // key)
+    return cost, cost * key - rest
+
 
-    Row-by-row Levenshtein in numpy: substitution, deletion and insertion
-    add ``_KEY`` (one edit), a match subtracts 1 (one hit). The insertion
-    chain within a row, new[j] = min(base[j], new[j-1] + _KEY), is
-    j*_KEY + cummin(base[k] - k*_KEY), one ``minimum.accumulate`` per row.
+def alignment(ref_words, hyp_words) -> tuple[int, int]:
+    """Cost of a cheapest word alignment, and its hits, most hits among ties.
+
+    Row by row in numpy: an alignment goes on from the row before, with a pair or
+    without one, or within the row, one ``maximum.accumulate``.
     """
     n, m = len(ref_words), len(hyp_words)
-    if n == 0 or m == 0:
-        return 0
-    ids = {}
-    a = np.array([ids.setdefault(w, len(ids)) for w in ref_words], dtype=np.int64)
-    b = np.array([ids.setdefault(w, len(ids)) for w in hyp_words], dtype=np.int64)
-    ramp = np.arange(m + 1, dtype=np.int64) * _KEY
-    prev = ramp.copy()
-    base = np.empty(m + 1, dtype=np.int64)
-    for i in range(1, n + 1):
-        base[0] = i * _KEY
-        step = np.where(b == a[i - 1], -1, _KEY)
-        base[1:] = np.minimum(prev[:-1] + step, prev[1:] + _KEY)
-        prev = np.minimum.accumulate(base - ramp) + ramp
-    key = int(prev[m])
-    cost = -(-key // _KEY)
-    return cost * _KEY - key
+    number = defaultdict(count().__next__)
+    a, b = (np.array([*map(number.__getitem__, side)], np.int64) for side in (ref_words, hyp_words))
+    same, other = _weights(_KEY)
+    saved, new = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
+    for w in a:
+        np.add(saved[:-1], np.where(b == w, same, other), out=new[1:])
+        np.maximum(new, saved, out=new)
+        np.maximum.accumulate(new, out=saved)
+    return _cost_and_hits(n + m, int(saved[m]), _KEY)
+
+
+def alignment_hits(ref_words, hyp_words) -> int:
+    """Hits of a minimum-cost word alignment, most hits among ties."""
+    return alignment(ref_words, hyp_words)[1]
 
 
 #: words of both sides, and cells, of the tables that are filled together
@@ -501,11 +515,11 @@ HITS_WORDS, HITS_CELLS = 1 << 14, 1 << 18
 _SMALL_KEY = 1 << 15
 
 
-def hits_of(refs, hyps) -> list[int]:
-    """:func:`alignment_hits` of many segments. Words that both sides begin or
-    end with are hits of some best alignment; the tables of the rest are filled
-    together, those of like size at a time."""
-    out, rest = [], []
+def edits_of(refs, hyps) -> np.ndarray:
+    """:func:`alignment` of many segments: an array (segment, 2). Words that both
+    sides begin or end with are hits of some best alignment; the tables of the
+    rest are filled together, those of like size at a time."""
+    out, rest = np.zeros((len(refs), 2), np.int64), []
     for k, (r, h) in enumerate(zip(refs, hyps)):
         n, m = len(r), len(h)
         a = 0
@@ -513,7 +527,7 @@ def hits_of(refs, hyps) -> list[int]:
             a += 1
         while n > a and m > a and r[n - 1] == h[m - 1]:
             n, m = n - 1, m - 1
-        out.append(a + len(r) - n)
+        out[k] = n + m - 2 * a, a + len(r) - n
         if n > a and m > a:
             rest.append((n - a, m - a, k, a))
     rest.sort()
@@ -521,7 +535,8 @@ def hits_of(refs, hyps) -> list[int]:
     for x in rest:
         n, m, k, a = x
         if n + m >= HITS_WORDS or n * m > HITS_CELLS:
-            out[k] += alignment_hits(refs[k][a:a + n], hyps[k][a:a + m])
+            cost, hits = alignment(refs[k][a:a + n], hyps[k][a:a + m])
+            out[k] = cost, out[k, 1] + hits
             continue
         # the next is the longest, but may be narrower
         wide = max(max((y[1] for y in group[:1]), default=0), cells, m)
@@ -535,27 +550,35 @@ def hits_of(refs, hyps) -> list[int]:
     return out
 
 
+def hits_of(refs, hyps) -> list[int]:
+    """:func:`alignment_hits` of many segments."""
+    return edits_of(refs, hyps)[:, 1].tolist()
+
+
 def _fill(group, refs, hyps, out) -> None:
-    """Add the hits of the words ``(n, m, segment, first word)`` to ``out``."""
-    ids: dict = {}
-    n, m = max(x[0] for x in group), max(x[1] for x in group)
+    """Set the costs, and add the hits, of the words ``(n, m, segment, first word)`` in ``out``."""
+    number = defaultdict(count().__next__)
+    rows, columns, segments, _ = np.array(group).T
+    n, m = int(rows[-1]), int(columns.max())
     ref, hyp = np.full((n, len(group)), -1, np.int32), np.full((m, len(group)), -2, np.int32)
     for i, (p, q, k, a) in enumerate(group):
-        ref[:p, i] = [ids.setdefault(w, len(ids)) for w in refs[k][a:a + p]]
-        hyp[:q, i] = [ids.setdefault(w, len(ids)) for w in hyps[k][a:a + q]]
-    rows, columns = np.array([x[:2] for x in group]).T
-    ramp = np.arange(m + 1, dtype=np.int32)[:, None] * np.int32(_SMALL_KEY)
-    prev = np.repeat(ramp, len(group), 1)
-    base, keys = np.empty_like(prev), np.zeros(len(group), np.int64)
+        ref[:p, i] = [*map(number.__getitem__, refs[k][a:a + p])]
+        hyp[:q, i] = [*map(number.__getitem__, hyps[k][a:a + q])]
+    same, other = map(np.int32, _weights(_SMALL_KEY))
+    # the longest come last: those of up to i words end before ended[i]
+    ended = np.searchsorted(rows, np.arange(n + 1), "right")
+    saved, new = np.zeros((2, m + 1, len(group)), np.int32)
+    best = np.zeros(len(group), np.int64)
     for i in range(1, n + 1):
-        base[0] = i * _SMALL_KEY
-        step = np.where(hyp == ref[i - 1], np.int32(-1), np.int32(_SMALL_KEY))
-        np.minimum(prev[:-1] + step, prev[1:] + np.int32(_SMALL_KEY), out=base[1:])
-        prev = np.minimum.accumulate(base - ramp, axis=0) + ramp
-        ended = np.flatnonzero(rows == i)
-        keys[ended] = prev[columns[ended], ended]
-    for key, (*_, k, _) in zip(keys.tolist(), group):
-        out[k] += -(-key // _SMALL_KEY) * _SMALL_KEY - key
+        np.add(saved[:-1], np.where(hyp == ref[i - 1], same, other), out=new[1:])
+        np.maximum(new, saved, out=new)
+        np.maximum.accumulate(new, axis=0, out=saved)
+        if ended[i] > ended[i - 1]:
+            some = np.arange(ended[i - 1], ended[i])
+            best[some] = saved[columns[some], some]
+    cost, hits = _cost_and_hits(rows + columns, best, _SMALL_KEY)
+    out[segments, 0] = cost
+    out[segments, 1] += hits
 
 
 def mer_wil(df: DataFrame, keys=()) -> DataFrame:

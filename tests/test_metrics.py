@@ -286,3 +286,34 @@ def test_odd_rows_count_as_before(spark):
     assert words == {None: [2, 6, 8, 2, 6, 6], 1: [6, 7, 7, 1, 7, 3], 2: [0] * 6}
     assert [sums[None][f"bleu_{c}1"] for c in ("match", "hyp", "ref")] == [6, 8, 6]
     assert [sums[1][f"chrf_{c}6"] for c in ("match", "hyp", "ref")] == [0, 1, 1]
+
+
+def test_one_table_gives_distances_and_hits():
+    import random
+    rng = random.Random(12)
+    segments = [[[rng.choice("abcd"[:rng.randint(1, 4)]) for _ in range(rng.choice([0, 1, 3, 9, 30]))] for _ in "ab"] for _ in range(300)]
+    segments.append([[f"w{rng.randrange(40)}" for _ in range(k)] for k in (600, 560)])  # by itself
+    want = []
+    for r, h in segments:
+        row = [(j, 0) for j in range(len(h) + 1)]  # (edits, -hits)
+        for i, x in enumerate(r, 1):
+            prev, row[0] = row[0], (i, 0)
+            for j, y in enumerate(h, 1):
+                pair = (prev[0], prev[1] - 1) if x == y else (prev[0] + 1, prev[1])
+                prev, row[j] = row[j], min(pair, (row[j][0] + 1, row[j][1]), (row[j - 1][0] + 1, row[j - 1][1]))
+        want.append((row[-1][0], -row[-1][1]))
+    assert [tuple(x) for x in M.edits_of(*zip(*segments)).tolist()] == want
+    assert [M.alignment(r, h) for r, h in segments] == want
+
+
+def test_mer_wil_fills_no_second_table(monkeypatch):
+    import pandas as pd
+
+    def never(*_):
+        raise AssertionError("a table of its own")
+
+    monkeypatch.setattr(M, "word_distance", never)
+    stats, names = M._statistics(["edits", "hits"])
+    got = stats.func(pd.Series(["a x c", "", " b\x85a "]), pd.Series(["a b c d", "a", ""]))
+    assert got[names].to_numpy().tolist() == [[2, 4, 3, 2], [1, 1, 0, 0], [2, 0, 2, 0]]
+    assert stats.func(pd.Series([], dtype=str), pd.Series([], dtype=str)).shape == (0, 4)
